@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tenderspark.llm import q_corpus
+import corpus_pipeline
+from tenderspark.llm import q_corpus, q_text
 
-MODULES = (q_corpus,)
+MODULES = (q_corpus, q_text)
 
 
 def queries() -> dict:
-    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict:
-    return {name: sql for m in MODULES for name, sql in m.SQL.items()}
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {name: sql for m in MODULES for name, sql in m.SQL.items()} | own
