@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderspark.llm import bpe, secrets
+from tenderspark.llm import bpe, secrets, substrings
 from tenderspark.llm.common import table
 
 
@@ -16,6 +16,29 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+OP3_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), grams AS (
+  SELECT doc_id, p, md5(array_to_string(w[p : p + 49], ' ')) AS h FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS p FROM dw WHERE len(w) >= 50)
+), low AS (
+  SELECT h, min(doc_id) AS first FROM grams GROUP BY h
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(p, p + 49)) AS x FROM grams JOIN low USING (h) WHERE first < doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY x) AS words FROM (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS x FROM dw) ANTI JOIN gone USING (doc_id, x) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(words, '')) AS kept_sha256
+FROM dw LEFT JOIN counts USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary(), digests=True)
 
@@ -63,5 +86,5 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN texts USING (doc_id)
 """
 
-QUERIES = {"op4_bpe": op4_bpe, "op8_secret_scan": op8_secret_scan}
-SQL = {"op8_secret_scan": OP8_SQL}
+QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op4_bpe": op4_bpe, "op8_secret_scan": op8_secret_scan}
+SQL = {"op3_substring_dedup": OP3_SQL, "op8_secret_scan": OP8_SQL}
