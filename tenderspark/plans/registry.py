@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tenderspark.plans import prices
+from tenderspark.plans import matching, prices
 
-MODULES = (prices,)
+MODULES = (matching, prices)
 
 
 def queries() -> dict:
