@@ -192,4 +192,4 @@ def strip_nul(c: Column) -> Column:
 
 
 def split_pipe(c: Column) -> Column:
-    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), r"\|"), lambda x: F.trim(x)), lambda x: x != "")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tenderspark.plans import classify, documents, matching, prices
+from tenderspark.plans import catalog, classify, documents, matching, prices
 
-MODULES = (classify, documents, matching, prices)
+MODULES = (catalog, classify, documents, matching, prices)
 
 
 def queries() -> dict:
