@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tenderspark.plans import catalog, classify, documents, files, matching, prices, runs
+from tenderspark.plans import catalog, classify, documents, files, ingest, matching, prices, runs
 
-MODULES = (catalog, classify, documents, files, matching, prices, runs)
+MODULES = (catalog, classify, documents, files, ingest, matching, prices, runs)
 
 
 def queries() -> dict:
