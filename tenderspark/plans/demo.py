@@ -60,11 +60,13 @@ CATALOG = """catalog AS (
 
 def r4(c):
     """Four decimals, with exact ties moved off the edge so that both engines round them alike."""
-    return F.round((F.col(c) if isinstance(c, str) else c) + F.lit(1e-7), 4)
+    x = F.round((F.col(c) if isinstance(c, str) else c) + F.lit(1e-7), 4)
+    return F.when(x == 0, F.lit(0.0)).otherwise(x)
 
 
 def sql4(x: str) -> str:
-    return f"round(({x}) + 1e-7::DOUBLE, 4)"
+    r = f"round(({x}) + 1e-7::DOUBLE, 4)"
+    return f"CASE WHEN {r} = 0 THEN 0.0::DOUBLE ELSE {r} END"
 
 
 class Plans:

@@ -127,7 +127,7 @@ def clean_documents(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(k.alias("document"), control.alias("control")).select("document", "control", p["cnpj"].alias("cnpj"), T.purchase_seq(F.col("control")).alias("seq"), p["act_seq"].alias("act_seq"), T.document_url(F.col("control"), "https://example.org").alias("url"))
 
 
-@add("clean_scorer_output", "SELECT c_custkey AS k, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS category, CASE c_custkey % 5 WHEN 0 THEN 1.0 WHEN 1 THEN 0.6 WHEN 2 THEN 0.3 WHEN 3 THEN 0.75 END AS confidence, CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'error' END AS verdict, CASE WHEN c_custkey % 4 = 0 THEN 'error' ELSE 'machinery' END AS label, CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'because ' || c_name END AS reason FROM customer")
+@add("clean_scorer_output", "SELECT c_custkey AS k, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS category, CASE c_custkey % 5 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.6::DOUBLE WHEN 2 THEN 0.3::DOUBLE WHEN 3 THEN 0.75::DOUBLE END AS confidence, CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'error' END AS verdict, CASE WHEN c_custkey % 4 = 0 THEN 'error' ELSE 'machinery' END AS label, CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'because ' || c_name END AS reason FROM customer")
 def clean_scorer_output(spark, sf_dir):
     k = F.col("c_custkey")
     answer = F.when(k % 6 == 0, "no braces").otherwise(F.concat(F.lit("```json\n{\"category\": \""), "c_mktsegment", F.lit("\"}\n```")))
