@@ -21,6 +21,7 @@ T, STRIDE = 32, 16
 H, E, A = 8, 8, 8
 WORD_ROWS, CHAR_ROWS = 1 << 16, 1 << 12
 SAMPLE_PER_LABEL, WINDOWS_PER_EPOCH = 700, 10_000
+LONGEST_LEARNED = 200_000  # bytes; longer labelled texts are scored, but not gathered to learn from
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else (b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20) for b in range(256))
 
 
@@ -257,7 +258,7 @@ class Optimiser:
                 self.net.p[k] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)
 
 
-def trained(texts: list[bytes], toxic: np.ndarray, epochs: int = 8, batch: int = 256, rate: float = 0.02, seed: int = 5) -> Network:
+def trained(texts: list[bytes], toxic: np.ndarray, epochs: int = 4, batch: int = 256, rate: float = 0.02, seed: int = 5) -> Network:
     """A network from labelled texts; with labels of one kind only, its bias says that kind.
 
     Every fourth text is kept from the fit and places the cut that a score of one half stands for."""
@@ -332,10 +333,10 @@ def held_out(id_col: str = "doc_id"):
 def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = SAMPLE_PER_LABEL) -> Network:
     """A network from at most ``per_label`` labelled rows of each label, those with the smallest hash of the id. The
     labels' sample (2 * per_label ids) is broadcast to the scan of the texts. Held-out rows, rows without id, text or
-    label are left out; an id labelled twice takes its largest label."""
+    label and those of more than ``LONGEST_LEARNED`` bytes are left out; an id labelled twice takes its largest label."""
     given = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = bounded_sample(given.where(~held_out()), "doc_id", per_label, by="toxic").withColumnRenamed("doc_id", "_id")
-    rows = docs.select(F.col(id_col).alias("doc_id"), as_bytes(text_col).alias("text")).where("text is not null").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic").collect()
+    rows = docs.select(F.col(id_col).alias("doc_id"), as_bytes(text_col).alias("text")).where(F.col("text").isNotNull() & (F.length("text") <= LONGEST_LEARNED)).join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: (r.doc_id, bytes(r.text)))
     return trained([bytes(r.text) for r in rows], np.array([r.toxic for r in rows], np.int64))
 
