@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def iqr_bounds(df: DataFrame, by: list[str], price: str, factor: float = 3.0) -> DataFrame:
-    """(by, q1, q3, lo, hi): quartiles by linear interpolation over non-null prices."""
-    q = df.groupBy(*by).agg(F.percentile(price, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+def iqr_bounds(df: DataFrame, by: list[str], price: str, factor: float = 3.0, accuracy: int | None = None) -> DataFrame:
+    """(by, q1, q3, lo, hi): quartiles by linear interpolation over non-null prices.
+
+    The exact form keeps a count per distinct price of a group, combined before the shuffle; for groups with very many
+    distinct prices ``accuracy`` takes a sketch of bounded size instead."""
+    ends = F.array(F.lit(0.25), F.lit(0.75))
+    q = df.groupBy(*by).agg((F.percentile(price, ends) if accuracy is None else F.percentile_approx(price, ends, accuracy)).alias("q"))
     q1, q3 = F.col("q")[0], F.col("q")[1]
     return q.select(*by, q1.alias("q1"), q3.alias("q3"), (q1 - factor * (q3 - q1)).alias("lo"), (q3 + factor * (q3 - q1)).alias("hi"))
 

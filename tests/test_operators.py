@@ -37,6 +37,12 @@ def test_bounds_are_per_code(spark):
     assert P.price_flags(spark.createDataFrame(rows, "code string, price double"), ["code"], "price").where("price_flag").count() == 0
 
 
+def test_sketched_bounds_are_near(spark):
+    df = spark.range(10_001).select(F.lit("A").alias("code"), F.col("id").cast("double").alias("price"))
+    exact, near = (P.iqr_bounds(df, ["code"], "price", 3.0, a).first() for a in (None, 10_000))
+    assert (exact.q1, exact.q3) == (2500.0, 7500.0) and abs(near.q1 - 2500) <= 2 and abs(near.q3 - 7500) <= 2
+
+
 def test_ranking_drops_thin_codes_and_caps(spark):
     rows = [("A", f"i{k}", "x", float(10 + k)) for k in range(6)] + [("B", "j", "x", 5.0), ("A", "big", "x", 1e6), ("A", "low", "x", 9.0)]
     bands = spark.createDataFrame([("x", 10.0, None)], "category string, price_min double, price_max double")
