@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderspark.sources.ship import ship
+
 
 def distinct_texts(items: DataFrame, text_hash: str, key: str, cols: list[str]) -> DataFrame:
     """(text_hash, cols, n_items): one row per text, that of the smallest key, with how many items have it."""
@@ -44,6 +46,7 @@ def batch_score(df: DataFrame, key: str, cols: list[str], fn: Callable[[pd.DataF
                         err.append(f"{type(e).__name__}: {e}"[:500])
             yield pd.DataFrame({key: b[key].to_numpy(), "result": out, "error": err})
 
+    ship(df.sparkSession)
     return df.select(key, *cols).mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, result {result_type}, error string")
 
 

@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderspark.sources.ship import ship
+
 
 def since_watermark(feed: DataFrame, marks: DataFrame, keys: list[str], ts: str) -> DataFrame:
     """Rows at or after their key's watermark, all of a key without one."""
@@ -87,6 +89,7 @@ def stream_error_state(feed: DataFrame, key: str, ts: str, kind: str, error: str
         state.update((n, last))
         yield pd.DataFrame({key: [k[0]], "attempts": [n], "last_at": [last]})
 
+    ship(feed.sparkSession)
     kind_of = feed.schema[key].dataType.simpleString()
     return feed.groupBy(key).applyInPandasWithState(step, f"{key} {kind_of}, attempts long, last_at timestamp", "n long, last timestamp", "update", GroupStateTimeout.NoTimeout)
 
