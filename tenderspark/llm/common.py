@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderspark.sources.ship import ship
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BATCH_BYTES = 32 << 20
 
@@ -38,7 +40,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches end at ``BATCH_BYTES``, so a run of very long texts can't fill a Python worker."""
+    """Arrow batches end at ``BATCH_BYTES``, so a run of very long texts can't fill a Python worker; and the workers
+    get this package if they don't have it."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
