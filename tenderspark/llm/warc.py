@@ -36,14 +36,18 @@ def base32_sha1(payload: Column) -> Column:
     return F.concat(*digits)
 
 
-def planned(pages: DataFrame, id_col: str, url_col: str, payload_col: str, revisit_min_bytes: int) -> DataFrame:
-    """The records to write: page_id, url, payload, digest, refers_to (null: a response)."""
+def planned(pages: DataFrame, id_col: str, url_col: str, payload_col: str, revisit_min_bytes: int, archives: int) -> DataFrame:
+    """The records to write, dealt to ``archives`` partitions: page_id, url, payload, digest, refers_to (null: a
+    response). Payloads move once: which rows are revisits is found from ids and digests alone, and joins the payloads
+    where their archive is."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", base32_sha1(F.col("payload")))
-    last = rows.groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("digest").alias("_digest"), "last")
-    revisit = (F.length("payload") >= revisit_min_bytes) & (F.col("page_id") < F.col("last"))
-    return rows.join(last, rows.digest == F.col("_digest"), "left").select("page_id", "url", "payload", "digest", F.when(revisit, F.col("last")).alias("refers_to"))
+    keys = rows.where(F.length("payload") >= revisit_min_bytes).select("page_id", "digest")
+    last = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    revisits = keys.join(last, "digest").where("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
+    dealt = rows.repartition(archives, "page_id", "digest")
+    return dealt.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "payload", "digest", "refers_to")
 
 
 def trained_dictionary(records: DataFrame, size: int = DICT_BYTES, sample: int = SAMPLE_RECORDS) -> bytes:
@@ -81,12 +85,11 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     Of rows with equal payloads of at least ``revisit_min_bytes`` that with the largest page_id is a response, the
     others are revisits of it; rows that share even the id are all responses. A null payload is an empty one, a null
-    id is written empty and always a response, a null url is empty. No pages: no archive. Rows are dealt by id, so
-    copies of one payload spread over all archives.
+    id is written empty and always a response, a null url is empty. No pages: no archive. Rows are dealt by id and
+    digest, so copies of one payload spread over all archives.
     """
     spark = pages.sparkSession
     bounded_batches(spark)
-    records = planned(pages, id_col, url_col, payload_col, revisit_min_bytes)
     total = pages.agg(F.sum(F.length(F.col(payload_col).cast("binary")))).first()[0] or 0
     dictionary = spark.sparkContext.broadcast(trained_dictionary(pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(payload_col).cast("binary").alias("payload"))))
 
@@ -100,9 +103,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
             lead = []
             yield pa.record_batch([pa.array(out, pa.binary())], names=["frame"])
 
-    n = max(1, -(-total // archive_bytes))
-    dealt = records.repartition(n, F.xxhash64("page_id"))
-    dealt.mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", GAP).text(path)
+    records = planned(pages, id_col, url_col, payload_col, revisit_min_bytes, max(1, -(-total // archive_bytes)))
+    records.mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option("lineSep", GAP).text(path)
 
 
 def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
