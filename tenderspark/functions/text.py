@@ -32,12 +32,13 @@ def _folding() -> tuple[str, str, dict[str, str]]:
 def fold(c: Column) -> Column:
     """Lower case without accents."""
     one, to, many = _folding()
-    c = F.translate(F.lower(c), one, to)
+    low = F.lower(c)
+    c = F.translate(low, one, to)
     some = c.rlike("[" + "".join(many) + "]")
     spelled = c
     for ch, flat in many.items():
         spelled = F.replace(spelled, F.lit(ch), F.lit(flat))
-    return F.regexp_replace(F.when(some, spelled).otherwise(c), r"\p{M}+", "")
+    return F.when(low.rlike(r"[^\x00-\x7F]"), F.regexp_replace(F.when(some, spelled).otherwise(c), r"\p{M}+", "")).otherwise(low)
 
 
 def squeeze(c: Column) -> Column:

@@ -37,10 +37,11 @@ def bm25_scores(catalog: DataFrame, items: DataFrame, block: str, code: str, key
     posts = term_counts(items, block, key, tokens)
     stats = corpus_stats(posts, block, key, items)
     idf = term_idf(posts, stats, block, key)
-    length = posts.groupBy(block, key).agg(F.sum("tf").alias("_dl"))
-    weight = posts.join(length, [block, key]).join(stats, block).join(idf.select(block, "term", "idf"), [block, "term"])
-    w = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("avg_len")))
+    length = items.groupBy(block, key).agg(F.sum(F.size(tokens)).alias("_dl"))
     query = term_counts(catalog, block, code, tokens).withColumnRenamed("tf", "_qtf")
+    asked = posts.join(query.select(block, "term").distinct(), [block, "term"], "left_semi")
+    weight = asked.join(length, [block, key]).join(stats, block).join(idf.select(block, "term", "idf"), [block, "term"])
+    w = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("avg_len")))
     return query.join(weight.select(block, key, "term", w.alias("_w")), [block, "term"]).groupBy(block, code, key).agg(F.sum(F.col("_qtf") * F.col("_w")).alias("bm25"))
 
 
