@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tenderspark.llm.common import POWERS, as_bytes, bounded_batches, mix, span_hashes, word_hashes, word_spans, written
 
 WINDOW, GRAM, GROUP = 50, 8, 4_000
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 
 
 def _window_min(x: np.ndarray, n: int) -> np.ndarray:
