@@ -8,11 +8,7 @@ from functools import cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Words left out of catalogue queries, terms too generic to search for, forms that stand for each other,
-# and the words for confidence and yes/no.
-STOP_WORDS = ["de", "da", "do", "das", "dos", "e", "em", "com", "para", "por", "a", "o", "as", "os", "um", "uma", "no", "na"]
-CONFIDENCE = {"alta": 1.0, "media": 0.6, "média": 0.6, "baixa": 0.3}
-
+from tenderspark.functions.fixed import CONFIDENCE, GROUP_RULES, STOP_WORDS, UNITS
 
 @cache
 def _folding() -> tuple[str, str, dict[str, str]]:
@@ -69,11 +65,20 @@ def tokenize_alnum(c: Column) -> Column:
 
 def tokenize_catalog(c: Column) -> Column:
     """Tokens with a number and its unit joined, of two characters or more, without stop words; raw ones if none is left."""
-    raw = F.filter(F.split(F.regexp_replace(F.regexp_replace(norm_text(c), r"([0-9]+)\s+(mm|cm|m|kg|g|mg|ml|l|v|w)\b", "$1$2"), "[^0-9a-z]+", " "), " "), lambda t: t != "")
-    good = F.filter(raw, lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
+    joined = F.regexp_replace(norm_text(c), rf"([0-9])\s+({'|'.join(UNITS)})\b", "$1$2")
+    raw = F.filter(F.split(F.regexp_replace(joined, "[^0-9a-z]+", " "), " "), lambda t: F.length(t) >= 2)
+    good = F.filter(raw, lambda t: ~t.isin(*STOP_WORDS))
     return F.when(F.size(good) > 0, good).otherwise(raw)
 
 
+def category_of_group(name: Column) -> Column:
+    """The category that a group's name stands for, by the first rule that it holds; else null."""
+    folded, out = norm_text(name), F.lit(None).cast("string")
+    for part, category in reversed(GROUP_RULES):
+        out = F.when(folded.contains(part), category).otherwise(out)
+    return out
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
@@ -132,10 +137,13 @@ def parse_control_number(c: Column) -> Column:
     return F.when(c.rlike(CONTROL), F.struct(part(1).alias("cnpj"), part(2).alias("kind"), part(3).cast("long").alias("seq"), part(4).cast("int").alias("year"), F.nullif(part(5), F.lit("")).cast("long").alias("act_seq")))
 
 
-def document_url(control: Column, base: str) -> Column:
-    """Contract and act addresses under ``base``; an unknown form gives the empty string."""
+def document_url(control: Column, kind: Column, base: str) -> Column:
+    """Addresses under ``base``: a contract's, an act's, or for an act without a sequence that of its purchase; an
+    unknown form gives the empty string."""
     p = parse_control_number(control)
-    stem = F.concat_ws("/", F.lit(base), F.when(p["act_seq"].isNull(), "contratos").otherwise("atas"), p["cnpj"], p["year"].cast("string"), p["seq"].cast("string"), p["act_seq"].cast("string"))
+    contract = F.coalesce(F.lower(kind) == "contract", F.lit(False))
+    part = F.when(contract, "contratos").when(p["act_seq"].isNull(), "editais").otherwise("atas")
+    stem = F.concat_ws("/", F.lit(base), part, p["cnpj"], p["year"].cast("string"), p["seq"].cast("string"), F.when(~contract, p["act_seq"].cast("string")))
     return F.when(p.isNull(), "").otherwise(stem)
 
 
@@ -173,15 +181,21 @@ def parse_model_json(c: Column, schema: str) -> Column:
 
 
 def parse_yes_no(c: Column) -> Column:
+    """The answer 'sim' or 'nao', whatever its case, accents and what follows."""
     t = norm_text(c)
-    return F.when(t.startswith("sim") | t.startswith("yes"), "yes").when(t.startswith("nao") | t.startswith("no"), "no").otherwise("error")
+    return F.when(t.startswith("sim"), "yes").when(t.startswith("nao"), "no").otherwise("error")
 
 
 def parse_label_pipe(c: Column, labels: list[str]) -> Column:
-    """struct(label, reason) of ``LABEL|reason``; an unknown label is ``error``."""
-    parts = F.split(F.coalesce(c, F.lit("")), r"\|", 2)
-    name = F.regexp_replace(norm_text(parts[0]), r"[.,;:!?\s]+$", "")
-    return F.struct(F.when(name.isin(*labels), name).otherwise("error").alias("label"), F.trim(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit(""))).alias("reason"))
+    """struct(label, reason) of ``LABEL|reason``; without a bar the first word is the label and all of it the reason; an
+    unknown label is ``error`` with the answer's first 120 characters."""
+    t = F.trim(F.coalesce(c, F.lit("")))
+    barred = t.contains("|")
+    name = F.when(barred, F.trim(F.substring_index(t, "|", 1))).otherwise(F.split(t, r"\s+")[0])
+    name = F.regexp_replace(norm_text(name), r"[.,;:]+$", "")
+    known = name.isin(*labels)
+    said = F.when(barred, F.trim(F.try_element_at(F.split(t, r"\|", 2), F.lit(2)))).otherwise(t)
+    return F.struct(F.when(known, name).otherwise("error").alias("label"), F.when(known, said).otherwise(F.substring(t, 1, 120)).alias("reason"))
 
 
 def is_scanned(c: Column, least: int = 100) -> Column:

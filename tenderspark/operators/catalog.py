@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderspark.functions import text as T
+from tenderspark.functions.fixed import GENERIC_TERMS, VARIANT_GROUPS
 
 
 def type_key(kind: Column, pdm: Column, code: Column) -> Column:
@@ -61,6 +62,16 @@ def list_allow_with_counts(allow: DataFrame, catalog: DataFrame, kind: str | Non
     return rows.join(n, ["kind", "code"], "left").withColumn("n_catalog", F.coalesce("n_catalog", F.lit(0)))
 
 
+def generic_terms(spark: SparkSession) -> DataFrame:
+    """(term): the stop list."""
+    return spark.createDataFrame([(t,) for t in GENERIC_TERMS], "term string")
+
+
+def variant_groups(spark: SparkSession) -> DataFrame:
+    """(group, form): the equivalent forms."""
+    return spark.createDataFrame([(f"g{i}", form) for i, forms in enumerate(VARIANT_GROUPS) for form in forms], "group string, form string")
+
+
 def drop_generic_terms(terms: DataFrame, generic: DataFrame, term: str) -> DataFrame:
     """Terms whose folded form is not in the stop list."""
     stop = generic.select(T.norm_text(F.col("term")).alias("_g")).distinct()

@@ -119,15 +119,15 @@ def clean_items(spark, sf_dir):
 _CONTROL = "lpad(CAST(o_custkey AS VARCHAR), 14, '0') || '-' || CASE WHEN o_orderkey % 2 = 0 THEN '2-' ELSE '1-' END || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') || CASE WHEN o_orderkey % 5 = 0 THEN ':' ELSE '/' END || year(o_orderdate) || CASE WHEN o_orderkey % 2 = 1 THEN '-' || lpad(CAST(o_orderkey % 90 + 1 AS VARCHAR), 6, '0') ELSE '' END"
 
 
-@add("clean_documents", f"WITH c AS (SELECT o_orderkey AS document, {_CONTROL} AS control, o_orderkey % 5 = 0 AS bad, o_custkey, o_orderkey % 2 = 1 AS act, o_orderdate FROM orders) SELECT document, control, CASE WHEN NOT bad THEN lpad(CAST(o_custkey AS VARCHAR), 14, '0') END AS cnpj, CASE WHEN NOT bad THEN document END AS seq, CASE WHEN NOT bad AND act THEN document % 90 + 1 END AS act_seq, CASE WHEN bad THEN '' ELSE 'https://example.org/' || CASE WHEN act THEN 'atas/' ELSE 'contratos/' END || lpad(CAST(o_custkey AS VARCHAR), 14, '0') || '/' || year(o_orderdate) || '/' || document || CASE WHEN act THEN '/' || (document % 90 + 1) ELSE '' END END AS url FROM c")
+@add("clean_documents", f"WITH c AS (SELECT o_orderkey AS document, {_CONTROL} AS control, o_orderkey % 5 = 0 AS bad, o_custkey, o_orderkey % 2 = 1 AS act, o_orderdate FROM orders) SELECT document, control, CASE WHEN NOT bad THEN lpad(CAST(o_custkey AS VARCHAR), 14, '0') END AS cnpj, CASE WHEN NOT bad THEN document END AS seq, CASE WHEN NOT bad AND act THEN document % 90 + 1 END AS act_seq, CASE WHEN bad THEN '' ELSE 'https://example.org/' || CASE WHEN act THEN 'atas/' WHEN document % 6 = 0 THEN 'editais/' ELSE 'contratos/' END || lpad(CAST(o_custkey AS VARCHAR), 14, '0') || '/' || year(o_orderdate) || '/' || document || CASE WHEN act THEN '/' || (document % 90 + 1) ELSE '' END END AS url FROM c")
 def clean_documents(spark, sf_dir):
     k = F.col("o_orderkey")
     control = F.concat(F.lpad(s("o_custkey"), 14, "0"), F.lit("-"), F.when(k % 2 == 0, "2-").otherwise("1-"), F.lpad(k.cast("string"), 6, "0"), F.when(k % 5 == 0, ":").otherwise("/"), F.year("o_orderdate"), F.when(k % 2 == 1, F.concat(F.lit("-"), F.lpad((k % 90 + 1).cast("string"), 6, "0"))).otherwise(""))
     p = T.parse_control_number(F.col("control"))
-    return table(spark, sf_dir, "orders").select(k.alias("document"), control.alias("control")).select("document", "control", p["cnpj"].alias("cnpj"), T.purchase_seq(F.col("control")).alias("seq"), p["act_seq"].alias("act_seq"), T.document_url(F.col("control"), "https://example.org").alias("url"))
+    return table(spark, sf_dir, "orders").select(k.alias("document"), control.alias("control"), F.when((k % 2 == 1) | (k % 6 == 0), "act").otherwise("contract").alias("kind")).select("document", "control", p["cnpj"].alias("cnpj"), T.purchase_seq(F.col("control")).alias("seq"), p["act_seq"].alias("act_seq"), T.document_url(F.col("control"), F.col("kind"), "https://example.org").alias("url"))
 
 
-@add("clean_scorer_output", "SELECT c_custkey AS k, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS category, CASE c_custkey % 5 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.6::DOUBLE WHEN 2 THEN 0.3::DOUBLE WHEN 3 THEN 0.75::DOUBLE END AS confidence, CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'error' END AS verdict, CASE WHEN c_custkey % 4 = 0 THEN 'error' ELSE 'machinery' END AS label, CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'because ' || c_name END AS reason FROM customer")
+@add("clean_scorer_output", "SELECT c_custkey AS k, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS category, CASE c_custkey % 5 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.6::DOUBLE WHEN 2 THEN 0.3::DOUBLE WHEN 3 THEN 0.75::DOUBLE END AS confidence, CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'error' END AS verdict, CASE WHEN c_custkey % 4 = 0 THEN 'error' ELSE 'machinery' END AS label, CASE WHEN c_custkey % 4 = 1 THEN 'Machinery.' WHEN c_custkey % 4 = 0 THEN 'OTHER| because ' || c_name ELSE 'because ' || c_name END AS reason FROM customer")
 def clean_scorer_output(spark, sf_dir):
     k = F.col("c_custkey")
     answer = F.when(k % 6 == 0, "no braces").otherwise(F.concat(F.lit("```json\n{\"category\": \""), "c_mktsegment", F.lit("\"}\n```")))

@@ -64,7 +64,7 @@ def test_text_forms(spark):
     h = lambda d, u: one(spark, T.text_hash, d, u)
     assert h("Munição", "UN") == h("municao", "un") != h("municao", "cx") and h("x", None) == h("x", " ") and len(h("a", "b")) == 40
     assert h("a|b", "c") == h("a", "b|c")
-    assert one(spark, T.tokenize_catalog, "Cabo de 9 mm") == ["cabo", "9mm"] and one(spark, T.tokenize_catalog, "de a") == ["de", "a"]
+    assert one(spark, T.tokenize_catalog, "Cabo de 9 mm") == ["cabo", "9mm"] and one(spark, T.tokenize_catalog, "de a") == ["de"]
     assert one(spark, T.parse_date, "31/02/2026") is None and str(one(spark, T.parse_date, "2026-01-10T00:00")) == "2026-01-10"
     assert one(spark, lambda c: T.format_money_br(c), 1.999, schema="c0 double") == "2,00"
     assert one(spark, lambda c: T.price_variants(c), 578538.24, schema="c0 double") == ["578538,24", "578.538,24"]
@@ -76,7 +76,10 @@ def test_control_numbers(spark):
     p = one(spark, T.parse_control_number, "01664910000131-2-000068/2026")
     assert (p.cnpj, p.seq, p.year, p.act_seq) == ("01664910000131", 68, 2026, None)
     assert one(spark, T.parse_control_number, "00000368000150-1-000009/2026-000001").act_seq == 1
-    assert one(spark, T.parse_control_number, "x") is None and one(spark, lambda c: T.document_url(c, "b"), "x") == ""
+    assert one(spark, T.parse_control_number, "x") is None and one(spark, lambda c: T.document_url(c, F.lit("contract"), "b"), "x") == ""
+    url = lambda c, k: one(spark, lambda c, k: T.document_url(c, k, "b"), c, k)
+    assert url("00000368000150-1-000009/2026-000001", "act") == "b/atas/00000368000150/2026/9/1"
+    assert url("00000368000150-1-000009/2026", "act") == "b/editais/00000368000150/2026/9"
 
 
 @pytest.mark.parametrize(("found", "qty", "price", "rq", "rp", "status", "gap"), [
@@ -211,6 +214,13 @@ def test_batch_score_isolates_failures(spark):
     assert got == {1: ("A", None), 2: (None, "RuntimeError: no"), 3: ("C", None)}
 
 
+def test_terms(spark):
+    df = spark.createDataFrame([(1, "Colete Balistico"), (2, "EQUIPAMENTO"), (3, "fuzil")], "k int, term string")
+    got = {(r.k, r.term) for r in K.expand_terms(df, K.variant_groups(spark), K.generic_terms(spark), "k", "term").collect()}
+    assert {k for k, _ in got} == {1, 3} and (1, "colete antibala") in got and (1, "colete à prova de tiro") in got and (3, "fuzil") in got
+    assert one(spark, T.category_of_group, "MUNIÇÕES E EXPLOSIVOS") == "municao" and one(spark, T.category_of_group, "x") is None
+
+
 def test_run_diff_takes_the_last_row(spark):
     a = spark.createDataFrame([(1, 10.0, 1), (1, 20.0, 2), (2, 5.0, 1)], "k int, p double, o int")
     b = spark.createDataFrame([(1, 20.0, 1), (3, 7.0, 1)], "k int, p double, o int")
