@@ -25,7 +25,7 @@ from tenderspark.llm.common import as_bytes, bounded_batches
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 CHUNK_BITS = 10  # chunks of about 1 KiB
-CHUNK_MEMORY, WORD_MEMORY = 4_000, 250_000  # entries of each generation
+CHUNK_MEMORY, WORD_MEMORY = 4_000, 150_000  # entries of each generation
 LONG_WORD = 4_096  # longer runs without white space are encoded but not kept
 
 
