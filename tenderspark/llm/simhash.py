@@ -14,13 +14,16 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderspark.llm.common import as_bytes, bounded_batches, written
+from tenderspark.llm.common import as_bytes, bounded_batches, mix, written
 from tenderspark.llm.components import connected_components
 
 BITS = 64
+WORDS = 5  # of a shingle, where Jaccard similarity counts
+BANDS, ROWS = 24, 4
+_FACTORS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SMALL = 48  # buckets up to this size are compared together, by lags; larger ones one at a time
 
 
@@ -31,11 +34,11 @@ def covering_masks(radius: int, bits: int = BITS) -> list[int]:
     return [sum(1 << i for i in range(bits) if (owner[i] & v).bit_count() % 2) for v in range(1, top)]
 
 
-def fingerprint(raw: bytes | None, shingle: int) -> int:
-    """The SimHash of the ``shingle``-word shingles of a UTF-8 text, A-Z lower-cased; no word gives zero."""
+def shingle_hashes(raw: bytes | None, shingle: int) -> np.ndarray:
+    """XXH64 of every run of ``shingle`` words of a UTF-8 text, A-Z lower-cased; a shorter text is one run."""
     words = (raw or b"").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     norm = b" ".join(words)
     if len(words) <= shingle:
         grams = [norm]
@@ -43,7 +46,12 @@ def fingerprint(raw: bytes | None, shingle: int) -> int:
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) + np.arange(len(words))
         starts = np.concatenate(([0], ends[:-1] + 1))
         grams = [norm[s:e] for s, e in zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist(), strict=True)]
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), grams), "<u8", len(grams))
+    return np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), grams), "<u8", len(grams))
+
+
+def fingerprint(raw: bytes | None, shingle: int) -> int:
+    """The SimHash of the ``shingle``-word shingles of a UTF-8 text, A-Z lower-cased; no word gives zero."""
+    h = shingle_hashes(raw, shingle)
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(h), 1 << 15):
         ones += np.unpackbits(h[i : i + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -166,8 +174,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def row_text(text_col: str) -> Column:
+    """Names a text; null and empty ones are the same."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
-    """``docs`` with one row for each component, that of the smallest id; all columns kept. Rows with a null id stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle, radius)
-    others = found.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(others, docs[id_col] == F.col("_dropped"), "left_anti")
+    """``docs`` with one row for each component, that of the smallest id; all columns kept.
+
+    Components are those of ``near_duplicates``. Rows are told apart by id and text: of rows equal in both one stays, of rows with one id only those of
+    the component that has no smaller id. Of the rows with a null id one stays for each component, besides the
+    smallest id.
+    """
+    id_ = F.col(id_col).cast("long")
+    rows = written(sketches(docs, id_col, text_col, shingle, False), "sketches")
+    fps = rows.groupBy("fp").agg(F.min("th").alias("rep"))
+    nodes = written(fps, "nodes")
+    comp = connected_components(fingerprint_links(nodes.select("fp", F.col("fp").alias("rep")), radius))
+    grouped = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    counts = rows.groupBy("doc_id", "th", "fp").agg(F.count(F.lit(1)).alias("n")).join(grouped, "fp")
+    best = counts.groupBy("component", F.col("doc_id").isNull()).agg(F.min(F.struct("doc_id", "th", "n")).alias("w"))
+    best = written(best.select(F.col("w.doc_id").alias("_id"), F.col("w.th").alias("_th"), F.col("w.n").alias("_n")), "kept-rows")
+    of = lambda kept: docs.join(kept, id_.eqNullSafe(F.col("_id")) & (row_text(text_col) == F.col("_th")))
+    again = of(best.where("_n > 1")).groupBy("_id", "_th").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
+    return of(best.where("_n = 1")).select(*docs.columns).union(again.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
+
+
+def band_keys(h: np.ndarray) -> np.ndarray:
+    """One key for each band of ``ROWS`` MinHash values; sets of similarity j share a given one with chance j**ROWS."""
+    low = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(h), 2048):
+        np.minimum(low, (h[i : i + 2048, None] * _FACTORS).min(axis=0), out=low)
+    key = np.zeros(BANDS, np.uint64)
+    for column in low.reshape(BANDS, ROWS).T:
+        key = mix(key + column)
+    return key
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: bool) -> DataFrame:
+    """(doc_id, th, fp, n, bands) of every row: text hash, fingerprint, and of the distinct shingles of ``WORDS`` words
+    their number and band keys (none if not asked for, or without words)."""
+    bounded_batches(docs.sparkSession)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raws = [t.as_py() for t in b.column(2)]
+            fps = np.fromiter((fingerprint(t, shingle) for t in raws), np.uint64, b.num_rows)
+            sets = [np.unique(shingle_hashes(t, WORDS)) if bands else np.zeros(0, np.uint64) for t in raws]
+            keys = pa.array([band_keys(h).view(np.int64) if len(h) else [] for h in sets], pa.list_(pa.int64()))
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(fps.view(np.int64)), pa.array(list(map(len, sets)), pa.int64()), keys], names=["doc_id", "th", "fp", "n", "bands"])
+
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_text(text_col).alias("th"), as_bytes(text_col))
+    return given.mapInArrow(rows, "doc_id long, th long, fp long, n long, bands array<long>")

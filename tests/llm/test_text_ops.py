@@ -252,3 +252,10 @@ def test_copies_take_one_component(spark):
     rows = [(i, "one two three four five six seven", "en") for i in range(9, 400)] + [(5, None, "en"), (6, "", "en")]
     got = simhash.near_duplicates(make_docs(spark, rows)).groupBy("component_id").agg(F.count("*").alias("n")).collect()
     assert {(r.component_id, r.n) for r in got} == {(9, 391), (5, 2)}
+
+
+def test_keep_one_tells_rows_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "en"), (1, a, "en"), (2, a, "en"), (2, b, "en"), (None, c, "en"), (None, c, "en"), (3, " ".join(f"d{i}" for i in range(60)), None)]
+    got = simhash.keep_one(make_docs(spark, rows)).collect()
+    assert sorted([(r.doc_id, r.text) for r in got], key=repr) == sorted({(i, t) for i, t, _ in rows} - {(2, a)}, key=repr)
