@@ -21,8 +21,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each component of fingerprints."""
-    return simhash.keep_one(docs)
+    """Keeps the smallest doc_id of each component of fingerprints and of texts of Jaccard similarity 0.8 or more."""
+    return simhash.keep_one(docs, similarity=0.8)
 
 
 def contamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

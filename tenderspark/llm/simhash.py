@@ -9,7 +9,7 @@ and both fingerprints of the pair share table v's key (Pagh 2016).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -179,19 +179,26 @@ def row_text(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, similarity: float | None = None) -> DataFrame:
     """``docs`` with one row for each component, that of the smallest id; all columns kept.
 
-    Components are those of ``near_duplicates``. Rows are told apart by id and text: of rows equal in both one stays, of rows with one id only those of
+    Components are those of ``near_duplicates``, joined by every pair that ``similar_links`` finds if ``similarity`` is
+    given. Rows are told apart by id and text: of rows equal in both one stays, of rows with one id only those of
     the component that has no smaller id. Of the rows with a null id one stays for each component, besides the
     smallest id.
     """
     id_ = F.col(id_col).cast("long")
-    rows = written(sketches(docs, id_col, text_col, shingle, False), "sketches")
+    rows = written(sketches(docs, id_col, text_col, shingle, similarity is not None), "sketches")
     fps = rows.groupBy("fp").agg(F.min("th").alias("rep"))
     nodes = written(fps, "nodes")
     comp = connected_components(fingerprint_links(nodes.select("fp", F.col("fp").alias("rep")), radius))
     grouped = nodes.join(comp, nodes.fp == comp.node, "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    if similarity is not None:
+        texts = rows.groupBy("th", "fp").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
+        known = written(texts.join(grouped, "fp").select("th", "n", "bands", F.col("component").alias("part")), "parts")
+        links = similar_links(known, docs.select(row_text(text_col).alias("th"), as_bytes(text_col)), similarity)
+        grown = connected_components(links)
+        grouped = grouped.join(grown, grouped.component == grown.node, "left").select("fp", F.coalesce(grown.component, grouped.component).alias("component"))
     counts = rows.groupBy("doc_id", "th", "fp").agg(F.count(F.lit(1)).alias("n")).join(grouped, "fp")
     best = counts.groupBy("component", F.col("doc_id").isNull()).agg(F.min(F.struct("doc_id", "th", "n")).alias("w"))
     best = written(best.select(F.col("w.doc_id").alias("_id"), F.col("w.th").alias("_th"), F.col("w.n").alias("_n")), "kept-rows")
@@ -226,3 +233,46 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: b
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_text(text_col).alias("th"), as_bytes(text_col))
     return given.mapInArrow(rows, "doc_id long, th long, fp long, n long, bands array<long>")
+
+
+def truly_similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Of ``pairs`` (a, b, pa, pb; texts are named by th) the (pa, pb) whose shingle sets have that Jaccard similarity."""
+    name, kind = texts.columns[1], "pa long, pb long"
+    both = pairs.join(texts.select(F.col("th").alias("b"), F.col(name).alias("tb")), "b").join(texts.select(F.col("th").alias("a"), F.col(name).alias("ta")), "a")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles = lru_cache(64)(lambda raw: np.unique(shingle_hashes(raw, WORDS)))
+        for batch in batches:
+            near = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = shingles(x.as_py()), shingles(y.as_py())
+                same = len(np.intersect1d(x, y, assume_unique=True))
+                near.append(same >= similarity * (len(x) + len(y) - same) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["pa", "pb"]).filter(pa.array(near, pa.bool_()))
+
+    return both.select("pa", "pb", "ta", "tb").mapInArrow(found, kind).distinct()
+
+
+def similar_links(known: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``known`` (th, n, bands, part) and ``texts`` (th, text) -> links (a, b) between parts that hold a pair of texts of
+    that Jaccard similarity or more on shingles of ``WORDS`` words.
+
+    Candidates share a band: at 0.8 a pair shares none with chance (1 - 0.8**4)**24 = 3.2e-6. Each is verified on the
+    whole texts. First every member of a bucket is compared with one, so dense groups become one part; then all pairs
+    that are still in different parts are. No bucket is cut, however large.
+    """
+    members = known.select("th", "n", "part", F.posexplode("bands").alias("t", "k"))
+    mixed = members.groupBy("t", "k").agg(F.min(F.struct("th", "n", "part")).alias("head"), F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("t", "k", "head")
+    members = written(members.join(mixed, ["t", "k"]), "bands")
+    asked = members.select("th").distinct()
+    texts = written(texts.join(asked, "th", "left_semi").dropDuplicates(["th"]), "band-texts")
+    fits = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9
+    stars = members.where((F.col("head.part") != F.col("part")) & fits(F.col("head.n"), F.col("n"))).select(F.col("th").alias("a"), F.col("head.th").alias("b"), F.col("part").alias("pa"), F.col("head.part").alias("pb")).distinct()
+    first = written(truly_similar(stars, texts, similarity).toDF("a", "b"), "similar")
+    grown = connected_components(first)
+    left = members.join(grown, members.part == grown.node, "left").select("t", "k", "th", "n", "part", F.coalesce("component", "part").alias("now"))
+    mixed = left.groupBy("t", "k").agg(F.min("now").alias("p"), F.max("now").alias("q")).where("p != q").select("t", "k")
+    left = written(left.join(mixed, ["t", "k"]), "bands-left")
+    other = left.select("t", "k", F.col("th").alias("b"), F.col("n").alias("m"), F.col("part").alias("pb"), F.col("now").alias("then"))
+    pairs = left.join(other, ["t", "k"]).where((F.col("now") < F.col("then")) & fits(F.col("n"), F.col("m"))).select(F.col("th").alias("a"), "b", F.col("part").alias("pa"), "pb").distinct()
+    return first.union(truly_similar(pairs, texts, similarity).toDF("a", "b"))

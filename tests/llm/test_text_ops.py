@@ -259,3 +259,22 @@ def test_keep_one_tells_rows_apart(spark):
     rows = [(1, a, "en"), (1, a, "en"), (2, a, "en"), (2, b, "en"), (None, c, "en"), (None, c, "en"), (3, " ".join(f"d{i}" for i in range(60)), None)]
     got = simhash.keep_one(make_docs(spark, rows)).collect()
     assert sorted([(r.doc_id, r.text) for r in got], key=repr) == sorted({(i, t) for i, t, _ in rows} - {(2, a)}, key=repr)
+
+
+def test_keep_one_finds_all_pairs_of_similarity(spark):
+    rng = random.Random(6)
+    rows = []
+    for base in range(0, 120, 4):
+        words = [f"w{rng.randint(0, 9999)}" for _ in range(200)]
+        for k in range(4):
+            changed = [*words]
+            at = rng.randint(0, 150)
+            changed[at : at + 9 * k] = [f"x{rng.randint(0, 9999)}" for _ in range(9 * k)]
+            rows.append((base + k + 1, " ".join(changed), "en"))
+    sets = [{tuple(t.split()[p : p + 5]) for p in range(len(t.split()) - 4)} for _, t, _ in rows]
+    fps = [brute_fingerprint(t, 4) for _, t, _ in rows]
+    near = lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4 or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    root = brute_components(range(len(rows)), near)
+    got = simhash.keep_one(make_docs(spark, rows), similarity=0.8)
+    assert {r.doc_id for r in got.collect()} == {rows[i][0] for i in set(root.values())}
+    assert simhash.keep_one(make_docs(spark, rows)).count() > len(set(root.values()))
