@@ -44,7 +44,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"), starts=True)  # the distance that OP8_SQL states
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"))
 

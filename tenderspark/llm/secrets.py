@@ -79,18 +79,21 @@ def base_and_weak(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return given.select("doc_id", "key", in_order(spans(BASE)).alias("base"), spans(WEAK).alias("weak"))
 
 
-def linked_parts(rows: DataFrame, scope: int = SCOPE) -> DataFrame:
+def linked_parts(rows: DataFrame, scope: int = SCOPE, starts: bool = False) -> DataFrame:
     """(key, linked spans): the weak spans that others of the same text complete.
 
-    An equi-join on text and scope bin with a distance condition: each weak span meets the parts that start within
-    ``scope`` code points of its start. A bin holds at most ``scope`` starts of each kind, so no text makes more pairs
-    than that for each span.
+    An equi-join on text and scope bin with a distance condition: each weak span meets the parts of which at most
+    ``scope`` code points part it, whatever the lengths. A part lies in the bins of its start and of its end, a weak span
+    looks into those around both its ends. A bin holds at most ``scope`` starts and ends of each kind, so no text makes
+    more pairs than that for each span. ``starts`` takes the distance of the starts instead, which misses what follows
+    a part longer than ``scope``.
     """
     parts = rows.where(F.size("weak") > 0).select("key", F.explode(F.concat("base", "weak")).alias("s")).select("key", "s.*").distinct()
-    at = (F.col("start") / scope).cast("int")
-    near = parts.select("key", at.alias("bin"), F.col("kind").alias("kind2"), F.col("start").alias("start2"), F.col("end").alias("end2"))
-    weak = parts.where(F.col("kind") >= len(BASE)).withColumn("bin", F.explode(F.array(at - 1, at, at + 1)))
-    other = (F.abs(F.col("start2") - F.col("start")) <= scope) & ((F.col("end2") <= F.col("start")) | (F.col("start2") >= F.col("end")))
+    first, last = (F.floor(F.col(c) / scope).cast("int") for c in ("start", "end"))
+    near = parts.select("key", F.explode(F.array_distinct(F.array(first, last))).alias("bin"), F.col("kind").alias("kind2"), F.col("start").alias("start2"), F.col("end").alias("end2"))
+    weak = parts.where(F.col("kind") >= len(BASE)).withColumn("bin", F.explode(F.array_distinct(F.array(first - 1, first, last, last + 1))))
+    other = (F.col("start") - F.col("end2")).between(0, scope) | (F.col("start2") - F.col("end")).between(0, scope)
+    other = other & (F.abs(F.col("start2") - F.col("start")) <= scope) if starts else other
     has = lambda role, strong: F.max(F.col("kind2").isin([i for i, k in enumerate(KINDS) if _ROLE[k] == role and (i < len(BASE)) == strong])).alias(f"{role}_{strong}")
     met = weak.join(near, ["key", "bin"]).where(other).groupBy("key", "kind", "start", "end").agg(has("id", True), has("id", False), has("secret", True), has("secret", False), has("endpoint", False))
     role = lambda r: F.col("kind").isin([i for i, k in enumerate(KINDS) if _ROLE[k] == r])
@@ -102,14 +105,14 @@ def linked_parts(rows: DataFrame, scope: int = SCOPE) -> DataFrame:
     return met.where(good).groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).cast(SPANS).alias("linked"))
 
 
-def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, starts: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, base and spans (arrays of kind, start, end; base is part of spans).
 
     Null and empty texts have no spans; repeated rows each get theirs; a null id is kept. Only the two named columns
     are read. Positions are code points, ends exclusive.
     """
     rows = written(base_and_weak(docs, id_col, text_col), "secret-parts")
-    both = rows.join(linked_parts(rows, scope), "key", "left")
+    both = rows.join(linked_parts(rows, scope, starts), "key", "left")
     return both.select("doc_id", "base", in_order(F.concat("base", F.coalesce("linked", F.array().cast(SPANS)))).alias("spans"))
 
 

@@ -183,3 +183,10 @@ def test_pipeline_against_plain_stages(spark, tmp_path, corpus):
     got = {r.doc_id: (r.n_tokens, r.ids) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert got == want and bad and len(want) > 20
     assert len(list(itertools.chain(corpus_pipeline.STAGES))) == 5
+
+
+def test_parts_are_linked_by_the_gap_between_them(spark):
+    key = "aB3" + "xY9" * 100
+    rows = [(1, f"access {'AKIA' + 'A' * 300} x\n{key}", "en"), (2, f"{key}\nAKIA{'B' * 16}", "en"), (3, f"{key}{' ' * 201}AKIA{'B' * 16}", "en"), (4, f"{key}{' ' * 200}AKIA{'B' * 16}", "en"), (5, f"https://h.example.com/{'p' * 500}\nuser=somebody password=supersecret1", "en")]
+    got = {r.doc_id: [secrets.KINDS[s.kind] for s in r.spans if s.kind >= 3] for r in secrets.secret_spans(make_docs(spark, rows)).collect()}
+    assert "random" in got[1] and "random" in got[2] and got[3] == [] and got[4] == ["random"] and {"endpoint", "user"} <= set(got[5])
