@@ -8,57 +8,54 @@ identifier, secret and endpoint must all be there.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderspark.llm.common import written
 
 SCOPE = 200
-# The base patterns of the contract, then the weak parts.
+# The base patterns of the contract, then the weak parts. Whatever a weak pattern repeats before its decisive
+# character is bounded (a mail's local part by 64 characters, its domain by 10 labels of 63), so a long run without that
+# character costs no more than its length.
 ASSIGN = r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 BASE = {"assign": (ASSIGN, 2, 8), "access": (r"AKIA[A-Z0-9]{12,}", 0, 16), "hex": (r"[0-9a-f]{32,}", 0, 32)}
 WEAK = {
     "user": r"(?i:user|username|login|client_id|account)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@-]{3,}",
-    "mail": r"[A-Za-z0-9._+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "mail": r"[A-Za-z0-9._+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,10}",
     "endpoint": r"https?://[^\x00-\x20\"'<>]+|[0-9]{1,3}(?:\.[0-9]{1,3}){3}",
     "random": r"[A-Za-z0-9+/]{20,}",
 }
 KINDS = [*BASE, *WEAK]
+# Characters that every match of a kind holds; a text without them is not searched for that kind.
+NEEDS = {"assign": "[:=]", "access": "AKIA", "user": "[:=]", "mail": "@", "endpoint": "[0-9][.][0-9]|://", "random": "[0-9][A-Za-z+/]|[A-Za-z+/][0-9]"}
 _ROLE = {"assign": "secret", "hex": "secret", "random": "secret", "access": "id", "user": "id", "mail": "id", "endpoint": "endpoint"}
-_BLOCK = 512
 SPANS = "array<struct<kind:int,start:int,end:int>>"
 
 
-def running_sums(a: Column) -> Column:
-    """For each element the sum of those before it. Blocks of ``_BLOCK`` keep the work linear in very long arrays."""
-    blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(a) - 1) / _BLOCK)).cast("int"))
-    part = lambda b: F.slice(a, b * _BLOCK + 1, _BLOCK)
-    total = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + v)
-    step = lambda s, v: F.struct((s["at"] + v).alias("at"), F.array_append(s["out"], s["at"]).alias("out"))
-    walk = lambda x, start: F.aggregate(x, F.struct(start.alias("at"), F.array().cast("array<int>").alias("out")), step)
-    starts = walk(F.transform(blocks, lambda b: total(part(b))), F.lit(0))["out"]
-    return F.flatten(F.transform(blocks, lambda b: walk(part(b), F.element_at(starts, b + 1))["out"]))
-
-
-def pattern_spans(text: Column, kind: str) -> Column:
-    """The spans of ``kind`` in ``text``: leftmost, non-overlapping matches, in code points; failing ones dropped."""
-    regex, group, least = BASE.get(kind, (WEAK.get(kind), 0, 1))
-    whole = F.transform(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), lambda m: F.length(m))
-    value = F.regexp_extract_all(text, F.lit(regex), F.lit(group))
-    good = F.transform(value, lambda v: F.length(v) >= least)
-    if kind == "random":
-        good = F.transform(value, lambda v: v.rlike("[a-z]") & v.rlike("[A-Z]") & v.rlike("[0-9]"))
+def matches(text: Column, kind: str) -> Column:
+    """struct(kind, m, g): the leftmost, non-overlapping matches of ``kind`` in ``text`` and the lengths of what lies before
+    each and after the last; null arrays where there is none.
+
+    A text without what ``NEEDS`` names, or without a match, is passed over once; in others one pass gives the matches and
+    one the gaps."""
+    regex = BASE[kind][0] if kind in BASE else WEAK[kind]
+    held = text.rlike(NEEDS[kind]) & text.rlike(regex) if kind in NEEDS else text.rlike(regex)
     gaps = F.transform(F.split(text, regex, -1), lambda p: F.length(p))
-    rows = F.zip_with(F.slice(gaps, 1, F.size(whole)), F.arrays_zip(whole.alias("n"), good.alias("ok")), lambda g, m: F.struct(g.alias("g"), m["n"].alias("n"), m["ok"].alias("ok")))
-    before = running_sums(F.transform(rows, lambda r: r["g"] + r["n"]))
-    spans = F.zip_with(rows, before, lambda r, b: F.struct(F.lit(KINDS.index(kind)).alias("kind"), (b + r["g"]).alias("start"), (b + r["g"] + r["n"]).alias("end"), r["ok"].alias("ok")))
-    kept = F.transform(F.filter(spans, lambda s: s["ok"]), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return F.when(text.rlike(regex), kept).otherwise(F.array()).cast(SPANS)
+    return F.struct(F.lit(KINDS.index(kind)).alias("kind"), F.when(held, F.regexp_extract_all(text, F.lit(regex), F.lit(0))).alias("m"), F.when(held, gaps).alias("g"))
+
+
+def good_match(kind: Column, m: Column) -> Column:
+    """Whether the value that decides, taken from the match alone, is long or mixed enough for its kind."""
+    out = F.lit(True)
+    for k, (regex, group, least) in BASE.items():
+        value = F.regexp_extract(m, regex, group) if group else m
+        out = F.when(kind == KINDS.index(k), F.length(value) >= least).otherwise(out)
+    return F.when(kind == KINDS.index("random"), m.rlike("[a-z]") & m.rlike("[A-Z]") & m.rlike("[0-9]")).otherwise(out)
 
 
 def in_order(spans: Column) -> Column:
-    """By start, then kind as listed."""
-    return F.transform(F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    """Structs of start, kind, end by start, then kind as listed; as structs of kind, start, end."""
+    return F.transform(F.array_sort(spans), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
 def span_text(spans: Column) -> Column:
@@ -71,16 +68,27 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
 
 
-def base_and_weak(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, key, base spans, weak spans) of every row."""
+def found_matches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, key, found) of every row, written: ``found`` has one entry for each kind that the text holds. One narrow pass
+    over the texts; what is left of them are the matches."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col).alias("key"), text.alias("text"))
-    spans = lambda kinds: F.concat(*[pattern_spans(F.col("text"), k) for k in kinds])
-    return given.select("doc_id", "key", in_order(spans(BASE)).alias("base"), spans(WEAK).alias("weak"))
+    found = F.filter(F.array(*[matches(F.col("text"), k) for k in KINDS]), lambda x: x["m"].isNotNull())
+    return written(given.select("doc_id", "key", found.alias("found")), "secret-matches")
+
 
+def match_spans(rows: DataFrame) -> DataFrame:
+    """(key, kind, start, end) of every match that passes, once for each text: positions are running sums over the matches
+    of a text and kind, in code points. Rows equal in id and text give their matches once."""
+    one = rows.select("key", F.explode("found").alias("x")).groupBy("key", "x.kind").agg(F.any_value("x.m").alias("m"), F.any_value("x.g").alias("g"))
+    each = one.select("key", "kind", "g", F.posexplode("m").alias("at", "m")).withColumn("g", F.get("g", F.col("at")))
+    before = Window.partitionBy("key", "kind").orderBy("at")
+    placed = each.withColumn("end", F.sum(F.col("g") + F.length("m")).over(before.rowsBetween(Window.unboundedPreceding, 0)).cast("int"))
+    return placed.where(good_match(F.col("kind"), F.col("m"))).select("key", "kind", (F.col("end") - F.length("m")).alias("start"), "end")
 
-def linked_parts(rows: DataFrame, scope: int = SCOPE, starts: bool = False) -> DataFrame:
-    """(key, linked spans): the weak spans that others of the same text complete.
+
+def linked_parts(parts: DataFrame, scope: int = SCOPE, starts: bool = False) -> DataFrame:
+    """(key, kind, start, end) of the weak spans of ``parts`` that others of the same text complete.
 
     An equi-join on text and scope bin with a distance condition: each weak span meets the parts of which at most
     ``scope`` code points part it, whatever the lengths. A part lies in the bins of its start and of its end, a weak span
@@ -88,12 +96,12 @@ def linked_parts(rows: DataFrame, scope: int = SCOPE, starts: bool = False) -> D
     more pairs than that for each span. ``starts`` takes the distance of the starts instead, which misses what follows
     a part longer than ``scope``.
     """
-    parts = rows.where(F.size("weak") > 0).select("key", F.explode(F.concat("base", "weak")).alias("s")).select("key", "s.*").distinct()
     first, last = (F.floor(F.col(c) / scope).cast("int") for c in ("start", "end"))
     near = parts.select("key", F.explode(F.array_distinct(F.array(first, last))).alias("bin"), F.col("kind").alias("kind2"), F.col("start").alias("start2"), F.col("end").alias("end2"))
     weak = parts.where(F.col("kind") >= len(BASE)).withColumn("bin", F.explode(F.array_distinct(F.array(first - 1, first, last, last + 1))))
     other = (F.col("start") - F.col("end2")).between(0, scope) | (F.col("start2") - F.col("end")).between(0, scope)
-    other = other & (F.abs(F.col("start2") - F.col("start")) <= scope) if starts else other
+    if starts:
+        other = ((F.col("end2") <= F.col("start")) | (F.col("end") <= F.col("start2"))) & (F.abs(F.col("start2") - F.col("start")) <= scope)
     has = lambda role, strong: F.max(F.col("kind2").isin([i for i, k in enumerate(KINDS) if _ROLE[k] == role and (i < len(BASE)) == strong])).alias(f"{role}_{strong}")
     met = weak.join(near, ["key", "bin"]).where(other).groupBy("key", "kind", "start", "end").agg(has("id", True), has("id", False), has("secret", True), has("secret", False), has("endpoint", False))
     role = lambda r: F.col("kind").isin([i for i, k in enumerate(KINDS) if _ROLE[k] == r])
@@ -102,26 +110,34 @@ def linked_parts(rows: DataFrame, scope: int = SCOPE, starts: bool = False) -> D
         | (role("secret") & (F.col("id_true") | F.col("id_false") & F.col("endpoint_false")))
         | (role("endpoint") & (F.col("id_true") & (F.col("secret_true") | F.col("secret_false")) | F.col("id_false") & F.col("secret_true")))
     )
-    return met.where(good).groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).cast(SPANS).alias("linked"))
+    return met.where(good).select("key", "kind", "start", "end")
+
+
+def reported(rows: DataFrame, scope: int, starts: bool) -> DataFrame:
+    """(key, base, spans) of the texts that have any: arrays by start, then kind as listed."""
+    parts = written(match_spans(rows), "secret-parts")
+    base = parts.where(F.col("kind") < len(BASE)).withColumn("is_base", F.lit(True))
+    both = base.union(linked_parts(parts, scope, starts).withColumn("is_base", F.lit(False)))
+    span = F.struct("start", "kind", "end")
+    return both.groupBy("key").agg(in_order(F.collect_list(F.when(F.col("is_base"), span))).alias("base"), in_order(F.collect_list(span)).alias("spans"))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, starts: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, base and spans (arrays of kind, start, end; base is part of spans).
 
     Null and empty texts have no spans; repeated rows each get theirs; a null id is kept. Only the two named columns
-    are read. Positions are code points, ends exclusive.
+    are read, so others may have any name. Positions are code points, ends exclusive. A text of any length is searched
+    whole, in time in proportion to its length.
     """
-    rows = written(base_and_weak(docs, id_col, text_col), "secret-parts")
-    both = rows.join(linked_parts(rows, scope, starts), "key", "left")
-    return both.select("doc_id", "base", in_order(F.concat("base", F.coalesce("linked", F.array().cast(SPANS)))).alias("spans"))
+    rows = found_matches(docs, id_col, text_col)
+    none = F.array().cast(SPANS)
+    return rows.join(reported(rows, scope, starts), "key", "left").select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every reported span of ``text_col`` replaced by its kind in brackets; overlapping spans become
     one, named by the first. All rows and columns stay; a text without spans, null ones too, is unchanged."""
-    rows = written(base_and_weak(docs, id_col, text_col), "secret-parts")
-    linked = linked_parts(rows, scope)
-    marked = rows.join(linked, "key", "left").select(F.col("key").alias("_key"), in_order(F.concat("base", F.coalesce("linked", F.array().cast(SPANS)))).alias("_spans")).where(F.size("_spans") > 0).dropDuplicates(["_key"])
+    marked = reported(found_matches(docs, id_col, text_col), scope, False).select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
     joined = docs.select(F.struct("*").alias("_row"), row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("_text")).join(marked, "_key", "left")
     grown = lambda out, s: F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["kind"].alias("kind"), F.element_at(out, -1)["start"].alias("start"), F.greatest(F.element_at(out, -1)["end"], s["end"]).alias("end"))))
     merged = F.aggregate("_spans", F.array().cast(SPANS), lambda out, s: F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] > s["start"]), grown(out, s)).otherwise(F.array_append(out, s)))

@@ -1,9 +1,14 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained and run in numpy.
 
-A word enters as a hashed word vector beside the mean of the hashed vectors of its character trigrams. All overlapping
-windows of ``T`` words (``STRIDE`` apart, the last one at the end) are scored; a document's score is its highest
-window's. Labels mark documents, so training first takes every window of a toxic document as toxic and then, as a
-multiple-instance model, only its highest scoring one.
+A word enters as a hashed word vector beside the mean of the hashed vectors of its character trigrams. Overlapping
+windows of ``T`` words cover every word of a text: one starts every ``STRIDE`` words, the last one ends with the text. A
+document's score is its highest window's. A smaller ``stride`` costs in proportion and only adds windows. Labels mark
+documents, so training first takes every window of a toxic document as toxic and then, as a multiple-instance model,
+only its highest scoring ones.
+
+Learning is bounded by rows, not by the size of a text: at most ``SAMPLE_PER_LABEL`` labelled rows of each label, one text
+for an id, and of a text at most ``PIECES`` pieces of ``PIECE_WORDS`` words, dealt by a hash (a text of up to
+``PIECES * PIECE_WORDS`` words is learned whole). Scoring reads every word of every text.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ T, STRIDE = 32, 16
 H, E, A = 8, 8, 8
 WORD_ROWS, CHAR_ROWS = 1 << 16, 1 << 12
 SAMPLE_PER_LABEL, WINDOWS_PER_EPOCH = 700, 10_000
-LONGEST_LEARNED = 200_000  # bytes; longer labelled texts are scored, but not gathered to learn from
+PIECES, PIECE_WORDS, WORD_BYTES = 8, 256, 256  # of a learned text; longer words are left out of the pieces
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else (b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20) for b in range(256))
 
 
@@ -30,7 +35,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Corpus:
-    """The words of some texts, runs of one word as one: rows of the word table, and the character trigram rows of each distinct word."""
+    """The words of some texts: rows of the word table, and the character trigram rows of each distinct word."""
 
     def __init__(self, texts: list[bytes]) -> None:
         joined = b"\n".join(t.translate(_FOLD) for t in texts) + b"\n"
@@ -38,9 +43,6 @@ class Corpus:
         starts, ends = word_spans(raw)
         borders = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts])))
         h = word_hashes(raw, starts, ends)
-        fresh = np.ones(len(h), bool)  # a word that repeats the one before it says nothing new
-        fresh[1:] = (h[1:] != h[:-1]) | (np.searchsorted(borders, starts[1:], side="right") != np.searchsorted(borders, starts[:-1], side="right"))
-        h, starts, ends = h[fresh], starts[fresh], ends[fresh]
         self.first = np.searchsorted(starts, borders)  # of each text, and the end
         _, sample, self.word = np.unique(h, return_index=True, return_inverse=True)
         self.row = (h[sample] % np.uint64(WORD_ROWS)).astype(np.int64)
@@ -55,12 +57,12 @@ class Corpus:
         self.tri = ((tri.astype(np.uint32) * np.uint32(2654435761)) >> np.uint32(20)).astype(np.int64)
         self.n_tri = np.maximum(n, 1)
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def windows(self, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, first word, number of words) of every window; a text without words has none."""
         text, first, size = [], [], []
         for i, (a, b) in enumerate(zip(self.first[:-1].tolist(), self.first[1:].tolist(), strict=True)):
             if b > a:
-                at = list(range(a, max(a, b - T) + 1, STRIDE))
+                at = list(range(a, max(a, b - T) + 1, stride))
                 if at[-1] + T < b:
                     at.append(b - T)
                 text += [i] * len(at)
@@ -217,10 +219,10 @@ class Network:
             out[w] = self.forward(x, *placed(c, first[w], size[w]))
         return out
 
-    def score_texts(self, texts: list[bytes]) -> np.ndarray:
+    def score_texts(self, texts: list[bytes], stride: int = STRIDE) -> np.ndarray:
         """The probability of each text: of its highest window; of the bias alone where it has no words."""
         c = Corpus(texts)
-        text, first, size = c.windows()
+        text, first, size = c.windows(stride)
         best = np.full(len(texts), -np.inf)
         np.maximum.at(best, text, self.score_windows(c, first, size))
         best = np.where(np.isinf(best), self.p["bias"][0] - 2.0, best)
@@ -258,32 +260,34 @@ class Optimiser:
                 self.net.p[k] -= self.rate * (m / (1 - 0.9**self.n)) / (np.sqrt(v / (1 - 0.99**self.n)) + 1e-6)
 
 
-def trained(texts: list[bytes], toxic: np.ndarray, epochs: int = 4, batch: int = 256, rate: float = 0.02, seed: int = 5) -> Network:
-    """A network from labelled texts; with labels of one kind only, its bias says that kind.
+def trained(texts: list[list[bytes]], toxic: np.ndarray, epochs: int = 6, batch: int = 256, rate: float = 0.02, seed: int = 5, per_epoch: int = WINDOWS_PER_EPOCH) -> Network:
+    """A network from labelled texts, each a list of pieces; with labels of one kind only, its bias says that kind.
 
-    Every fourth text is kept from the fit and places the cut that a score of one half stands for."""
+    Every fourth text is kept from the fit; on those the best epoch's parameters are chosen and the cut is placed that a
+    score of one half stands for. An epoch fits at most ``per_epoch`` windows, half of each label."""
     net = Network()
     if not len(texts) or toxic.min() == toxic.max():
         net.p["out"][:] = 0
         net.p["bias"][0] = 3.0 if len(texts) and toxic.max() == 1 else -3.0
         return net
-    rng, opt, c = np.random.default_rng(seed), Optimiser(net), Corpus(texts)
-    text, first, size = c.windows()
+    rng, opt, c = np.random.default_rng(seed), Optimiser(net), Corpus([p for t in texts for p in t])
+    of = np.repeat(np.arange(len(texts)), list(map(len, texts)))
+    piece, first, size = c.windows()
+    text = of[piece]
     y = toxic[text].astype(np.float32)
-    net.learn_words(c, np.repeat(np.arange(len(texts)), np.diff(c.first)))
+    net.learn_words(c, np.repeat(of, np.diff(c.first)))
     tried = np.zeros(len(texts), bool)
     for kind in (0, 1):
         tried[np.flatnonzero(toxic == kind)[3::4]] = True
-    fit = ~tried[text]
+    fit, best = ~tried[text], None
     for epoch in range(epochs):
         use = np.flatnonzero(fit)
         if epoch >= 2:  # of a toxic text the windows that score highest, of the others all
-            s = net.score_windows(c, first, size)
-            top = np.full(len(texts), -np.inf)
+            s, top = net.score_windows(c, first, size), np.full(len(texts), -np.inf)
             np.maximum.at(top, text, s)
             use = np.flatnonzero(fit & ((y < 0.5) | (s >= top[text] - 0.5)))
         pos, neg = use[y[use] > 0.5], use[y[use] < 0.5]
-        half = WINDOWS_PER_EPOCH // 2
+        half = per_epoch // 2
         hard = neg if epoch < 2 else neg[np.argsort(-s[neg], kind="stable")][: max(half, len(neg) // 4)]
         pos, neg = (rng.choice(i, min(len(i), half), replace=False) for i in (pos, hard))
         share = {1: 0.5 / max(1, len(pos)), 0: 0.5 / max(1, len(neg))}
@@ -296,9 +300,13 @@ def trained(texts: list[bytes], toxic: np.ndarray, epochs: int = 4, batch: int =
             g, _ = net.gradients(_part(c, words), back.reshape(idx.shape), live, y[w], weight / weight.sum())
             opt.rate = rate * (1 - (epoch + i / len(order)) / epochs)
             opt.step(g)
-    raw = np.full(len(texts), -np.inf)
-    np.maximum.at(raw, text, net.score_windows(c, first, size))
-    net.shift = best_shift(raw[tried], toxic[tried])
+        if epoch >= 2 or epoch == epochs - 1:
+            raw = np.full(len(texts), -np.inf)
+            np.maximum.at(raw, text, net.score_windows(c, first, size))
+            found, cut = best_shift(raw[tried], toxic[tried])
+            if best is None or found >= best[0]:
+                best = (found, cut, {k: v.copy() for k, v in net.p.items()})
+    _, net.shift, net.p = best
     return net
 
 
@@ -312,17 +320,18 @@ def _part(c: Corpus, words: np.ndarray) -> Corpus:
     return out
 
 
-def best_shift(raw: np.ndarray, toxic: np.ndarray) -> float:
-    """The logit between two neighbours in score that gives the highest F1 on the sample; the widest such gap's middle."""
-    order = np.argsort(-raw)
+def best_shift(raw: np.ndarray, toxic: np.ndarray, slack: float = 0.03) -> tuple[float, float]:
+    """The highest F0.5 on the sample (a false alarm counts for more than a miss, as labels err), and the middle of the
+    widest gap between two neighbours in score whose F0.5 is within ``slack`` of it."""
+    order = np.argsort(-raw, kind="stable")
     s, t = raw[order], np.cumsum(toxic[order])
-    f1 = 2 * t / (np.arange(1, len(s) + 1) + toxic.sum())
+    f = 1.25 * t / (np.arange(1, len(s) + 1) + 0.25 * toxic.sum())
     nxt = np.concatenate((s[1:], [s[-1] - 2]))
-    ok = np.flatnonzero(np.isfinite(s) & np.isfinite(nxt) & (f1 >= f1.max() - 1e-9))
+    ok = np.flatnonzero(np.isfinite(s) & np.isfinite(nxt) & (f >= f.max() - slack))
     if not len(ok):
-        return 0.0
+        return 0.0, 0.0
     k = ok[np.argmax(s[ok] - nxt[ok])]
-    return float((s[k] + nxt[k]) / 2)
+    return float(f.max()), float((s[k] + nxt[k]) / 2)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -330,22 +339,39 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = SAMPLE_PER_LABEL) -> Network:
-    """A network from at most ``per_label`` labelled rows of each label, those with the smallest hash of the id. The
-    labels' sample (2 * per_label ids) is broadcast to the scan of the texts. Held-out rows, rows without id, text or
-    label and those of more than ``LONGEST_LEARNED`` bytes are left out; an id labelled twice takes its largest label."""
+def pieces(raw: bytes, seed: int, most: int = PIECES, size: int = PIECE_WORDS) -> list[bytes]:
+    """At most ``most`` pieces of ``size`` words of a text, all of it where it has no more, else those that a hash deals."""
+    words = [w for w in raw.split() if len(w) <= WORD_BYTES]
+    n = -(-len(words) // size)
+    at = range(n) if n <= most else sorted(np.random.default_rng(seed & 0xFFFFFFFF).choice(n, most, replace=False).tolist())
+    return [b" ".join(words[i * size : (i + 1) * size]) for i in at]
+
+
+def learned(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_label: int = SAMPLE_PER_LABEL, most: int = PIECES) -> Network:
+    """A network from at most ``per_label`` labelled rows of each label, those with the smallest hash of the id, and of
+    each at most ``most`` pieces. Held-out rows and rows without id, text or label are left out; an id labelled twice takes
+    its largest label, one with several texts the text that sorts first (by an aggregation with map-side combine, so
+    an id on a third of the rows stays one row). What reaches the driver is at most 2 * ``per_label`` * ``most`` pieces of
+    ``PIECE_WORDS`` words of ``WORD_BYTES`` bytes, whatever the sizes of texts and tables."""
+    bounded_batches(docs.sparkSession)
     given = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = bounded_sample(given.where(~held_out()), "doc_id", per_label, by="toxic").withColumnRenamed("doc_id", "_id")
-    rows = docs.select(F.col(id_col).alias("doc_id"), as_bytes(text_col).alias("text")).where(F.col("text").isNotNull() & (F.length("text") <= LONGEST_LEARNED)).join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic").collect()
-    rows.sort(key=lambda r: (r.doc_id, bytes(r.text)))
-    return trained([bytes(r.text) for r in rows], np.array([r.toxic for r in rows], np.int64))
+    texts = docs.select(F.col(id_col).alias("doc_id"), as_bytes(text_col).alias("text")).where(F.col("text").isNotNull())
+    one = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([pieces(t.as_py(), i.as_py(), most) for i, t in zip(b.column(0), b.column(2), strict=True)], pa.list_(pa.binary()))], names=["doc_id", "toxic", "pieces"])
+
+    rows = sorted(one.mapInArrow(cut, "doc_id long, toxic int, pieces array<binary>").collect(), key=lambda r: r.doc_id)
+    return trained([[bytes(p) for p in r.pieces] for r in rows], np.array([r.toxic for r in rows], np.int64))
 
 
-def scored(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scored(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text", stride: int = STRIDE) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1) and predicted, from the whole text alone.
 
     Null and empty texts have no window and get the score of a text that says nothing. Repeated rows each get a row; a
-    null id is kept. Only id and text are read.
+    null id is kept. Only id and text are read, so other columns may have any name.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
@@ -359,10 +385,10 @@ def scored(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str
                 part.append(t)
                 size += len(t)
                 if size > 1 << 20:
-                    scores.append(shared.value.score_texts(part))
+                    scores.append(shared.value.score_texts(part, stride))
                     part, size = [], 0
             if part:
-                scores.append(shared.value.score_texts(part))
+                scores.append(shared.value.score_texts(part, stride))
             s = np.concatenate(scores).astype(np.float64) if scores else np.zeros(0)
             yield pa.record_batch([b.column(0), b.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 

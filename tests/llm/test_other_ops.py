@@ -43,10 +43,13 @@ def test_base_spans_and_links(spark):
     assert secrets.secret_spans(docs.limit(0)).count() == 0
 
 
-def test_running_sums_of_long_arrays(spark):
-    n = 3 * secrets._BLOCK + 17
-    row = spark.range(1).selectExpr(f"sequence(1, {n}) as a").select(secrets.running_sums(__import__("pyspark.sql.functions").sql.functions.col("a")).alias("s")).first()
-    assert row.s == [sum(range(1, i)) for i in range(1, n + 1)]
+@pytest.mark.parametrize("piece", ["a", "a.", "aB1", "password: "])
+def test_secrets_of_very_long_runs(spark, piece):
+    n = 5_000_000 // len(piece)
+    text = "x@" + piece * n + " token=abcdefgh12"
+    docs = spark.range(1).selectExpr("id as doc_id", f"concat('x@', repeat('{piece}', {n}), ' token=abcdefgh12') as text")
+    got = secrets.secret_spans(docs).first()
+    assert [(s.start, s.kind, s.end) for s in got.base] == brute_base(text)
 
 
 def test_redaction(spark):
@@ -128,6 +131,36 @@ def test_network_gradients():
         assert abs((up - down) / (2 * eps) - g[k][at]) < 1e-3, k
 
 
+def test_scoring_is_the_network_over_all_windows():
+    """``full_logits`` against ``forward``, and a document's score against a plain loop over its windows."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["moron", "a", "fine", "day", "été", "x" * 40]) for _ in range(n)).encode() for n in (1, 31, 32, 33, 48, 200)] + [b"", b"so " * 90]
+    net = toxicity.Network()
+    c = toxicity.Corpus(texts)
+    for stride in (toxicity.STRIDE, 1):
+        _, first, size = c.windows(stride)
+        by_hand = np.concatenate([net.forward(net.inputs(c), *toxicity.placed(c, first[i : i + 1], size[i : i + 1])) for i in range(len(first))])
+        assert np.abs(net.score_windows(c, first, size) - by_hand).max() < 1e-4
+        want = []
+        for t in texts:
+            ws, logits = t.split(), []
+            for p in sorted({*range(0, max(0, len(ws) - toxicity.T) + 1, stride), max(0, len(ws) - toxicity.T)}) if ws else ():
+                one = toxicity.Corpus([b" ".join(ws[p : p + toxicity.T])])
+                logits.append(net.score_windows(one, *one.windows()[1:])[0])
+            want.append(max(logits) if logits else net.p["bias"][0] - 2.0)
+        assert np.abs(net.score_texts(texts, stride) - toxicity.sigmoid(np.array(want))).max() < 1e-4
+
+
+def test_toxicity_learns_bounded_pieces(spark):
+    assert toxicity.pieces(b"a b c d e", 1, most=9, size=2) == [b"a b", b"c d", b"e"]
+    cut = toxicity.pieces(" ".join(f"w{i}" for i in range(1000)).encode(), 1, most=3, size=10)
+    assert len(cut) == 3 and all(len(p.split()) == 10 for p in cut) and toxicity.pieces(b"x" * 10_000 + b" y", 1) == [b"y"]
+    rows = [(7, f"same id {i}", "en") for i in range(300)] + [(8, "you moron " * 60, "en"), (9, None, "en")]
+    lab = spark.createDataFrame([(7, 0), (8, 1), (9, 1), (8, 1)], "doc_id long, toxic int")
+    net = toxicity.learned(make_docs(spark, rows), lab)
+    assert toxicity.scored(make_docs(spark, rows), net).count() == len(rows)
+
+
 def test_toxicity(spark):
     rng = random.Random(4)
     plain, bad = [f"word{i}" for i in range(300)], ["moron", "scum", "idiot"]
