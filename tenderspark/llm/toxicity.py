@@ -323,6 +323,8 @@ def _part(c: Corpus, words: np.ndarray) -> Corpus:
 def best_shift(raw: np.ndarray, toxic: np.ndarray, slack: float = 0.03) -> tuple[float, float]:
     """The highest F0.5 on the sample (a false alarm counts for more than a miss, as labels err), and the middle of the
     widest gap between two neighbours in score whose F0.5 is within ``slack`` of it."""
+    if not len(raw):
+        return 0.0, 0.0
     order = np.argsort(-raw, kind="stable")
     s, t = raw[order], np.cumsum(toxic[order])
     f = 1.25 * t / (np.arange(1, len(s) + 1) + 0.25 * toxic.sum())

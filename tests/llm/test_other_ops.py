@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import os
 import random
 import re
 
@@ -60,15 +61,29 @@ def test_redaction(spark):
 
 
 def test_licences(spark):
-    mit = licenses.NOTICES["MIT"][-1]
-    changed = "Copyright (c) 2021 Someone\nAll rights reserved.\n" + mit.replace("sublicense", "sub-licence".replace("-", "")).upper().replace(",", " ;")
-    rows = [(1, mit, "en"), (2, changed, "en"), (3, mit + " and more", "en"), (4, None, "en"), (5, "", "en"), (6, "text\nLicenced under the Apache Licence, version 2.0\nmore", "en"), (1, mit, "en")]
-    got = sorted((r.doc_id, r.whole_license, tuple(r.line_licenses)) for r in licenses.license_matches(make_docs(spark, rows), licenses.known_licenses(spark)).collect())
-    assert got[0][:2] == got[1][:2] == (1, "MIT") and got[2][:2] == (2, "MIT") and got[3] == (3, None, ())
-    assert got[4:6] == [(4, None, ()), (5, None, ())] and got[6] == (6, None, ("Apache-2.0",))
+    mit = licenses.TEXTS["MIT"]
+    changed = "Copyright (c) 2021 Someone\nAll rights reserved.\n" + mit.replace("sublicense", "sublicence").upper().replace(",", " ;").replace(" ", "\n * ")
+    header = "/*\n * " + licenses.TEXTS["Apache-2.0"].replace("\n", "\n * ").replace(" compliance with", "\n * compliance with") + "\n */\n\ncode()"
+    rows = [(1, mit, "en"), (2, changed, "en"), (3, mit + "\n\nand more", "en"), (4, None, "en"), (5, "", "en"), (6, "text\nLicenced under the Apache Licence, version 2.0\nmore", "en"), (1, mit, "en"), (7, "MIT License\n\nCopyright 2020 A B\n\n" + mit, None), (8, header, "en"), (9, mit + " and more", "en"), (10, ("x " * 400 + "\n") * 3000 + "Licensed under CC BY 4.0.", "en"), (None, mit, "en")]
+    rows += [(20 + i, t, "en") for i, t in enumerate(licenses.TEXTS.values())]
+    got = {}
+    for r in licenses.license_matches(make_docs(spark, rows), licenses.known_licenses(spark)).collect():
+        got.setdefault(r.doc_id, []).append((r.whole_license, tuple(r.line_licenses), r.n_lines_matched, r.n_blocks_matched))
+    assert sum(map(len, got.values())) == len(rows)
+    assert got[1] == [("MIT", ("MIT",), 3, 0)] * 2 and got[None] == got[1][:1] and got[2][0][0] == "MIT" and got[3] == [(None, ("MIT",), 3, 0)]
+    assert got[4] == got[5] == [(None, (), 0, 0)] and got[6] == [(None, ("Apache-2.0",), 1, 0)] and got[7][0][0] == "MIT"
+    assert got[8] == [(None, ("Apache-2.0",), 1, 1)] and got[9] == [(None, ("MIT",), 2, 0)] and got[10] == [(None, ("CC-BY-4.0",), 1, 0)]
+    assert [got[20 + i][0][0] for i in range(len(licenses.TEXTS))] == list(licenses.TEXTS)
     assert licenses.license_matches(make_docs(spark, rows).limit(0), licenses.known_licenses(spark)).count() == 0
 
 
+def test_long_licence_texts_have_the_fixed_digests(spark):
+    files = {k: f"/usr/share/common-licenses/{n}" for k, n in [("GPL-3.0", "GPL-3"), ("Apache-2.0", "Apache-2.0"), ("MPL-2.0", "MPL-2.0")]}
+    rows = [(i, open(f).read().upper(), k) for i, (k, f) in enumerate(files.items()) if os.path.exists(f)]
+    got = licenses.license_matches(make_docs(spark, rows), licenses.known_licenses(spark)).collect()
+    assert {r.doc_id: r.whole_license for r in got} == {i: k for i, _, k in rows}
+
+
 @pytest.mark.parametrize(("least", "size"), [(0, 1 << 20), (10, 500)])
 def test_archives(spark, least, size):
     rows = [(i, f"http://x/{i}", random.Random(i % 7).choice(["<p>", ""]) * 3 + "é" * (i % 7)) for i in range(40)] + [(100, None, None), (101, "u\nv", None), (None, "n", "lost"), (7, "again", "é"), (7, "again", "é"), (102, "big", "x" * 300_000)]
