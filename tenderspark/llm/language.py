@@ -27,10 +27,15 @@ FAMILIES = {
     "slavic": ("ru", "uk", "pl", "cs", "sk", "bg", "sr", "hr", "sl"),
     "uralic": ("fi", "et", "hu"),
 }
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE = re.compile(r"[^\W\d_]")
 _ONLY_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether some character is a letter; numbers such as superscripts and fractions are none."""
+    return any(m[0].isalpha() for m in _MAYBE.finditer(text))
+
+
 def features(texts: list[str]) -> np.ndarray:
     """A row of unit length for each text, drawn from all of it."""
     out = np.zeros((len(texts), DIM), np.float32)
@@ -142,7 +147,8 @@ def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     """One row per row of ``docs``: doc_id, held_out, lang_pred and score (0 to 1), from the whole text alone.
 
     A null text or one without a letter is ``und`` with score 0, and so is every text if nothing could be learned.
-    Repeated rows each get a row; a null id is kept. Only id and text are read.
+    Repeated rows each get a row; a null id is kept. Only id and text are read, so other columns may have any name; a text of
+    any length is read whole.
     """
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -151,7 +157,7 @@ def identified(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         for b in batches:
             texts = b.column(2).to_pylist()
             names, scores = ["und"] * len(texts), [0.0] * len(texts)
-            lettered = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+            lettered = [i for i, t in enumerate(texts) if t and has_letter(t)]
             for s in range(0, len(lettered), 256):
                 part = lettered[s : s + 256]
                 found, p = shared.value.predict([texts[i] for i in part])

@@ -49,9 +49,9 @@ FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 """
 
 #: The statistics, cutoffs and verdicts; ``documents`` and ``labels`` as given.
-OP10_CTES = r"""
+OP10_CTES = rf"""
 dw AS (
-  SELECT doc_id, CASE WHEN lang IN ('en', 'fr', 'de', 'es') THEN lang ELSE 'other' END AS stratum, coalesce(text, '') AS text,
+  SELECT doc_id, coalesce(lang, 'other') AS stratum, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
@@ -79,10 +79,10 @@ dw AS (
   FROM shares JOIN given USING (doc_id), generate_series(1, 19) AS g(i) GROUP BY ALL
 ), tailed AS (
   SELECT *, CASE WHEN n = 0 OR k >= n THEN 1 ELSE
-    list_sum(list_transform(generate_series(0, k), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - CASE WHEN n = j THEN 0 ELSE lgamma(n - j + 1) END + j * ln(0.04) + (n - j) * ln(0.96)))) END AS tail
+    list_sum(list_transform(generate_series(0, k), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - CASE WHEN n = j THEN 0 ELSE lgamma(n - j + 1) END + j * ln({quality.RISK / len(quality.RULES)}) + (n - j) * ln({1 - quality.RISK / len(quality.RULES)})))) END AS tail
   FROM counted
 ), admitted AS (
-  SELECT *, max(tail) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) <= 0.05 / 20 AS ok, caught / greatest(bad, 1) - 10 * (k / n) AS gain FROM tailed
+  SELECT *, max(tail) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) <= {quality.DELTA} / ((SELECT count(DISTINCT stratum) FROM counted) * {len(quality.RULES)}) AS ok, caught / greatest(bad, 1) - {quality.COST} * (k / n) AS gain FROM tailed
 ), cutoffs AS (
   SELECT stratum, rule, cutoff FROM admitted WHERE ok QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1
 ), failed AS (

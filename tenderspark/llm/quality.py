@@ -2,10 +2,11 @@
 
 Each rule rejects a document whose measure lies above a cutoff. For each stratum and rule the cutoffs of a grid are
 tested from the highest down on labelled holdouts: of n good documents the rule would reject k, and the cutoff is
-admissible if the exact binomial tail P(Bin(n, risk) <= k) is at most delta / (strata * rules) and all higher cutoffs
-are admissible (fixed sequence within a rule, Bonferroni across rules and strata). So with probability 1 - delta
-no admissible cutoff falsely rejects ``risk`` of a stratum or more. Of those, the one with the largest share of bad
-documents rejected less ``COST`` times the share of good ones is taken; a stratum without enough labels gets none.
+admissible if the exact binomial tail P(Bin(n, risk / rules) <= k) is at most delta / (strata * rules) and all higher
+cutoffs are admissible (fixed sequence within a rule, Bonferroni across rules and strata). A document is rejected if any
+rule rejects it, so with probability 1 - delta all rules together falsely reject less than ``risk`` of every stratum. Of
+the admissible cutoffs, the one with the largest share of bad documents rejected less ``COST`` times the share of good
+ones is taken; a stratum without enough labels gets none. Strata are the values of a column of the data.
 """
 
 from __future__ import annotations
@@ -29,7 +30,6 @@ RULES = {
 }
 GRID = [i / 20 for i in range(1, 20)]
 RISK, DELTA, COST = 0.04, 0.05, 10
-STRATA = ("en", "fr", "de", "es", "other")
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 _SYMBOLS = bytes(set(range(256)) - set(b"#*$%&|<>"))
 _CONTINUED = bytes(range(0x80, 0xC0))
@@ -58,7 +58,7 @@ def measures(raw: bytes | None) -> tuple[int, ...]:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", carry: bool = False) -> DataFrame:
-    """(doc_id, stratum, the columns of ``STATS``) of every row. A null or unlisted stratum is 'other'.
+    """(doc_id, stratum, the columns of ``STATS``) of every row. A null stratum is 'other'.
 
     ``carry`` adds the whole input row as the struct ``_row``."""
     bounded_batches(docs.sparkSession)
@@ -72,7 +72,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             kept_names = [n for i, n in enumerate(b.schema.names) if i != 2]
             yield pa.record_batch([*kept, *[pa.array(c, pa.int64()) for c in cols]], names=[*kept_names, *names])
 
-    stratum = F.when(F.col(stratum_col).isin(*STRATA), F.col(stratum_col)).otherwise("other").alias("stratum")
+    stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("other")).alias("stratum")
     cols = [F.col(id_col).cast("long").alias("doc_id"), stratum, as_bytes(text_col), *([F.struct("*").alias("_row")] if carry else [])]
     given = docs.select(*cols)
     row = f"_row {given.schema['_row'].dataType.simpleString()}, " if carry else ""
@@ -85,30 +85,40 @@ def share(rule: str):
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(Bin(n, p) <= k), exactly but for rounding."""
+    """P(Bin(n, p) <= k), exactly but for rounding. Summed away from k on the side that holds the smaller terms until they
+    no longer count, so the work grows with the spread of the distribution and not with k."""
     if n == 0 or k >= n:
         return 1.0
-    log = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
-    return math.fsum(map(math.exp, log))
+    below = k <= n * p
+    i = k if below else k + 1
+    term = math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p))
+    total, odds = 0.0, p / (1 - p)
+    while 0 <= i <= n and term > 1e-18 * total:
+        total += term
+        term, i = (term * i / ((n - i + 1) * odds), i - 1) if below else (term * (n - i) * odds / (i + 1), i + 1)
+    return min(1.0, total) if below else max(0.0, 1.0 - total)
 
 
 def learned_cutoffs(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA, cost: float = COST) -> dict[str, dict[str, float]]:
     """Stratum -> rule -> cutoff, from all labelled rows of ``stats``.
 
     ``labels`` (doc_id, quality) is deduplicated to one row per id (good only if every label says 1); null ids and
-    null labels are left out. What reaches the driver is one row per stratum with 2 * len(RULES) * len(GRID) counts.
+    null labels are left out. What reaches the driver is the number of strata, and one row with
+    2 * len(RULES) * len(GRID) counts for each stratum that has enough good rows for any cutoff to be admitted.
     """
     given = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
     held = stats.join(given, "doc_id")
     above = lambda want, r, c: F.sum(((F.col("good") == want) & (share(r) > F.lit(c))).cast("long"))
     counts = [above(w, r, c).alias(f"{w}|{r}|{c}") for w in (True, False) for r in RULES for c in GRID]
+    counted = written(held.groupBy("stratum").agg(F.sum(F.col("good").cast("long")).alias("n"), F.sum((~F.col("good")).cast("long")).alias("bad"), *counts), "quality-counts")
+    level, each = delta / (max(1, counted.count()) * len(RULES)), risk / len(RULES)
     out: dict[str, dict[str, float]] = {}
-    for row in held.groupBy("stratum").agg(F.sum(F.col("good").cast("long")).alias("n"), F.sum((~F.col("good")).cast("long")).alias("bad"), *counts).collect():
+    for row in counted.where(F.col("n") >= math.log(level) / math.log1p(-each)).collect():
         for r in RULES:
             best = None
             for c in reversed(GRID):
                 k, caught = row[f"True|{r}|{c}"], row[f"False|{r}|{c}"]
-                if binomial_tail(k, row["n"], risk) > delta / (len(STRATA) * len(RULES)):
+                if binomial_tail(k, row["n"], each) > level:
                     break
                 gain = caught / max(row["bad"], 1) - cost * (k / row["n"])
                 if best is None or gain > best[0]:
@@ -140,6 +150,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns, each judged on its own (null ids too).
 
-    The cutoffs take one pass over the statistics; the rows are then filtered where they lie, without a shuffle."""
-    cutoffs = learned_cutoffs(statistics(docs, id_col, text_col, stratum_col), labels)
-    return with_verdict(statistics(docs, id_col, text_col, stratum_col, carry=True), cutoffs).where("kept").select("_row.*")
+    Every text is counted once: rows go with their statistics to the shared folder, the cutoffs are learned from the
+    statistics there, and the rows are filtered where they lie, without a shuffle. Columns may have any name."""
+    stats = written(statistics(docs, id_col, text_col, stratum_col, carry=True), "quality-rows")
+    return with_verdict(stats, learned_cutoffs(stats.drop("_row"), labels)).where("kept").select("_row.*")

@@ -108,14 +108,14 @@ WORDS = {"en": "the and that with from this have which".split(), "de": "und der
 def test_language(spark):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(WORDS[lang]) for _ in range(rng.randint(4, 40))), lang) for i in range(400) for lang in [list(WORDS)[i % 4]]]
-    rows += [(1000, None, "en"), (1001, "", "en"), (1002, "12 34 !!", "en"), (1003, "the that", None), (None, "und nicht", "de")]
+    rows += [(1000, None, "en"), (1001, "", "en"), (1002, "12 34 !!", "en"), (1004, "²½ ①", "en"), (1005, "und nicht " * 300_000, "de"), (1003, "the that", None), (None, "und nicht", "de")]
     docs = make_docs(spark, rows)
     model = language.learned(docs, per_language=40)
     assert set(model.members) == {"germanic", "romance"}
     got = {r.doc_id: r for r in language.identified(docs, model).collect()}
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got.values())
     assert np.mean([got[i].lang_pred == lang for i, _, lang in rows[:400] if got[i].held_out]) > 0.97
-    assert {got[i].lang_pred for i in (1000, 1001, 1002)} == {"und"} and got[1003].lang_pred == "en" and got[None].lang_pred == "de"
+    assert {got[i].lang_pred for i in (1000, 1001, 1002, 1004)} == {"und"} and got[1003].lang_pred == "en" and got[None].lang_pred == got[1005].lang_pred == "de"
     nothing = language.learned(docs.limit(0))
     assert {r.lang_pred for r in language.identified(docs, nothing).collect()} == {"und"}
 

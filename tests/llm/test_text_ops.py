@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+from collections import Counter
 
 import pytest
 from conftest_llm import make_docs
@@ -187,17 +188,19 @@ def brute_measures(t):
     ws = WORD.findall(t)
     grams = [tuple(ws[i : i + 3]) for i in range(len(ws) - 2)]
     lines = [x for x in t.split("\n") if WORD.search(x)]
-    rep = {p + k for p, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
+    seen = Counter(grams)
+    rep = {p + k for p, g in enumerate(grams) if seen[g] > 1 for k in range(3)}
     return len(ws), sum(map(len, ws)), len(re.findall(r"[#*$%&|<>]", t)), len(lines), sum(x in lines[:k] for k, x in enumerate(lines)), len(rep)
 
 
 def test_quality_measures(corpus):
-    for _, t, _ in [*corpus[:-1], (0, "a b c a b c #x\n\na b c", ""), (0, "x\nx\n x\n", "")]:
+    for _, t, _ in [*corpus, (0, "a b c a b c #x\n\na b c", ""), (0, "x\nx\n x\n", "")]:
         assert quality.measures(None if t is None else t.encode())[:6] == brute_measures(t)
 
 
 def test_binomial_tail():
-    for n, k, p in [(10, 3, 0.2), (50, 0, 0.04), (7, 7, 0.3), (0, 0, 0.5)]:
+    assert quality.binomial_tail(9_900_000, 10**9, 0.01) < 1e-9 and quality.binomial_tail(10_100_000, 10**9, 0.01) > 1 - 1e-9
+    for n, k, p in [(10, 3, 0.2), (50, 0, 0.04), (7, 7, 0.3), (0, 0, 0.5), (400, 30, 0.04), (400, 2, 0.04)]:
         want = 1.0 if n == 0 else sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
         assert abs(quality.binomial_tail(k, n, p) - want) < 1e-9
 
@@ -205,9 +208,9 @@ def test_binomial_tail():
 def test_quality_cutoffs_keep_their_promise(spark):
     rng = random.Random(1)
     rows, labels = [], []
-    for i in range(1200):
+    for i in range(2400):
         bad = i % 6 == 0
-        mark = "#%" if bad else ("#" if rng.random() < 0.004 else "")
+        mark = "#%" if bad else ("#" if rng.random() < 0.001 else "")
         rows.append((i, " ".join(f"w{rng.randint(0, 10**6)}{mark}" for _ in range(60)), "en"))
         labels.append((i, 0 if bad else 1))
     rows += [(5000, "few words", "en"), (5001, None, None), (5002, " ".join(["a b c"] * 40), "xx")]
@@ -216,7 +219,7 @@ def test_quality_cutoffs_keep_their_promise(spark):
     got = {r.doc_id: r for r in quality.quality_verdicts(docs, lab).collect()}
     assert not got[5000].kept and not got[5001].kept and got[5002].base_failed
     good = [got[i].kept for i, q in labels if q == 1]
-    assert sum(not k for k in good) <= quality.RISK * len(good) * len(quality.RULES)
+    assert sum(not k for k in good) <= quality.RISK * len(good)
     assert not any(got[i].kept for i, q in labels if q == 0)
     kept = quality.keep_good(docs, lab)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.kept}
