@@ -1,20 +1,26 @@
 """BPE encoding and decoding with reuse of content-defined chunks.
 
-A text is cut where a rolling hash of its last eight bytes has its low bits zero, so that copied passages give the
-same chunks wherever they stand. A chunk is encoded once per worker and kept while it stays in a bounded memory of two
-generations. The words that a cut splits are repaired: the piece between the last safe boundary (ASCII white space) of
-one chunk and the first of the next is encoded anew together with its neighbour words, and the window widens until its
-outer tokens agree exactly with those the chunks have. Inside a chunk, words known to the worker are not encoded again.
-
-Cuts at ASCII white space are safe for the word BPE served here: its normaliser maps single characters, composes none
-across a space, and its pre-tokeniser never joins what white space separates.
+A text is cut where a rolling hash of its last eight bytes has its top bits zero, so that copied passages give the same
+chunks wherever they stand. Rows are brought together by their smallest chunk: texts that share chunks - copies, near
+copies, texts of one passage - meet in one task, next to one another, and a chunk is encoded once there and kept in a
+bounded memory. What is encoded of a chunk is its body, from its first to its last safe boundary. The piece between
+two bodies, which holds the words that the cut splits, is repaired: it is encoded together with words of both
+neighbours, and the window widens until its outer tokens agree exactly with those of the bodies; a text that never
+agrees is encoded whole.
+
+A safe boundary is a single space between two printable ASCII characters, the second a letter or digit. Whether tokens
+never reach across it depends on the vocabulary; ``ChunkEncoder`` probes it and refuses one that fails.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from collections import OrderedDict
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,28 +31,12 @@ from tenderspark.llm.common import as_bytes, bounded_batches
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 CHUNK_BITS = 10  # chunks of about 1 KiB
-CHUNK_MEMORY, WORD_MEMORY = 4_000, 150_000  # entries of each generation
-LONG_WORD = 4_096  # longer runs without white space are encoded but not kept
-
-
-class Memory(dict):
-    """A dictionary of two generations: when the young one is full it becomes the old one, which is dropped."""
-
-    def __init__(self, most: int) -> None:
-        super().__init__()
-        self.most, self.old = most, {}
-
-    def find(self, key):
-        got = self.get(key)
-        if got is None and (got := self.old.get(key)) is not None:
-            self.keep(key, got)
-        return got
-
-    def keep(self, key, value) -> None:
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
+MEMORY_IDS = 4_000_000  # ids that a worker keeps
+WIDEST = 64  # words of each neighbour that a join is tried with
+BATCH_TEXT = 4 << 20
+SHORT = 24  # bytes of a window's piece that is remembered
+_SAFE = re.compile(rb"(?<=[!-~]) (?=[0-9A-Za-z])")
+PROBES = ["some words, and a few-more of them: 3 x 42 'tis it's we'll END", "a b", "x. y", "éa b é c", "1 2 3", "ab cd  ef\n gh", "#tag (paren) \"q w\" <|endoftext|> z"]
 
 
 def cuts(raw: bytes, bits: int = CHUNK_BITS) -> list[int]:
@@ -61,8 +51,40 @@ def cuts(raw: bytes, bits: int = CHUNK_BITS) -> list[int]:
     return [*at[at < len(raw)].tolist(), len(raw)]
 
 
+def digest(piece: bytes) -> bytes:
+    return hashlib.blake2b(piece, digest_size=16).digest()
+
+
+def meeting_key(raw: bytes, bits: int = CHUNK_BITS) -> int:
+    """The smallest chunk's digest as a number: texts with the same chunks have the same, texts that share a part of
+    their chunks have the same with that chance."""
+    low, start = b"\xff" * 16, 0
+    for end in cuts(raw, bits):
+        low = min(low, digest(raw[start:end]))
+        start = end
+    return int.from_bytes(low[:8], "big", signed=True)
+
+
+class Memory:
+    """Ids of chunk bodies by digest, the least recently used going first when more than ``most`` ids are kept."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.size, self.kept = most, 0, OrderedDict()
+
+    def find(self, key: bytes) -> np.ndarray | None:
+        if (got := self.kept.get(key)) is not None:
+            self.kept.move_to_end(key)
+        return got
+
+    def keep(self, key: bytes, ids: np.ndarray) -> None:
+        self.kept[key] = ids
+        self.size += len(ids) + 16
+        while self.size > self.most and self.kept:
+            self.size -= len(self.kept.popitem(last=False)[1]) + 16
+
+
 class ChunkEncoder:
-    """Encodes whole UTF-8 texts to (number of ids, ids as text, tokens as text), the two joined by spaces."""
+    """Encodes whole UTF-8 texts to ids; ``asked`` and ``encoded`` count the bytes of chunk bodies met and encoded."""
 
     def __init__(self, path: str, bits: int = CHUNK_BITS) -> None:
         from tokenizers import Tokenizer
@@ -70,123 +92,201 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.names = [self.tok.id_to_token(i) for i in range(self.tok.get_vocab_size(with_added_tokens=True))]
-        self.bits, self.words, self.chunks = bits, Memory(WORD_MEMORY), Memory(CHUNK_MEMORY)
-        self.widened = 0
-
-    def library(self, pieces: list[bytes]) -> list[tuple[int, str, str]]:
+        self.bits, self.memory, self.words = bits, Memory(MEMORY_IDS), Memory(MEMORY_IDS // 8)
+        self.asked = self.encoded = self.widened = self.whole = 0
+        if not self.safe(path):
+            raise ValueError(f"tokens of {path} may reach across a space between words; such a vocabulary can't be encoded in chunks")
+
+    def safe(self, path: str) -> bool:
+        """Whether texts cut at safe boundaries give the ids of the whole, on ``PROBES``; and no added token takes in
+        white space."""
+        for t in json.loads(Path(path).read_text(encoding="utf-8")).get("added_tokens", []):
+            if t.get("lstrip") or t.get("rstrip") or t.get("single_word") or re.search(r"\s", t["content"]):
+                return False
+        for probe in PROBES:
+            raw = probe.encode()
+            at = [0, *(m.start() for m in _SAFE.finditer(raw)), len(raw)]
+            parts = self.library([raw[a:b] for a, b in zip(at, at[1:], strict=False)])
+            if np.concatenate(parts).tolist() != self.library([raw])[0].tolist():
+                return False
+        return True
+
+    def short(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """``library`` for windows of joins: words at their ends recur, so short pieces are remembered."""
+        got = [self.words.find(p) for p in pieces]
+        lost = list({p for p, g in zip(pieces, got, strict=True) if g is None})
+        fresh = dict(zip(lost, self.library(lost), strict=True)) if lost else {}
+        for p, ids in fresh.items():
+            if len(p) <= SHORT:
+                self.words.keep(p, ids)
+        return [fresh[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+
+    def library(self, pieces: list[bytes]) -> list[np.ndarray]:
         found = self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
-        return [(len(ids := e.ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])) for e in found]
-
-    def known(self, words: list[bytes]) -> list[tuple[int, str, str]]:
-        """The encodings of words, each asked of the library at most once while it is remembered."""
-        got = list(map(self.words.get, words))
-        lost = [i for i, g in enumerate(got) if g is None]
-        if lost:
-            for i in lost:
-                got[i] = self.words.find(words[i])
-            missing = list({words[i] for i in lost if got[i] is None})
-            fresh = dict(zip(missing, self.library(missing), strict=True)) if missing else {}
-            for w, g in fresh.items():
-                if len(w) <= LONG_WORD:
-                    self.words.keep(w, g)
-            for i in lost:
-                if got[i] is None:
-                    got[i] = fresh[words[i]]
-        return got
+        return [np.array(e.ids, np.int32) for e in found]
 
-    def chunk(self, raw: bytes) -> tuple:
-        """(head, encodings of the first and last whole word, of all whole words, tail) of a chunk: head and tail are
-        the bytes before its first and after its last white space; without white space all of it is head."""
-        key = hashlib.blake2b(raw, digest_size=16).digest()
-        if (got := self.chunks.find(key)) is None:
-            words = raw.split()
-            spaced = bool(words) and (len(words) > 1 or raw[:1].isspace() or raw[-1:].isspace())
-            if not words or not spaced:
-                got = (raw if words else b"", None, None, (0, "", ""), b"", not words)
-            else:
-                head = b"" if raw[:1].isspace() else words.pop(0)
-                tail = b"" if raw[-1:].isspace() or not words else words.pop()
-                enc = self.known(words)
-                whole = (sum(e[0] for e in enc), " ".join([e[1] for e in enc if e[0]]), " ".join([e[2] for e in enc if e[0]]))
-                got = (head, words[0] if words else None, words[-1] if words else None, whole, tail, True)
-            self.chunks.keep(key, got)
-        return got
-
-    def join(self, left: bytes | None, middle: bytes, right: bytes | None) -> tuple[int, str, str]:
-        """The encoding of ``middle`` between two chunks. The window of left word, middle and right word is encoded as
-        one text; it must start and end with the tokens that the chunks hold for those words, else ``None``."""
-        window = b" ".join(x for x in (left, middle, right) if x)
-        if (got := self.words.find(window)) is None:
-            got = self.library([window])[0]
-        ids, toks, n = got[1].split(" ") if got[0] else [], got[2].split(" ") if got[0] else [], got[0]
-        first, last = (self.known([w])[0] if w else (0, "", "") for w in (left, right))
-        a, z = first[0], n - last[0]
-        if a > z or " ".join(ids[:a]) != first[1] or " ".join(ids[z:]) != last[1]:
-            return None
-        return z - a, " ".join(ids[a:z]), " ".join(toks[a:z])
-
-    def encode(self, raw: bytes) -> tuple[int, str, str]:
-        parts: list[tuple[int, str, str]] = []
-        open_, left, start = b"", None, 0
+    def layout(self, raw: bytes) -> list[tuple[int, int, bytes]]:
+        """(start, end, digest) of the bodies of the chunks of a text that have one; the text's ends are safe too."""
+        out, start = [], 0
         for end in cuts(raw, self.bits):
-            head, first, last, whole, tail, closed = self.chunk(raw[start:end])
+            a, z = start, end
+            if start:
+                m = _SAFE.search(raw, start, end)
+                a = m.start() if m else end
+            if end < len(raw):
+                z = raw.rfind(b" ", start, end - 1)
+                while z > a and not _SAFE.match(raw, z):
+                    z = raw.rfind(b" ", start, z)
+            if z > a:
+                out.append((a, z, digest(raw[a:z])))
             start = end
-            open_ += head
-            if not closed:
-                continue
-            if open_:
-                got = self.join(left, open_, first)
-                if got is None:  # no agreement: the whole text is the widest window
-                    self.widened += 1
-                    return self.library([raw])[0]
-                parts.append(got)
-            parts.append(whole)
-            open_, left = tail, last
-        if open_:
-            got = self.join(left, open_, None)
-            if got is None:
-                self.widened += 1
-                return self.library([raw])[0]
-            parts.append(got)
-        parts = [p for p in parts if p[0]]
-        return sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
-
-
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str) -> ChunkEncoder:
+        return out
+
+    def encode_many(self, raws: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text."""
+        layouts = [self.layout(r) for r in raws]
+        bodies: dict[bytes, np.ndarray | None] = {}
+        wanted: list[tuple[bytes, bytes]] = []
+        for raw, layout in zip(raws, layouts, strict=True):
+            for a, b, key in layout:
+                self.asked += b - a
+                if key not in bodies:
+                    bodies[key] = self.memory.find(key)
+                    if bodies[key] is None:
+                        self.encoded += b - a
+                        wanted.append((key, raw[a:b]))
+        for (key, _), ids in zip(wanted, self.library([p for _, p in wanted]), strict=True):
+            bodies[key] = ids
+            self.memory.keep(key, ids)
+        gaps = []  # (text, its place among the gaps of the text, left body or None, right body or None)
+        for i, layout in enumerate(layouts):
+            ends = [0, *(x for a, z, _ in layout for x in (a, z)), len(raws[i])]
+            gaps += [(i, k, layout[k - 1] if k else None, layout[k] if k < len(layout) else None) for k in range(len(layout) + 1) if ends[2 * k] < ends[2 * k + 1]]
+        joined: dict[tuple[int, int], np.ndarray] = {}
+        words = 1
+        while gaps and words <= WIDEST:
+            windows = []
+            for i, _, left, right in gaps:
+                raw = raws[i]
+                a, b = left[1] if left else 0, right[0] if right else len(raw)
+                lo, hi = self.words_before(raw, left, words), self.words_after(raw, right, words)
+                windows += [raw[lo:a], raw[lo:hi], raw[b:hi]]
+            found, again = self.short(windows), []
+            for g, (i, k, left, right) in enumerate(gaps):
+                ids = self.agreed(*found[3 * g : 3 * g + 3], bodies[left[2]] if left else None, bodies[right[2]] if right else None)
+                if ids is None:
+                    again.append((i, k, left, right))
+                else:
+                    joined[i, k] = ids
+            gaps, words = again, 2 * words
+            self.widened += len(again)
+        lost = sorted({g[0] for g in gaps})
+        self.whole += len(lost)
+        out = dict(zip(lost, self.library([raws[i] for i in lost]), strict=True)) if lost else {}
+        for i, layout in enumerate(layouts):
+            if i not in out:
+                none = np.zeros(0, np.int32)
+                parts = [joined.get((i, 0), none)]
+                for k, (_, _, key) in enumerate(layout):
+                    parts += [bodies[key], joined.get((i, k + 1), none)]
+                out[i] = np.concatenate(parts)
+        return [out[i] for i in range(len(raws))]
+
+    @staticmethod
+    def words_before(raw: bytes, left: tuple | None, n: int) -> int:
+        """Where the last ``n`` words of a body start, at a safe boundary; the body's start if it has no more."""
+        if left is None:
+            return 0
+        at = left[1]
+        for _ in range(n):
+            at = raw.rfind(b" ", left[0], at)
+            while at > left[0] and not _SAFE.match(raw, at):
+                at = raw.rfind(b" ", left[0], at)
+            if at <= left[0]:
+                return left[0]
+        return at
+
+    @staticmethod
+    def words_after(raw: bytes, right: tuple | None, n: int) -> int:
+        if right is None:
+            return len(raw)
+        at = right[0]
+        for _ in range(n):
+            m = _SAFE.search(raw, at + 1, right[1] + 2)
+            if m is None or m.start() >= right[1]:
+                return right[1]
+            at = m.start()
+        return at
+
+    @staticmethod
+    def agreed(before: np.ndarray, window: np.ndarray, after: np.ndarray, left: np.ndarray | None, right: np.ndarray | None) -> np.ndarray | None:
+        """The ids between the neighbours' words in ``window``, if its outer ids are those of the words alone and those
+        that the bodies hold; else None."""
+        a, z = len(before), len(window) - len(after)
+        if a > z or not np.array_equal(window[:a], before) or not np.array_equal(window[z:], after):
+            return None
+        if left is not None and not np.array_equal(left[len(left) - a :], before) or right is not None and not np.array_equal(right[: len(after)], after):
+            return None
+        return window[a:z]
+
+
+_ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
+
+
+def encoder(path: str, bits: int = CHUNK_BITS) -> ChunkEncoder:
     """The worker's encoder for a vocabulary file, kept between tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    if (path, bits) not in _ENCODERS:
+        _ENCODERS[path, bits] = ChunkEncoder(path, bits)
+    return _ENCODERS[path, bits]
+
+
+def _keyed(bits: int):
+    """Adds the meeting key as the last column."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = pa.array([meeting_key(t.as_py() or b"", bits) for t in b.column(1)], pa.int64())
+            yield pa.record_batch([*b.columns, keys], names=[*b.schema.names, "_meet"])
+
+    return rows
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, carry: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, ids (decimal, joined by spaces) and decoded (the library's
-    decode of them, special tokens kept: tokens joined by spaces). ``digests`` gives ids_sha256 and decoded_sha256
-    instead; ``carry`` adds the whole input row as the struct ``_row``.
+def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, carry: bool = False, bits: int = CHUNK_BITS) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_tokens, ids (decimal, joined by spaces) and decoded (the library's decode of
+    those ids, special tokens kept). ``digests`` gives ids_sha256 and decoded_sha256 instead; ``carry`` adds the whole
+    input row as the struct ``_row``, so columns may have any name.
 
-    ``vocabulary`` is the path of a tokenizers file on every executor. Null and empty texts have no tokens. Each row
-    is encoded where it lies: nothing is shuffled, and no column but the two named is read unless carried. Texts of
-    any length are encoded whole.
+    ``vocabulary`` is the path of a tokenizers file on every executor; one whose tokens reach across spaces between
+    words raises an error. Null and empty texts have no tokens. Repeated rows each get a row, a null id is kept. Texts
+    move once, to where texts with the same smallest chunk are; a rebalancing shuffle splits a hot key over several
+    tasks, each of which encodes its chunks once. Texts of any length are encoded whole.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, bits)
+        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for b in batches:
-            out = []
-            for t in b.column(1):
-                n, ids, toks = enc.encode(t.as_py() or b"")
-                out.append((n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(toks.encode()).hexdigest()) if digests else (n, ids, toks))
+            texts = [t.as_py() or b"" for t in b.column(1)]
+            out, s = [], 0
+            while s < len(texts):
+                e, size = s + 1, len(texts[s])
+                while e < len(texts) and size + len(texts[e]) <= BATCH_TEXT:
+                    size += len(texts[e])
+                    e += 1
+                ids = [x.tolist() for x in enc.encode_many(texts[s:e])]
+                for x, decoded in zip(ids, enc.tok.decode_batch(ids, skip_special_tokens=False), strict=True):
+                    line = " ".join(map(str, x))
+                    out.append((len(x), sha(line), sha(decoded)) if digests else (len(x), line, decoded))
+                s = e
             cols = list(zip(*out, strict=True)) or [(), (), ()]
-            carried = [b.column(i) for i in range(2, b.num_columns)]
+            carried = [b.column(i) for i in range(2, b.num_columns) if b.schema.names[i] == "_row"]
             names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["n_tokens", "ids", "decoded"]
             yield pa.record_batch([b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string()), *carried], names=["doc_id", *names, *["_row" for _ in carried]])
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col).alias("text"), *([F.struct("*").alias("_row")] if carry else []))
     row = f", _row {given.schema['_row'].dataType.simpleString()}" if carry else ""
     names = "ids_sha256 string, decoded_sha256 string" if digests else "ids string, decoded string"
-    return given.mapInArrow(rows, f"doc_id long, n_tokens long, {names}{row}")
+    met = given.mapInArrow(_keyed(bits), f"doc_id long, text binary{row}, _meet long").hint("rebalance", "_meet").sortWithinPartitions("_meet")
+    return met.mapInArrow(rows, f"doc_id long, n_tokens long, {names}{row}")

@@ -228,12 +228,44 @@ def test_quality_cutoffs_keep_their_promise(spark):
 
 
 @pytest.mark.parametrize("bits", [2, 5, 10])
-def test_bpe_agrees_with_the_library(bits, corpus):
-    enc = bpe.ChunkEncoder(vocabulary(), bits)
-    odd = ["it's we'll <|endoftext|> x<|startoftext|>y", "İstanbul ΟΔΟΣ ﬁ é", "x" * 6000, "a" * 3000 + " " + "é" * 3000, "   ", "中文字" * 700, " wide space", "é ́x"]
-    for t in [t or "" for _, t, _ in corpus] + odd:
-        ids = enc.tok.encode(t, add_special_tokens=False).ids
-        assert enc.encode(t.encode()) == (len(ids), " ".join(map(str, ids)), enc.tok.decode(ids, skip_special_tokens=False))
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_bpe_agrees_with_the_library(bits, name, corpus):
+    """The second vocabulary keeps spaces, as the start of the word that follows."""
+    import public_tokenizers
+
+    enc = bpe.ChunkEncoder(public_tokenizers.path(name), bits)
+    odd = ["it's we'll <|endoftext|> x<|startoftext|>y", "İstanbul ΟΔΟΣ ﬁ é", "x" * 6000, "a" * 3000 + " " + "é" * 3000, "   ", "中文字" * 700, " wide space", "é ́x", "one two three four five " * 4000, "a " * 500, "x  y   z\n\n q 1 2\t3 " * 300]
+    texts = [t or "" for _, t, _ in corpus] + odd
+    for part in (texts, texts[::-1]):  # the second time from memory
+        got = enc.encode_many([t.encode() for t in part])
+        assert [x.tolist() for x in got] == [enc.tok.encode(t, add_special_tokens=False).ids for t in part]
+    assert enc.encoded < enc.asked
+
+
+def test_bpe_refuses_vocabularies_that_reach_across_spaces(tmp_path):
+    import json
+
+    base = json.loads(open(vocabulary(), encoding="utf-8").read())
+    base["added_tokens"][0]["lstrip"] = True
+    (tmp_path / "v.json").write_text(json.dumps(base))
+    with pytest.raises(ValueError, match="reach across"):
+        bpe.ChunkEncoder(str(tmp_path / "v.json"))
+    base["added_tokens"][0]["lstrip"] = False
+    base["pre_tokenizer"] = {"type": "Split", "pattern": {"String": "|"}, "behavior": "Isolated", "invert": False}
+    base["normalizer"], base["model"]["end_of_word_suffix"] = None, None
+    base["model"]["merges"], base["model"]["vocab"] = [[",", " "], [", ", "a"]], {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz., ")} | {", ": 40, ", a": 41}
+    base["added_tokens"] = []
+    (tmp_path / "w.json").write_text(json.dumps(base))
+    with pytest.raises(ValueError, match="reach across"):
+        bpe.ChunkEncoder(str(tmp_path / "w.json"))
+
+
+def test_bpe_widens_joins_step_by_step():
+    a = lambda *x: __import__("numpy").array(x)
+    agreed = bpe.ChunkEncoder.agreed
+    assert agreed(a(5), a(5, 1, 2, 7), a(7), a(4, 5), a(7, 8)).tolist() == [1, 2]
+    assert agreed(a(5), a(9, 1, 2, 7), a(7), a(4, 5), a(7, 8)) is None and agreed(a(5), a(5, 1, 7), a(7), a(4, 6), a(7)) is None
+    assert agreed(a(), a(1, 7), a(7), None, a(7, 8)).tolist() == [1]
 
 
 def test_bpe_table(spark, corpus):
