@@ -1,18 +1,21 @@
 """Substring dedup: passages that already start in a document with a smaller id are removed.
 
-Suffixes (the words from a position on, cut at ``window`` words) are split by a prefix key into memory-sized groups;
-a suffix tree of each group names its nodes level by level, and the internal nodes of depth ``window`` with leaves of
-two documents are the repeats. Overlapping repeats of a document join to maximal ones.
+The suffixes of all texts that start at anchors are split by variable-length prefixes into groups that fit in memory; each
+group becomes a suffix tree, and the internal nodes of depth ``window`` or more with leaves of two documents are the
+repeats. Overlapping repeats of a document join to maximal ones.
 
 1. Documents with the same words are one text from the start, owned by the smallest id.
-2. The key of a suffix is its smallest ``GRAM``-word gram (a minimiser of its first ``window`` words), so a run of
-   neighbouring suffixes shares one key and travels as one segment of text.
-3. A census of the keys drops those of a single text: below them no node has two leaves.
-4. Keys of variable length: a key with more segments than ``GROUP`` is lengthened to all ``window`` words of the
-   suffix. Such a group is one node of full depth; its smallest id is pre-aggregated and joined back, so that a
-   passage in a third of all documents meets in no single task.
-5. Each other group is sorted into one task, where node names at depths 1, 2, 4, ... are formed by pairing the names of
-   half the depth.
+2. A window's anchor is its smallest ``GRAM``-word gram, so neighbouring windows share one and equal windows have theirs at
+   the same place. The windows of an anchor travel as one segment: their words, once. A segment has at most
+   ``window - GRAM + 1`` windows, however repetitive the text, and equal segments of a document are one.
+3. The first prefix of a segment is its anchor's gram. A census drops the prefixes of a single document: below them no
+   node has leaves of two. What is left is written, and equal segments of different documents become one, with the
+   smallest and the largest id.
+4. A prefix whose segments hold more than ``GROUP`` bytes is lengthened: its segments are cut into bands of ``width``
+   neighbouring windows, which share ``window - width + 1`` words. That is repeated for the next of ``WIDTHS`` and ends at
+   one window: there the prefix is all of it, the node is known, and ids are pre-aggregated without a tree.
+5. Each other group is one task's work: words are named exactly, suffixes sorted by doubling, and neighbours in that
+   order with ``window`` or more words in common lie below one internal node.
 """
 
 from __future__ import annotations
@@ -25,185 +28,212 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderspark.llm.common import POWERS, as_bytes, bounded_batches, mix, span_hashes, word_hashes, word_spans, written
+from tenderspark.llm.common import POWERS, as_bytes, bounded_batches, span_hashes, word_hashes, word_spans, written
 
-WINDOW, GRAM, GROUP = 50, 8, 4_000
+WINDOW, GRAM, GROUP = 50, 8, 4 << 20
+WIDTHS = (11, 3, 1)  # windows of a band, when a prefix is lengthened once, twice, ...
 FLUSH_BYTES = 4 << 20
+TASK_SEGMENTS = 200_000  # digests that a task remembers, so as to give the words of a segment once
+RUNS = "array<struct<first:int,last:int,low:long>>"
 
 
-def _window_min(x: np.ndarray, n: int) -> np.ndarray:
-    """Minimum of every n neighbours, by doubling."""
-    size, out = 1, x
+def _anchors(g: np.ndarray, n: int) -> np.ndarray:
+    """For every n neighbours of ``g`` the place of the first smallest one, by doubling."""
+    size, low, at = 1, g, np.arange(len(g))
     while size < n:
         step = min(size, n - size)
-        out = np.minimum(out[:-step], out[step:])
+        later = low[step:] < low[:-step]
+        low, at = np.where(later, low[step:], low[:-step]), np.where(later, at[step:], at[:-step])
         size += step
-    return out
+    return at
 
 
 class Words:
-    """The words of one UTF-8 text: byte spans, hashes, and the prefix keys of its suffixes."""
+    """The words of one UTF-8 text, and its segments by anchor."""
 
     def __init__(self, raw: bytes) -> None:
         self.raw = np.frombuffer(raw, np.uint8)
         self.starts, self.ends = word_spans(self.raw)
         self.n = len(self.starts)
 
-    def hashes(self) -> np.ndarray:
-        return word_hashes(self.raw, self.starts, self.ends)
-
-    def keys(self, window: int) -> np.ndarray:
-        """For each suffix of ``window`` words or more, its smallest gram's hash."""
+    def segments(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(prefix key, first window, last window) of each segment of a text of ``window`` words or more."""
         gram = min(GRAM, window)
         pw, ipw = POWERS.upto(self.n + 1)
+        wh = word_hashes(self.raw, self.starts, self.ends)
         at = np.arange(self.n - gram + 1)
-        return _window_min(span_hashes(self.hashes(), at, at + gram, pw, ipw), window - gram + 1)
-
-    def runs(self, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(key, first, last) of the runs of neighbouring suffixes with the same key."""
-        k = self.keys(window)
-        first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-        return k[first], first, np.concatenate((first[1:], [len(k)])) - 1
+        grams = span_hashes(wh, at, at + gram, pw, ipw)
+        anchor = _anchors(grams, window - gram + 1)
+        first = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
+        last = np.concatenate((first[1:], [len(anchor)])) - 1
+        return grams[anchor[first]], first, last
 
 
 def _signatures(window: int):
-    """doc_id, th, text -> doc_id, th, digest of the word sequence, n_words, the key of each segment."""
+    """doc_id, th, text -> doc_id, th, digest of the word sequence, n_words, the distinct prefix keys of its segments."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
+            digests, counts, keys = [], [], []
             for t in b.column(2):
-                w = Words(t.as_py() or b"")
-                long = w.n >= window
-                digest = hashlib.blake2b(w.hashes().tobytes(), digest_size=16).digest() if long else b""
-                out.append((digest, w.n, w.runs(window)[0].view(np.int64) if long else ()))
-            cols = list(zip(*out, strict=True)) or [(), (), ()]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int64()))], names=["doc_id", "th", "digest", "n_words", "keys"])
+                raw = t.as_py() or b""
+                w = Words(raw)
+                counts.append(w.n)
+                if w.n < window:
+                    digests.append(b""), keys.append([])
+                    continue
+                digests.append(hashlib.blake2b(b" ".join(raw.split()), digest_size=16).digest())
+                keys.append(np.unique(w.segments(window)[0]).view(np.int64))
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "th", "digest", "n_words", "keys"])
 
     return rows, "doc_id long, th long, digest binary, n_words long, keys array<long>"
 
 
 def _segments(window: int):
-    """doc_id, th, text, shared keys, frequent keys -> one row per segment of a shared key: the text of a run of suffixes.
-
-    Segments of frequent keys go out suffix by suffix, keyed by all their words, without text."""
+    """doc_id, th, text, shared prefix keys -> one row for each distinct segment of a shared prefix in a text: its digest, the
+    windows where it starts in the text, its size, and its words (null where the task gave them before)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[bytes] = set()
         for b in batches:
-            ids, ths, keys, starts, texts, deep = [], [], [], [], [], []
-            for doc, th, t, shared, often in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            out: list[tuple] = []
+            for doc, th, t, shared in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = t or b""
-                w = Words(raw)
-                k, first, last = w.runs(window)
-                signed = k.view(np.int64)
-                often_set = np.array(sorted(often or []), np.int64)
-                for i in np.flatnonzero(np.isin(signed, np.array(sorted(set(shared) - set(often or [])), np.int64))).tolist():
-                    ids.append(doc), ths.append(th), keys.append(int(signed[i])), starts.append(int(first[i])), deep.append(False)
-                    texts.append(raw[w.starts[first[i]] : w.ends[last[i] + window - 1]])
-                if len(often_set):
-                    pw, ipw = POWERS.upto(w.n + 1)
-                    wh = w.hashes()
-                    for i in np.flatnonzero(np.isin(signed, often_set)).tolist():
-                        at = np.arange(first[i], last[i] + 1)
-                        h = span_hashes(wh, at, at + window, pw, ipw).view(np.int64)
-                        ids += [doc] * len(at)
-                        ths += [th] * len(at)
-                        keys += h.tolist()
-                        starts += at.tolist()
-                        texts += [None] * len(at)
-                        deep += [True] * len(at)
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(ths, pa.int64()), pa.array(keys, pa.int64()), pa.array(starts, pa.int32()), pa.array(texts, pa.binary()), pa.array(deep, pa.bool_())], names=["doc_id", "th", "key", "start", "words", "deep"])
-
-    return rows, "doc_id long, th long, key long, start int, words binary, deep boolean"
-
-
-def _pair_names(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Names of the pairs (a, b) of node names: equal pairs get equal names."""
-    _, name = np.unique(a * np.int64(b.max() + 1) + b, return_inverse=True)
-    return name
-
-
-def tree_repeats(ids: np.ndarray, ths: np.ndarray, keys: np.ndarray, starts: np.ndarray, texts: list[bytes], window: int) -> tuple[np.ndarray, ...]:
-    """(doc_id, th, first, last) runs of suffix starts that lie below a node of depth ``window`` with a smaller doc_id.
-
-    All groups of a call are trees of one forest: the group's key is part of the names at depth 1."""
-    joined = b" ".join(texts)
-    raw = np.frombuffer(joined, np.uint8)
-    ws, we = word_spans(raw)
-    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-    seg = np.searchsorted(ends, ws, side="right")
-    _, name = np.unique(word_hashes(raw, ws, we) ^ mix(keys[seg].astype(np.uint64)), return_inverse=True)
-    n = len(name)
-    depth, levels = 1, {1: name}
-    while depth * 2 <= window:  # names of depth 2d pair two neighbours of depth d; past the end no suffix is that deep
+                key, first, last = Words(raw).segments(window)
+                key = key.view(np.int64)
+                words, found = raw.split(), {}
+                for i in np.flatnonzero(np.isin(key, np.array(shared, np.int64))).tolist():
+                    line = b" ".join(words[first[i] : last[i] + window])
+                    found.setdefault(line, (int(key[i]), []))[1].append(int(first[i]))
+                for line, (k, starts) in found.items():
+                    sid = hashlib.blake2b(line, digest_size=16).digest()
+                    out.append((doc, th, sid, k, starts, len(line), None if sid in given else line))
+                    given.add(sid)
+            if len(given) > TASK_SEGMENTS:
+                given.clear()
+            cols = list(zip(*out, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.binary()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "th", "sid", "key", "starts", "size", "words"])
+
+    return rows, "doc_id long, th long, sid binary, key long, starts array<int>, size long, words binary"
+
+
+def _bands(window: int, width: int):
+    """sid, place, words, lo, hi -> the bands of ``width`` windows of each segment, counted from its anchor: where a band
+    starts in the segment, the key of the words that its windows share, and its words (none for one window: the key says
+    all of them)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple] = []
+            for sid, place, line, lo, hi in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                words = line.split()
+                w = Words(line)
+                gram = min(GRAM, window)
+                pw, ipw = POWERS.upto(w.n + 1)
+                at = np.arange(w.n - gram + 1)
+                grams = span_hashes(word_hashes(w.raw, w.starts, w.ends), at, at + gram, pw, ipw)
+                anchor = int(_anchors(grams[: window - gram + 1], window - gram + 1)[0])  # all windows of a segment have the same
+                last = w.n - window
+                for a in {*range(anchor - last - (anchor - last) % width, anchor + 1, width)}:  # windows with a <= anchor - start < a + width
+                    start, end = max(0, anchor - a - width + 1), min(last, anchor - a)
+                    if start <= end:
+                        common = words[anchor - a : anchor - a - width + 1 + window]
+                        key = hashlib.blake2b(b"%d %d " % (width, a) + b" ".join(common), digest_size=16).hexdigest()
+                        out.append((sid, place + start, key, None if width == 1 else b" ".join(words[start : end + window]), lo, hi))
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            kinds = [pa.binary(), pa.int32(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["sid", "place", "key", "words", "lo", "hi"])
+
+    return rows, "sid binary, place int, key string, words binary, lo long, hi long"
+
+
+def suffix_tree_repeats(lines: list[bytes], lo: np.ndarray, hi: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(segment, first, last, low) runs of the windows of segments that lie below an internal node of depth ``window`` or
+    more with leaves of two documents; ``low`` is the smallest id below it.
+
+    Suffixes are sorted by doubling: names at depth 2d pair two neighbours at depth d, in the order of their words' names,
+    and words are named exactly. Where two neighbours in suffix order have fewer than ``window`` words in common, a deep
+    node ends."""
+    names: dict[bytes, int] = {}
+    split = [x.split() for x in lines]
+    size = np.array(list(map(len, split)), np.int64)
+    name = np.fromiter((names.setdefault(w, len(names)) for ws in split for w in ws), np.int64, int(size.sum()))
+    n, depth, levels = len(name), 1, {1: name}
+    while depth * 2 <= window:
         prev = levels[depth]
-        levels[2 * depth] = _pair_names(prev[: n - 2 * depth + 1], prev[depth : n - depth + 1]) if n >= 2 * depth else np.zeros(0, np.int64)
+        pair = prev[: n - 2 * depth + 1] * np.int64(prev.max() + 1) + prev[depth : n - depth + 1] if n >= 2 * depth else np.zeros(0, np.int64)
+        levels[2 * depth] = np.unique(pair, return_inverse=True)[1]
         depth *= 2
-    size = np.bincount(seg, minlength=len(texts))
-    first_word = np.concatenate(([0], np.cumsum(size)[:-1]))
-    place = np.arange(n) - first_word[seg]
+    start = np.concatenate(([0], np.cumsum(size)[:-1]))
+    seg = np.repeat(np.arange(len(lines)), size)
+    place = np.arange(n) - start[seg]
     suffix = np.flatnonzero(place + window <= size[seg])
     if not len(suffix):
-        return ids[:0], ths[:0], starts[:0], starts[:0]
-    node = _pair_names(levels[depth][suffix], levels[depth][suffix + window - depth])
-    doc = ids[seg[suffix]]
-    low = np.full(node.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(low, node, doc)
-    hit = np.flatnonzero(doc > low[node])
-    return _joined(doc[hit], ths[seg[suffix[hit]]], starts[seg[suffix[hit]]] + place[suffix[hit]])
-
-
-def _joined(doc: np.ndarray, th: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Neighbouring starts of a document as runs."""
-    if not len(doc):
-        return doc, th, at, at
-    order = np.lexsort((at, th, doc))
-    doc, th, at = doc[order], th[order], at[order]
-    edge = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]) | (at[1:] > at[:-1] + 1))))
-    return doc[edge], th[edge], at[edge], at[np.concatenate((edge[1:], [len(at)])) - 1]
+        return (np.zeros(0, np.int64),) * 4
+    top = levels[depth]
+    order = suffix[np.lexsort((top[suffix + window - depth], top[suffix]))]
+    a, b = order[:-1], order[1:]
+    together = (top[a] == top[b]) & (top[a + window - depth] == top[b + window - depth])  # ``window`` words in common
+    edge = np.concatenate(([0], np.flatnonzero(~together) + 1))
+    low, high = np.minimum.reduceat(lo[seg[order]], edge), np.maximum.reduceat(hi[seg[order]], edge)
+    node = np.repeat(np.arange(len(edge)), np.diff(np.concatenate((edge, [len(order)]))))
+    deep = low[node] < high[node]
+    s, p, v = seg[order][deep], place[order][deep], low[node][deep]
+    back = np.lexsort((p, s))
+    s, p, v = s[back], p[back], v[back]
+    if not len(s):
+        return s, p, p, v
+    new = np.flatnonzero(np.concatenate(([True], (s[1:] != s[:-1]) | (p[1:] != p[:-1] + 1) | (v[1:] != v[:-1]))))
+    return s[new], p[new], p[np.concatenate((new[1:], [len(s)])) - 1], v[new]
 
 
 def _trees(window: int):
+    """sid, place, key, words, lo, hi, sorted by key -> sid, first, last, low: the deep nodes' windows, by segment."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
 
         def flush(part: list[tuple]) -> pa.RecordBatch:
-            ids, ths, keys, starts = (np.array([r[i] for r in part], np.int64) for i in range(4))
-            doc, th, a, b = tree_repeats(ids, ths, keys, starts, [r[4] for r in part], window)
-            return pa.record_batch([pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["doc_id", "th", "first", "last"])
+            s, a, z, low = suffix_tree_repeats([r[3] for r in part], np.array([r[4] for r in part], np.int64), np.array([r[5] for r in part], np.int64), window)
+            place = np.array([r[1] for r in part], np.int64)[s]
+            return pa.record_batch([pa.array([part[i][0] for i in s.tolist()], pa.binary()), pa.array((a + place).astype(np.int32)), pa.array((z + place).astype(np.int32)), pa.array(low, pa.int64())], names=["sid", "first", "last", "low"])
 
         for b in batches:
-            fresh = list(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True))
+            fresh = list(zip(*(b.column(i).to_pylist() for i in range(6)), strict=True))
             held += fresh
-            size += sum(len(r[4]) for r in fresh)
+            size += sum(len(r[3]) for r in fresh)
             if size >= FLUSH_BYTES and held[0][2] != held[-1][2]:
                 cut = len(held)
                 while held[cut - 1][2] == held[-1][2]:
                     cut -= 1
                 yield flush(held[:cut])
                 held = held[cut:]
-                size = sum(len(r[4]) for r in held)
+                size = sum(len(r[3]) for r in held)
         if held:
             yield flush(held)
 
-    return rows, "doc_id long, th long, first int, last int"
+    return rows, "sid binary, first int, last int, low long"
 
 
 def _removed(window: int, with_text: bool):
-    """doc_id, text, runs of removed suffix starts, whether another id owns the text -> the result row."""
+    """doc_id, text, starts of segments with the runs of removed windows in them, whether another id owns the text -> the
+    result row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for t, runs, copied in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            for t, marks, copied in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 words = (t or b"").split()
                 gone = np.zeros(len(words) + 1, np.int64)
                 if copied:
                     gone[0], gone[-1] = 1, -1
-                for r in runs or []:
-                    gone[r["first"]] += 1
-                    gone[min(r["last"] + window, len(words))] -= 1
+                for m in marks or []:
+                    for r in m["runs"]:
+                        at = np.array(m["starts"], np.int64)
+                        np.add.at(gone, at + r["first"], 1)
+                        np.add.at(gone, at + r["last"] + window, -1)
                 out_of = np.cumsum(gone)[:-1] > 0
                 kept = [w for w, g in zip(words, out_of.tolist(), strict=True) if not g] if out_of.any() else words
                 line = b" ".join(kept)
@@ -214,14 +244,36 @@ def _removed(window: int, with_text: bool):
     return rows, f"doc_id long, n_words long, n_removed long, {'kept' if with_text else 'kept_sha256'} string"
 
 
+def census_of(segments: DataFrame, group: int) -> DataFrame:
+    """``segments`` (key, size, lo, hi) -> the keys of two documents or more, and whether their segments exceed ``group`` bytes."""
+    of = segments.groupBy("key").agg(F.sum("size").alias("size"), F.min("lo").alias("a"), F.max("hi").alias("b")).where("a < b")
+    return written(of.select("key", (F.col("size") > group).alias("long")), "prefixes")
+
+
+def grouped(segments: DataFrame, census: DataFrame, group: int, window: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """``segments`` (sid, place, key, words, lo, hi) and the census of their keys -> the tables of segments whose groups, by
+    key, hold at most ``group`` bytes, one for each length of prefix; and of what is left the windows (sid, place, key,
+    lo, hi), keyed by all their words."""
+    fitting = []
+    for width in (w for w in WIDTHS if w == 1 or w < window - min(GRAM, window) + 1):
+        fitting.append(segments.join(census.where("not long").select("key"), "key").select("sid", "place", "key", "words", "lo", "hi"))
+        if not census.where("long").limit(1).count():
+            return fitting, None
+        f, schema = _bands(window, width)
+        segments = written(segments.join(census.where("long").select("key"), "key").select("sid", "place", "words", "lo", "hi").mapInArrow(f, schema), "bands")
+        if width > 1:
+            census = census_of(segments.withColumn("size", F.length("words").cast("long")), group)
+    return fitting, segments.select("sid", "place", "key", "lo", "hi")
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, group: int = GROUP, with_text: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed and ``kept`` (the words left, joined by one space), or
     ``kept_sha256`` of it. Removed is each word covered by a window of ``window`` words whose sequence also starts in
-    a row with a smaller doc_id; windows are judged on the input.
+    a row with a smaller doc_id; windows are judged on the input. ``group`` bounds the bytes of a group of segments.
 
     Null, empty and shorter texts keep everything. Repeats within one document or between rows of the same id stay.
-    Rows with a null id neither lose words nor own any. Only the two named columns are read; an empty table gives an
-    empty result.
+    Rows with a null id neither lose words nor own any. Only the two named columns are read, so others may have any
+    name; an empty table gives an empty result. Texts of any length are read whole.
     """
     bounded_batches(docs.sparkSession)
     row = ["doc_id", "th"]  # an id and its text's hash name a row; rows equal in both share their marks
@@ -231,16 +283,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     owner = sig.groupBy("digest").agg(F.min("doc_id").alias("owner"))
     owned = written(sig.join(owner, "digest").select(*row, (F.col("doc_id") > F.col("owner")).alias("copied"), F.when(F.col("doc_id") == F.col("owner"), F.col("keys")).alias("keys")), "owned")
     places = owned.where("keys is not null").select(*row, F.explode("keys").alias("key"))
-    census = places.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key", (F.col("n") > group).alias("often"))
-    shared = places.join(census, "key").groupBy(*row).agg(F.collect_set("key").alias("shared"), F.collect_set(F.when(F.col("often"), F.col("key"))).alias("often"))
+    census = places.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("key")
+    shared = places.join(census, "key").groupBy(*row).agg(F.collect_set("key").alias("shared"))
     f, schema = _segments(window)
-    segments = written(given.join(shared, row).select(*row, "text", "shared", "often").mapInArrow(f, schema), "segments")
+    members = written(given.join(shared, row).select(*row, "text", "shared").mapInArrow(f, schema), "segments")
+    one = lambda c: members.groupBy("sid").agg(F.any_value("key").cast("string").alias("key"), F.max(c).alias(c), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    fitting, windows = grouped(one("words").withColumn("place", F.lit(0)), census_of(one("size"), group), group, window)
     f, schema = _trees(window)
-    leaves = segments.where("not deep").select(*row, "key", "start", "words").repartition("key").sortWithinPartitions("key").mapInArrow(f, schema)
-    deep = segments.where("deep").select(*row, "key", "start")
-    low = deep.groupBy("key").agg(F.min("doc_id").alias("low"))
-    nodes = deep.join(low, "key").where("doc_id > low").select(*row, F.col("start").alias("first"), F.col("start").alias("last"))
-    runs = leaves.union(nodes).groupBy(*row).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
-    marks = owned.where("copied").select(*row, "copied").distinct().join(runs, row, "full")
+    found = [x.repartition("key").sortWithinPartitions("key").mapInArrow(f, schema) for x in fitting]
+    if windows is not None:
+        node = windows.groupBy("key").agg(F.min("lo").alias("low"), F.max("hi").alias("high")).where("low < high").select("key", "low")
+        found.append(windows.join(node, "key").select("sid", F.col("place").alias("first"), F.col("place").alias("last"), "low"))
+    repeats = found[0]
+    for more in found[1:]:
+        repeats = repeats.union(more)
+    runs = repeats.groupBy("sid").agg(F.collect_list(F.struct("first", "last", "low")).alias("runs"))
+    mine = F.filter("runs", lambda r: r["low"] < F.col("doc_id"))
+    marked = members.select(*row, "sid", "starts").join(runs, "sid").select(*row, F.struct("starts", mine.cast(RUNS).alias("runs")).alias("marks")).where(F.size("marks.runs") > 0)
+    marks = owned.where("copied").select(*row, "copied").distinct().join(marked.groupBy(*row).agg(F.collect_list("marks").alias("marks")), row, "full")
     f, schema = _removed(window, with_text)
-    return given.join(marks, row, "left").select("doc_id", "text", "runs", "copied").mapInArrow(f, schema)
+    return given.join(marks, row, "left").select("doc_id", "text", "marks", "copied").mapInArrow(f, schema)

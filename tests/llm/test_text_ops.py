@@ -79,7 +79,7 @@ def brute_repeats(rows, n):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("window", "group"), [(10, 4000), (10, 2), (5, 3), (33, 4000)])
+@pytest.mark.parametrize(("window", "group"), [(10, 1 << 20), (10, 200), (5, 100), (33, 1 << 20), (33, 600), (50, 2000)])
 def test_substring_dedup(spark, corpus, window, group):
     got = substrings.remove_repeats(make_docs(spark, corpus), window=window, group=group).collect()
     assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got], key=repr) == brute_repeats(corpus, window)
@@ -93,6 +93,42 @@ def test_substring_dedup_same_id_other_text(spark):
     assert substrings.remove_repeats(make_docs(spark, rows).limit(0)).count() == 0
 
 
+def test_substring_dedup_of_repetitive_near_copies(spark):
+    """Long texts that repeat one line, in many near copies: few segments, and no group above its bound."""
+    rng = random.Random(12)
+    line = "the same nine words of one line over again".split()
+    rows = []
+    for i in range(60):
+        words = line * 220
+        for _ in range(3):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words), "en"))
+    docs, group = make_docs(spark, rows), 20_000
+    got = substrings.remove_repeats(docs, group=group).collect()
+    assert sorted([(r.doc_id, r.n_words, r.n_removed, r.kept) for r in got], key=repr) == brute_repeats(rows, 50)
+    rows_of, schema = substrings._segments(50)
+    given = docs.selectExpr("doc_id", "xxhash64(text) as th", "cast(text as binary) as text")
+    keys = {i: sorted(set(substrings.Words(t.encode()).segments(50)[0].view("int64").tolist())) for i, t, _ in rows}
+    shared = spark.createDataFrame(list(keys.items()), "doc_id long, shared array<long>")
+    members = given.join(shared, "doc_id").select("doc_id", "th", "text", "shared").mapInArrow(rows_of, schema)
+    distinct = members.groupBy("sid").agg(F.any_value("key").cast("string").alias("key"), F.max("words").alias("words"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).withColumn("place", F.lit(0))
+    assert distinct.count() < 60 * 3 * 60
+    census = substrings.census_of(distinct.withColumn("size", F.length("words").cast("long")), group)
+    assert census.where("long").count() > 0
+    fitting, windows = substrings.grouped(distinct, census, group, 50)
+    assert len(fitting) > 1
+    for table in fitting:
+        assert (table.groupBy("key").agg(F.sum(F.length("words")).alias("n")).agg(F.max("n")).first()[0] or 0) <= group
+
+
+def test_suffix_tree_nodes():
+    import numpy as np
+
+    lines = [b"a b c d e f", b"x b c d e y", b"a b c d e f"]
+    seg, first, last, low = substrings.suffix_tree_repeats(lines, np.array([5, 3, 7]), np.array([5, 3, 7]), 4)
+    assert sorted(zip(seg.tolist(), first.tolist(), last.tolist(), low.tolist(), strict=True)) == [(0, 0, 0, 5), (0, 1, 1, 3), (0, 2, 2, 5), (1, 1, 1, 3), (2, 0, 0, 5), (2, 1, 1, 3), (2, 2, 2, 5)]
+
+
 def brute_fingerprint(t, k):
     import xxhash
 
