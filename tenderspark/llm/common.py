@@ -22,23 +22,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where it is unset (tests), one under the system's temp folder."""
+    """The folder of ``spark.checkpoint.dir``, which all executors share. Where it is unset, as in tests, a run in one process
+    takes one under the system's temp folder; a cluster must name one."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
-    own = os.path.join(tempfile.gettempdir(), f"spark-{spark.sparkContext.applicationId}")
-    spark.sparkContext.setCheckpointDir(own)
-    return f"file://{own}"
+    if not spark.sparkContext._jsc.sc().isLocal():
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"file://{os.path.join(tempfile.gettempdir(), f'spark-{spark.sparkContext.applicationId}')}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts the lineage and survives lost executors."""
+    """``df`` as a Parquet table in the shared folder: cuts the lineage and survives lost executors. Spark deletes the
+    tables of a session when it ends (``removed_at_end``), as results are read lazily until then."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    removed_at_end(spark, path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed_at_end(spark: SparkSession, path: str) -> None:
+    """Marks a folder to be deleted by its file system when the driver's process ends."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jvm_path)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Arrow batches end at ``BATCH_BYTES``, so a run of very long texts can't fill a Python worker; and the workers
     get this package if they don't have it."""

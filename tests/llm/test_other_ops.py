@@ -53,6 +53,18 @@ def test_secrets_of_very_long_runs(spark, piece):
     assert [(s.start, s.kind, s.end) for s in got.base] == brute_base(text)
 
 
+def test_a_cluster_must_name_the_shared_folder(spark, monkeypatch):
+    from tenderspark.llm import common
+
+    class Context:
+        _jsc = type("J", (), {"sc": staticmethod(lambda: type("S", (), {"isLocal": staticmethod(lambda: False)}))})
+        getConf = staticmethod(dict)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_folder(type("Session", (), {"sparkContext": Context}))
+    assert common.shared_folder(spark).startswith("file:")
+
+
 def test_redaction(spark):
     docs = make_docs(spark, [(1, 'é token = "abcdefgh12" y', "en"), (2, None, "en"), (3, "clean", "en"), (4, f"token={HEX} z", "en")])
     out = secrets.redact(docs)

@@ -41,7 +41,7 @@ def brute_contamination(rows, items, n):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("block", [200_000, 12])
+@pytest.mark.parametrize("block", [1_000_000, 12])
 def test_contamination(spark, corpus, block):
     items = [(1, "The red BOLT, été de x9"), (10, "ring a b"), (9, None), (8, "..."), (None, "Über ring"), (2, " ".join(corpus[9][1].split()[:9]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
