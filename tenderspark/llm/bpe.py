@@ -3,7 +3,8 @@
 A text is cut where a rolling hash of its last eight bytes has its top bits zero, so that copied passages give the same
 chunks wherever they stand. Rows are brought together by their smallest chunk: texts that share chunks - copies, near
 copies, texts of one passage - meet in one task, next to one another, and a chunk is encoded once there and kept in a
-bounded memory. What is encoded of a chunk is its body, from its first to its last safe boundary. The piece between
+bounded memory. What is encoded of a chunk is its body, from its first to its last safe boundary; of that, the library is
+asked for the pieces between safe boundaries that the worker does not remember. The piece between
 two bodies, which holds the words that the cut splits, is repaired: it is encoded together with words of both
 neighbours, and the window widens until its outer tokens agree exactly with those of the bodies; a text that never
 agrees is encoded whole.
@@ -18,8 +19,10 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -31,11 +34,12 @@ from tenderspark.llm.common import as_bytes, bounded_batches
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 CHUNK_BITS = 10  # chunks of about 1 KiB
-MEMORY_IDS = 4_000_000  # ids that a worker keeps
+MEMORY_IDS = 2_000_000  # ids that a worker keeps
 WIDEST = 64  # words of each neighbour that a join is tried with
 BATCH_TEXT = 4 << 20
-SHORT = 24  # bytes of a window's piece that is remembered
+WORD_MEMORY, LONG_PIECE = 150_000, 256  # pieces of each of two generations; longer ones are not remembered
 _SAFE = re.compile(rb"(?<=[!-~]) (?=[0-9A-Za-z])")
+_CUT = re.compile(rb"(?<=[!-~])(?= [0-9A-Za-z])")
 PROBES = ["some words, and a few-more of them: 3 x 42 'tis it's we'll END", "a b", "x. y", "éa b é c", "1 2 3", "ab cd  ef\n gh", "#tag (paren) \"q w\" <|endoftext|> z"]
 
 
@@ -71,16 +75,17 @@ class Memory:
     def __init__(self, most: int) -> None:
         self.most, self.size, self.kept = most, 0, OrderedDict()
 
-    def find(self, key: bytes) -> np.ndarray | None:
-        if (got := self.kept.get(key)) is not None:
-            self.kept.move_to_end(key)
-        return got
+    def find(self, key: bytes) -> tuple[list[int], str] | None:
+        if (got := self.kept.get(key)) is None:
+            return None
+        self.kept.move_to_end(key)
+        return got[0].tolist(), got[1]
 
-    def keep(self, key: bytes, ids: np.ndarray) -> None:
-        self.kept[key] = ids
-        self.size += len(ids) + 16
+    def keep(self, key: bytes, found: tuple[list[int], str]) -> None:
+        self.kept[key] = (array("i", found[0]), found[1])
+        self.size += len(found[0]) + 16
         while self.size > self.most and self.kept:
-            self.size -= len(self.kept.popitem(last=False)[1]) + 16
+            self.size -= len(self.kept.popitem(last=False)[1][0]) + 16
 
 
 class ChunkEncoder:
@@ -92,8 +97,9 @@ class ChunkEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
-        self.bits, self.memory, self.words = bits, Memory(MEMORY_IDS), Memory(MEMORY_IDS // 8)
+        self.bits, self.memory, self.words, self.old = bits, Memory(MEMORY_IDS), {}, {}
         self.asked = self.encoded = self.widened = self.whole = 0
+        self.drops = all(list(chain.from_iterable(self.library(p.encode().split()))) == self.library([p.encode()])[0] for p in PROBES)  # white space
         if not self.safe(path):
             raise ValueError(f"tokens of {path} may reach across a space between words; such a vocabulary can't be encoded in chunks")
 
@@ -107,23 +113,35 @@ class ChunkEncoder:
             raw = probe.encode()
             at = [0, *(m.start() for m in _SAFE.finditer(raw)), len(raw)]
             parts = self.library([raw[a:b] for a, b in zip(at, at[1:], strict=False)])
-            if np.concatenate(parts).tolist() != self.library([raw])[0].tolist():
+            if list(chain.from_iterable(parts)) != self.library([raw])[0]:
                 return False
         return True
 
-    def short(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """``library`` for windows of joins: words at their ends recur, so short pieces are remembered."""
-        got = [self.words.find(p) for p in pieces]
-        lost = list({p for p, g in zip(pieces, got, strict=True) if g is None})
-        fresh = dict(zip(lost, self.library(lost), strict=True)) if lost else {}
-        for p, ids in fresh.items():
-            if len(p) <= SHORT:
-                self.words.keep(p, ids)
-        return [fresh[p] if g is None else g for p, g in zip(pieces, got, strict=True)]
+    def pieced(self, spans: list[bytes]) -> list[tuple[list[int], str]]:
+        """The ids of spans that start and end at safe boundaries, and the ids as text, from the pieces between those inside.
+        A piece that the worker remembers is not asked of the library again: words recur, most of a span is known."""
+        cut = [x.split() if self.drops else _CUT.split(x) for x in spans]
+        out = []
+        get = self.words.get
+        wanted = {p for ps in cut for p in set(ps) if p not in self.words}
+        if wanted:
+            fresh = {p: self.old.get(p) for p in wanted}
+            ask = [p for p, x in fresh.items() if x is None]
+            fresh |= {p: (ids, " ".join(map(str, ids))) for p, ids in zip(ask, self.library(ask), strict=True)}
+            if len(self.words) + len(fresh) > WORD_MEMORY:
+                self.old, self.words = self.words, {p: x for ps in cut for p in ps if (x := get(p)) is not None}
+                get = self.words.get
+            self.words |= fresh
+        for ps in cut:
+            got = list(map(get, ps))
+            out.append((list(chain.from_iterable([x[0] for x in got])), " ".join([x[1] for x in got if x[0]])))
+        for p in wanted:
+            if len(p) > LONG_PIECE:
+                del self.words[p]
+        return out
 
-    def library(self, pieces: list[bytes]) -> list[np.ndarray]:
-        found = self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
-        return [np.array(e.ids, np.int32) for e in found]
+    def library(self, pieces: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
 
     def layout(self, raw: bytes) -> list[tuple[int, int, bytes]]:
         """(start, end, digest) of the bodies of the chunks of a text that have one; the text's ends are safe too."""
@@ -142,10 +160,10 @@ class ChunkEncoder:
             start = end
         return out
 
-    def encode_many(self, raws: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text."""
+    def encode_many(self, raws: list[bytes]) -> list[tuple[list[int], str]]:
+        """The ids of each text, and the ids as text."""
         layouts = [self.layout(r) for r in raws]
-        bodies: dict[bytes, np.ndarray | None] = {}
+        bodies: dict[bytes, tuple[list[int], str] | None] = {}
         wanted: list[tuple[bytes, bytes]] = []
         for raw, layout in zip(raws, layouts, strict=True):
             for a, b, key in layout:
@@ -155,25 +173,26 @@ class ChunkEncoder:
                     if bodies[key] is None:
                         self.encoded += b - a
                         wanted.append((key, raw[a:b]))
-        for (key, _), ids in zip(wanted, self.library([p for _, p in wanted]), strict=True):
+        for (key, _), ids in zip(wanted, self.pieced([p for _, p in wanted]), strict=True):
             bodies[key] = ids
             self.memory.keep(key, ids)
         gaps = []  # (text, its place among the gaps of the text, left body or None, right body or None)
         for i, layout in enumerate(layouts):
             ends = [0, *(x for a, z, _ in layout for x in (a, z)), len(raws[i])]
             gaps += [(i, k, layout[k - 1] if k else None, layout[k] if k < len(layout) else None) for k in range(len(layout) + 1) if ends[2 * k] < ends[2 * k + 1]]
-        joined: dict[tuple[int, int], np.ndarray] = {}
+        joined: dict[tuple[int, int], list[int]] = {}
         words = 1
         while gaps and words <= WIDEST:
-            windows = []
+            whole, ends = [], []
             for i, _, left, right in gaps:
                 raw = raws[i]
                 a, b = left[1] if left else 0, right[0] if right else len(raw)
                 lo, hi = self.words_before(raw, left, words), self.words_after(raw, right, words)
-                windows += [raw[lo:a], raw[lo:hi], raw[b:hi]]
-            found, again = self.short(windows), []
+                whole.append(raw[lo:hi])
+                ends += [raw[lo:a], raw[b:hi]]
+            found, known, again = self.library(whole), self.pieced(ends), []
             for g, (i, k, left, right) in enumerate(gaps):
-                ids = self.agreed(*found[3 * g : 3 * g + 3], bodies[left[2]] if left else None, bodies[right[2]] if right else None)
+                ids = self.agreed(known[2 * g][0], found[g], known[2 * g + 1][0], bodies[left[2]][0] if left else None, bodies[right[2]][0] if right else None)
                 if ids is None:
                     again.append((i, k, left, right))
                 else:
@@ -182,14 +201,14 @@ class ChunkEncoder:
             self.widened += len(again)
         lost = sorted({g[0] for g in gaps})
         self.whole += len(lost)
-        out = dict(zip(lost, self.library([raws[i] for i in lost]), strict=True)) if lost else {}
+        text = lambda ids: (ids, " ".join(map(str, ids)))
+        out = dict(zip(lost, map(text, self.library([raws[i] for i in lost])), strict=True)) if lost else {}
         for i, layout in enumerate(layouts):
             if i not in out:
-                none = np.zeros(0, np.int32)
-                parts = [joined.get((i, 0), none)]
+                parts = [text(joined[i, 0])] if (i, 0) in joined else []
                 for k, (_, _, key) in enumerate(layout):
-                    parts += [bodies[key], joined.get((i, k + 1), none)]
-                out[i] = np.concatenate(parts)
+                    parts += [bodies[key], text(joined.get((i, k + 1), []))]
+                out[i] = (list(chain.from_iterable([x for x, _ in parts])), " ".join([x for _, x in parts if x]))
         return [out[i] for i in range(len(raws))]
 
     @staticmethod
@@ -219,13 +238,13 @@ class ChunkEncoder:
         return at
 
     @staticmethod
-    def agreed(before: np.ndarray, window: np.ndarray, after: np.ndarray, left: np.ndarray | None, right: np.ndarray | None) -> np.ndarray | None:
+    def agreed(before: list[int], window: list[int], after: list[int], left: list[int] | None, right: list[int] | None) -> list[int] | None:
         """The ids between the neighbours' words in ``window``, if its outer ids are those of the words alone and those
         that the bodies hold; else None."""
         a, z = len(before), len(window) - len(after)
-        if a > z or not np.array_equal(window[:a], before) or not np.array_equal(window[z:], after):
+        if a > z or window[:a] != before or window[z:] != after:
             return None
-        if left is not None and not np.array_equal(left[len(left) - a :], before) or right is not None and not np.array_equal(right[: len(after)], after):
+        if left is not None and left[len(left) - a :] != before or right is not None and right[: len(after)] != after:
             return None
         return window[a:z]
 
@@ -275,9 +294,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 while e < len(texts) and size + len(texts[e]) <= BATCH_TEXT:
                     size += len(texts[e])
                     e += 1
-                ids = [x.tolist() for x in enc.encode_many(texts[s:e])]
-                for x, decoded in zip(ids, enc.tok.decode_batch(ids, skip_special_tokens=False), strict=True):
-                    line = " ".join(map(str, x))
+                found = enc.encode_many(texts[s:e])
+                for (x, line), decoded in zip(found, enc.tok.decode_batch([x for x, _ in found], skip_special_tokens=False), strict=True):
                     out.append((len(x), sha(line), sha(decoded)) if digests else (len(x), line, decoded))
                 s = e
             cols = list(zip(*out, strict=True)) or [(), (), ()]
