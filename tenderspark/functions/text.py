@@ -93,6 +93,16 @@ def parse_decimal(c: Column, kind: str = "decimal(18,4)") -> Column:
     return blank_to_null(c).try_cast(kind)
 
 
+def parse_text(c: Column) -> Column:
+    """Trimmed; blank gives null."""
+    return blank_to_null(c)
+
+
+def quantity_text(c: Column) -> Column:
+    """A quantity as the text of a double (1.0, 2420.0); null gives the empty string, what is no number stays."""
+    return F.coalesce(c.cast("string").try_cast("double").cast("string"), c.cast("string"), F.lit(""))
+
+
 def parse_int(c: Column) -> Column:
     """An integer, by truncation of a decimal text."""
     return blank_to_null(c).try_cast("double").try_cast("bigint")
@@ -120,19 +130,22 @@ def price_variants(c: Column) -> Column:
 
 
 def format_date_br(c: Column) -> Column:
-    """dd/MM/yyyy; a text that is no date stays."""
-    return F.coalesce(F.date_format(parse_date(c), "dd/MM/yyyy"), c)
+    """dd/MM/yyyy; a text that is no date stays, null gives the empty string."""
+    return F.coalesce(F.date_format(parse_date(c), "dd/MM/yyyy"), c, F.lit(""))
 
 
 def validity_end(kind: Column, end: Column, signed: Column) -> Column:
-    return F.when(kind == "act", end).otherwise(F.add_months(signed, 12))
+    """A contract ends a year after its signature; whatever else, kind unknown too, has its own end."""
+    return F.when(F.lower(kind) == "contract", F.add_months(signed, 12)).otherwise(end)
 
 
-CONTROL = r"^([0-9]{14})-([0-9])-([0-9]+)/([0-9]{4})(?:-([0-9]+))?$"
+CONTROL = r"^([0-9]{14})-([0-9]+)-([0-9]+)/([0-9]{4})(?:-([0-9]+))?$"
 
 
 def parse_control_number(c: Column) -> Column:
-    """struct(cnpj, kind, seq, year, act_seq) of ``cnpj-kind-seq/year[-act]``, leading zeros dropped; else null."""
+    """struct(cnpj, kind, seq, year, act_seq) of ``cnpj-kind-seq/year[-act]``, leading zeros dropped, blanks around it
+    too; else null."""
+    c = F.trim(c)
     part = lambda i: F.regexp_extract(c, CONTROL, i)
     return F.when(c.rlike(CONTROL), F.struct(part(1).alias("cnpj"), part(2).alias("kind"), part(3).cast("long").alias("seq"), part(4).cast("int").alias("year"), F.nullif(part(5), F.lit("")).cast("long").alias("act_seq")))
 
@@ -152,7 +165,9 @@ def purchase_seq(control: Column) -> Column:
 
 
 def head_noun(description: Column, name: Column) -> Column:
-    return F.coalesce(blank_to_null(F.substring_index(description, ",", 1)), name)
+    """What stands before the first comma of the description; without a comma the name, and without a name the description."""
+    whole = F.coalesce(blank_to_null(name), description, F.lit(""))
+    return F.trim(F.when(F.coalesce(description, F.lit("")).contains(","), F.substring_index(description, ",", 1)).otherwise(whole))
 
 
 def item_key(document: Column, number: Column) -> Column:
@@ -198,8 +213,13 @@ def parse_label_pipe(c: Column, labels: list[str]) -> Column:
     return F.struct(F.when(known, name).otherwise("error").alias("label"), F.when(known, said).otherwise(F.substring(t, 1, 120)).alias("reason"))
 
 
+def page_density(c: Column) -> Column:
+    """Characters of a page without those around its text; null has none."""
+    return F.length(F.trim(F.coalesce(c, F.lit(""))))
+
+
 def is_scanned(c: Column, least: int = 100) -> Column:
-    return F.length(F.trim(F.coalesce(c, F.lit("")))) < least
+    return page_density(c) < least
 
 
 def strip_nul(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderspark.functions import text as T
@@ -34,6 +34,17 @@ def keyword_prefilter(df: DataFrame, query: str, cols: list[str], key: str, limi
     return out if limit is None else out.limit(limit)
 
 
+def placed(df: DataFrame, code: str) -> DataFrame:
+    """``df`` with ``place`` 1..n by (length of the code, code), all rows. Rows are numbered inside buckets of one length and
+    leading characters, in which that order is kept; a bucket starts after the counts of those before it, so no task sorts
+    the whole table."""
+    rows = df.withColumns({"_n": F.length(code), "_head": F.substring(code, 1, 3)})
+    before = Window.orderBy("_n", "_head").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_n", "_head").agg(F.count(F.lit(1)).alias("_size")).withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    inside = rows.withColumn("_in", F.row_number().over(Window.partitionBy("_n", "_head").orderBy(code)))
+    return inside.join(starts, ["_n", "_head"]).withColumn("place", (F.col("_start") + F.col("_in")).cast("int")).drop("_n", "_head", "_start", "_in")
+
+
 def derive_catalog(catalog: DataFrame, allow: DataFrame, current: DataFrame) -> DataFrame:
     """(kind, code, category, active): allowed entries are active and keep the category they have; those of
     ``current`` that are no longer allowed are deactivated, never deleted."""

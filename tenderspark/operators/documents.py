@@ -91,24 +91,31 @@ def _same_length_fold(c: Column) -> Column:
     return F.translate(F.lower(c), one, to)
 
 
-def anchor_windows(text: Column, description: Column, number: Column, price: Column, cap: int = 9000, radius: int = 3000, price_radius: int = 1500, no_anchor: int = 12_000) -> Column:
-    """The parts of a document around an item: the first 40 characters of its description (else 'item <n>') and up to
-    two hits of each price spelling, merged where they overlap, joined by a mark and cut at ``cap``; without an anchor
-    the first ``no_anchor`` characters."""
-    folded = _same_length_fold(text)
-    head = F.substring(_same_length_fold(F.trim(description)), 1, 40)
-    needle = F.when(F.length(head) > 0, head).otherwise(F.concat(F.lit("item "), number.cast("string")))
-    span = lambda at, r: F.when(at > 0, F.array(F.struct(F.greatest(at - r, F.lit(1)).cast("int").alias("a"), (at + r).cast("int").alias("b")))).otherwise(F.array()).cast("array<struct<a:int,b:int>>")
-    spans = [span(F.instr(folded, needle), radius)]
+def anchor_windows(text: Column, description: Column, number: Column, price: Column, cap: int = 9000, radius: int = 3000, price_radius: int = 1500, no_anchor: int | None = None) -> Column:
+    """The parts of a document around an item: where the first 40 characters of its description stand (where they don't,
+    'item <n>'), and up to two hits of each price spelling, the second after the end of the first. Parts that overlap or
+    touch are one; together they hold at most ``cap`` characters, the later ones are cut; a mark stands between them.
+    Without an anchor it is the first ``no_anchor`` characters (four times ``radius`` if not given)."""
+    none = F.array().cast("array<struct<a:int,b:int>>")
+    folded, size = _same_length_fold(text), F.length(text)
+    found = lambda needle: F.coalesce(F.when(F.length(needle) > 0, F.instr(folded, needle)), F.lit(0))
+    by_text = found(F.substring(_same_length_fold(F.trim(description)), 1, 40))
+    by_number = found(F.concat(F.lit("item "), F.trim(number.cast("string"))))
+    span = lambda at, r: F.when(at > 0, F.array(F.struct(F.greatest(at - 1 - r, F.lit(0)).cast("int").alias("a"), F.least(at - 1 + r, size).cast("int").alias("b")))).otherwise(none)
+    spans = [span(F.when(by_text > 0, by_text).otherwise(by_number), radius)]
     variants = T.price_variants(price)
     for i in (1, 2):
         v = F.try_element_at(variants, F.lit(i))
         one = F.coalesce(F.instr(text, v), F.lit(0))
-        two = F.when(one > 0, F.coalesce(F.instr(F.substring(text, one + 1, F.length(text)), v), F.lit(0))).otherwise(0)
-        spans += [span(one, price_radius), span(F.when(two > 0, one + two).otherwise(0), price_radius)]
+        rest = one + F.length(v)
+        more = F.when(one > 0, F.instr(F.substring(text, rest, size), v)).otherwise(0)
+        spans += [span(one, price_radius), span(F.when(more > 0, rest - 1 + more).otherwise(0), price_radius)]
     merged = merged_intervals(F.concat(*spans))
-    parts = F.transform(merged, lambda s: F.substring(text, s["a"], s["b"] - s["a"]))
-    return F.when(F.size(merged) == 0, F.substring(text, 1, no_anchor)).otherwise(F.substring(F.array_join(parts, MARK), 1, cap))
+    start = F.struct(F.lit(0).alias("used"), F.array().cast("array<string>").alias("parts"))
+    take = lambda acc, s: F.least(s["b"] - s["a"], F.lit(cap) - acc["used"])
+    grown = lambda acc, s: F.struct((acc["used"] + take(acc, s)).alias("used"), F.array_append(acc["parts"], F.substring(text, s["a"] + 1, take(acc, s))).alias("parts"))
+    parts = F.aggregate(merged, start, lambda acc, s: F.when(acc["used"] < cap, grown(acc, s)).otherwise(acc))["parts"]
+    return F.when(F.size(merged) == 0, F.substring(text, 1, 4 * radius if no_anchor is None else no_anchor)).otherwise(F.array_join(parts, MARK))
 
 
 def match_items_to_table(items: DataFrame, rows: DataFrame, document: str, key: str, item_text: str, row_index: str, row_text: str) -> DataFrame:

@@ -92,12 +92,13 @@ def refilter_top_k(pairs: DataFrame, by: list[str], score: str, k: int, floor: f
 
 def candidate_pairs(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, tokens: str, k: int, floor: float, vector: str | None = None) -> DataFrame:
     """(block, code, key, bm25, cosine, score): score is the larger of the block-normalised BM25 and the cosine; floor
-    first, then the best ``k`` per code. Without vectors cosine is 0 and only pairs with a common term are made."""
+    first, then the best ``k`` per code. A pair that one signal does not know has 0 there; without vectors cosine is 0 and
+    only pairs with a common term are made."""
     bm = minmax_in_block(bm25_scores(catalog, items, block, code, key, tokens), catalog, items, block, code, key, "bm25").select(block, code, key, F.col("norm").alias("bm25"))
     if vector is None:
         pairs = bm.withColumn("cosine", F.lit(0.0))
     else:
-        pairs = cosine_scores(catalog, items, block, code, key, vector).join(bm, [block, code, key], "left").withColumn("bm25", F.coalesce("bm25", F.lit(0.0)))
+        pairs = cosine_scores(catalog, items, block, code, key, vector).join(bm, [block, code, key], "full").select(block, code, key, F.coalesce("bm25", F.lit(0.0)).alias("bm25"), F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
     return top_k(pairs.withColumn("score", F.greatest("bm25", "cosine")), [block, code], "score", key, k, floor).drop("place")
 
 

@@ -17,13 +17,18 @@ def iqr_bounds(df: DataFrame, by: list[str], price: str, factor: float = 3.0, ac
     return q.select(*by, q1.alias("q1"), q3.alias("q3"), (q1 - factor * (q3 - q1)).alias("lo"), (q3 + factor * (q3 - q1)).alias("hi"))
 
 
-def price_flags(df: DataFrame, by: list[str], price: str, factor: float = 3.0) -> DataFrame:
-    """``df`` with ``price_flag``: null, not positive, or outside the bounds of its group.
+def price_flags(df: DataFrame, by: list[str], price: str, factor: float = 3.0, accuracy: int | None = None) -> DataFrame:
+    """``df`` with ``price_flag``: null, not positive, or outside the bounds of its group; rows with a null in ``by`` are a
+    group like any other. ``accuracy`` as in ``iqr_bounds``.
 
     The bounds are aggregated first and joined back, so a group of any size is never held by one task."""
     p = F.col(price)
     bad = p.isNull() | (p <= 0) | (p < F.col("lo")) | (p > F.col("hi"))
-    return df.join(iqr_bounds(df, by, price, factor), by).withColumn("price_flag", F.coalesce(bad, F.lit(True))).drop("q1", "q3", "lo", "hi")
+    bounds = iqr_bounds(df, by, price, factor, accuracy).select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "lo", "hi")
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & df[c].eqNullSafe(F.col(f"_by{i}"))
+    return df.join(bounds, same).withColumn("price_flag", F.coalesce(bad, F.lit(True))).drop("lo", "hi", *[f"_by{i}" for i in range(len(by))])
 
 
 def band_flag(price: Column, low: Column, high: Column) -> Column:
@@ -49,9 +54,9 @@ def rank_cheapest(df: DataFrame, by: list[str], price: str, key: str, top: int =
     return out.where(F.col("position") <= top) if top > 0 else out
 
 
-def rank_prices(items: DataFrame, by: list[str], price: str, item: str, bands: DataFrame | None = None, category: str | None = None, factor: float = 3.0, least: int = 1, top: int = 0) -> DataFrame:
+def rank_prices(items: DataFrame, by: list[str], price: str, item: str, bands: DataFrame | None = None, category: str | None = None, factor: float = 3.0, least: int = 1, top: int = 0, accuracy: int | None = None) -> DataFrame:
     """Flags, then the unflagged rows of groups with enough items, cheapest first."""
-    flagged = price_flags(items, by, price, factor)
+    flagged = price_flags(items, by, price, factor, accuracy)
     if bands is not None:
         flagged = with_bands(flagged, bands, category, price)
     return rank_cheapest(enough_items(flagged.where("not price_flag").drop("price_flag"), by, item, least), by, price, item, top)

@@ -34,9 +34,9 @@ def filter_groups(spark, sf_dir):
     return K.filter_groups(catalog(spark, sf_dir), ["PROMO", "LARGE"]).select("kind", "code", "group_name")
 
 
-@add("keyword_prefilter", f"WITH {CATALOG} SELECT code, hits FROM (SELECT code, CAST(len(list_filter(['red', 'bolt', 'brand', '12'], lambda t: contains(lower(description || ' ' || name), t))) AS INT) AS hits FROM catalog) WHERE hits > 0 ORDER BY hits DESC, code LIMIT 500")
+@add("keyword_prefilter", f"WITH {CATALOG} SELECT code, hits FROM (SELECT code, CAST(len(list_filter(['red', 'bolt', 'brand', '12'], lambda t: contains(lower(description || ' ' || name), t))) AS INT) AS hits FROM catalog) WHERE hits > 0")
 def keyword_prefilter(spark, sf_dir):
-    return K.keyword_prefilter(catalog(spark, sf_dir), "Red  bolt de Brand 12", ["description", "name"], "code", 500).select("code", "hits")
+    return K.keyword_prefilter(catalog(spark, sf_dir), "Red  bolt de Brand 12", ["description", "name"], "code").select("code", "hits")
 
 
 _CURRENT = "current AS (SELECT kind, code, 'cat' || substr(code, 1, 1) AS category FROM catalog WHERE CAST(code AS BIGINT) % 3 = 0)"

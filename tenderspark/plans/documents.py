@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tenderspark.functions import text as T
 from tenderspark.operators import documents as D
 from tenderspark.plans.demo import ITEMS, Plans, items, r4, sql4, table
 
@@ -119,7 +120,10 @@ def retention_plan(spark, sf_dir):
 
 @add("anchor_windows")
 def anchor_windows(spark, sf_dir):
-    """Windows of every document around a phrase of its own; held against a brute-force version in the tests."""
+    """Windows of every document around a phrase of its own (for each third only a number, which no text has) and a price
+    that stands behind its text; the operator is held against expected excerpts in the tests."""
     d = table(spark, sf_dir, "documents")
     phrase = F.regexp_extract("text", r"(\S+ \S+ \S+)\s*$", 1)
-    return d.select("doc_id", D.anchor_windows(F.col("text"), phrase, F.col("doc_id"), F.lit(None).cast("double"), 900, 300, 150, 1200).alias("window"))
+    price = F.when(F.col("doc_id") % 2 == 0, 1000 + F.col("doc_id").cast("double"))
+    text = F.concat_ws(" ", "text", F.lit("valor"), T.format_money_br(price), F.lit("reais"))
+    return d.select("doc_id", D.anchor_windows(text, F.when(F.col("doc_id") % 3 != 0, phrase), F.col("doc_id"), price, 900, 300, 150).alias("window"))

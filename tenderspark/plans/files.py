@@ -141,7 +141,7 @@ def clean_scorer_output(spark, sf_dir):
 @add("format_report", "SELECT o_orderkey AS document, strftime(o_orderdate, '%d/%m/%Y') AS dated, replace(replace(replace(format('{:,.2f}', o_totalprice), ',', ';'), '.', ','), ';', '.') AS price, replace(format('{:.2f}', o_totalprice), '.', ',') AS plain, CASE WHEN o_orderkey % 2 = 0 THEN split_part(o_orderpriority, '-', 1) ELSE o_orderpriority END AS noun FROM orders")
 def format_report(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    text = F.when(F.col("o_orderkey") % 2 == 0, F.replace("o_orderpriority", F.lit("-"), F.lit(","))).otherwise(F.lit(" "))
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.replace("o_orderpriority", F.lit("-"), F.lit(","))).otherwise(F.lit("plain text"))
     return o.select(F.col("o_orderkey").alias("document"), T.format_date_br(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("dated"), T.format_money_br(F.col("o_totalprice")).alias("price"), T.price_variants(F.col("o_totalprice"))[0].alias("plain"), T.head_noun(text, F.col("o_orderpriority")).alias("noun"))
 
 

@@ -60,10 +60,10 @@ def ranked(spark, sf_dir):
     return rank_cheapest(described(spark, sf_dir).withColumn("run_id", F.year("shipped").cast("long")), ["run_id", "code"], "unit_price", "item_key")
 
 
-@add("audit_trail", f"WITH {_RANKED} SELECT run_id, code, CAST(position AS INT) AS position, item_key, o_orderdate AS dated, c_name AS buyer, r_name AS region, s_name AS supplier_name, CASE WHEN flag = 'R' THEN upper(description) END AS final_text, CASE WHEN unit IN ('Brand#1', 'Brand#2') THEN 'class-' || unit END AS text_class FROM ranked JOIN orders ON document = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN supplier ON supplier = s_suppkey WHERE run_id = 1998 AND code % 7 = 0")
+@add("audit_trail", f"WITH {_RANKED} SELECT run_id, code, CAST(position AS INT) AS position, item_key, o_orderdate AS dated, c_name AS buyer, r_name AS region, s_name AS supplier_name, CASE WHEN flag = 'R' THEN upper(description) END AS final_text, CASE WHEN unit IN ('Brand#1', 'Brand#2') THEN 'class-' || unit END AS text_class FROM ranked JOIN orders ON document = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN supplier ON supplier = s_suppkey WHERE run_id = 1998")
 def audit_trail(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
-    r = ranked(spark, sf_dir).where("run_id = 1998 and code % 7 = 0")
+    r = ranked(spark, sf_dir).where("run_id = 1998")
     d = described(spark, sf_dir)
     enriched = d.where("flag = 'R'").select("item_key", F.upper("description").alias("final_text"))
     classes = t("part").where("p_brand in ('Brand#1', 'Brand#2')").select(F.col("p_partkey").alias("code"), F.concat(F.lit("class-"), "p_brand").alias("text_class"))

@@ -17,9 +17,11 @@ SERVICE = "codigoServico string, nomeServico string, codigoGrupo string, nomeGru
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder for intermediate files: under ``spark.checkpoint.dir``, which executors share; where that is unset
-    (tests), under the system's temp folder."""
+    """A new folder for intermediate files: under ``spark.checkpoint.dir``, which executors share. Where that is unset, as in
+    tests, a run in one process takes the system's temp folder; a cluster must name one."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext._jsc.sc().isLocal():
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{root.rstrip('/') if root else 'file://' + os.path.join(tempfile.gettempdir(), 'tenderspark')}/{label}-{uuid.uuid4().hex}"
 
 

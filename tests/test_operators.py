@@ -92,37 +92,61 @@ def test_extraction_ladder(spark, found, qty, price, rq, rp, status, gap):
     assert (r.status, r.divergence) == (status, gap)
 
 
-def brute_window(text, desc, n, price, cap, radius, price_radius, no_anchor):
-    import unicodedata
-
-    fold = "".join(d if len(d := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))) == 1 else c for c in text.lower())
-    flat = "".join(d if len(d := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))) == 1 else c for c in (desc or "").strip().lower())
-    spans = []
-    at = fold.find(flat[:40] or f"item {n}")
-    if at >= 0:
-        spans.append((at + 1 - radius, at + 1 + radius))
-    for v in ([f"{price:.2f}".replace(".", ","), f"{price:,.2f}".translate(str.maketrans(",.", ".,"))] if price else []):
-        a = text.find(v)
-        b = text.find(v, a + 1) if a >= 0 else -1
-        spans += [(x + 1 - price_radius, x + 1 + price_radius) for x in (a, b) if x >= 0]
-    if not spans:
-        return text[:no_anchor]
-    merged = []
-    for a, b in sorted((max(a, 1), b) for a, b in spans):
-        if merged and merged[-1][1] >= a:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    return D.MARK.join(text[a - 1 : b - 1] for a, b in merged)[:cap]
-
-
-@pytest.mark.parametrize(("desc", "price"), [("Cadeira GIRATÓRIA azul", None), ("nothing here", 1234.5), ("Cadeira giratória", 1234.5), (None, None), ("absent", None)])
-def test_anchor_windows(spark, desc, price):
-    text = "início " * 40 + "Cadeira giratória azul " + "meio " * 60 + "1.234,50 x 1234,50 " + "fim " * 50 + "1.234,50"
-    args = (300, 50, 20, 100)
-    df = spark.createDataFrame([(text, desc, 4, price)], "t string, d string, n int, p double")
-    got = df.select(D.anchor_windows(F.col("t"), F.coalesce("d", F.lit("")), F.col("n"), F.col("p"), *args).alias("w")).first().w
-    assert got == brute_window(text, desc, 4, price, *args)
+def window(spark, text, desc, n, price, *args):
+    df = spark.createDataFrame([(text, desc, n, price)], "t string, d string, n int, p double")
+    return df.select(D.anchor_windows(F.col("t"), F.col("d"), F.col("n"), F.col("p"), *args).alias("w")).first().w
+
+
+def test_anchor_windows(spark):
+    """Expected excerpts by position: the text, not the code, says what is due."""
+    phrase = "PISTOLA 9MM CALIBRE ESPECIAL"
+    assert window(spark, "x" * 5000 + phrase + "y" * 5000, phrase, 1, None, 9000, 200) == "x" * 200 + phrase + "y" * (200 - len(phrase))
+    found = window(spark, "a" * 3000 + "valor unitario: 1.500,00 reais" + "b" * 3000, "algo que não está no texto", None, 1500.0, 9000, 3000, 200)
+    assert found == "a" * 184 + "valor unitario: 1.500,00 reais" + "b" * (200 - 14)
+    assert window(spark, "z" * 20000, "não existe", None, None) == "z" * 12000
+    cut = window(spark, "PISTOLA" + "x" * 50000 + "1.500,00" * 3, "PISTOLA", None, 1500.0, 1000)
+    assert cut == "PISTOLA" + "x" * 993
+    # a description that is not in the text falls back to the number; one that is null too
+    numbered = "-" * 50 + "item 7" + "+" * 50
+    assert window(spark, numbered, "nothing like it", 7, None, 9000, 10) == window(spark, numbered, None, 7, None, 9000, 10) == "-" * 10 + "item 7" + "+" * 4
+    # the cap counts the excerpts and not the marks between them
+    two = "cadeira" + "." * 100 + "12,50" + "." * 100 + "12,50" + "." * 10
+    assert window(spark, two, "cadeira", 1, 12.5, 25, 10, 5) == "cadeira..." + D.MARK + ".....12,50" + D.MARK + "....."
+    # the second hit of a price is looked for after the end of the first
+    assert window(spark, "1,11,11,11" + "." * 50, None, None, 1.11, 900, 10, 4).startswith("1,11,11,11"[:9])
+    assert window(spark, None, "a", 1, None) is None and window(spark, "", "a", 1, 2.0) == ""
+
+
+def test_report_expressions(spark):
+    row = lambda kind, *cols: spark.createDataFrame([kind], ", ".join(f"c{i} string" for i in range(len(kind)))).select(*cols).first()
+    c = [F.col(f"c{i}") for i in range(3)]
+    noun = lambda d, n: row((d, n), T.head_noun(c[0], c[1]))[0]
+    assert [noun("Parafuso , aço", "X"), noun("Parafuso", "Fixador"), noun("Parafuso", None), noun(None, "Fixador"), noun(None, None), noun("Parafuso", " ")] == ["Parafuso", "Fixador", "Parafuso", "Fixador", "", "Parafuso"]
+    dated = lambda x: row((x, ""), T.format_date_br(c[0]))[0]
+    assert [dated("2024-02-09T10:00:00"), dated(None), dated("soon")] == ["09/02/2024", "", "soon"]
+    ends = lambda k: str(row((k, "2025-05-01", "2024-02-29"), T.validity_end(c[0], c[1].cast("date"), c[2].cast("date")))[0])
+    assert [ends("Contract"), ends("act"), ends(None)] == ["2025-02-28", "2025-05-01", "2025-05-01"]
+    control = lambda x: row((x, ""), T.parse_control_number(c[0]))[0]
+    got = control("  00394460000141-12-000345/2024-000007 ")
+    assert (got.cnpj, got.kind, got.seq, got.year, got.act_seq) == ("00394460000141", "12", 345, 2024, 7) and control("394460-1-1/2024") is None
+    values = row((" 2420.0000 ", "n/a", " "), T.quantity_text(F.trim(c[0])), T.quantity_text(c[1]), T.quantity_text(F.lit(None)), T.parse_text(c[2]), T.parse_text(c[0]), T.page_density(c[0]), T.page_density(F.lit(None).cast("string")))
+    assert list(values) == ["2420.0", "n/a", "", None, "2420.0000", 9, 0]
+
+
+def test_null_groups_and_missing_vectors(spark):
+    prices = spark.createDataFrame([(None, 1.0), (None, 1.0), (None, 900.0), ("a", 2.0), ("a", None)], "code string, price double")
+    assert sorted((str(r.code), r.price, r.price_flag) for r in P.price_flags(prices, ["code"], "price", 0.1).where("price is not null").collect()) == [("None", 1.0, False), ("None", 1.0, False), ("None", 900.0, True), ("a", 2.0, False)]
+    assert P.price_flags(prices, ["code"], "price").count() == 5
+    cat = spark.createDataFrame([("b", "C1", ["colete", "balistico"], [1.0, 0.0])], "block string, code string, tokens array<string>, v array<double>")
+    items = spark.createDataFrame([("b", "i1", ["colete", "balistico"], None), ("b", "i2", ["mesa"], [1.0, 0.0]), ("b", "i3", ["mesa"], [0.0, 1.0]), ("other", "i4", ["colete"], [1.0, 0.0])], "block string, item string, tokens array<string>, v array<double>")
+    got = {r.item: (r.bm25, r.cosine) for r in M.candidate_pairs(cat, items, "block", "code", "item", "tokens", 5, 0.5, "v").collect()}
+    assert set(got) == {"i1", "i2"} and got["i1"][1] == 0.0 and abs(got["i2"][1] - 1.0) < 1e-9
+
+
+def test_places_of_all_rows(spark):
+    codes = [str(i) for i in range(1200)] + ["007", "abc"]
+    got = K.placed(spark.createDataFrame([(x,) for x in codes], "code string"), "code").collect()
+    assert [r.code for r in sorted(got, key=lambda r: r.place)] == sorted(codes, key=lambda x: (len(x), x)) and {r.place for r in got} == set(range(1, len(codes) + 1))
 
 
 def test_documents(spark):
