@@ -20,14 +20,15 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections import OrderedDict
 from collections.abc import Iterator
 from itertools import chain
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,23 +71,30 @@ def meeting_key(raw: bytes, bits: int = CHUNK_BITS) -> int:
     return int.from_bytes(low[:8], "big", signed=True)
 
 
+class Coded(NamedTuple):
+    """Ids, the ids as text, and their decode where decodes of parts can be joined (else empty)."""
+
+    ids: list[int] | np.ndarray
+    line: str
+    decoded: str
+
+
 class Memory:
-    """Ids of chunk bodies by digest, the least recently used going first when more than ``most`` ids are kept."""
+    """What chunk bodies are coded as by digest, the least recently used going first when more than ``most`` ids are kept."""
 
     def __init__(self, most: int) -> None:
         self.most, self.size, self.kept = most, 0, OrderedDict()
 
-    def find(self, key: bytes) -> tuple[list[int], str] | None:
-        if (got := self.kept.get(key)) is None:
-            return None
-        self.kept.move_to_end(key)
-        return got[0].tolist(), got[1]
+    def find(self, key: bytes) -> Coded | None:
+        if (got := self.kept.get(key)) is not None:
+            self.kept.move_to_end(key)
+        return got
 
-    def keep(self, key: bytes, found: tuple[list[int], str]) -> None:
-        self.kept[key] = (array("i", found[0]), found[1])
-        self.size += len(found[0]) + 16
+    def keep(self, key: bytes, found: Coded) -> None:
+        self.kept[key] = found._replace(ids=found.ids.copy())  # not a view of the whole batch
+        self.size += len(found.ids) + 16
         while self.size > self.most and self.kept:
-            self.size -= len(self.kept.popitem(last=False)[1][0]) + 16
+            self.size -= len(self.kept.popitem(last=False)[1].ids) + 16
 
 
 class ChunkEncoder:
@@ -99,6 +107,7 @@ class ChunkEncoder:
         self.tok.no_padding()
         self.tok.no_truncation()
         self.bits, self.memory, self.words, self.old = bits, Memory(MEMORY_IDS), {}, {}
+        self.spaced = self.tok.decoder is None and "" not in self.tok.get_vocab()  # then a decode is the tokens, joined by spaces
         self.asked = self.encoded = self.widened = self.whole = 0
         self.drops = all(list(chain.from_iterable(self.library(p.encode().split()))) == self.library([p.encode()])[0] for p in PROBES)  # white space
         if not self.safe(path):
@@ -118,31 +127,61 @@ class ChunkEncoder:
                 return False
         return True
 
-    def pieced(self, spans: list[bytes]) -> list[tuple[list[int], str]]:
-        """The ids of spans that start and end at safe boundaries, and the ids as text, from the pieces between those inside.
-        A piece that the worker remembers is not asked of the library again: words recur, most of a span is known."""
-        cut = [x.split() if self.drops else _CUT.split(x) for x in spans]
-        out = []
-        get = self.words.get
-        wanted = {p for ps in cut for p in set(ps) if p not in self.words}
-        if wanted:
-            fresh = {p: self.old.get(p) for p in wanted}
-            ask = [p for p, x in fresh.items() if x is None]
-            fresh |= {p: (ids, " ".join(map(str, ids))) for p, ids in zip(ask, self.library(ask), strict=True)}
-            if len(self.words) + len(fresh) > WORD_MEMORY:
-                self.old, self.words = self.words, {p: x for ps in cut for p in ps if (x := get(p)) is not None}
-                get = self.words.get
-            self.words |= fresh
-        for ps in cut:
-            got = list(map(get, ps))
-            out.append((list(chain.from_iterable([x[0] for x in got])), " ".join([x[1] for x in got if x[0]])))
-        for p in wanted:
-            if len(p) > LONG_PIECE:
-                del self.words[p]
+    def pieced(self, spans: list[bytes]) -> list[Coded]:
+        """What spans that start and end at safe boundaries are coded as, from the pieces between those inside. A piece that
+        the worker remembers is not asked of the library again: words recur, most of a span is known. Pieces are
+        split, named and joined for all spans at once."""
+        if not spans:
+            return []
+        if self.drops:
+            cut = pc.ascii_split_whitespace(pa.array([x.decode("utf-8", "replace") for x in spans], pa.large_string()))
+            offsets, flat = cut.offsets.to_numpy().astype(np.int64), cut.values
+        else:
+            parts = [_CUT.split(x) for x in spans]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+            flat = pa.array([p.decode("utf-8", "replace") for x in parts for p in x], pa.large_string())
+        named = flat.dictionary_encode()
+        known = self.known(named.dictionary.to_pylist())
+        count = np.fromiter((len(k.ids) for k in known), np.int64, len(known))
+        ids = np.fromiter(chain.from_iterable(k.ids for k in known), np.int32, int(count.sum()))
+        at = named.indices.to_numpy()
+        some = count[at] > 0  # blanks between pieces have no tokens
+        offsets, at = np.concatenate([[0], np.cumsum(some)])[offsets], at[some]
+        stop = np.cumsum(count[at])
+        ids = ids[np.repeat((np.cumsum(count) - count)[at] - stop + count[at], count[at]) + np.arange(stop[-1] if len(stop) else 0)]
+        ends = np.concatenate([[0], stop])[offsets]
+        joined = lambda texts: pc.binary_join(pa.ListArray.from_arrays(offsets.astype(np.int32), pa.array(texts, pa.large_string()).take(pa.array(at))), pa.scalar(" ", pa.large_string())).to_pylist()
+        lines, decoded = joined([k.line for k in known]), joined([k.decoded for k in known]) if self.spaced else [""] * len(spans)
+        return [Coded(ids[i:j], x, y) for i, j, x, y in zip(ends, ends[1:], lines, decoded, strict=False)]
+
+    def known(self, pieces: list[str]) -> list[Coded]:
+        """What different pieces are coded as: remembered, or asked of the library in one call."""
+        out = list(map(self.words.get, pieces))
+        fresh = [i for i, x in enumerate(out) if x is None]
+        ask = [i for i in fresh if pieces[i] not in self.old]
+        for i, x in zip(ask, self.coded(self.library_of([pieces[i] for i in ask])), strict=True):
+            out[i] = x
+        if len(self.words) + len(fresh) > WORD_MEMORY:
+            before, self.old, self.words = self.old, self.words, {}
+        else:
+            before = self.old
+        for i in fresh:
+            if out[i] is None:
+                out[i] = before[pieces[i]]
+            if len(pieces[i]) <= LONG_PIECE:
+                self.words[pieces[i]] = out[i]
         return out
 
+    def coded(self, found: list[list[int]]) -> list[Coded]:
+        """Ids with their text and, where the library joins tokens by spaces, its decode of them."""
+        decoded = self.tok.decode_batch(found, skip_special_tokens=False) if self.spaced else [""] * len(found)
+        return [Coded(ids, " ".join(map(str, ids)), d) for ids, d in zip(found, decoded, strict=True)]
+
     def library(self, pieces: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)]
+        return self.library_of([p.decode("utf-8", "replace") for p in pieces])
+
+    def library_of(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def layout(self, raw: bytes) -> list[tuple[int, int, bytes]]:
         """(start, end, digest) of the bodies of the chunks of a text that have one; the text's ends are safe too."""
@@ -163,8 +202,21 @@ class ChunkEncoder:
 
     def encode_many(self, raws: list[bytes]) -> list[tuple[list[int], str]]:
         """The ids of each text, and the ids as text."""
+        return [(list(chain.from_iterable(np.asarray(p.ids).tolist() for p in parts)), " ".join(p.line for p in parts)) for parts in self.parts_of(raws)]
+
+    def rows_of(self, raws: list[bytes]) -> list[tuple[int, str, str]]:
+        """Number of ids, the ids as text, and the library's decode of them, special tokens kept, of each text."""
+        parts = self.parts_of(raws)
+        if self.spaced:
+            decoded = [" ".join([p.decoded for p in ps]) for ps in parts]
+        else:
+            decoded = self.tok.decode_batch([list(chain.from_iterable(np.asarray(p.ids).tolist() for p in ps)) for ps in parts], skip_special_tokens=False)
+        return [(sum(len(p.ids) for p in ps), " ".join([p.line for p in ps]), d) for ps, d in zip(parts, decoded, strict=True)]
+
+    def parts_of(self, raws: list[bytes]) -> list[list[Coded]]:
+        """The parts of each text in order, those with ids: bodies of chunks and the joins between them."""
         layouts = [self.layout(r) for r in raws]
-        bodies: dict[bytes, tuple[list[int], str] | None] = {}
+        bodies: dict[bytes, Coded | None] = {}
         wanted: list[tuple[bytes, bytes]] = []
         for raw, layout in zip(raws, layouts, strict=True):
             for a, b, key in layout:
@@ -193,7 +245,8 @@ class ChunkEncoder:
                 ends += [raw[lo:a], raw[b:hi]]
             found, known, again = self.library(whole), self.pieced(ends), []
             for g, (i, k, left, right) in enumerate(gaps):
-                ids = self.agreed(known[2 * g][0], found[g], known[2 * g + 1][0], bodies[left[2]][0] if left else None, bodies[right[2]][0] if right else None)
+                before, after = known[2 * g].ids.tolist(), known[2 * g + 1].ids.tolist()
+                ids = self.agreed(before, found[g], after, *(bodies[x[2]].ids[at].tolist() if x else None for x, at in ((left, slice(-len(before) or None, None)), (right, slice(len(after))))))
                 if ids is None:
                     again.append((i, k, left, right))
                 else:
@@ -202,15 +255,13 @@ class ChunkEncoder:
             self.widened += len(again)
         lost = sorted({g[0] for g in gaps})
         self.whole += len(lost)
-        text = lambda ids: (ids, " ".join(map(str, ids)))
-        out = dict(zip(lost, map(text, self.library([raws[i] for i in lost])), strict=True)) if lost else {}
+        joined = dict(zip(joined, self.coded(list(joined.values())), strict=True))
+        out = dict(zip(lost, ([x] for x in self.coded(self.library([raws[i] for i in lost]))), strict=True))
         for i, layout in enumerate(layouts):
             if i not in out:
-                parts = [text(joined[i, 0])] if (i, 0) in joined else []
-                for k, (_, _, key) in enumerate(layout):
-                    parts += [bodies[key], text(joined.get((i, k + 1), []))]
-                out[i] = (list(chain.from_iterable([x for x, _ in parts])), " ".join([x for _, x in parts if x]))
-        return [out[i] for i in range(len(raws))]
+                places = chain([joined.get((i, 0))], *((bodies[key], joined.get((i, k + 1))) for k, (_, _, key) in enumerate(layout)))
+                out[i] = [x for x in places if x is not None]
+        return [[x for x in out[i] if len(x.ids)] for i in range(len(raws))]
 
     @staticmethod
     def words_before(raw: bytes, left: tuple | None, n: int) -> int:
@@ -302,9 +353,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
                 while e < len(texts) and size + len(texts[e]) <= BATCH_TEXT:
                     size += len(texts[e])
                     e += 1
-                found = enc.encode_many(texts[s:e])
-                for (x, line), decoded in zip(found, enc.tok.decode_batch([x for x, _ in found], skip_special_tokens=False), strict=True):
-                    out.append((len(x), sha(line), sha(decoded)) if digests else (len(x), line, decoded))
+                out += [(n, sha(line), sha(decoded)) if digests else (n, line, decoded) for n, line, decoded in enc.rows_of(texts[s:e])]
                 s = e
             cols = list(zip(*out, strict=True)) or [(), (), ()]
             carried = [b.column(i) for i in range(2, b.num_columns) if b.schema.names[i] == "_row"]
