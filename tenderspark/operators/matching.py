@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderspark.sources.files import written
+
 K1, B, NEGATIVE_IDF = 1.5, 0.75, 0.25
 
 
@@ -32,12 +34,12 @@ def bm25_scores(catalog: DataFrame, items: DataFrame, block: str, code: str, key
     """(block, code, key, bm25) of the pairs that share a term inside a block; repeated query terms count each time.
 
     Terms meet by an equi-join on (block, term): pairs without a common term are never made, and adaptive skew joins
-    split a frequent term.
+    split a frequent term. The postings are written once; statistics, lengths and weights are read from them.
     """
-    posts = term_counts(items, block, key, tokens)
+    posts = written(term_counts(items, block, key, tokens), "postings")
     stats = corpus_stats(posts, block, key, items)
     idf = term_idf(posts, stats, block, key)
-    length = items.groupBy(block, key).agg(F.sum(F.size(tokens)).alias("_dl"))
+    length = posts.groupBy(block, key).agg(F.sum("tf").alias("_dl"))
     query = term_counts(catalog, block, code, tokens).withColumnRenamed("tf", "_qtf")
     asked = posts.join(query.select(block, "term").distinct(), [block, "term"], "left_semi")
     weight = asked.join(length, [block, key]).join(stats, block).join(idf.select(block, "term", "idf"), [block, "term"])
@@ -47,7 +49,8 @@ def bm25_scores(catalog: DataFrame, items: DataFrame, block: str, code: str, key
 
 def minmax_in_block(scores: DataFrame, catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, score: str) -> DataFrame:
     """``scores`` with ``norm`` = (x - min) / (max - min) over the whole code x item matrix of the block, where pairs
-    without a row score 0; a constant block gives 0. Also the block's ``zero``: what a missing pair's norm is."""
+    without a row score 0; a constant block gives 0. Also the block's ``zero``: what a missing pair's norm is. ``scores`` is read twice, so it
+    should be a written table."""
     n = catalog.groupBy(block).agg(F.countDistinct(code).alias("_c")).join(items.groupBy(block).agg(F.countDistinct(key).alias("_i")), block)
     lim = scores.groupBy(block).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"), F.count(F.lit(1)).alias("_n")).join(n, block)
     full = F.col("_n") == F.col("_c") * F.col("_i")
@@ -93,13 +96,16 @@ def refilter_top_k(pairs: DataFrame, by: list[str], score: str, k: int, floor: f
 def candidate_pairs(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, tokens: str, k: int, floor: float, vector: str | None = None) -> DataFrame:
     """(block, code, key, bm25, cosine, score): score is the larger of the block-normalised BM25 and the cosine; floor
     first, then the best ``k`` per code. A pair that one signal does not know has 0 there; without vectors cosine is 0 and
-    only pairs with a common term are made."""
-    bm = minmax_in_block(bm25_scores(catalog, items, block, code, key, tokens), catalog, items, block, code, key, "bm25").select(block, code, key, F.col("norm").alias("bm25"))
+    only pairs with a common term are made. Scores are compared to nine decimals, as sums differ in their last digits by
+    the order of rows."""
+    raw = written(bm25_scores(catalog, items, block, code, key, tokens), "bm25")
+    bm = minmax_in_block(raw, catalog, items, block, code, key, "bm25").select(block, code, key, F.col("norm").alias("bm25"))
     if vector is None:
         pairs = bm.withColumn("cosine", F.lit(0.0))
     else:
-        pairs = cosine_scores(catalog, items, block, code, key, vector).join(bm, [block, code, key], "full").select(block, code, key, F.coalesce("bm25", F.lit(0.0)).alias("bm25"), F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
-    return top_k(pairs.withColumn("score", F.greatest("bm25", "cosine")), [block, code], "score", key, k, floor).drop("place")
+        known = lambda side: side.where(F.col(vector).isNotNull())
+        pairs = cosine_scores(known(catalog), known(items), block, code, key, vector).join(bm, [block, code, key], "full").select(block, code, key, F.coalesce("bm25", F.lit(0.0)).alias("bm25"), F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
+    return top_k(pairs.withColumn("score", F.round(F.greatest("bm25", "cosine"), 9)), [block, code], "score", key, k, floor).drop("place")
 
 
 def product_size(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, k: int) -> DataFrame:

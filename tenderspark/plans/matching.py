@@ -8,6 +8,7 @@ from tenderspark.functions import text as T
 from tenderspark.operators import matching as M
 from tenderspark.operators import quality as Q
 from tenderspark.plans.demo import Plans, r4, sql4, table
+from tenderspark.sources.files import written
 
 PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
@@ -28,9 +29,10 @@ _NORM = """lim AS (SELECT block, CASE WHEN n = c * i THEN lo ELSE least(lo, 0) E
 norm AS (SELECT block, code, item, bm25, CASE WHEN hi > lo THEN (bm25 - lo) / (hi - lo) ELSE 0 END AS norm FROM bm JOIN lim USING (block))"""
 
 
-def sides(spark, sf_dir):
+def sides(spark, sf_dir, blocks=("en",)):
+    """Benchmark texts, asked in each of the blocks, and the documents of every block."""
     docs = table(spark, sf_dir, "documents").where("lang is not null").select(F.col("lang").alias("block"), F.col("doc_id").alias("item"), T.tokenize_alnum(F.col("text")).alias("tokens"))
-    q = table(spark, sf_dir, "benchmark").select(F.lit("en").alias("block"), F.col("item_id").alias("code"), T.tokenize_alnum(F.col("text")).alias("tokens"))
+    q = table(spark, sf_dir, "benchmark").select(F.explode(F.array(*map(F.lit, blocks))).alias("block"), F.col("item_id").alias("code"), T.tokenize_alnum(F.col("text")).alias("tokens"))
     return q, docs
 
 
@@ -49,16 +51,25 @@ def bm25_scores(spark, sf_dir):
 @add("minmax_norm", f"WITH {_SIDES}, {_NORM} SELECT block, code, item, {sql4('norm')} AS norm FROM norm")
 def minmax_norm(spark, sf_dir):
     q, docs = sides(spark, sf_dir)
-    out = M.minmax_in_block(M.bm25_scores(q, docs, "block", "code", "item", "tokens"), q, docs, "block", "code", "item", "bm25")
+    raw = written(M.bm25_scores(q, docs, "block", "code", "item", "tokens"), "bm25")
+    out = M.minmax_in_block(raw, q, docs, "block", "code", "item", "bm25")
     return out.select("block", "code", "item", r4("norm").alias("norm"))
 
 
-@add("candidate_pairs", f"WITH {_SIDES}, {_NORM} SELECT block, code, item, {sql4('norm')} AS score FROM norm WHERE norm >= 0.2 QUALIFY row_number() OVER (PARTITION BY block, code ORDER BY round(norm, 9) DESC, item) <= 20")
+_BOTH = _SIDES.replace("'en' AS block", "unnest(['en', 'fr', 'de']) AS block") + f""", {_NORM},
+cs AS (SELECT block, code, item, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS cosine FROM q JOIN it USING (block) JOIN embeddings a ON a.vec_id = code JOIN embeddings b ON b.vec_id = item),
+both_ AS (SELECT block, code, item, coalesce(norm, 0) AS bm25, coalesce(cosine, 0) AS cosine, round(greatest(coalesce(norm, 0), coalesce(cosine, 0)), 9) AS score FROM norm FULL JOIN cs USING (block, code, item))"""
+
+
+@add("candidate_pairs", f"WITH {_BOTH} SELECT block, code, item, {sql4('bm25')} AS bm25, {sql4('cosine')} AS cosine, {sql4('score')} AS score FROM both_ WHERE score >= 0.2 QUALIFY row_number() OVER (PARTITION BY block, code ORDER BY score DESC, item) <= 20")
 def candidate_pairs(spark, sf_dir):
-    q, docs = sides(spark, sf_dir)
-    bm = M.minmax_in_block(M.bm25_scores(q, docs, "block", "code", "item", "tokens"), q, docs, "block", "code", "item", "bm25")
-    pairs = bm.select("block", "code", "item", F.col("norm").alias("raw"), F.round("norm", 9).alias("score"))
-    return M.top_k(pairs.where("raw >= 0.2"), ["block", "code"], "score", "item", 20, 0.0).select("block", "code", "item", r4("raw").alias("score"))
+    """Both signals over three blocks; the vectors are those of the same number, which most documents lack."""
+    q, docs = sides(spark, sf_dir, ("en", "fr", "de"))
+    v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    q = q.join(v.withColumnRenamed("vec_id", "code"), "code", "left")
+    docs = docs.join(v.withColumnRenamed("vec_id", "item"), "item", "left")
+    out = M.candidate_pairs(q, docs, "block", "code", "item", "tokens", 20, 0.2, "embedding")
+    return out.select("block", "code", "item", r4("bm25").alias("bm25"), r4("cosine").alias("cosine"), r4("score").alias("score"))
 
 
 _VEC = """va AS (SELECT label AS block, vec_id AS code, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 10 = 0), vb AS (SELECT label AS block, vec_id AS item, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id % 10 <> 0),

@@ -25,6 +25,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/') if root else 'file://' + os.path.join(tempfile.gettempdir(), 'tenderspark')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in a new scratch folder, which the file system deletes when the session ends: what several
+    branches of a plan read is made once, and a lost executor does not undo it."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, label)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def read_catalog_pages(spark: SparkSession, materials: str, services: str) -> DataFrame:
     """(kind, code, pdm, name, description, group_code, group_name) from both record shapes of JSON pages: blanks are
     null, a missing description is empty, records without a key are dropped."""
