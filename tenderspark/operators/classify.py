@@ -3,14 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import Any, Protocol
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderspark.sources.files import written
 from tenderspark.sources.ship import ship
 
 
+class Scorer(Protocol):
+    """A model as a plug-in: one result per row of the batch, in its order. It is pickled to the workers; what it opens
+    there it opens on first use."""
+
+    def __call__(self, batch: pd.DataFrame) -> list: ...
+
+
+def resolve_prompt(template: str | None, fallback: str, **values: Any) -> str:
+    """The template filled with the values; the fallback where there is none or its placeholders do not fit."""
+    if template is None:
+        return fallback
+    try:
+        return template.format(**values)
+    except (KeyError, IndexError, ValueError):
+        return fallback
+
+
 def distinct_texts(items: DataFrame, text_hash: str, key: str, cols: list[str]) -> DataFrame:
     """(text_hash, cols, n_items): one row per text, that of the smallest key, with how many items have it."""
     agg = items.groupBy(text_hash).agg(F.min_by(F.struct(*cols), F.col(key)).alias("_r"), F.count(F.lit(1)).alias("n_items"))
@@ -62,6 +81,34 @@ def classify_distinct(items: DataFrame, classified: DataFrame, text_hash: str, k
     return classified.select(text_hash, "labels").unionByName(fresh.select(text_hash, labels(F.col(text)).alias("labels")))
 
 
+def score_missing(done: DataFrame, rows: DataFrame, keys: list[str], cols: list[str], scorer: Scorer, result: str) -> tuple[DataFrame, DataFrame]:
+    """(next version of ``done``, failures): rows whose ``keys`` are not in ``done`` (keys, ``result``) are scored once
+    per key and added. Rows that fail are not added, so the next run takes them up again; they come back as (keys, error).
+
+    The scores are written before both results read them, so the scorer is not asked twice. Of several rows with one key that
+    with the smallest columns is scored; a null key counts as missing each time."""
+    todo = rows.join(done.select(*keys).distinct(), keys, "left_anti").groupBy(*keys).agg(F.min(F.struct(*cols)).alias("_r")).select(F.struct(*keys).alias("_k"), "_r.*")
+    scored = written(batch_score(todo, "_k", cols, scorer, done.schema[result].dataType.simpleString()), "scored")
+    fresh = scored.where("error is null").select("_k.*", F.col("result").alias(result))
+    return done.select(*keys, result).unionByName(fresh), scored.where("error is not null").select("_k.*", "error")
+
+
+def classify_with(items: DataFrame, classified: DataFrame, text_hash: str, text: str, scorer: Scorer) -> tuple[DataFrame, DataFrame]:
+    """(next version of ``classified`` (text_hash, labels), failures): a model labels each unseen text once."""
+    return score_missing(classified, items, [text_hash], [text], scorer, "labels")
+
+
+def generate_terms(codes: DataFrame, done: DataFrame, code: str, cols: list[str], scorer: Scorer) -> tuple[DataFrame, DataFrame]:
+    """(next version of ``done`` (code, terms), failures): a model makes terms for each code that has none yet."""
+    return score_missing(done, codes, [code], cols, scorer, "terms")
+
+
+def embed_missing(cache: DataFrame, items: DataFrame, text_hash: str, text: str, model: str, scorer: Scorer) -> tuple[DataFrame, DataFrame]:
+    """(next version of ``cache`` (text_hash, model, vector), failures): each distinct text is embedded once per model; the
+    vectors of other models stay."""
+    return score_missing(cache, items.withColumn("model", F.lit(model)), [text_hash, "model"], [text], scorer, "vector")
+
+
 def item_categories(items: DataFrame, classified: DataFrame, text_hash: str, key: str) -> DataFrame:
     """(key, category), distinct: each item takes the labels of its text."""
     return items.select(key, text_hash).join(classified.select(text_hash, F.explode("labels").alias("category")), text_hash).select(key, "category").distinct()

@@ -11,8 +11,9 @@ K1, B, NEGATIVE_IDF = 1.5, 0.75, 0.25
 
 
 def term_counts(df: DataFrame, block: str, key: str, tokens: str) -> DataFrame:
-    """(block, key, term, tf)."""
-    return df.select(block, key, F.explode(tokens).alias("term")).groupBy(block, key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """(block, key, term, tf). An outer explode, as before a plain one the optimiser filters by the tokens' size, and so
+    makes them twice."""
+    return df.select(block, key, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull()).groupBy(block, key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def corpus_stats(postings: DataFrame, block: str, key: str, docs: DataFrame) -> DataFrame:

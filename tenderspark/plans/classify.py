@@ -149,11 +149,47 @@ def aggregate_terms(spark, sf_dir):
     return C.aggregate_terms(codes, "code", "terms", "category").withColumn("codes", F.array_join("codes", ","))
 
 
-@add("generate_terms", "SELECT p_partkey AS code, array_to_string(list_sort(list_distinct([lower(p_name), lower(p_type), split_part(lower(p_name), ' ', 2)])), '|') AS terms FROM part WHERE p_partkey % 4 <> 0")
-def generate_terms(spark, sf_dir):
-    from tenderspark.operators.tables import append_missing
+# ---- models as plug-ins: what is known is kept, what fails is left for the next run ----
+
+
+def _label_model(batch):
+    out = []
+    for t in batch["p_name"]:
+        if "steel" in t:
+            raise ValueError("unreadable")
+        out.append(sorted(set(t.split())))
+    return out
+
+
+@add("classify_with_model", "SELECT md5(p_name) AS text_hash, CASE WHEN p_partkey % 3 = 0 THEN 'known' WHEN NOT contains(p_name, 'steel') THEN array_to_string(list_sort(list_distinct(string_split(p_name, ' '))), ',') END AS labels, CASE WHEN p_partkey % 3 <> 0 AND contains(p_name, 'steel') THEN 'ValueError: unreadable' END AS error FROM (SELECT p_name, CASE WHEN bool_or(p_partkey % 3 = 0) THEN 0 ELSE 1 END AS p_partkey FROM part GROUP BY p_name)")
+def classify_with_model(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("text_hash", F.md5("p_name"))
+    have = p.where("p_partkey % 3 = 0").select("text_hash", F.array(F.lit("known")).alias("labels")).distinct()
+    done, failed = C.classify_with(p, have, "text_hash", "p_name", _label_model)
+    none = F.lit(None).cast("string")
+    return done.select("text_hash", F.array_join("labels", ",").alias("labels"), none.alias("error")).unionByName(failed.select("text_hash", none.alias("labels"), "error"))
 
+
+def _shape_model(batch):
+    return [[float(len(t)), float(t.count(" ") + 1)] for t in batch["p_name"]]
+
+
+@add("embed_missing", "SELECT text_hash, model, v[1] AS x, v[2] AS y FROM (SELECT DISTINCT md5(p_name) AS text_hash, 'other' AS model, [0.5::DOUBLE, 0.5::DOUBLE] AS v FROM part WHERE p_partkey % 5 = 0 UNION ALL SELECT DISTINCT md5(p_name), 'shape', CASE WHEN known THEN [0.0::DOUBLE, 0.0::DOUBLE] ELSE [length(p_name)::DOUBLE, len(string_split(p_name, ' '))::DOUBLE] END FROM (SELECT p_name, bool_or(p_partkey % 3 = 0) AS known FROM part GROUP BY p_name))")
+def embed_missing(spark, sf_dir):
+    p = table(spark, sf_dir, "part").withColumn("text_hash", F.md5("p_name"))
+    had = lambda rows, model, x: rows.select("text_hash", F.lit(model).alias("model"), F.array(F.lit(x), F.lit(x)).alias("vector")).distinct()
+    cache = had(p.where("p_partkey % 3 = 0"), "shape", 0.0).unionByName(had(p.where("p_partkey % 5 = 0"), "other", 0.5))
+    done, _ = C.embed_missing(cache, p, "text_hash", "p_name", "shape", _shape_model)
+    return done.select("text_hash", "model", F.col("vector")[0].alias("x"), F.col("vector")[1].alias("y"))
+
+
+def _term_model(batch):
+    return [sorted({n.lower(), t.lower(), n.lower().split(" ")[1]}) for n, t in zip(batch["p_name"], batch["p_type"], strict=True)]
+
+
+@add("generate_terms", "SELECT p_partkey AS code, CASE WHEN p_partkey % 4 = 0 THEN 'done' ELSE array_to_string(list_sort(list_distinct([lower(p_name), lower(p_type), split_part(lower(p_name), ' ', 2)])), '|') END AS terms FROM part")
+def generate_terms(spark, sf_dir):
     p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), "p_name", "p_type")
-    todo = append_missing(p.where("code % 4 = 0"), p, ["code"])
-    made = F.array_sort(F.array_distinct(F.array(F.lower("p_name"), F.lower("p_type"), F.split_part(F.lower("p_name"), F.lit(" "), F.lit(2)))))
-    return todo.select("code", F.array_join(made, "|").alias("terms"))
+    had = p.where("code % 4 = 0").select("code", F.array(F.lit("done")).alias("terms"))
+    done, _ = C.generate_terms(p, had, "code", ["p_name", "p_type"], _term_model)
+    return done.select("code", F.array_join("terms", "|").alias("terms"))
