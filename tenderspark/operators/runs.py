@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenderspark.functions import text as T
+from tenderspark.functions.fixed import REPORT_COLUMNS
+
 from tenderspark.operators.tables import one_per_key
 
 
@@ -61,3 +64,24 @@ def latest_completed(steps: DataFrame, by: str, value: str, finished: str, tie:
 def error_state(errors: DataFrame, keys: list[str], ts: str, message: str) -> DataFrame:
     """One open error per key: attempts, first and last time, and the last message."""
     return errors.groupBy(*keys).agg(F.count(F.lit(1)).alias("attempts"), F.min(ts).alias("first_at"), F.max(ts).alias("last_at"), F.max_by(message, F.struct(ts, message)).alias("message"))
+
+
+def report_rows(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """The columns of ``REPORT_COLUMNS`` in their order, after ``run_id`` and ``position``; what is missing is the empty string.
+
+    ``rows``: run_id, position, code, catalog_text, final_text, buyer, buyer_id, state, control, year, number, unit, quantity,
+    price, estimated, supplier_name, result_date, document_kind, signed, valid_until. ``catalog``: code, kind, class_name,
+    name, description, one row per code; a code that it lacks keeps its row."""
+    r = rows.join(catalog.select("code", F.col("kind").alias("_kind"), F.col("class_name").alias("_class"), F.col("name").alias("_name"), F.col("description").alias("_base")), "code", "left")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    p = T.parse_control_number(F.col("control"))
+    part = lambda name: F.coalesce(p[name].cast("string"), F.lit(""))
+    base = F.coalesce(T.blank_to_null(F.col("_base")), text("catalog_text"))
+    day = lambda c: F.coalesce(F.date_format(c, "dd/MM/yyyy"), F.lit(""))
+    cells = [
+        text("code"), F.when(F.lower("_kind").startswith("serv"), "Serviço").otherwise("Material"), text("_class"), T.head_noun(base, F.col("_name")), base, text("final_text"),
+        text("buyer"), text("buyer_id"), text("state"), text("control"), part("seq"), part("act_seq"), F.coalesce(T.blank_to_null(F.col("year").cast("string")), part("year")),
+        text("number"), text("unit"), T.quantity_text(F.col("quantity")), T.format_money_br(F.col("price")), T.format_money_br(F.col("estimated")),
+        text("supplier_name"), day("result_date"), F.when(F.lower("document_kind") == "contract", "Contrato").otherwise("Ata"), day(T.validity_end(F.col("document_kind"), F.to_date("valid_until"), F.to_date("signed"))),
+    ]
+    return r.select("run_id", "position", *[c.alias(name) for c, name in zip(cells, REPORT_COLUMNS, strict=True)])

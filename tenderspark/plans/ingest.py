@@ -77,9 +77,10 @@ def landed(spark, sf_dir):
     """The events landed one week after the other, as a feed does, and their schema."""
     out = scratch(spark, "feed")
     week = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 8)
+    week = F.coalesce(F.greatest(F.least(week, F.lit(3)), F.lit(0)), F.lit(0))  # rows before, after and without a time land too
     e = table(spark, sf_dir, "events")
     for i in range(4):
-        e.where(week == i if i < 3 else week >= 3).coalesce(1).write.mode("append").parquet(out)
+        e.where(week == i).write.mode("append").parquet(out)
     return out, "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 
 
@@ -123,3 +124,27 @@ def stream_error_state(spark, sf_dir):
 
     q = finished(I.stream_error_state(I.read_feed(spark, path, schema), "user_id", "ts", "event_type"), out, "update", I.foreach_upsert(f"{out}/table", apply))
     return spark.read.parquet(f"{out}/table/v{q.lastProgress['batchId']}")
+
+
+def folded(spark, sf_dir, label, apply):
+    """The last version of a table that ``apply`` keeps up to date with every micro-batch of the landed events."""
+    path, schema = landed(spark, sf_dir)
+    out = scratch(spark, label)
+    q = finished(I.read_feed(spark, path, schema), out, "append", I.foreach_upsert(f"{out}/table", apply))
+    return spark.read.parquet(f"{out}/table/v{q.lastProgress['batchId']}")
+
+
+@add("stream_watermarks", "SELECT event_type, user_id, max(ts) AS watermark FROM events GROUP BY ALL")
+def stream_watermarks(spark, sf_dir):
+    return folded(spark, sf_dir, "marks", lambda old, batch: I.marks_version(old, batch, ["event_type", "user_id"], "ts"))
+
+
+@add("stream_documents", "SELECT user_id FROM events GROUP BY user_id")
+def stream_documents(spark, sf_dir):
+    return folded(spark, sf_dir, "documents", lambda old, batch: I.documents_version(old, batch, "user_id", ["ts", "event_id"])).select("user_id")
+
+
+@add("stream_stale_keys", "SELECT user_id, last_at FROM (SELECT user_id, max(ts) AS last_at, arg_max(event_type <> 'signup', ts) AS act FROM events GROUP BY user_id) WHERE act AND last_at < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 7200 SECOND")
+def stream_stale_keys(spark, sf_dir):
+    last = folded(spark, sf_dir, "last", lambda old, batch: I.last_event_version(old, batch, "user_id", "ts", F.col("event_type") != "signup"))
+    return I.stale_now(last, "user_id", F.lit("2024-01-30 12:00:00").cast("timestamp"), 7200)

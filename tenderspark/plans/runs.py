@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tenderspark.functions import text as T
 from tenderspark.operators import runs as R
 from tenderspark.operators.tables import one_per_key
 from tenderspark.plans.demo import DESCRIBED, ITEMS, Plans, described, items, r4, sql4, table
@@ -74,13 +73,34 @@ def audit_trail(spark, sf_dir):
     return out.select("run_id", "code", "position", "item_key", "dated", "buyer", "region", "supplier_name", "final_text", "text_class")
 
 
-@add("report_rows", f"WITH {_RANKED} SELECT run_id, code, CAST(position AS INT) AS position, split_part(description, ' ', 2) AS noun, strftime(shipped, '%d/%m/%Y') AS shipped, strftime(shipped + INTERVAL 12 MONTH, '%d/%m/%Y') AS valid_until, replace(replace(replace(format('{{:,.2f}}', floor(unit_price * 100 + 0.5) / 100), ',', ';'), '.', ','), ';', '.') AS price, s_name AS supplier_name FROM ranked JOIN supplier ON supplier = s_suppkey WHERE position <= 3")
+_BR = lambda x: f"replace(replace(replace(format('{{:,.2f}}', floor({x} * 100 + 0.5) / 100), ',', ';'), '.', ','), ';', '.')"
+_REPORT = f"""WITH {_RANKED}, r AS (SELECT *, document % 2 = 0 AS contract, lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS cnpj FROM ranked JOIN orders ON document = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON supplier = s_suppkey WHERE position <= 3)
+SELECT run_id, CAST(position AS INT) AS position, CAST(code AS VARCHAR) AS "Codigo CATMAT/CATSER", CASE WHEN code % 2 = 0 THEN 'Material' ELSE 'Serviço' END AS "Material/Servico", category AS "Tipo",
+  CASE WHEN code % 2 = 0 THEN split_part(description, ' ', 1) ELSE unit END AS "Nome", CASE WHEN code % 2 = 0 THEN replace(description, ' ', ', ') ELSE description END AS "Descricao Base",
+  CASE WHEN flag = 'R' THEN upper(description) ELSE '' END AS "Descricao Especifica", c_name AS "Orgao", cnpj AS "CNPJ Orgao", n_name AS "UF",
+  cnpj || CASE WHEN contract THEN '-2-' ELSE '-1-' END || lpad(CAST(document AS VARCHAR), 8, '0') || '/' || year(o_orderdate) || CASE WHEN contract THEN '' ELSE '-' || (document % 90 + 1) END AS "Num Controle PNCP",
+  CAST(document AS VARCHAR) AS "Seq Compra", CASE WHEN contract THEN '' ELSE CAST(document % 90 + 1 AS VARCHAR) END AS "Seq Ata", CASE WHEN code % 5 = 0 THEN CAST(run_id AS VARCHAR) ELSE CAST(year(o_orderdate) AS VARCHAR) END AS "Ano",
+  CAST(number AS VARCHAR) AS "Item", unit AS "Unidade", CAST(quantity AS VARCHAR) AS "Quantidade", {_BR('unit_price')} AS "Valor Homologado", CASE WHEN code % 3 = 0 THEN '' ELSE {_BR('unit_price * 2')} END AS "Valor Estimado",
+  s_name AS "Fornecedor", strftime(shipped, '%d/%m/%Y') AS "Data Resultado", CASE WHEN contract THEN 'Contrato' ELSE 'Ata' END AS "Origem", strftime(CASE WHEN contract THEN o_orderdate + INTERVAL 12 MONTH ELSE shipped END, '%d/%m/%Y') AS "Fim de Vigencia" FROM r"""
+
+
+@add("report_rows", _REPORT)
 def report_rows(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("supplier_name"))
-    r = ranked(spark, sf_dir).where("position <= 3").join(s, "supplier")
-    cents = F.floor(F.col("unit_price") * 100 + 0.5) / 100
-    shipped = F.date_format("shipped", "dd/MM/yyyy")
-    return r.select("run_id", "code", "position", F.split_part("description", F.lit(" "), F.lit(2)).alias("noun"), shipped.alias("shipped"), F.date_format(T.validity_end(F.lit("contract"), F.lit(None).cast("date"), F.to_date("shipped")), "dd/MM/yyyy").alias("valid_until"), T.format_money_br(cents).alias("price"), "supplier_name")
+    t = lambda n: table(spark, sf_dir, n)
+    even, doc = F.col("code") % 2 == 0, F.col("document")
+    o = t("orders").select(F.col("o_orderkey").alias("document"), F.col("o_orderdate").alias("signed"), F.col("o_custkey").alias("c_custkey"))
+    buyers = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("c_name").alias("buyer"), F.col("n_name").alias("state"))
+    s = t("supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("supplier_name"))
+    r = ranked(spark, sf_dir).where("position <= 3").join(o, "document").join(buyers, "c_custkey").join(s, "supplier")
+    contract, cents = doc % 2 == 0, lambda c: F.floor(c * 100 + 0.5) / 100
+    buyer_id = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
+    control = F.concat(buyer_id, F.when(contract, "-2-").otherwise("-1-"), F.lpad(doc.cast("string"), 8, "0"), F.lit("/"), F.year("signed"), F.when(contract, "").otherwise(F.concat(F.lit("-"), doc % 90 + 1)))
+    rows = r.select("run_id", "position", "code", F.col("description").alias("catalog_text"), F.when(F.col("flag") == "R", F.upper("description")).alias("final_text"), "buyer", buyer_id.alias("buyer_id"), "state", control.alias("control"),
+                    F.when(F.col("code") % 5 == 0, F.col("run_id")).alias("year"), "number", "unit", "quantity", cents(F.col("unit_price")).alias("price"), F.when(F.col("code") % 3 != 0, cents(F.col("unit_price") * 2)).alias("estimated"),
+                    "supplier_name", F.col("shipped").alias("result_date"), F.when(contract, "Contract").otherwise("act").alias("document_kind"), "signed", F.col("shipped").alias("valid_until"))
+    catalog = t("part").select(F.col("p_partkey").alias("code"), F.col("p_type").alias("class_name"), F.col("p_brand").alias("name"), F.col("p_name").alias("text"))
+    catalog = catalog.select("code", F.when(even, "material").otherwise("service").alias("kind"), "class_name", "name", F.when(even, F.replace("text", F.lit(" "), F.lit(", "))).alias("description"))
+    return R.report_rows(rows, catalog)
 
 
 _CALLS = "SELECT user_id % 10 AS run, event_type AS step, ts, value AS cost FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'"

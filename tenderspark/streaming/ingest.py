@@ -94,13 +94,42 @@ def stream_error_state(feed: DataFrame, key: str, ts: str, kind: str, error: str
     return feed.groupBy(key).applyInPandasWithState(step, f"{key} {kind_of}, attempts long, last_at timestamp", "n long, last timestamp", "update", GroupStateTimeout.NoTimeout)
 
 
+def marks_version(old: DataFrame | None, batch: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """For ``foreach_upsert``: watermarks after a micro-batch. Batches may come in any order."""
+    new = batch.groupBy(*keys).agg(F.max(ts).alias("watermark"))
+    return new if old is None else advance_watermark(old, batch, keys, ts)
+
+
+def documents_version(old: DataFrame | None, batch: DataFrame, document: str, order: list[str]) -> DataFrame:
+    """For ``foreach_upsert``: one row per document ever seen, the first of the batch that brought it; without a time bound."""
+    known = batch.limit(0) if old is None else old
+    fresh, _ = new_documents(batch, known, document, document, order)
+    return fresh if old is None else old.unionByName(fresh)
+
+
+def last_event_version(old: DataFrame | None, batch: DataFrame, key: str, ts: str, active: Column) -> DataFrame:
+    """For ``foreach_upsert``: (key, last_at, active) of each key's last event, which ``stale_now`` reads at any time."""
+    rows = batch.select(key, F.col(ts).alias("last_at"), active.alias("active"))
+    rows = rows if old is None else old.unionByName(rows)
+    return rows.groupBy(key).agg(F.max("last_at").alias("last_at"), F.max_by("active", F.struct("last_at", "active")).alias("active"))
+
+
+def stale_now(last: DataFrame, key: str, now: Column, seconds: int) -> DataFrame:
+    """Keys of ``last_event_version`` in an active state whose last event is missing or older than the timeout."""
+    return last.where(F.col("active") & (F.col("last_at").isNull() | (F.col("last_at") < now - F.make_dt_interval(secs=F.lit(float(seconds)))))).select(key, "last_at")
+
+
 def foreach_upsert(path: str, apply: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` sink: version n+1 of the table under ``path`` is ``apply(version n, batch)``. The version of
-    a batch is named by the batch's number: run again it is written anew from the same predecessor."""
+    a batch is named by the batch's number: run again it is written anew from the same predecessor. That one is kept,
+    older ones are deleted."""
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         old = spark.read.parquet(f"{path}/v{number - 1}") if number > 0 else None
         apply(old, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
+        if number > 1:
+            passed = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{number - 2}")
+            passed.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(passed, True)
 
     return sink

@@ -262,3 +262,25 @@ def test_ingest(spark):
     assert {tuple(r) for r in later.collect()} == {("a", t(2)), ("b", t(1))}
     visits = spark.createDataFrame([("a", t(1), False), ("a", t(2), True), ("b", t(1), False), ("b", t(3), False)], "k string, ts timestamp, ok boolean")
     assert [tuple(r) for r in I.pending_queue(feed.limit(0), visits, "k", "ts", "ok").collect()] == [("b", 2, t(3))]
+
+
+def test_scorers_leave_failures_pending(spark):
+    def fn(batch):
+        if (batch["text"] == "bad").any():
+            raise ValueError("no")
+        return [[t] for t in batch["text"]]
+
+    done = spark.createDataFrame([("h1", ["old"])], "h string, labels array<string>")
+    rows = spark.createDataFrame([("h1", "a"), ("h2", "b"), ("h2", "b"), ("h3", "bad")], "h string, text string")
+    first, failed = C.classify_with(rows, done, "h", "text", fn)
+    assert {r.h: r.labels for r in first.collect()} == {"h1": ["old"], "h2": ["b"]} and failed.first() == ("h3", "ValueError: no")
+    second, failed = C.classify_with(rows, first, "h", "text", lambda b: [["now"]] * len(b))
+    assert {r.h: r.labels for r in second.collect()} == {"h1": ["old"], "h2": ["b"], "h3": ["now"]} and failed.count() == 0
+    assert C.resolve_prompt("a {x}", "f", x=1) == "a 1" and C.resolve_prompt("a {y}", "f", x=1) == "f" and C.resolve_prompt(None, "f") == "f"
+
+
+def test_report_of_a_code_without_catalogue_entry(spark):
+    row = spark.createDataFrame([(1, 1, "9", "mesa, grande", None, "b", "12", "SP", "bad", None, 3, "un", 2.0, 1234.5, None, "s", None, "act", None, None)], "run_id int, position int, code string, catalog_text string, final_text string, buyer string, buyer_id string, state string, control string, year int, number int, unit string, quantity double, price double, estimated double, supplier_name string, result_date date, document_kind string, signed date, valid_until date")
+    catalog = spark.createDataFrame([], "code string, kind string, class_name string, name string, description string")
+    got = R.report_rows(row, catalog).first().asDict()
+    assert len(got) == 24 and got["Nome"] == "mesa" and got["Quantidade"] == "2.0" and got["Valor Homologado"] == "1.234,50" and got["Valor Estimado"] == got["Ano"] == got["Fim de Vigencia"] == "" and got["Origem"] == "Ata"
