@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderspark.llm import bpe, secrets, substrings
+from tenderspark.llm import bpe, lines, secrets, substrings
 from tenderspark.llm.common import table
 
 
@@ -86,5 +86,25 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN texts USING (doc_id)
 """
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op4_bpe": op4_bpe, "op8_secret_scan": op8_secret_scan}
-SQL = {"op3_substring_dedup": OP3_SQL, "op8_secret_scan": OP8_SQL}
+
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP11_SQL = rf"""
+WITH ln AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(generate_series(1, len(string_split(coalesce(text, ''), chr(10))))) AS p FROM documents
+), keyed AS (
+  SELECT doc_id, p, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM ln
+), heavy AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= {lines.LEAST_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {lines.LEAST_DOCS}
+), marked AS (
+  SELECT doc_id, p, line, last IS NOT NULL AND doc_id <> last AS gone FROM keyed LEFT JOIN heavy USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op4_bpe": op4_bpe, "op8_secret_scan": op8_secret_scan, "op11_line_dedup": op11_line_dedup}
+SQL = {"op3_substring_dedup": OP3_SQL, "op8_secret_scan": OP8_SQL, "op11_line_dedup": OP11_SQL}
