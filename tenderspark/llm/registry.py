@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tenderspark.llm import q_archive, q_corpus, q_models, q_text
+from tenderspark.llm import q_archive, q_corpus, q_models, q_search, q_text
 
-MODULES = (q_archive, q_corpus, q_models, q_text)
+MODULES = (q_archive, q_corpus, q_models, q_search, q_text)
 
 
 def queries() -> dict:
