@@ -78,7 +78,7 @@ class Block:
         self.rows, self.gains = owner[order], gains[order]
         names, first = np.unique(terms[order], return_index=True)
         best = np.maximum.reduceat(self.gains, first) if len(first) else first
-        ends = np.append(first[1:], len(order))
+        ends = np.append(first, len(order))[1:]
         self.of = {int(t): (int(a), int(z), int(m)) for t, a, z, m in zip(names, first, ends, best, strict=True)}
 
     def masked(self, terms: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +134,7 @@ def rank_block(block: Block, queries: list[np.ndarray], best: list[Best]) -> Non
         if sum(m for _, _, m in held) < top.floor():
             continue
         docs, bound = block.masked(held)
-        at, step = 0, 64
+        at, step = 0, top.k
         while at < len(docs) and bound[at] >= top.floor():
             end = int(np.searchsorted(-bound, -bound[min(at + step, len(docs)) - 1], "right"))  # whole masks
             some = docs[at:end]
