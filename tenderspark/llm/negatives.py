@@ -89,7 +89,7 @@ class Bucket:
     def __init__(self, ids: np.ndarray, labels: np.ndarray, q: np.ndarray) -> None:
         self.ids, self.labels, self.q = ids, labels, q
         size = lengths(q)
-        self.longest, self.shortest = size.max(initial=0), size.min(initial=0)
+        self.longest, self.shortest = size.max(initial=0), size.min(initial=np.inf)
         self.unit = q / np.where(size > 0, size, 1)[:, None]
         self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
