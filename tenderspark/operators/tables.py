@@ -14,12 +14,18 @@ def one_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> Da
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column | str], update: list[str] | None = None) -> DataFrame:
+def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column | str], update: list[str] | None = None, when: Column | None = None) -> DataFrame:
     """The next version of ``current``: the batch is deduplicated on ``keys``, new keys are added, and of known keys
-    only the columns of ``update`` change (none: do nothing). Both inputs have the same columns."""
+    only the columns of ``update`` change (none: do nothing), and those only where ``when`` holds, a condition on the structs
+    ``_old`` and ``_new`` of a row's two versions (null counts as false). Both inputs have the same columns."""
     batch = one_per_key(incoming, keys, order).select(*keys, F.struct(*current.columns).alias("_new"))
     joined = current.select(*keys, F.struct(*current.columns).alias("_old")).join(batch, keys, "full")
-    pick = lambda c: F.when(F.col("_old").isNull() | (F.col("_new").isNotNull() & F.lit(c in (update or []))), F.col("_new")[c]).otherwise(F.col("_old")[c])
+    changes = F.col("_new").isNotNull() & (F.lit(True) if when is None else F.coalesce(when, F.lit(False)))
+
+    def pick(c: str) -> Column:
+        new = F.col("_old").isNull() | (changes & F.lit(c in (update or [])))
+        return F.when(new, F.col("_new")[c]).otherwise(F.col("_old")[c])
+
     return joined.select(*[F.col(c) if c in keys else pick(c).alias(c) for c in current.columns])
 
 

@@ -17,20 +17,22 @@ SERVICE = "codigoServico string, nomeServico string, codigoGrupo string, nomeGru
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder for intermediate files: under ``spark.checkpoint.dir``, which executors share. Where that is unset, as in
-    tests, a run in one process takes the system's temp folder; a cluster must name one."""
+    """A new folder for intermediate files, which the file system deletes when the session ends: under
+    ``spark.checkpoint.dir``, which executors share. Where that is unset, as in tests, a run in one process takes the system's
+    temp folder; a cluster must name one."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root and not spark.sparkContext._jsc.sc().isLocal():
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/') if root else 'file://' + os.path.join(tempfile.gettempdir(), 'tenderspark')}/{label}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/') if root else 'file://' + os.path.join(tempfile.gettempdir(), 'tenderspark')}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` as a Parquet table in a new scratch folder, which the file system deletes when the session ends: what several
-    branches of a plan read is made once, and a lost executor does not undo it."""
+    """``df`` as a Parquet table in a new scratch folder: what several branches of a plan read is made once, and a lost
+    executor does not undo it."""
     spark, path = df.sparkSession, scratch(df.sparkSession, label)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -69,16 +71,36 @@ def repair_ragged_csv(spark: SparkSession, path: str, columns: list[str], header
 HIT = "control string, kind string, year string, seq string, act_seq string, uf string, uf_unit string, updated string, published string, items array<struct<number:int,code:long,supplier:long,quantity:double,price:double,estimate:double,status:string>>"
 
 
+#: A landed hit, with the search that brought it.
+FOUND = f"{HIT}, term string, source string"
+
+
 def read_search_hits(spark: SparkSession, path: str) -> DataFrame:
     """Documents of landed search results: the sequence comes from the contract's or the act's field, the state and the
     date have fallbacks; records without a control number are dropped."""
     return identified(spark.read.schema(HIT).json(path))
 
 
-def identified(raw: DataFrame) -> DataFrame:
-    """The columns of a document from a raw search hit, of a batch or of a stream."""
+def identified(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of a document from a raw search hit, of a batch or of a stream; those of ``keep`` stay."""
     b = lambda c: T.blank_to_null(F.col(c))
-    return raw.where(b("control").isNotNull()).select(b("control").alias("control"), b("kind").alias("kind"), b("year").try_cast("int").alias("year"), F.when(F.col("kind") == "act", b("act_seq")).otherwise(b("seq")).try_cast("long").alias("seq"), F.coalesce(b("uf"), b("uf_unit")).alias("uf"), T.parse_timestamp(F.coalesce(b("updated"), b("published"))).alias("updated_at"), "items")
+    return raw.where(b("control").isNotNull()).select(
+        b("control").alias("control"),
+        b("kind").alias("kind"),
+        b("year").try_cast("int").alias("year"),
+        F.when(F.col("kind") == "act", b("act_seq")).otherwise(b("seq")).try_cast("long").alias("seq"),
+        F.coalesce(b("uf"), b("uf_unit")).alias("uf"),
+        T.parse_timestamp(F.coalesce(b("updated"), b("published"))).alias("updated_at"),
+        "items",
+        *keep,
+    )
+
+
+def stream_search_hits(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Documents of search results that land under ``path`` as JSON, with their ``term`` and ``source``, as a stream."""
+    reader = spark.readStream.schema(FOUND).option("recursiveFileLookup", True)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
+    return identified(reader.json(path), ("term", "source"))
 
 
 def explode_document_items(documents: DataFrame) -> DataFrame:

@@ -1,23 +1,25 @@
 """Incremental ingest: watermarks, known documents, pending queue, progress and error state, in batch and as streams.
 
-Each operator has a batch form that defines the result. The streams keep the same tables: ``foreach_upsert`` applies
-every micro-batch as a new version of a Parquet table, named by its batch, so that a repeated batch changes nothing.
+Each operator has a batch form that defines the result. The streams keep the same tables in buckets (``BucketTable``): a
+micro-batch rewrites only the buckets of its keys, and a repeated batch changes nothing. Keyed state with timers is in
+``streaming.state``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderspark.sources.ship import ship
+from tenderspark.operators.tables import upsert
+from tenderspark.streaming.tables import BucketTable
 
 
 def since_watermark(feed: DataFrame, marks: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """Rows at or after their key's watermark, all of a key without one."""
-    return feed.join(marks.select(*keys, F.col("watermark").alias("_w")), keys, "left").where(F.col("_w").isNull() | (F.col(ts) >= F.col("_w"))).drop("_w")
+    """Rows at or after their key's watermark or without a time, all of a key without a watermark."""
+    marked = feed.join(marks.select(*keys, F.col("watermark").alias("_w")), keys, "left")
+    return marked.where(F.col("_w").isNull() | F.col(ts).isNull() | (F.col(ts) >= F.col("_w"))).drop("_w")
 
 
 def advance_watermark(marks: DataFrame, feed: DataFrame, keys: list[str], ts: str) -> DataFrame:
@@ -49,8 +51,6 @@ def progress(counts: DataFrame, keys: list[str], value: Column) -> DataFrame:
 
 def late_updates(current: DataFrame, incoming: DataFrame, key: str, order: list, update: list[str]) -> DataFrame:
     """The next version of a table whose rows take only ``update`` columns from later arrivals."""
-    from tenderspark.operators.tables import upsert
-
     return upsert(current, incoming, [key], order, update)
 
 
@@ -60,76 +60,93 @@ def stale_keys(events: DataFrame, key: str, ts: str, active: Column, now: Column
     return last.where(F.col("_active") & (F.col("last_at").isNull() | (F.col("last_at") < now - F.make_dt_interval(secs=F.lit(float(seconds)))))).select(key, "last_at")
 
 
-def read_feed(spark: SparkSession, path: str, schema: str, files_per_batch: int = 1) -> DataFrame:
-    """A stream over landed Parquet files."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def read_feed(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
+    """A stream over landed Parquet files, in folders of any depth."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
+
+
+class Collection:
+    """Collected hits and the watermarks of their searches, kept by a ``foreachBatch`` sink.
 
+    A batch is joined with the watermarks as they were before it, its rows that are not older are written to a folder of its
+    own, and the watermarks advance. A watermark keeps its value before the last batch that moved it: the same batch again, even
+    after its watermarks were written, sees what it saw the first time and writes the same rows.
+    """
 
-def stream_progress(feed: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    return progress(feed, keys, value)
+    MARKS = "term string, source string, watermark timestamp, before timestamp, at long"
 
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64) -> None:
+        self.spark, self.path = spark, path
+        self.marks = BucketTable(spark, f"{path}/marks", self.MARKS, ["term", "source"], buckets)
 
-def stream_first_seen(feed: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
-    """The first row of each key within the watermark's delay."""
-    return feed.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    def sink(self, batch: DataFrame, number: int) -> None:
+        keys = ["term", "source"]
+        before = F.when(F.col("at") >= number, F.col("before")).otherwise(F.col("watermark"))
+        marks = self.marks.read().select(*keys, before.alias("watermark"))
+        since_watermark(batch, marks, keys, "updated_at").write.mode("overwrite").parquet(f"{self.path}/hits/batch={number}")
+        newest = batch.where("updated_at is not null").groupBy(*keys).agg(F.max("updated_at").alias("newest"))
 
+        def advance(old: DataFrame, new: DataFrame) -> DataFrame:
+            both = old.join(new, [old[k].eqNullSafe(new[k]) for k in keys], "full")
+            moved = F.col("newest").isNotNull()
+            return both.select(
+                *[F.coalesce(old[k], new[k]).alias(k) for k in keys],
+                F.greatest("watermark", "newest").alias("watermark"),
+                F.when(moved, F.col("watermark")).otherwise(F.col("before")).alias("before"),
+                F.when(moved, F.lit(number)).otherwise(F.col("at")).alias("at"),
+            )
 
-def stream_error_state(feed: DataFrame, key: str, ts: str, kind: str, error: str = "error") -> DataFrame:
-    """(key, attempts, last_at) after every micro-batch: errors of a key are counted until another event clears them.
+        self.marks.merge(newest, number, advance)
 
-    State is one small row per key; a key's events of a batch are ordered by time first."""
-    from pyspark.sql.streaming.state import GroupStateTimeout
+    def hits(self) -> DataFrame:
+        """All collected hits, with the ``batch`` that brought them."""
+        return self.spark.read.option("mergeSchema", False).parquet(f"{self.path}/hits")
 
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        n, last = state.get if state.exists else (0, None)
-        rows = pd.concat(list(frames)).sort_values(ts)
-        for what, when in zip(rows[kind], rows[ts], strict=True):
-            n = n + 1 if what == error else 0
-            last = when.to_pydatetime()
-        state.update((n, last))
-        yield pd.DataFrame({key: [k[0]], "attempts": [n], "last_at": [last]})
 
-    ship(feed.sparkSession)
-    kind_of = feed.schema[key].dataType.simpleString()
-    return feed.groupBy(key).applyInPandasWithState(step, f"{key} {kind_of}, attempts long, last_at timestamp", "n long, last timestamp", "update", GroupStateTimeout.NoTimeout)
+def replaced(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For ``BucketTable``: rows of the batch, one per key, take the place of the table's rows of the same keys."""
+    return lambda old, batch: old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
 
 
-def marks_version(old: DataFrame | None, batch: DataFrame, keys: list[str], ts: str) -> DataFrame:
-    """For ``foreach_upsert``: watermarks after a micro-batch. Batches may come in any order."""
-    new = batch.groupBy(*keys).agg(F.max(ts).alias("watermark"))
-    return new if old is None else advance_watermark(old, batch, keys, ts)
+def marks_merged(keys: list[str], ts: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For ``BucketTable``: watermarks after a micro-batch. Batches may come in any order."""
+    return lambda old, batch: advance_watermark(old, batch, keys, ts)
 
 
-def documents_version(old: DataFrame | None, batch: DataFrame, document: str, order: list[str]) -> DataFrame:
-    """For ``foreach_upsert``: one row per document ever seen, the first of the batch that brought it; without a time bound."""
-    known = batch.limit(0) if old is None else old
-    fresh, _ = new_documents(batch, known, document, document, order)
-    return fresh if old is None else old.unionByName(fresh)
+def late_merged(key: str, order: list, update: list[str], when: Column | None = None) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For ``BucketTable``: ``upsert`` of late arrivals that changes only ``update``, where ``when`` holds."""
+    return lambda old, batch: upsert(old, batch.select(*old.columns), [key], order, update, when)
 
 
-def last_event_version(old: DataFrame | None, batch: DataFrame, key: str, ts: str, active: Column) -> DataFrame:
-    """For ``foreach_upsert``: (key, last_at, active) of each key's last event, which ``stale_now`` reads at any time."""
-    rows = batch.select(key, F.col(ts).alias("last_at"), active.alias("active"))
-    rows = rows if old is None else old.unionByName(rows)
-    return rows.groupBy(key).agg(F.max("last_at").alias("last_at"), F.max_by("active", F.struct("last_at", "active")).alias("active"))
+#: State of a key in ``errors_merged``: the last event that cleared it, errors since then, and its last event.
+ERRORS = "clear struct<ts:timestamp,seq:long>, attempts long, first_at timestamp, last_error_at timestamp, message string, last_at timestamp"
 
 
-def stale_now(last: DataFrame, key: str, now: Column, seconds: int) -> DataFrame:
-    """Keys of ``last_event_version`` in an active state whose last event is missing or older than the timeout."""
-    return last.where(F.col("active") & (F.col("last_at").isNull() | (F.col("last_at") < now - F.make_dt_interval(secs=F.lit(float(seconds)))))).select(key, "last_at")
+def errors_merged(keys: list[str], ts: str, seq: str, failed: Column, message: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For ``BucketTable`` with columns ``keys`` and ``ERRORS``: errors of each key are counted until another event clears them.
 
+    A batch is reduced to one row per key, with partial aggregation, before it meets the state. Batches come in the order of time;
+    what a late row would have cleared in earlier batches stays."""
+    at = F.struct(F.col(ts).alias("ts"), F.col(seq).cast("long").alias("seq"))
 
-def foreach_upsert(path: str, apply: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` sink: version n+1 of the table under ``path`` is ``apply(version n, batch)``. The version of
-    a batch is named by the batch's number: run again it is written anew from the same predecessor. That one is kept,
-    older ones are deleted."""
+    def merge(old: DataFrame, batch: DataFrame) -> DataFrame:
+        cleared = batch.groupBy(*keys).agg(F.max(F.when(~failed, at)).alias("_clear"), F.max(ts).alias("_last"))
+        cleared = cleared.join(old.select(*keys, "clear"), keys, "left").select(*keys, "_last", F.greatest("_clear", "clear").alias("_clear"))
+        fresh = batch.where(failed).withColumn("_at", at).join(cleared.select(*keys, "_clear"), keys).where(F.col("_clear").isNull() | (F.col("_at") > F.col("_clear")))
+        fresh = fresh.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_first"), F.max(ts).alias("_error"), F.max_by(message, "_at").alias("_message"))
+        both = old.join(cleared.join(fresh, keys, "left"), keys, "full")
+        touched, stays = F.col("_last").isNotNull(), F.col("_clear").eqNullSafe(F.col("clear")) | F.col("_clear").isNull()
+        since = lambda c: F.when(~touched | stays, F.col(c))
+        return both.select(
+            *keys,
+            F.coalesce("_clear", "clear").alias("clear"),
+            (F.coalesce(since("attempts"), F.lit(0)) + F.coalesce("_n", F.lit(0))).cast("long").alias("attempts"),
+            F.coalesce(since("first_at"), F.col("_first")).alias("first_at"),
+            F.coalesce(F.col("_error"), since("last_error_at")).alias("last_error_at"),
+            F.coalesce(F.col("_message"), since("message")).alias("message"),
+            F.greatest("last_at", "_last").alias("last_at"),
+        )
 
-    def sink(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        old = spark.read.parquet(f"{path}/v{number - 1}") if number > 0 else None
-        apply(old, batch).write.mode("overwrite").parquet(f"{path}/v{number}")
-        if number > 1:
-            passed = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/v{number - 2}")
-            passed.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(passed, True)
+    return merge
 
-    return sink
