@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderspark.operators import tiles
 from tenderspark.sources.files import written
 
-K1, B, NEGATIVE_IDF = 1.5, 0.75, 0.25
+K1, B = 1.5, 0.75
 
 
 def term_counts(df: DataFrame, block: str, key: str, tokens: str) -> DataFrame:
@@ -23,41 +24,26 @@ def corpus_stats(postings: DataFrame, block: str, key: str, docs: DataFrame) ->
     return n.join(lengths, block, "left").select(block, "n_docs", (F.coalesce("_len", F.lit(0)) / F.col("n_docs")).alias("avg_len"))
 
 
-def term_idf(postings: DataFrame, stats: DataFrame, block: str, key: str) -> DataFrame:
-    """(block, term, df, idf): negative idf is replaced by a quarter of the block's mean idf."""
-    df = postings.groupBy(block, "term").agg(F.count(F.lit(1)).alias("df")).join(stats.select(block, "n_docs"), block)
-    raw = df.withColumn("_idf", F.log(F.col("n_docs") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
-    mean = raw.groupBy(block).agg(F.avg("_idf").alias("_mean"))
-    return raw.join(mean, block).select(block, "term", "df", F.when(F.col("_idf") < 0, NEGATIVE_IDF * F.col("_mean")).otherwise(F.col("_idf")).alias("idf"))
-
-
 def bm25_scores(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, tokens: str, k1: float = K1, b: float = B) -> DataFrame:
     """(block, code, key, bm25) of the pairs that share a term inside a block; repeated query terms count each time.
 
-    Terms meet by an equi-join on (block, term): pairs without a common term are never made, and adaptive skew joins
-    split a frequent term. The postings are written once; statistics, lengths and weights are read from them.
-    """
-    posts = written(term_counts(items, block, key, tokens), "postings")
-    stats = corpus_stats(posts, block, key, items)
-    idf = term_idf(posts, stats, block, key)
-    length = posts.groupBy(block, key).agg(F.sum("tf").alias("_dl"))
-    query = term_counts(catalog, block, code, tokens).withColumnRenamed("tf", "_qtf")
-    asked = posts.join(query.select(block, "term").distinct(), [block, "term"], "left_semi")
-    weight = asked.join(length, [block, key]).join(stats, block).join(idf.select(block, "term", "idf"), [block, "term"])
-    w = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("_dl") / F.col("avg_len")))
-    return query.join(weight.select(block, key, "term", w.alias("_w")), [block, "term"]).groupBy(block, code, key).agg(F.sum(F.col("_qtf") * F.col("_w")).alias("bm25"))
+    The output has a row for each such pair. It is made tile by tile (``operators.tiles``); nothing but its rows grows with the
+    number of pairs, and a term that every item has is no key of a join."""
+    rows = written(items.select(block, key, F.col(tokens).alias("tokens")), "tokens")
+    return tiles.bm25_tiles(written(tiles.block_terms(catalog, rows, block, code, tokens), "asked"), rows, block, code, key, k1, b)
 
 
 def minmax_in_block(scores: DataFrame, catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, score: str) -> DataFrame:
     """``scores`` with ``norm`` = (x - min) / (max - min) over the whole code x item matrix of the block, where pairs
-    without a row score 0; a constant block gives 0. Also the block's ``zero``: what a missing pair's norm is. ``scores`` is read twice, so it
-    should be a written table."""
+    without a row score 0; a constant block gives 0. Also the block's ``zero``: what a missing pair's norm is. ``scores`` is
+    read twice, so it should be a written table."""
     n = catalog.groupBy(block).agg(F.countDistinct(code).alias("_c")).join(items.groupBy(block).agg(F.countDistinct(key).alias("_i")), block)
     lim = scores.groupBy(block).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"), F.count(F.lit(1)).alias("_n")).join(n, block)
-    full = F.col("_n") == F.col("_c") * F.col("_i")
-    lim = lim.select(block, F.when(full, F.col("_lo")).otherwise(F.least(F.col("_lo"), F.lit(0.0))).alias("_lo"), F.when(full, F.col("_hi")).otherwise(F.greatest(F.col("_hi"), F.lit(0.0))).alias("_hi"))
-    norm = lambda x: F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(F.lit(0.0))
-    return scores.join(lim, block).withColumn("norm", norm(F.col(score))).withColumn("zero", norm(F.lit(0.0))).drop("_lo", "_hi")
+    full, zero = F.col("_n") == F.col("_c") * F.col("_i"), F.lit(0.0)
+    low, high = F.when(full, F.col("_lo")).otherwise(F.least("_lo", zero)), F.when(full, F.col("_hi")).otherwise(F.greatest("_hi", zero))
+    lim = lim.select(block, low.alias("_lo"), high.alias("_hi"))
+    norm = lambda x: F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(zero)
+    return scores.join(lim, block).withColumn("norm", norm(F.col(score))).withColumn("zero", norm(zero)).drop("_lo", "_hi")
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -94,19 +80,28 @@ def refilter_top_k(pairs: DataFrame, by: list[str], score: str, k: int, floor: f
     return pairs.withColumn("cut_by", cut).withColumn("kept", F.col("cut_by").isNull())
 
 
-def candidate_pairs(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, tokens: str, k: int, floor: float, vector: str | None = None) -> DataFrame:
+def candidate_pairs(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, tokens: str, k: int, floor: float, vector: str | None = None, k1: float = K1, b: float = B) -> DataFrame:
     """(block, code, key, bm25, cosine, score): score is the larger of the block-normalised BM25 and the cosine; floor
-    first, then the best ``k`` per code. A pair that one signal does not know has 0 there; without vectors cosine is 0 and
-    only pairs with a common term are made. Scores are compared to nine decimals, as sums differ in their last digits by
-    the order of rows."""
-    raw = written(bm25_scores(catalog, items, block, code, key, tokens), "bm25")
-    bm = minmax_in_block(raw, catalog, items, block, code, key, "bm25").select(block, code, key, F.col("norm").alias("bm25"))
-    if vector is None:
-        pairs = bm.withColumn("cosine", F.lit(0.0))
-    else:
-        known = lambda side: side.where(F.col(vector).isNotNull())
-        pairs = cosine_scores(known(catalog), known(items), block, code, key, vector).join(bm, [block, code, key], "full").select(block, code, key, F.coalesce("bm25", F.lit(0.0)).alias("bm25"), F.coalesce("cosine", F.lit(0.0)).alias("cosine"))
-    return top_k(pairs.withColumn("score", F.round(F.greatest("bm25", "cosine"), 9)), [block, code], "score", key, k, floor).drop("place")
+    first, then the best ``k`` per code. A pair without a common term has the BM25 that 0 is normalised to, above the floor even
+    where the block's scores are negative; without vectors, or without one of them, the cosine is 0. Scores are compared to
+    nine decimals, ties go to the smaller key. (block, code) and (block, key) are unique.
+
+    No row per pair is ever shuffled: see ``operators.tiles``."""
+    vectors = [] if vector is None else [F.col(vector).alias("vector")]
+    rows = written(items.select(block, key, F.col(tokens).alias("tokens"), *vectors), "tokens")
+    asked = written(tiles.block_terms(catalog, rows, block, code, tokens), "asked")
+    codes = asked.join(tiles.bm25_limits(asked, rows, block, code, key, k1, b), block)
+    if vectors:
+        codes = codes.join(catalog.select(block, code, *vectors), [block, code])
+    return tiles.best_tiles(codes, rows, block, code, key, k, floor, k1, b, True, bool(vectors)).drop("place")
+
+
+def best_by_cosine(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, vector: str, k: int, floor: float) -> DataFrame:
+    """(block, code, key, score, place): the best ``k`` items of each code by cosine, of at least ``floor``; ties by key. Pairs of
+    which one has no vector, or one without length, count as 0."""
+    side = lambda df, c: df.select(block, c, F.col(vector).alias("vector"))
+    found = tiles.best_tiles(side(catalog, code), side(items, key), block, code, key, k, floor, K1, B, False, True)
+    return found.select(block, code, key, "score", "place")
 
 
 def product_size(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, k: int) -> DataFrame:

@@ -14,8 +14,8 @@ PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
 
 _TOK = "regexp_extract_all(lower(strip_accents(coalesce(text, ''))), '[0-9a-z]+')"
-_SIDES = f"""it AS (SELECT lang AS block, doc_id AS item, {_TOK} AS tokens FROM documents WHERE lang IS NOT NULL),
-q AS (SELECT 'en' AS block, item_id AS code, {_TOK} AS tokens FROM benchmark),
+_SIDES = f"""it AS (SELECT coalesce(lang, 'other') AS block, doc_id AS item, {_TOK} AS tokens FROM documents),
+q AS (SELECT block, item_id AS code, {_TOK} AS tokens FROM benchmark, (SELECT DISTINCT block FROM it)),
 posts AS (SELECT block, item, term, count(*) AS tf FROM (SELECT block, item, unnest(tokens) AS term FROM it) GROUP BY ALL),
 stats AS (SELECT block, n_docs, coalesce(total, 0) / n_docs AS avg_len FROM (SELECT block, count(DISTINCT item) AS n_docs FROM it GROUP BY block) LEFT JOIN (SELECT block, sum(tf) AS total FROM posts GROUP BY block) USING (block)),
 raw AS (SELECT block, term, n AS df, ln(n_docs - n + 0.5::DOUBLE) - ln(n + 0.5::DOUBLE) AS idf FROM (SELECT block, term, count(*) AS n FROM posts GROUP BY ALL) JOIN stats USING (block)),
@@ -29,11 +29,12 @@ _NORM = """lim AS (SELECT block, CASE WHEN n = c * i THEN lo ELSE least(lo, 0) E
 norm AS (SELECT block, code, item, bm25, CASE WHEN hi > lo THEN (bm25 - lo) / (hi - lo) ELSE 0 END AS norm FROM bm JOIN lim USING (block))"""
 
 
-def sides(spark, sf_dir, blocks=("en",)):
-    """Benchmark texts, asked in each of the blocks, and the documents of every block."""
-    docs = table(spark, sf_dir, "documents").where("lang is not null").select(F.col("lang").alias("block"), F.col("doc_id").alias("item"), T.tokenize_alnum(F.col("text")).alias("tokens"))
-    q = table(spark, sf_dir, "benchmark").select(F.explode(F.array(*map(F.lit, blocks))).alias("block"), F.col("item_id").alias("code"), T.tokenize_alnum(F.col("text")).alias("tokens"))
-    return q, docs
+def sides(spark, sf_dir):
+    """Benchmark texts, asked in every block, and the documents; a document's block is its language."""
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("other")).alias("block"), F.col("doc_id").alias("item"), T.tokenize_alnum(F.col("text")).alias("tokens"))
+    asked = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("code"), T.tokenize_alnum(F.col("text")).alias("tokens"))
+    blocks = table(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("other")).alias("block")).distinct()
+    return asked.crossJoin(F.broadcast(blocks)), docs  # a query set in each of a handful of blocks
 
 
 @add("corpus_stats", f"WITH {_SIDES} SELECT block, n_docs, {sql4('avg_len')} AS avg_len FROM stats")
@@ -56,15 +57,17 @@ def minmax_norm(spark, sf_dir):
     return out.select("block", "code", "item", r4("norm").alias("norm"))
 
 
-_BOTH = _SIDES.replace("'en' AS block", "unnest(['en', 'fr', 'de']) AS block") + f""", {_NORM},
+_BOTH = _SIDES + f""", {_NORM},
 cs AS (SELECT block, code, item, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS cosine FROM q JOIN it USING (block) JOIN embeddings a ON a.vec_id = code JOIN embeddings b ON b.vec_id = item),
-both_ AS (SELECT block, code, item, coalesce(norm, 0) AS bm25, coalesce(cosine, 0) AS cosine, round(greatest(coalesce(norm, 0), coalesce(cosine, 0)), 9) AS score FROM norm FULL JOIN cs USING (block, code, item))"""
+zeros AS (SELECT block, CASE WHEN hi > lo THEN (0 - lo) / (hi - lo) ELSE 0 END AS zero FROM lim),
+both_ AS (SELECT block, code, item, bm25, cosine, round(greatest(bm25, cosine), 9) AS score
+  FROM (SELECT block, code, item, coalesce(norm, zero, 0) AS bm25, coalesce(cosine, 0) AS cosine FROM q JOIN it USING (block) LEFT JOIN norm USING (block, code, item) LEFT JOIN zeros USING (block) LEFT JOIN cs USING (block, code, item)))"""
 
 
 @add("candidate_pairs", f"WITH {_BOTH} SELECT block, code, item, {sql4('bm25')} AS bm25, {sql4('cosine')} AS cosine, {sql4('score')} AS score FROM both_ WHERE score >= 0.2 QUALIFY row_number() OVER (PARTITION BY block, code ORDER BY score DESC, item) <= 20")
 def candidate_pairs(spark, sf_dir):
-    """Both signals over three blocks; the vectors are those of the same number, which most documents lack."""
-    q, docs = sides(spark, sf_dir, ("en", "fr", "de"))
+    """Both signals over all blocks; the vectors are those of the same number, which most documents lack."""
+    q, docs = sides(spark, sf_dir)
     v = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     q = q.join(v.withColumnRenamed("vec_id", "code"), "code", "left")
     docs = docs.join(v.withColumnRenamed("vec_id", "item"), "item", "left")
@@ -94,14 +97,16 @@ def candidate_product(spark, sf_dir):
 
 @add("topk_pairs", f"WITH {_VEC} SELECT block, code, item, {sql4('cosine')} AS score, CAST(row_number() OVER (PARTITION BY block, code ORDER BY round(cosine, 9) DESC, item) AS INT) AS place FROM cs WHERE round(cosine, 9) >= 0.05 QUALIFY place <= 10")
 def topk_pairs(spark, sf_dir):
-    pairs = M.cosine_scores(*vectors(spark, sf_dir), "block", "code", "item", "embedding").withColumn("score", F.round("cosine", 9))
-    return M.top_k(pairs, ["block", "code"], "score", "item", 10, 0.05).select("block", "code", "item", r4("cosine").alias("score"), "place")
+    found = M.best_by_cosine(*vectors(spark, sf_dir), "block", "code", "item", "embedding", 10, 0.05)
+    return found.select("block", "code", "item", r4("score").alias("score"), "place")
 
 
-@add("refilter_topk", f"WITH {_VEC} SELECT block, code, item, s AS score, CASE WHEN s < 0.1 THEN 'floor' WHEN rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5 THEN 'top_k' END AS cut_by, NOT (s < 0.1 OR rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5) AS kept FROM (SELECT block, code, item, floor(cosine * 50 + 1e-7) / 50 AS s FROM cs)")
+@add("refilter_topk", f"""WITH {_VEC}, first AS (SELECT block, code, item, floor(round(cosine, 9) * 50 + 1e-7) / 50 AS s FROM cs QUALIFY row_number() OVER (PARTITION BY block, code ORDER BY round(cosine, 9) DESC, item) <= 40)
+SELECT block, code, item, s AS score, CASE WHEN s < 0.1 THEN 'floor' WHEN rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5 THEN 'top_k' END AS cut_by, NOT (s < 0.1 OR rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5) AS kept FROM first""")
 def refilter_topk(spark, sf_dir):
-    pairs = M.cosine_scores(*vectors(spark, sf_dir), "block", "code", "item", "embedding").select("block", "code", "item", (F.floor(F.col("cosine") * 50 + 1e-7) / 50).alias("score"))
-    return M.refilter_top_k(pairs, ["block", "code"], "score", 5, 0.1)
+    """A second, narrower cut of a table of scored pairs, here the best 40 of each code, their scores in steps of .02."""
+    pairs = M.best_by_cosine(*vectors(spark, sf_dir), "block", "code", "item", "embedding", 40, -1.0)
+    return M.refilter_top_k(pairs.select("block", "code", "item", (F.floor(F.col("score") * 50 + 1e-7) / 50).alias("score")), ["block", "code"], "score", 5, 0.1)
 
 
 @add("product_size", "SELECT CAST(sum(c * i) AS BIGINT) AS n_pairs, CAST(sum(c * least(i, 15)) AS BIGINT) AS n_top_k FROM (SELECT label, count(*) FILTER (vec_id % 10 = 0) AS c, count(*) FILTER (vec_id % 10 <> 0) AS i FROM embeddings GROUP BY label) WHERE c > 0 AND i > 0")
