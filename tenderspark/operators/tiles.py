@@ -178,7 +178,7 @@ def best_tiles(codes: DataFrame, items: DataFrame, block: str, code: str, key: s
         tile = Tile(a, c, k1, b) if lexical else None
         lo, hi = (c.column(x).to_numpy() for x in ("lo", "hi")) if lexical else (None, None)
         cosines = unit_rows(c.column("vector").combine_chunks())[0] @ unit_rows(a.column("vector").combine_chunks())[0].T if vectors else None
-        own, at, bm, cos = [], [], [], []
+        own, at, bm, cos, best = [], [], [], [], []
         for i in range(c.num_rows):
             lex, may = none, np.full(a.num_rows, True)
             if lexical:
@@ -186,7 +186,7 @@ def best_tiles(codes: DataFrame, items: DataFrame, block: str, code: str, key: s
                 raw, may = tile.scores(i, least - 1e-6 * (1 + abs(least)))
                 lex = normed(raw, lo[i], hi[i])
             near = cosines[i] if vectors else none
-            score = np.round(np.maximum(np.where(may, lex, -np.inf), near), DIGITS)
+            score = np.round(np.maximum(np.where(may, lex, -np.inf), near) if lexical else near, DIGITS)
             good = np.flatnonzero(score >= floor)
             good = good[np.lexsort((good, -score[good]))[:k]]
             if not may[good].all():  # chosen for their cosine: their BM25 is not complete yet
@@ -195,8 +195,8 @@ def best_tiles(codes: DataFrame, items: DataFrame, block: str, code: str, key: s
             at.append(good)
             bm.append(lex[good])
             cos.append(near[good])
-        bm, cos = np.concatenate(bm), np.concatenate(cos)
-        return picked(a, c, block, code, key, np.concatenate(own), np.concatenate(at)) | {"bm25": bm, "cosine": cos, "score": np.round(np.maximum(bm, cos), DIGITS)}
+            best.append(score[good])
+        return picked(a, c, block, code, key, np.concatenate(own), np.concatenate(at)) | {"bm25": np.concatenate(bm), "cosine": np.concatenate(cos), "score": np.concatenate(best)}
 
     found = tiled(codes, items, block, code, key, work, f"{typed(codes, items, block, code, key)}, bm25 double, cosine double, score double")
     place = F.row_number().over(Window.partitionBy(block, code).orderBy(F.desc("score"), key))
