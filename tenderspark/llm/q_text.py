@@ -44,7 +44,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.secret_spans(table(spark, sf_dir, "documents"), starts=True)  # the distance that OP8_SQL states
+    found = secrets.secret_spans(table(spark, sf_dir, "documents"))
     n = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans"))
 
@@ -68,7 +68,7 @@ WITH found AS (
 ), met AS (
   SELECT w.doc_id, w.kind, w.start, w.stop,
          bool_or(o.kind = 1) AS id_strong, bool_or(o.kind IN (3, 4)) AS id_weak, bool_or(o.kind IN (0, 2)) AS secret_strong, bool_or(o.kind = 6) AS secret_weak, bool_or(o.kind = 5) AS endpoint
-  FROM found w JOIN found o ON w.doc_id = o.doc_id AND w.kind >= 3 AND abs(o.start - w.start) <= {secrets.SCOPE} AND (o.stop <= w.start OR o.start >= w.stop)
+  FROM found w JOIN found o ON w.doc_id = o.doc_id AND w.kind >= 3 AND (w.start - o.stop BETWEEN 0 AND {secrets.SCOPE} OR o.start - w.stop BETWEEN 0 AND {secrets.SCOPE})
   GROUP BY ALL
 ), reported AS (
   SELECT doc_id, kind, start, stop FROM found WHERE kind < 3

@@ -87,21 +87,18 @@ def match_spans(rows: DataFrame) -> DataFrame:
     return placed.where(good_match(F.col("kind"), F.col("m"))).select("key", "kind", (F.col("end") - F.length("m")).alias("start"), "end")
 
 
-def linked_parts(parts: DataFrame, scope: int = SCOPE, starts: bool = False) -> DataFrame:
+def linked_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(key, kind, start, end) of the weak spans of ``parts`` that others of the same text complete.
 
     An equi-join on text and scope bin with a distance condition: each weak span meets the parts of which at most
     ``scope`` code points part it, whatever the lengths. A part lies in the bins of its start and of its end, a weak span
     looks into those around both its ends. A bin holds at most ``scope`` starts and ends of each kind, so no text makes
-    more pairs than that for each span. ``starts`` takes the distance of the starts instead, which misses what follows
-    a part longer than ``scope``.
+    more pairs than that for each span.
     """
     first, last = (F.floor(F.col(c) / scope).cast("int") for c in ("start", "end"))
     near = parts.select("key", F.explode(F.array_distinct(F.array(first, last))).alias("bin"), F.col("kind").alias("kind2"), F.col("start").alias("start2"), F.col("end").alias("end2"))
     weak = parts.where(F.col("kind") >= len(BASE)).withColumn("bin", F.explode(F.array_distinct(F.array(first - 1, first, last, last + 1))))
     other = (F.col("start") - F.col("end2")).between(0, scope) | (F.col("start2") - F.col("end")).between(0, scope)
-    if starts:
-        other = ((F.col("end2") <= F.col("start")) | (F.col("end") <= F.col("start2"))) & (F.abs(F.col("start2") - F.col("start")) <= scope)
     has = lambda role, strong: F.max(F.col("kind2").isin([i for i, k in enumerate(KINDS) if _ROLE[k] == role and (i < len(BASE)) == strong])).alias(f"{role}_{strong}")
     met = weak.join(near, ["key", "bin"]).where(other).groupBy("key", "kind", "start", "end").agg(has("id", True), has("id", False), has("secret", True), has("secret", False), has("endpoint", False))
     role = lambda r: F.col("kind").isin([i for i, k in enumerate(KINDS) if _ROLE[k] == r])
@@ -113,16 +110,16 @@ def linked_parts(parts: DataFrame, scope: int = SCOPE, starts: bool = False) ->
     return met.where(good).select("key", "kind", "start", "end")
 
 
-def reported(rows: DataFrame, scope: int, starts: bool) -> DataFrame:
+def reported(rows: DataFrame, scope: int) -> DataFrame:
     """(key, base, spans) of the texts that have any: arrays by start, then kind as listed."""
     parts = written(match_spans(rows), "secret-parts")
     base = parts.where(F.col("kind") < len(BASE)).withColumn("is_base", F.lit(True))
-    both = base.union(linked_parts(parts, scope, starts).withColumn("is_base", F.lit(False)))
+    both = base.union(linked_parts(parts, scope).withColumn("is_base", F.lit(False)))
     span = F.struct("start", "kind", "end")
     return both.groupBy("key").agg(in_order(F.collect_list(F.when(F.col("is_base"), span))).alias("base"), in_order(F.collect_list(span)).alias("spans"))
 
 
-def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, starts: bool = False) -> DataFrame:
+def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """One row per row of ``docs``: doc_id, base and spans (arrays of kind, start, end; base is part of spans).
 
     Null and empty texts have no spans; repeated rows each get theirs; a null id is kept. Only the two named columns
@@ -131,13 +128,13 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = found_matches(docs, id_col, text_col)
     none = F.array().cast(SPANS)
-    return rows.join(reported(rows, scope, starts), "key", "left").select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
+    return rows.join(reported(rows, scope), "key", "left").select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans"))
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """``docs`` with every reported span of ``text_col`` replaced by its kind in brackets; overlapping spans become
     one, named by the first. All rows and columns stay; a text without spans, null ones too, is unchanged."""
-    marked = reported(found_matches(docs, id_col, text_col), scope, False).select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    marked = reported(found_matches(docs, id_col, text_col), scope).select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
     joined = docs.select(F.struct("*").alias("_row"), row_key(id_col, text_col).alias("_key"), F.col(text_col).alias("_text")).join(marked, "_key", "left")
     grown = lambda out, s: F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["kind"].alias("kind"), F.element_at(out, -1)["start"].alias("start"), F.greatest(F.element_at(out, -1)["end"], s["end"]).alias("end"))))
     merged = F.aggregate("_spans", F.array().cast(SPANS), lambda out, s: F.when((F.size(out) > 0) & (F.try_element_at(out, F.lit(-1))["end"] > s["start"]), grown(out, s)).otherwise(F.array_append(out, s)))
