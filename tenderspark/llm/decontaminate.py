@@ -123,7 +123,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), text, *([F.struct("*").alias("_row")] if carry else []))
     row = f", _row {given.schema['_row'].dataType.simpleString()}" if carry else ""
     final = "doc_id long, n_words long, n_hit long, items array<long>, contaminated boolean" + ", cleaned string" * with_text + row
-    cut = written(pieces(benchmark, item_col, item_text_col, window, min(PIECE_WORDS, block_windows)), "benchmark")
+    cut = written(pieces(benchmark, item_col, item_text_col, window, min(PIECE_WORDS, block_windows)).distinct(), "benchmark")
     total = cut.agg(F.sum("n")).first()[0] or 0
     n = max(1, -(-total // block_windows))
     dealt = [cut.where(F.pmod(F.xxhash64("item", "piece", "words"), F.lit(n)) == i) for i in range(n)]
