@@ -22,6 +22,7 @@ from tenderspark.llm.common import bounded_batches, bounded_sample, shared_folde
 
 DICT_MAGIC, GAP = 0x184D2A5D, "P*M\x18\x00\x00\x00\x00"  # GAP: skippable frame 0x184D2A50 of no bytes
 DICT_BYTES, SAMPLE_RECORDS, SAMPLE_BYTES = 64 << 10, 512, 16 << 10
+SLICE = 1 << 16  # bytes of an archive that a reader is given at once
 ARCHIVE_BYTES = 24 << 20
 LEVEL = 3
 _B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -120,9 +121,14 @@ def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
                 decomp = zstandard.ZstdDecompressor(dict_data=learned)
             at += 8 + size
             continue
-        reader = decomp.decompressobj()
-        record = reader.decompress(memoryview(data)[at:])
-        at = len(data) - len(reader.unused_data)
+        reader, parts = decomp.decompressobj(), []
+        while not reader.eof:
+            if at >= len(data):
+                raise ValueError("the archive ends inside a record")
+            parts.append(reader.decompress(memoryview(data)[at : at + SLICE]))
+            at += min(SLICE, len(data) - at)
+        at -= len(reader.unused_data)  # of the last slice, not of the archive
+        record = b"".join(parts)
         head, _, body = record.partition(b"\r\n\r\n")
         fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
         yield fields, body[: int(fields["Content-Length"])]
