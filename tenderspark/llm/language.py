@@ -20,6 +20,7 @@ from tenderspark.llm.common import bounded_batches, bounded_sample
 
 DIM = 4096
 SAMPLE_PER_LANGUAGE = 300
+MAX_LANGUAGES = 60  # that are learned, the most frequent; bounds the machines of one language against another
 # Closely related languages; a learned language that is in none is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "is", "af"),
@@ -129,10 +130,12 @@ def held_out(id_col: str = "doc_id"):
 
 def learned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model from at most ``per_language`` rows of each language, those with the smallest hash of the id; held-out
-    rows and rows without id, text or language are left out."""
+    rows and rows without id, text or language are left out, and so are all but the ``MAX_LANGUAGES`` most frequent values."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("doc_id is not null and text is not null and lang is not null")
     bounded_batches(docs.sparkSession)
-    sample = bounded_sample(given.where(~held_out()), "doc_id", per_language, by="lang")
+    given = given.where(~held_out())
+    common = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    sample = bounded_sample(given.join(F.broadcast(common), "lang", "left_semi"), "doc_id", per_language, by="lang")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
