@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tenderspark.sources.ship import ship
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
