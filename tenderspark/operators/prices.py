@@ -5,30 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tenderspark.operators.quantiles import HOT_ROWS, exact_quantiles, renamed, same_group
 
-def iqr_bounds(df: DataFrame, by: list[str], price: str, factor: float = 3.0, accuracy: int | None = None) -> DataFrame:
-    """(by, q1, q3, lo, hi): quartiles by linear interpolation over non-null prices.
 
-    The exact form keeps a count per distinct price of a group, combined before the shuffle; for groups with very many
-    distinct prices ``accuracy`` takes a sketch of bounded size instead."""
-    ends = F.array(F.lit(0.25), F.lit(0.75))
-    q = df.groupBy(*by).agg((F.percentile(price, ends) if accuracy is None else F.percentile_approx(price, ends, accuracy)).alias("q"))
+def iqr_bounds(df: DataFrame, by: list[str], price: str, factor: float = 3.0, accuracy: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(by, q1, q3, lo, hi): quartiles by linear interpolation over non-null prices, exact for groups of any size
+    (``exact_quantiles``); ``accuracy`` takes a sketch instead."""
+    if accuracy is None:
+        q = exact_quantiles(df, by, price, [0.25, 0.75], hot_rows)
+    else:
+        q = df.groupBy(*by).agg(F.percentile_approx(price, F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias("q"))
     q1, q3 = F.col("q")[0], F.col("q")[1]
     return q.select(*by, q1.alias("q1"), q3.alias("q3"), (q1 - factor * (q3 - q1)).alias("lo"), (q3 + factor * (q3 - q1)).alias("hi"))
 
 
-def price_flags(df: DataFrame, by: list[str], price: str, factor: float = 3.0, accuracy: int | None = None) -> DataFrame:
+def price_flags(df: DataFrame, by: list[str], price: str, factor: float = 3.0, accuracy: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``df`` with ``price_flag``: null, not positive, or outside the bounds of its group; rows with a null in ``by`` are a
-    group like any other. ``accuracy`` as in ``iqr_bounds``.
+    group like any other. ``accuracy`` and ``hot_rows`` as in ``iqr_bounds``.
 
     The bounds are aggregated first and joined back, so a group of any size is never held by one task."""
     p = F.col(price)
     bad = p.isNull() | (p <= 0) | (p < F.col("lo")) | (p > F.col("hi"))
-    bounds = iqr_bounds(df, by, price, factor, accuracy).select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "lo", "hi")
-    same = F.lit(True)
-    for i, c in enumerate(by):
-        same = same & df[c].eqNullSafe(F.col(f"_by{i}"))
-    return df.join(bounds, same).withColumn("price_flag", F.coalesce(bad, F.lit(True))).drop("lo", "hi", *[f"_by{i}" for i in range(len(by))])
+    bounds = renamed(iqr_bounds(df, by, price, factor, accuracy, hot_rows), by, "_by_", "lo", "hi")
+    flagged = df.join(bounds, same_group(df, by, "_by_")).withColumn("price_flag", F.coalesce(bad, F.lit(True)))
+    return flagged.drop("lo", "hi", *[f"_by_{c}" for c in by])
 
 
 def band_flag(price: Column, low: Column, high: Column) -> Column:
