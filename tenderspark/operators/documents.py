@@ -125,9 +125,3 @@ def match_items_to_table(items: DataFrame, rows: DataFrame, document: str, key:
     b = rows.select(document, row_index, F.explode(F.array_distinct(T.tokenize_alnum(F.col(row_text)))).alias("w"))
     n = a.join(b, [document, "w"]).groupBy(document, key, row_index).agg(F.count(F.lit(1)).alias("common"))
     return n.groupBy(document, key).agg(F.max_by(F.struct(row_index, "common"), F.struct(F.col("common"), -F.col(row_index))).alias("_b")).select(document, key, "_b.*")
-
-
-def retention_plan(pages: DataFrame, documents: DataFrame, document: str, now: Column, days: int = 180) -> DataFrame:
-    """One row: pages and characters of extracted documents older than ``days`` that have an address to fetch again."""
-    old = documents.where((F.col("extracted_at") < F.date_sub(now, days)) & (F.length(F.coalesce("url", F.lit(""))) > 0)).select(document)
-    return pages.join(old, document, "left_semi").agg(F.count(F.lit(1)).alias("n_pages"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n_chars"))

@@ -76,7 +76,8 @@ def pick_winner(df: DataFrame, by: list[str], price: str, rank: str, seq: str) -
 
 
 def homologated_price(items: DataFrame, winners: DataFrame, by: list[str], estimate: str) -> DataFrame:
-    """``items`` with price and supplier of the winner if its price is there and not zero, else the estimate alone."""
-    w = winners.select(*by, F.col("price").alias("_p"), F.col("supplier").alias("_s"))
+    """``items`` with ``price``, ``supplier`` and ``dated`` of the winner if its price is there and not zero, else the estimate
+    alone."""
+    w = winners.select(*by, F.col("price").alias("_p"), F.col("supplier").alias("_s"), F.col("dated").alias("_d"))
     good = F.coalesce(F.col("_p") != 0, F.lit(False))
-    return items.join(w, by, "left").withColumn("price", F.when(good, F.col("_p")).otherwise(F.col(estimate))).withColumn("supplier", F.when(good, F.col("_s"))).drop("_p", "_s")
+    return items.join(w, by, "left").withColumn("price", F.when(good, F.col("_p")).otherwise(F.col(estimate))).withColumn("supplier", F.when(good, F.col("_s"))).withColumn("dated", F.when(good, F.col("_d"))).drop("_p", "_s", "_d")

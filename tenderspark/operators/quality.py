@@ -34,6 +34,30 @@ def threshold_sweep(df: DataFrame, label: str, score: str, steps: int) -> DataFr
     return out.select((F.col("_t") / (steps - 1)).alias("t"), F.try_divide("_tp", "_acc").alias("precision"), F.try_divide("_tp", "_all").alias("recall"), F.col("_acc").alias("n_accepted"))
 
 
+def chosen_thresholds(df: DataFrame, label: str, score: str, recall: float = 0.99, precision: float = 0.97, reject_steps: int = 101, accept_steps: int = 21) -> DataFrame:
+    """One row (reject_at, reject_recall, accept_at, accept_precision): the largest threshold of ``reject_steps`` from 0 to 1 that
+    keeps ``recall`` of the positives (a missing score counts as 0), and the smallest of ``accept_steps`` whose accepted rows, at
+    least one, have ``precision`` (rows with a score alone). Null where no threshold will do.
+
+    Both grids are read off one aggregation into the cells of the finer one, cumulated from above; the coarser grid must be
+    part of it."""
+    fine, step = reject_steps - 1, (reject_steps - 1) // (accept_steps - 1)
+    known = df.where(F.col(label).isNotNull())
+    cell = F.least(F.greatest(F.floor(F.coalesce(F.col(score), F.lit(0.0)) * fine + 1e-9), F.lit(0)), F.lit(fine)).cast("int")
+    has = F.col(score).isNotNull()
+    cells = known.groupBy(cell.alias("c")).agg(F.count_if(F.col(label)).alias("p"), F.count_if(F.col(label) & has).alias("ps"), F.count_if(has).alias("n"))
+    grid = df.sparkSession.range(reject_steps).select(F.col("id").cast("int").alias("c")).join(F.broadcast(cells), "c", "left")
+    above = Window.orderBy(F.desc("c"))  # of the grid's rows
+    up = lambda c: F.coalesce(F.sum(c).over(above), F.lit(0))
+    total = F.sum("p").over(Window.partitionBy())
+    curve = grid.select((F.col("c") / fine).alias("t"), (F.col("c") % step == 0).alias("coarse"), F.try_divide(up("p"), total).alias("recall"), F.try_divide(up("ps"), up("n")).alias("precision"))
+    low, high = F.col("recall") >= recall, F.col("coarse") & (F.col("precision") >= precision)
+    return curve.agg(
+        F.max(F.when(low, F.struct("t", "recall"))).alias("r"),
+        F.min(F.when(high, F.struct("t", "precision"))).alias("a"),
+    ).select(F.col("r.t").alias("reject_at"), F.col("r.recall").alias("reject_recall"), F.col("a.t").alias("accept_at"), F.col("a.precision").alias("accept_precision"))
+
+
 def stratified_sample(df: DataFrame, score: str, key: str, n: int, bins: int = 5, seed: str = "42") -> DataFrame:
     """Up to n / bins rows of each of ``bins`` equal-width score bins, those with the smallest md5 of key and seed."""
     lim = df.agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))

@@ -56,7 +56,8 @@ def value_diff(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def orphan_report(checks: Iterable[tuple[str, DataFrame, DataFrame, list[str]]]) -> DataFrame:
-    """(check_name, n): for each check the child rows without a parent on the keys; every n is expected to be 0."""
+    """(check_name, n): for each check the child rows without a parent on the keys; every n is expected to be 0. Rows with a null
+    key have no parent."""
     out = None
     for name, child, parent, keys in checks:
         one = child.join(parent.select(*keys).distinct(), keys, "left_anti").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check_name"), "n")
@@ -64,6 +65,20 @@ def orphan_report(checks: Iterable[tuple[str, DataFrame, DataFrame, list[str]]])
     return out
 
 
+def rule_report(rules: Iterable[tuple[str, DataFrame, Column]]) -> DataFrame:
+    """(check_name, n): for each rule the rows that break it; rules of one table are counted in one pass over it."""
+    by_table: dict[int, tuple[DataFrame, list[tuple[str, Column]]]] = {}
+    for name, df, broken in rules:
+        by_table.setdefault(id(df), (df, []))[1].append((name, broken))
+    out = None
+    for df, checks in by_table.values():
+        row = df.agg(*[F.count_if(broken).alias(name) for name, broken in checks])
+        pairs = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(name).alias("n")) for name, _ in checks])
+        one = row.select(F.explode(pairs).alias("x")).select("x.*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def count_report(tables: dict[str, tuple[DataFrame, int]], tolerance: float = 0.01) -> DataFrame:
     """(table_name, n, expected, delta, ok): counts against expected values within a relative tolerance."""
     out = None
@@ -74,11 +89,6 @@ def count_report(tables: dict[str, tuple[DataFrame, int]], tolerance: float = 0.
     return out
 
 
-def load_report(df: DataFrame, reason: Column) -> DataFrame:
-    """(reason, n): rows read by the reason they are dropped for; null is ``written``."""
-    return df.groupBy(F.coalesce(reason, F.lit("written")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def retire_missing(generated: DataFrame, existing: DataFrame, key: str, manual: Column) -> DataFrame:
     """Manual rows stay active; generated ones are replaced: those equal to a manual key are dropped, those no longer
     generated are kept inactive. -> (key, origin, active)"""

@@ -8,6 +8,7 @@ from tenderspark.functions import text as T
 from tenderspark.operators import catalog as K
 from tenderspark.operators import tables as B
 from tenderspark.plans.demo import CATALOG, DESCRIBED, ITEMS, LINE_ORDER, Plans, catalog, described, items, r4, sql4, table
+from tenderspark.sources.observed import counts_table, loaded
 
 PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
@@ -238,16 +239,40 @@ def merge_keep_manual(spark, sf_dir):
     return B.retire_missing(gen, old, "term", F.col("manual"))
 
 
-@add("orphan_checks", "SELECT 'line_order' AS check_name, count(*) AS n FROM lineitem ANTI JOIN orders ON l_orderkey = o_orderkey UNION ALL SELECT 'line_part', count(*) FROM lineitem ANTI JOIN part ON l_partkey = p_partkey UNION ALL SELECT 'order_customer', count(*) FROM orders ANTI JOIN customer ON o_custkey = c_custkey UNION ALL SELECT 'label_document', count(*) FROM documents ANTI JOIN labels USING (doc_id)")
+#: Orphans by name: child table and key, parent table and key.
+_ORPHANS = [
+    ("line_order", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("line_part", "lineitem", "l_partkey", "part", "p_partkey"),
+    ("line_supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("order_customer", "orders", "o_custkey", "customer", "c_custkey"),
+    ("customer_nation", "customer", "c_nationkey", "nation", "n_nationkey"),
+    ("supplier_nation", "supplier", "s_nationkey", "nation", "n_nationkey"),
+    ("nation_region", "nation", "n_regionkey", "region", "r_regionkey"),
+    ("label_document", "labels", "doc_id", "documents", "doc_id"),
+]
+#: Rules by name, table and condition of the rows that break them; a blank or missing hash stands for a text never hashed.
+_RULES = [
+    ("document_without_hash", "documents", "coalesce(trim(text), '') = ''"),
+    ("label_not_0_or_1", "labels", "quality not in (0, 1) or toxic not in (0, 1)"),
+    ("line_position", "lineitem", "l_linenumber <= 0"),
+    ("line_shipped_unpriced", "lineitem", "l_linestatus = 'F' and coalesce(l_extendedprice, 0) <= 0"),
+    ("vector_size", "embeddings", "SIZE(embedding) <> 64"),
+]
+
+
+def _orphan_sql() -> str:
+    parts = [f"SELECT '{n}' AS check_name, count(*) AS n FROM {c} WHERE NOT EXISTS (SELECT 1 FROM {p} WHERE {p}.{pk} = {c}.{ck})" for n, c, ck, p, pk in _ORPHANS]
+    parts += [f"SELECT '{n}', count(*) FROM {t} WHERE {cond.replace('SIZE(', 'len(')}" for n, t, cond in _RULES]
+    return " UNION ALL ".join(parts)
+
+
+@add("orphan_checks", _orphan_sql())
 def orphan_checks(spark, sf_dir):
-    t = lambda n, **r: table(spark, sf_dir, n).withColumnsRenamed(r)
-    line = t("lineitem")
-    return B.orphan_report([
-        ("line_order", line.select("l_orderkey"), t("orders", o_orderkey="l_orderkey"), ["l_orderkey"]),
-        ("line_part", line.select("l_partkey"), t("part", p_partkey="l_partkey"), ["l_partkey"]),
-        ("order_customer", t("orders").select("o_custkey"), t("customer", c_custkey="o_custkey"), ["o_custkey"]),
-        ("label_document", t("documents").select("doc_id"), t("labels"), ["doc_id"]),
-    ])
+    """Eight checks for orphans and five rules; all are expected to count nothing in clean data."""
+    tables = {t: table(spark, sf_dir, t) for t in {x for _, c, _, p, _ in _ORPHANS for x in (c, p)} | {t for _, t, _ in _RULES}}
+    key = lambda t, k: tables[t].select(F.col(k).alias("k"))
+    orphans = B.orphan_report([(n, key(c, ck), key(p, pk), ["k"]) for n, c, ck, p, pk in _ORPHANS])
+    return orphans.unionByName(B.rule_report([(n, tables[t], F.expr(cond)) for n, t, cond in _RULES]))
 
 
 @add("table_counts", "SELECT name AS table_name, n, e AS expected, n - e AS delta, abs(n - e) <= 0.01 * e AS ok FROM (SELECT 'nation' AS name, (SELECT count(*) FROM nation) AS n, 25::BIGINT AS e UNION ALL SELECT 'region', (SELECT count(*) FROM region), 5 UNION ALL SELECT 'supplier', (SELECT count(*) FROM supplier), 101 UNION ALL SELECT 'part', (SELECT count(*) FROM part), 1900)")
@@ -256,10 +281,11 @@ def table_counts(spark, sf_dir):
     return B.count_report({"nation": (t("nation"), 25), "region": (t("region"), 5), "supplier": (t("supplier"), 101), "part": (t("part"), 1900)})
 
 
-@add("load_report", "SELECT CASE WHEN l_quantity > 45 THEN 'too_many' WHEN l_discount > 0.09 THEN 'discount' ELSE 'written' END AS reason, count(*) AS n FROM lineitem GROUP BY 1")
+@add("load_report", "WITH r AS (SELECT CASE WHEN l_quantity > 45 THEN 'too_many' WHEN l_discount > 0.09 THEN 'discount' ELSE 'written' END AS metric FROM lineitem) SELECT 'lines' AS step, metric, count(*) AS n FROM r GROUP BY metric UNION ALL SELECT 'lines', 'read', count(*) FROM r")
 def load_report(spark, sf_dir):
-    reason = F.when(F.col("l_quantity") > 45, "too_many").when(F.col("l_discount") > 0.09, "discount")
-    return B.load_report(table(spark, sf_dir, "lineitem"), reason)
+    """Lines are loaded; the job that writes them counts those read, dropped by reason and written."""
+    _, seen = loaded(table(spark, sf_dir, "lineitem"), "lines", {"too_many": F.col("l_quantity") > 45, "discount": F.col("l_discount") > 0.09})
+    return counts_table(spark, {"lines": seen})
 
 
 @add("limit_units", f"WITH {ITEMS} SELECT item_key, code FROM items WHERE status = 'O' ORDER BY item_key LIMIT 1000")

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from tenderspark.functions import text as T
 from tenderspark.operators import documents as D
+from tenderspark.operators.retention import retention
 from tenderspark.plans.demo import ITEMS, Plans, items, r4, sql4, table
+from tenderspark.sources.files import scratch
+from tenderspark.streaming.tables import BucketTable
 
 PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
@@ -110,12 +113,36 @@ def match_items_to_table(spark, sf_dir):
     return D.match_items_to_table(a, b, "conv_id", "item", "text", "line", "text")
 
 
-@add("retention_plan", "WITH old AS (SELECT conv_id, conv_id % 3 <> 0 AS has_url FROM conversations GROUP BY conv_id HAVING conv_id % 400 > 180) SELECT count(*) AS n_pages, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars FROM conversations SEMI JOIN (SELECT conv_id FROM old WHERE has_url) o USING (conv_id)")
-def retention_plan(spark, sf_dir):
+_OLD = "gone AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 400 > 180 AND conv_id % 3 <> 0), p AS (SELECT conv_id IN (SELECT conv_id FROM gone) AS dead, text FROM conversations), l AS (SELECT ts < TIMESTAMP '2024-04-14' - INTERVAL 90 DAY AS dead FROM events)"
+
+
+def retained(spark, sf_dir):
+    """Pages and logs as tables in buckets, the documents that the pages belong to, and the two days of the check."""
     c = table(spark, sf_dir, "conversations")
-    now = F.to_date(F.lit("2026-01-01"))
+    now = F.to_date(F.lit("2024-04-14"))
     docs = c.select("conv_id").distinct().select("conv_id", F.date_sub(now, (F.col("conv_id") % 400).cast("int")).alias("extracted_at"), F.when(F.col("conv_id") % 3 != 0, F.lit("https://example.org")).alias("url"))
-    return D.retention_plan(c, docs, "conv_id", now, 180)
+    out = scratch(spark, "retention")
+    pages = BucketTable(spark, f"{out}/pages", "conv_id long, turn long, text string", ["conv_id"], 32)
+    logs = BucketTable(spark, f"{out}/logs", "event_id long, ts timestamp", ["event_id"], 32)
+    pages.merge(c.select("conv_id", "turn", "text"), 0, lambda old, new: new)
+    logs.merge(table(spark, sf_dir, "events").select("event_id", "ts"), 0, lambda old, new: new)
+    return pages, docs, logs, now
+
+
+@add("retention_plan", f"WITH {_OLD} SELECT 'page' AS target, count(*) AS n_rows, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars, false AS applied FROM p WHERE dead UNION ALL SELECT 'log', count(*), 0, false FROM l WHERE dead")
+def retention_plan(spark, sf_dir):
+    pages, docs, logs, now = retained(spark, sf_dir)
+    return retention(pages, docs, "conv_id", logs, "ts", now)
+
+
+@add("retention_apply", f"WITH {_OLD} SELECT 'page' AS target, count(*) AS n_left FROM p WHERE NOT dead UNION ALL SELECT 'log', count(*) FROM l WHERE dead IS NOT TRUE")
+def retention_apply(spark, sf_dir):
+    """What the two tables hold after an applied pass, and still after a second one."""
+    pages, docs, logs, now = retained(spark, sf_dir)
+    for _ in range(2):
+        retention(pages, docs, "conv_id", logs, "ts", now, apply=True)
+    left = lambda t, name: t.read().agg(F.count(F.lit(1)).alias("n_left")).select(F.lit(name).alias("target"), "n_left")
+    return left(pages, "page").unionByName(left(logs, "log"))
 
 
 @add("anchor_windows")

@@ -39,10 +39,10 @@ def read_string_csv(spark, sf_dir):
     return S.read_string_csv(spark, out, ["conv_id", "turn", "role", "text"])
 
 
-@add("repair_ragged_csv", "SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, CASE WHEN c_custkey % 3 <> 1 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 3 = 1 THEN 'padded' WHEN c_custkey % 3 = 2 THEN 'cut' ELSE 'whole' END AS row_kind FROM customer")
+@add("repair_ragged_csv", "SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, CASE WHEN c_custkey % 3 <> 1 AND c_custkey % 12 <> 2 THEN c_mktsegment END AS segment, CASE WHEN c_custkey % 3 = 1 THEN 'padded' WHEN c_custkey % 3 = 2 THEN 'cut' ELSE 'whole' END AS row_kind FROM customer")
 def repair_ragged_csv(spark, sf_dir):
     out, m = S.scratch(spark, "ragged"), F.col("c_custkey") % 3
-    line = F.concat_ws(",", s("c_custkey"), "c_name", F.when(m != 1, F.col("c_mktsegment")), F.when(m == 2, F.lit("surplus")))
+    line = F.concat_ws(",", s("c_custkey"), "c_name", F.when(m != 1, F.when(F.col("c_custkey") % 12 == 2, "").otherwise(F.col("c_mktsegment"))), F.when(m == 2, F.lit("surplus")))
     table(spark, sf_dir, "customer").select(line.alias("value")).write.text(out)
     return S.repair_ragged_csv(spark, out, ["k", "name", "segment"], header=False)
 

@@ -185,6 +185,15 @@ def threshold_sweep(spark, sf_dir):
     return Q.threshold_sweep(scored(spark, sf_dir), "good", "score", 101).select(r4("t").alias("t"), r4("precision").alias("precision"), r4("recall").alias("recall"), "n_accepted")
 
 
+@add("chosen_thresholds", f"""WITH {_SCORED}, cell AS (SELECT good, score IS NOT NULL AS has, least(greatest(floor(coalesce(score, 0) * 100 + 1e-9), 0), 100) AS c FROM scored WHERE good IS NOT NULL),
+a AS (SELECT t, count(*) FILTER (good AND c >= t) / nullif(count(*) FILTER (good), 0) AS recall, count(*) FILTER (good AND has AND c >= t) / nullif(count(*) FILTER (has AND c >= t), 0) AS precision FROM generate_series(0, 100) AS g(t), cell GROUP BY t)
+SELECT {sql4("max(t) FILTER (recall >= 0.99) / 100")} AS reject_at, {sql4("arg_max(recall, t) FILTER (recall >= 0.99)")} AS reject_recall,
+{sql4("min(t) FILTER (t % 5 = 0 AND precision >= 0.97) / 100")} AS accept_at, {sql4("arg_min(precision, t) FILTER (t % 5 = 0 AND precision >= 0.97)")} AS accept_precision FROM a""")
+def chosen_thresholds(spark, sf_dir):
+    found = Q.chosen_thresholds(scored(spark, sf_dir), "good", "score")
+    return found.select(*[r4(c).alias(c) for c in found.columns])
+
+
 @add("stratified_sample", f"WITH {_SCORED}, b AS (SELECT doc_id, CAST(CASE WHEN hi > lo THEN least(floor((score - lo) / ((hi - lo) / 5)), 4) ELSE 0 END AS INT) AS bin FROM scored, (SELECT min(score) AS lo, max(score) AS hi FROM scored) WHERE score IS NOT NULL) SELECT doc_id, bin FROM b QUALIFY row_number() OVER (PARTITION BY bin ORDER BY md5(CAST(doc_id AS VARCHAR) || '42'), doc_id) <= 20")
 def stratified_sample(spark, sf_dir):
     return Q.stratified_sample(scored(spark, sf_dir), "score", "doc_id", 100).select("doc_id", "bin")

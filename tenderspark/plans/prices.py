@@ -74,12 +74,12 @@ def pick_winner(spark, sf_dir):
     return P.pick_winner(rows, ["document", "number"], "valid", "rank", "seq").select("document", "number", "supplier", "price")
 
 
-@add("homologated_price", f"WITH {ITEMS}, won AS (SELECT document, number, unit_price * 0.9 AS p, supplier AS s FROM items WHERE flag <> 'N') SELECT item_key, CASE WHEN coalesce(p <> 0, false) THEN p ELSE unit_price END AS price, CASE WHEN coalesce(p <> 0, false) THEN s END AS supplier FROM items LEFT JOIN won USING (document, number)")
+@add("homologated_price", f"WITH {ITEMS}, won AS (SELECT document, number, unit_price * 0.9 AS p, supplier AS s, shipped AS d FROM items WHERE flag <> 'N') SELECT item_key, CASE WHEN coalesce(p <> 0, false) THEN p ELSE unit_price END AS price, CASE WHEN coalesce(p <> 0, false) THEN s END AS supplier, CASE WHEN coalesce(p <> 0, false) THEN d END AS dated FROM items LEFT JOIN won USING (document, number)")
 def homologated_price(spark, sf_dir):
     i = items(spark, sf_dir)
-    won = i.where("flag != 'N'").select("document", "number", (F.col("unit_price") * 0.9).alias("price"), "supplier")
+    won = i.where("flag != 'N'").select("document", "number", (F.col("unit_price") * 0.9).alias("price"), "supplier", F.col("shipped").alias("dated"))
     out = P.homologated_price(i.drop("supplier"), won, ["document", "number"], "unit_price")
-    return out.select("item_key", "price", "supplier")
+    return out.select("item_key", "price", "supplier", "dated")
 
 
 @add("sorted_listing", f"WITH {CATALOG} SELECT code, group_name, CAST(row_number() OVER (ORDER BY length(code), code) AS INT) AS place FROM catalog")

@@ -74,7 +74,7 @@ def audit_trail(spark, sf_dir):
 
 
 _BR = lambda x: f"replace(replace(replace(format('{{:,.2f}}', floor({x} * 100 + 0.5) / 100), ',', ';'), '.', ','), ';', '.')"
-_REPORT = f"""WITH {_RANKED}, r AS (SELECT *, document % 2 = 0 AS contract, lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS cnpj FROM ranked JOIN orders ON document = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON supplier = s_suppkey WHERE position <= 3)
+_REPORT = f"""WITH {_RANKED}, r AS (SELECT *, document % 2 = 0 AS contract, lpad(CAST(o_custkey AS VARCHAR), 14, '0') AS cnpj FROM ranked JOIN orders ON document = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN supplier ON supplier = s_suppkey)
 SELECT run_id, CAST(position AS INT) AS position, CAST(code AS VARCHAR) AS "Codigo CATMAT/CATSER", CASE WHEN code % 2 = 0 THEN 'Material' ELSE 'Serviço' END AS "Material/Servico", category AS "Tipo",
   CASE WHEN code % 2 = 0 THEN split_part(description, ' ', 1) ELSE unit END AS "Nome", CASE WHEN code % 2 = 0 THEN replace(description, ' ', ', ') ELSE description END AS "Descricao Base",
   CASE WHEN flag = 'R' THEN upper(description) ELSE '' END AS "Descricao Especifica", c_name AS "Orgao", cnpj AS "CNPJ Orgao", n_name AS "UF",
@@ -91,7 +91,7 @@ def report_rows(spark, sf_dir):
     o = t("orders").select(F.col("o_orderkey").alias("document"), F.col("o_orderdate").alias("signed"), F.col("o_custkey").alias("c_custkey"))
     buyers = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("c_name").alias("buyer"), F.col("n_name").alias("state"))
     s = t("supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("supplier_name"))
-    r = ranked(spark, sf_dir).where("position <= 3").join(o, "document").join(buyers, "c_custkey").join(s, "supplier")
+    r = ranked(spark, sf_dir).join(o, "document").join(buyers, "c_custkey").join(s, "supplier")
     contract, cents = doc % 2 == 0, lambda c: F.floor(c * 100 + 0.5) / 100
     buyer_id = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
     control = F.concat(buyer_id, F.when(contract, "-2-").otherwise("-1-"), F.lpad(doc.cast("string"), 8, "0"), F.lit("/"), F.year("signed"), F.when(contract, "").otherwise(F.concat(F.lit("-"), doc % 90 + 1)))

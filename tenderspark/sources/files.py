@@ -61,10 +61,13 @@ def read_string_csv(spark: SparkSession, path: str, columns: list[str]) -> DataF
 
 
 def repair_ragged_csv(spark: SparkSession, path: str, columns: list[str], header: bool = True) -> DataFrame:
-    """The rows of a CSV brought to ``columns``: short ones padded with nulls, long ones cut; ``row_kind`` says which."""
+    """The rows of a CSV brought to ``columns``: short ones padded with nulls, long ones cut; ``row_kind`` says which, by the
+    number of fields: commas outside quotes and one."""
     schema = string_schema([*columns, "_raw"])
     df = spark.read.schema(schema).option("header", header).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_raw").csv(path)
-    kind = F.when(F.col("_raw").isNull(), "whole").when(F.col(columns[-1]).isNull(), "padded").otherwise("cut")
+    bare = F.regexp_replace("_raw", r'"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    kind = F.when(fields < len(columns), "padded").when(fields > len(columns), "cut").otherwise("whole")
     return df.select(*columns, kind.alias("row_kind"))
 
 

@@ -61,6 +61,14 @@ class BucketTable:
             self._replace(raw.where(F.col("_bucket").isin(todo) & ~dead), len(todo))
         return len(todo)
 
+    def delete_keys(self, gone: DataFrame) -> int:
+        """As ``delete``, of all rows with a key of ``gone`` (the table's key columns)."""
+        raw = self._raw()
+        todo = [r[0] for r in raw.join(gone, self.keys, "left_semi").select("_bucket").distinct().collect()]
+        if todo:
+            self._replace(raw.where(F.col("_bucket").isin(todo)).join(gone, self.keys, "left_anti").select(*raw.columns), len(todo))
+        return len(todo)
+
     def _replace(self, rows: DataFrame, n: int) -> None:
         """One file per bucket; Spark stages the new folders before it puts them in the place of the old ones."""
         rows.repartition(n, "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(self.path)
