@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tenderspark.functions import text as T
 from tenderspark.functions.fixed import REPORT_COLUMNS
 
-from tenderspark.operators.tables import one_per_key
+from tenderspark.operators.tables import Snapshot, one_per_key
 
 
 def run_diff(a: DataFrame, b: DataFrame, keys: list[str], price: str, order: list, threshold: float = 0.0) -> DataFrame:
@@ -28,6 +28,14 @@ def new_since_export(report: DataFrame, snapshot: DataFrame | None, keys: list[s
     return report if snapshot is None else report.join(snapshot.select(*keys).distinct(), keys, "left_anti")
 
 
+def export_new(report: DataFrame, exported: Snapshot, keys: list[str]) -> DataFrame:
+    """``new_since_export`` of ``report``, whose keys, all of them and not the new ones alone, become the snapshot: it is the
+    picture of what has been delivered."""
+    before = exported.read()
+    exported.advance(report.select(*keys).distinct())
+    return new_since_export(report, before, keys)
+
+
 def cost_rollup(calls: DataFrame, run: str, step: str, ts: str, cost: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """(level, name, cost, n): cost by run, by step, by month and in total, in one pass over the calls."""
     rows = calls

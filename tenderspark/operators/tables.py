@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -44,6 +44,42 @@ def snapshot_delta(current: DataFrame, previous: DataFrame | None, keys: list[st
     return a.join(b, keys, "full").select(*keys, status.alias("status")).where("status is not null")
 
 
+class Snapshot:
+    """A stored baseline: versions of a keyed table in numbered folders, of which the newest complete one counts. Taking a new
+    one deletes those before the last, so write what a comparison gives before the next one."""
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def _versions(self) -> list[int]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = folder(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(folder(self.path)):
+            return []
+        names = [str(x.getPath().getName()) for x in fs.listStatus(folder(self.path))]
+        return sorted(int(n[1:]) for n in names if fs.exists(folder(f"{self.path}/{n}/_SUCCESS")))
+
+    def read(self) -> DataFrame | None:
+        """The baseline; None before the first."""
+        found = self._versions()
+        return self.spark.read.parquet(f"{self.path}/v{found[-1]}") if found else None
+
+    def advance(self, rows: DataFrame) -> DataFrame:
+        """``rows`` become the baseline; returns them as stored."""
+        found = self._versions()
+        number = found[-1] + 1 if found else 0
+        rows.write.mode("overwrite").parquet(f"{self.path}/v{number}")
+        for old in found[:-1]:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v{old}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return self.spark.read.parquet(f"{self.path}/v{number}")
+
+    def delta(self, current: DataFrame, keys: list[str], hash_col: str) -> DataFrame:
+        """``snapshot_delta`` against the baseline, which ``current`` becomes."""
+        before = self.read()
+        return snapshot_delta(self.advance(current.select(*keys, hash_col)), before, keys, hash_col)
+
+
 def changed_only(current: DataFrame, new: DataFrame, keys: list[str], col: str) -> DataFrame:
     """The rows whose ``col`` is distinct from the current value, nulls compared as values."""
     return new.join(current.select(*keys, F.col(col).alias("_old")), keys).where(~F.col(col).eqNullSafe(F.col("_old"))).drop("_old")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tenderspark.functions import text as T
+from tenderspark.functions.fixed import GENERIC_TERMS, VARIANT_GROUPS
 from tenderspark.operators import catalog as K
 from tenderspark.operators import tables as B
 from tenderspark.plans.demo import CATALOG, DESCRIBED, ITEMS, LINE_ORDER, Plans, catalog, described, items, r4, sql4, table
-from tenderspark.sources.observed import counts_table, loaded
+from tenderspark.sources.files import scratch, written
+from tenderspark.sources.observed import counts_table, loaded, parsed
 
 PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
@@ -112,37 +114,57 @@ def valid_categories(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), F.array_join(known, "|").alias("categories"))
 
 
-_GENERIC = ["ring", "BOLT", "widget"]
-_GROUPS = [("g1", "red"), ("g1", "rubro"), ("g2", "small"), ("g2", "mini"), ("g2", "pequeno")]
-_TERMS = "terms AS (SELECT p_partkey AS code, lower(unnest(string_split(p_name, ' '))) AS term FROM part)"
+# The fixed lists, and words of the parts' names beside them; every seventh part asks for a generic term, every fifth for
+# one of many forms.
+_GENERIC = [*GENERIC_TERMS, "ring", "BOLT", "widget"]
+_GROUPS = [*VARIANT_GROUPS, ["red", "rubro"], ["small", "mini", "pequeno"]]
+_GENERIC_SQL = "(" + ", ".join(f"'{g.lower()}'" for g in _GENERIC) + ")"
+_EXTRA = "CASE WHEN p_partkey % 7 = 0 THEN ['equipamento'] ELSE [] END || CASE WHEN p_partkey % 5 = 0 THEN ['picape'] ELSE [] END"
+_ASKED = f"asked AS (SELECT p_partkey AS code, lower(unnest(string_split(p_name, ' ') || {_EXTRA})) AS term FROM part)"
+_TERMS = "terms AS (SELECT lower(unnest(string_split(p_name, ' '))) AS term FROM part)"
+_VARIANTS = "groups(g, form) AS (VALUES " + ", ".join(f"('g{i}', '{form}')" for i, forms in enumerate(_GROUPS) for form in forms) + ")"
 
 
 def terms(spark, sf_dir):
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), F.explode(F.split(F.upper("p_name"), " ")).alias("term"))
+    k = F.col("p_partkey")
+    more = F.concat(F.when(k % 7 == 0, F.array(F.lit("EQUIPAMENTO"))).otherwise(F.array()), F.when(k % 5 == 0, F.array(F.lit("Picape"))).otherwise(F.array()))
+    return table(spark, sf_dir, "part").select(k.alias("code"), F.explode(F.concat(F.split(F.upper("p_name"), " "), more)).alias("term"))
 
 
-@add("drop_generic_terms", f"WITH {_TERMS} SELECT code, upper(term) AS term FROM terms WHERE term NOT IN ('ring', 'bolt', 'widget')")
-def drop_generic_terms(spark, sf_dir):
-    return K.drop_generic_terms(terms(spark, sf_dir), spark.createDataFrame([(g,) for g in _GENERIC], "term string"), "term")
+def generic(spark):
+    return spark.createDataFrame([(g,) for g in _GENERIC], "term string")
+
+
+def variants(spark):
+    return spark.createDataFrame([(f"g{i}", form) for i, forms in enumerate(_GROUPS) for form in forms], "group string, form string")
 
 
-_VARIANTS = "groups(g, form) AS (VALUES ('g1', 'red'), ('g1', 'rubro'), ('g2', 'small'), ('g2', 'mini'), ('g2', 'pequeno'))"
+@add("drop_generic_terms", f"WITH {_ASKED} SELECT code, CASE term WHEN 'picape' THEN 'Picape' ELSE upper(term) END AS term FROM asked WHERE term NOT IN {_GENERIC_SQL}")
+def drop_generic_terms(spark, sf_dir):
+    return K.drop_generic_terms(terms(spark, sf_dir), generic(spark), "term")
 
 
-@add("expand_variants", f"WITH {_TERMS}, {_VARIANTS} SELECT code, term FROM terms UNION SELECT code, o.form FROM terms JOIN groups i ON term = i.form JOIN groups o ON i.g = o.g")
+@add("expand_variants", f"WITH {_ASKED}, {_VARIANTS} SELECT code, term FROM asked UNION SELECT code, o.form FROM asked JOIN groups i ON term = i.form JOIN groups o ON i.g = o.g")
 def expand_variants(spark, sf_dir):
-    return K.expand_variants(terms(spark, sf_dir), spark.createDataFrame(_GROUPS, "group string, form string"), "code", "term")
+    return K.expand_variants(terms(spark, sf_dir), variants(spark), "code", "term")
 
 
-@add("expand_terms", f"WITH {_TERMS}, {_VARIANTS} SELECT code, term FROM terms WHERE term NOT IN ('ring', 'bolt', 'widget') UNION SELECT code, o.form FROM terms JOIN groups i ON term = i.form JOIN groups o ON i.g = o.g")
+@add("expand_terms", f"WITH {_ASKED}, {_VARIANTS} SELECT code, term FROM asked WHERE term NOT IN {_GENERIC_SQL} UNION SELECT code, o.form FROM asked JOIN groups i ON term = i.form JOIN groups o ON i.g = o.g")
 def expand_terms(spark, sf_dir):
-    return K.expand_terms(terms(spark, sf_dir), spark.createDataFrame(_GROUPS, "group string, form string"), spark.createDataFrame([(g,) for g in _GENERIC], "term string"), "code", "term")
+    return K.expand_terms(terms(spark, sf_dir), variants(spark), generic(spark), "code", "term")
 
 
-@add("clean_terms", f"WITH {_TERMS} SELECT term, count(*) AS n FROM terms WHERE term NOT IN ('ring', 'bolt', 'widget') GROUP BY term")
+@add("clean_terms", f"WITH {_TERMS} SELECT term, count(*) AS n FROM terms WHERE term NOT IN {_GENERIC_SQL} GROUP BY term")
 def clean_terms(spark, sf_dir):
-    kept = K.drop_generic_terms(terms(spark, sf_dir), spark.createDataFrame([(g,) for g in _GENERIC], "term string"), "term")
-    return kept.groupBy(T.norm_term(F.col("term")).alias("term")).agg(F.count(F.lit(1)).alias("n"))
+    clean, _ = terms_job(spark, sf_dir)
+    kept = K.drop_generic_terms(clean, generic(spark), "term")
+    return kept.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def terms_job(spark, sf_dir):
+    """The words of the parts' names, folded, with a count of those that nothing is left of."""
+    words = table(spark, sf_dir, "part").select(F.explode(F.split(F.upper("p_name"), " ")).alias("word"))
+    return parsed(words, "clean_terms", {"term": (F.col("word"), T.norm_term)}, [], {"term": lambda raw, x: (F.trim(raw) != "") & (F.coalesce(x, F.lit("")) == "")})
 
 
 @add("path_key_join", "SELECT a.page_id, b.first_page FROM (SELECT page_id, lower(rtrim(split_part(split_part(url, '?', 1), '#', 1), '/')) AS k FROM pages) a JOIN (SELECT k, min(page_id) AS first_page FROM (SELECT page_id, lower(rtrim(split_part(split_part(url, '?', 1), '#', 1), '/')) AS k FROM pages) GROUP BY k) b USING (k)")
@@ -207,12 +229,16 @@ def append_missing(spark, sf_dir):
 _SNAP = """cur AS (SELECT p_partkey AS code, md5(coalesce(p_name, '') || coalesce(p_brand, '')) AS h FROM part WHERE p_partkey % 10 <> 1), prev AS (SELECT p_partkey AS code, md5(coalesce(CASE WHEN p_partkey % 10 = 3 THEN upper(p_name) ELSE p_name END, '') || coalesce(p_brand, '')) AS h FROM part WHERE p_partkey % 10 <> 2)"""
 
 
-@add("catalog_delta", f"WITH {_SNAP} SELECT code, CASE WHEN prev.h IS NULL THEN 'new' WHEN cur.h IS NULL THEN 'removed' ELSE 'changed' END AS status FROM cur FULL JOIN prev USING (code) WHERE cur.h IS DISTINCT FROM prev.h")
+@add("catalog_delta", f"WITH {_SNAP} SELECT 'second' AS run, code, CASE WHEN prev.h IS NULL THEN 'new' WHEN cur.h IS NULL THEN 'removed' ELSE 'changed' END AS status FROM cur FULL JOIN prev USING (code) WHERE cur.h IS DISTINCT FROM prev.h")
 def catalog_delta(spark, sf_dir):
+    """Three runs against a stored baseline: the first sets it and finds nothing, the second finds the changes, the third, on the
+    same catalogue, nothing again."""
     p = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "code")
-    cur = p.where("code % 10 != 1").select("code", T.row_hash(F.col("p_name"), F.col("p_brand")).alias("h"))
-    prev = p.where("code % 10 != 2").select("code", T.row_hash(F.when(F.col("code") % 10 == 3, F.upper("p_name")).otherwise(F.col("p_name")), F.col("p_brand")).alias("h"))
-    return B.snapshot_delta(cur, prev, ["code"], "h")
+    now = p.where("code % 10 != 1").select("code", T.row_hash(F.col("p_name"), F.col("p_brand")).alias("h"))
+    before = p.where("code % 10 != 2").select("code", T.row_hash(F.when(F.col("code") % 10 == 3, F.upper("p_name")).otherwise(F.col("p_name")), F.col("p_brand")).alias("h"))
+    baseline = B.Snapshot(spark, scratch(spark, "catalog-baseline"))
+    runs = [written(baseline.delta(rows, ["code"], "h").select(F.lit(run).alias("run"), "code", "status"), "delta") for run, rows in (("first", before), ("second", now), ("third", now))]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
 
 
 @add("null_safe_change", "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 'X' ELSE c_mktsegment END AS segment FROM customer WHERE CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 'X' ELSE c_mktsegment END IS DISTINCT FROM CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_mktsegment END")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tenderspark.functions import text as T
 from tenderspark.plans.demo import ITEMS, LINE_ORDER, Plans, items, table
 from tenderspark.sources import files as S
+from tenderspark.sources.observed import counts_table, parsed
 
 PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
@@ -109,11 +110,16 @@ def pivot_pair_sources(spark, sf_dir):
 
 @add("clean_items", f"WITH {ITEMS}, t AS (SELECT item_key, CASE WHEN code % 9 = 0 THEN 'n/d' WHEN code % 2 = 0 THEN replace(CAST(CAST(round(quantity) AS BIGINT) AS VARCHAR), '.', '') || ',50' ELSE CAST(CAST(round(quantity) AS BIGINT) AS VARCHAR) || '.25' END AS q, CASE WHEN code % 8 = 0 THEN '31/02/2026' ELSE strftime(shipped, '%Y-%m-%dT10:11:12') END AS d FROM items) SELECT item_key, CASE WHEN q <> 'n/d' THEN CAST(replace(q, ',', '.') AS DOUBLE) END AS quantity, CASE WHEN d NOT LIKE '%/%' THEN CAST(substr(d, 1, 10) AS DATE) END AS dated, split_part(item_key, '::', 1) AS document, CAST(split_part(item_key, '::', 2) AS BIGINT) AS number FROM t")
 def clean_items(spark, sf_dir):
+    return items_job(spark, sf_dir)[0]
+
+
+def items_job(spark, sf_dir):
     whole = F.round("quantity").cast("bigint").cast("string")
     q = F.when(F.col("code") % 9 == 0, "n/d").when(F.col("code") % 2 == 0, F.concat(whole, F.lit(",50"))).otherwise(F.concat(whole, F.lit(".25")))
     d = F.when(F.col("code") % 8 == 0, "31/02/2026").otherwise(F.date_format("shipped", "yyyy-MM-dd'T10:11:12'"))
     key = T.split_pair_key(F.col("item_key"))
-    return items(spark, sf_dir).select("item_key", T.parse_number_br(q).alias("quantity"), T.parse_date(d).alias("dated"), key["code"].alias("document"), T.parse_int(key["item_key"]).alias("number"))
+    columns = {"quantity": (q, T.parse_number_br), "dated": (d, T.parse_date), "number": (key["item_key"], T.parse_int)}
+    return parsed(items(spark, sf_dir), "clean_items", columns, ["item_key", key["code"].alias("document")])
 
 
 _CONTROL = "lpad(CAST(o_custkey AS VARCHAR), 14, '0') || '-' || CASE WHEN o_orderkey % 2 = 0 THEN '2-' ELSE '1-' END || lpad(CAST(o_orderkey AS VARCHAR), 6, '0') || CASE WHEN o_orderkey % 5 = 0 THEN ':' ELSE '/' END || year(o_orderdate) || CASE WHEN o_orderkey % 2 = 1 THEN '-' || lpad(CAST(o_orderkey % 90 + 1 AS VARCHAR), 6, '0') ELSE '' END"
@@ -121,57 +127,85 @@ _CONTROL = "lpad(CAST(o_custkey AS VARCHAR), 14, '0') || '-' || CASE WHEN o_orde
 
 @add("clean_documents", f"WITH c AS (SELECT o_orderkey AS document, {_CONTROL} AS control, o_orderkey % 5 = 0 AS bad, o_custkey, o_orderkey % 2 = 1 AS act, o_orderdate FROM orders) SELECT document, control, CASE WHEN NOT bad THEN lpad(CAST(o_custkey AS VARCHAR), 14, '0') END AS cnpj, CASE WHEN NOT bad THEN document END AS seq, CASE WHEN NOT bad AND act THEN document % 90 + 1 END AS act_seq, CASE WHEN bad THEN '' ELSE 'https://example.org/' || CASE WHEN act THEN 'atas/' WHEN document % 6 = 0 THEN 'editais/' ELSE 'contratos/' END || lpad(CAST(o_custkey AS VARCHAR), 14, '0') || '/' || year(o_orderdate) || '/' || document || CASE WHEN act THEN '/' || (document % 90 + 1) ELSE '' END END AS url FROM c")
 def clean_documents(spark, sf_dir):
+    return documents_job(spark, sf_dir)[0]
+
+
+def documents_job(spark, sf_dir):
     k = F.col("o_orderkey")
-    control = F.concat(F.lpad(s("o_custkey"), 14, "0"), F.lit("-"), F.when(k % 2 == 0, "2-").otherwise("1-"), F.lpad(k.cast("string"), 6, "0"), F.when(k % 5 == 0, ":").otherwise("/"), F.year("o_orderdate"), F.when(k % 2 == 1, F.concat(F.lit("-"), F.lpad((k % 90 + 1).cast("string"), 6, "0"))).otherwise(""))
-    p = T.parse_control_number(F.col("control"))
-    return table(spark, sf_dir, "orders").select(k.alias("document"), control.alias("control"), F.when((k % 2 == 1) | (k % 6 == 0), "act").otherwise("contract").alias("kind")).select("document", "control", p["cnpj"].alias("cnpj"), T.purchase_seq(F.col("control")).alias("seq"), p["act_seq"].alias("act_seq"), T.document_url(F.col("control"), F.col("kind"), "https://example.org").alias("url"))
+    year, act = F.year("o_orderdate"), F.when(k % 2 == 1, F.concat(F.lit("-"), F.lpad((k % 90 + 1).cast("string"), 6, "0"))).otherwise("")
+    control = F.concat(F.lpad(s("o_custkey"), 14, "0"), F.lit("-"), F.when(k % 2 == 0, "2-").otherwise("1-"), F.lpad(k.cast("string"), 6, "0"), F.when(k % 5 == 0, ":").otherwise("/"), year, act)
+    kind = F.when((k % 2 == 1) | (k % 6 == 0), "act").otherwise("contract")
+    columns = {
+        "cnpj": (control, lambda c: T.parse_control_number(c)["cnpj"]),
+        "seq": (control, T.purchase_seq),
+        "act_seq": (control, lambda c: T.parse_control_number(c)["act_seq"]),
+        "url": (control, lambda c: T.document_url(c, F.col("kind"), "https://example.org")),
+    }
+    fails = {"act_seq": lambda raw, x: F.lit(False), "url": lambda raw, x: x == ""}  # only acts have the one; the other is never null
+    out, seen = parsed(table(spark, sf_dir, "orders"), "clean_documents", columns, [k.alias("document"), control.alias("control"), kind.alias("kind")], fails)
+    return out.drop("kind"), seen
 
 
 @add("clean_scorer_output", "SELECT c_custkey AS k, CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS category, CASE c_custkey % 5 WHEN 0 THEN 1.0::DOUBLE WHEN 1 THEN 0.6::DOUBLE WHEN 2 THEN 0.3::DOUBLE WHEN 3 THEN 0.75::DOUBLE END AS confidence, CASE c_custkey % 3 WHEN 0 THEN 'yes' WHEN 1 THEN 'no' ELSE 'error' END AS verdict, CASE WHEN c_custkey % 4 = 0 THEN 'error' ELSE 'machinery' END AS label, CASE WHEN c_custkey % 4 = 1 THEN 'Machinery.' WHEN c_custkey % 4 = 0 THEN 'OTHER| because ' || c_name ELSE 'because ' || c_name END AS reason FROM customer")
 def clean_scorer_output(spark, sf_dir):
+    return scorer_job(spark, sf_dir)[0]
+
+
+def scorer_job(spark, sf_dir):
     k = F.col("c_custkey")
     answer = F.when(k % 6 == 0, "no braces").otherwise(F.concat(F.lit("```json\n{\"category\": \""), "c_mktsegment", F.lit("\"}\n```")))
     conf = F.when(k % 5 == 0, " Alta ").when(k % 5 == 1, "média").when(k % 5 == 2, "BAIXA").when(k % 5 == 3, "0.75").otherwise("erro")
     said = F.when(k % 3 == 0, "Sim, claro").when(k % 3 == 1, "NÃO").otherwise("talvez")
     label = F.when(k % 4 == 0, "OTHER|").when(k % 4 == 1, "Machinery.").otherwise("MACHINERY: |")
-    piped = T.parse_label_pipe(F.when(k % 4 == 1, label).otherwise(F.concat(label, F.lit(" because "), F.col("c_name"))), ["machinery"])
-    return table(spark, sf_dir, "customer").select(k.alias("k"), T.parse_model_json(answer, "category string")["category"].alias("category"), T.confidence_ordinal(conf).alias("confidence"), T.parse_yes_no(said).alias("verdict"), piped["label"].alias("label"), piped["reason"].alias("reason"))
+    piped = F.when(k % 4 == 1, label).otherwise(F.concat(label, F.lit(" because "), F.col("c_name")))
+    columns = {
+        "category": (answer, lambda c: T.parse_model_json(c, "category string")["category"]),
+        "confidence": (conf, T.confidence_ordinal),
+        "verdict": (said, T.parse_yes_no),
+        "label": (piped, lambda c: T.parse_label_pipe(c, ["machinery"])["label"]),
+        "reason": (piped, lambda c: T.parse_label_pipe(c, ["machinery"])["reason"]),
+    }
+    error = lambda raw, x: x == "error"
+    return parsed(table(spark, sf_dir, "customer"), "clean_scorer_output", columns, [k.alias("k")], {"verdict": error, "label": error})
 
 
 @add("format_report", "SELECT o_orderkey AS document, strftime(o_orderdate, '%d/%m/%Y') AS dated, replace(replace(replace(format('{:,.2f}', o_totalprice), ',', ';'), '.', ','), ';', '.') AS price, replace(format('{:.2f}', o_totalprice), '.', ',') AS plain, CASE WHEN o_orderkey % 2 = 0 THEN split_part(o_orderpriority, '-', 1) ELSE o_orderpriority END AS noun FROM orders")
 def format_report(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    text = F.when(F.col("o_orderkey") % 2 == 0, F.replace("o_orderpriority", F.lit("-"), F.lit(","))).otherwise(F.lit("plain text"))
-    return o.select(F.col("o_orderkey").alias("document"), T.format_date_br(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("dated"), T.format_money_br(F.col("o_totalprice")).alias("price"), T.price_variants(F.col("o_totalprice"))[0].alias("plain"), T.head_noun(text, F.col("o_orderpriority")).alias("noun"))
-
-
-@add("norm_text", r"SELECT doc_id, trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '\s+', ' ', 'g')) AS text FROM documents")
-def norm_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.norm_text(F.col("text")).alias("text"))
+    return format_job(spark, sf_dir)[0]
 
 
-@add("norm_term", r"SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g')) AS text FROM documents")
-def norm_term(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.norm_term(F.col("text")).alias("text"))
-
-
-@add("text_hash", r"SELECT doc_id, sha1(trim(regexp_replace(lower(strip_accents(coalesce(text, ''))), '\s+', ' ', 'g')) || '|' || coalesce(lang, '')) AS text_hash FROM documents")
-def text_hash(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.text_hash(F.col("text"), F.col("lang")).alias("text_hash"))
-
-
-@add("tokenize_alnum", "SELECT doc_id, len(t) AS n_tokens, md5(array_to_string(t, ' ')) AS tokens FROM (SELECT doc_id, regexp_extract_all(lower(strip_accents(coalesce(text, ''))), '[0-9a-z]+') AS t FROM documents)")
-def tokenize_alnum(spark, sf_dir):
-    t = table(spark, sf_dir, "documents").select("doc_id", T.tokenize_alnum(F.col("text")).alias("t"))
-    return t.select("doc_id", F.size("t").cast("long").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens"))
-
-
-@add("tokenize_catalog", "SELECT p_partkey AS code, p_name || ' ' || p_size || 'mm' AS tokens FROM part")
-def tokenize_catalog(spark, sf_dir):
-    raw = F.concat_ws(" ", "p_name", F.lit("de"), "p_size", F.lit(" MM"))
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), F.array_join(T.tokenize_catalog(raw), " ").alias("tokens"))
-
-
-@add("is_scanned", "SELECT conv_id, turn, length(trim(coalesce(text, ''))) < 100 AS scanned FROM conversations")
-def is_scanned(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", T.is_scanned(F.col("text")).alias("scanned"))
+def format_job(spark, sf_dir):
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.replace("o_orderpriority", F.lit("-"), F.lit(","))).otherwise(F.lit("plain text"))
+    columns = {
+        "dated": (F.date_format("o_orderdate", "yyyy-MM-dd"), T.format_date_br),
+        "price": (F.col("o_totalprice"), T.format_money_br),
+        "plain": (F.col("o_totalprice"), lambda c: T.price_variants(c)[0]),
+        "noun": (text, lambda c: T.head_noun(c, F.col("priority"))),
+    }
+    empty = lambda raw, x: (F.trim(raw) != "") & (x == "")
+    keep = [F.col("o_orderkey").alias("document"), F.col("o_orderpriority").alias("priority")]
+    out, seen = parsed(table(spark, sf_dir, "orders"), "format_report", columns, keep, {"dated": empty, "noun": empty})
+    return out.drop("priority"), seen
+
+
+_FAILURES = f"""WITH {ITEMS}, c AS (SELECT 'clean_items' AS step, count(*) AS rows, count(*) FILTER (code % 9 = 0) AS a, count(*) FILTER (code % 8 = 0) AS b FROM items),
+d AS (SELECT count(*) AS rows, count(*) FILTER (o_orderkey % 5 = 0) AS bad FROM orders),
+s AS (SELECT count(*) AS rows, count(*) FILTER (c_custkey % 6 = 0) AS category, count(*) FILTER (c_custkey % 5 = 4) AS confidence, count(*) FILTER (c_custkey % 3 = 2) AS verdict, count(*) FILTER (c_custkey % 4 = 0) AS label FROM customer),
+g AS (SELECT count(*) AS rows FROM (SELECT unnest(string_split(p_name, ' ')) AS term FROM part))
+SELECT step, unnest(['rows', 'quantity', 'dated', 'number']) AS metric, unnest([rows, a, b, 0]) AS n FROM c
+UNION ALL SELECT 'clean_documents', unnest(['rows', 'cnpj', 'seq', 'act_seq', 'url']), unnest([rows, bad, bad, 0, bad]) FROM d
+UNION ALL SELECT 'clean_scorer_output', unnest(['rows', 'category', 'confidence', 'verdict', 'label', 'reason']), unnest([rows, category, confidence, verdict, label, 0]) FROM s
+UNION ALL SELECT 'format_report', unnest(['rows', 'dated', 'price', 'plain', 'noun']), unnest([rows, 0, 0, 0, 0]) FROM d
+UNION ALL SELECT 'clean_terms', unnest(['rows', 'term']), unnest([rows, 0]) FROM g"""
+
+
+@add("parse_failures", _FAILURES)
+def parse_failures(spark, sf_dir):
+    """Every cleaning job runs once; what it counted beside its table."""
+    from tenderspark.plans.catalog import terms_job
+
+    seen = {}
+    for name, job in (("clean_items", items_job), ("clean_documents", documents_job), ("clean_scorer_output", scorer_job), ("format_report", format_job), ("clean_terms", terms_job)):
+        out, seen[name] = job(spark, sf_dir)
+        out.write.format("noop").mode("overwrite").save()
+    return counts_table(spark, seen)

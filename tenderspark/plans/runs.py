@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tenderspark.operators import runs as R
-from tenderspark.operators.tables import one_per_key
+from tenderspark.operators.tables import Snapshot, one_per_key
 from tenderspark.plans.demo import DESCRIBED, ITEMS, Plans, described, items, r4, sql4, table
+from tenderspark.sources.files import scratch, written
 
 PLANS = Plans()
 add, QUERIES, SQL = PLANS.add, PLANS.queries, PLANS.sql
@@ -21,10 +22,15 @@ def run_diff(spark, sf_dir):
     return out.withColumn("change", r4("change"))
 
 
-@add("new_since_export", f"WITH {ITEMS} SELECT item_key, code FROM items ANTI JOIN (SELECT DISTINCT code, supplier FROM items WHERE shipped < TIMESTAMP '1998-01-01') s USING (code, supplier)")
+_EXPORTED = "(SELECT DISTINCT code, supplier FROM items WHERE shipped < TIMESTAMP '1998-01-01')"
+
+
+@add("new_since_export", f"WITH {ITEMS} SELECT 'second' AS run, item_key, code FROM items ANTI JOIN {_EXPORTED} s USING (code, supplier) UNION ALL SELECT 'first', item_key, code FROM items WHERE shipped < TIMESTAMP '1998-01-01'")
 def new_since_export(spark, sf_dir):
-    i = items(spark, sf_dir)
-    return R.new_since_export(i, i.where("shipped < timestamp'1998-01-01'"), ["code", "supplier"]).select("item_key", "code")
+    """Three exports: of the first everything is new, of the second what the first had not, of the third, the same rows, nothing."""
+    i, exported = items(spark, sf_dir), Snapshot(spark, scratch(spark, "exported"))
+    runs = [written(R.export_new(rows, exported, ["code", "supplier"]).select(F.lit(run).alias("run"), "item_key", "code"), "new") for run, rows in (("first", i.where("shipped < timestamp'1998-01-01'")), ("second", i), ("third", i))]
+    return runs[0].unionByName(runs[1]).unionByName(runs[2])
 
 
 @add("latest_run_with_ranking", f"WITH {ITEMS} SELECT max(year(shipped)) AS run_id FROM items WHERE flag = 'R'")
