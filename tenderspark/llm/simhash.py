@@ -9,7 +9,7 @@ and both fingerprints of the pair share table v's key (Pagh 2016).
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ BITS = 64
 WORDS = 5  # of a shingle, where Jaccard similarity counts
 BANDS, ROWS = 24, 4
 _FACTORS = np.random.default_rng(11).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+CELL = 256  # members of a block of a bucket of similar texts
 SMALL = 48  # buckets up to this size are compared together, by lags; larger ones one at a time
 
 
@@ -235,22 +236,93 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: b
     return given.mapInArrow(rows, "doc_id long, th long, fp long, n long, bands array<long>")
 
 
-def truly_similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Of ``pairs`` (a, b, pa, pb; texts are named by th) the (pa, pb) whose shingle sets have that Jaccard similarity."""
-    name, kind = texts.columns[1], "pa long, pb long"
-    both = pairs.join(texts.select(F.col("th").alias("b"), F.col(name).alias("tb")), "b").join(texts.select(F.col("th").alias("a"), F.col(name).alias("ta")), "a")
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """(th, h array<long>): the sorted distinct hashes of the shingles of ``WORDS`` words of ``texts`` (th, text)."""
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = lru_cache(64)(lambda raw: np.unique(shingle_hashes(raw, WORDS)))
-        for batch in batches:
-            near = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = shingles(x.as_py()), shingles(y.as_py())
-                same = len(np.intersect1d(x, y, assume_unique=True))
-                near.append(same >= similarity * (len(x) + len(y) - same) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["pa", "pb"]).filter(pa.array(near, pa.bool_()))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), WORDS)).view(np.int64) for t in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["th", "h"])
+
+    return texts.mapInArrow(rows, "th long, h array<long>")
+
+
+def alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether two sets have that Jaccard similarity or more."""
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)) - 1e-9:
+        return False
+    same = len(np.intersect1d(x, y, assume_unique=True))
+    return same >= similarity * (len(x) + len(y) - same) - 1e-9
 
-    return both.select("pa", "pb", "ta", "tb").mapInArrow(found, kind).distinct()
+
+def arrays(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
+    """The lists of a column as arrays, without copies."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
+    return [flat[a:z] for a, z in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def similar_to_heads(stars: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of ``stars`` (a, b, pa, pb; texts are named by th) the (pa, pb) of texts of that similarity."""
+    both = stars.join(sets.select(F.col("th").alias("b"), F.col("h").alias("hb")), "b").join(sets.select(F.col("th").alias("a"), F.col("h").alias("ha")), "a")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = [alike(x, y, similarity) for x, y in zip(arrays(b.column(2)), arrays(b.column(3)), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    return both.select("pa", "pb", "ha", "hb").mapInArrow(found, "a long, b long").distinct()
+
+
+def bucket_cells(left: DataFrame) -> DataFrame:
+    """(t, k, kind, i, j, th, part, now, main, block): the members of mixed buckets, dealt into cells of at most about twice
+    ``CELL`` so that any two of a bucket whose parts (``now``) differ meet in one.
+
+    A bucket's largest part is cut into blocks, all others together into others. Blocks of others meet one another and those of the
+    largest part; two blocks of that one never meet, so a large group with a few strangers costs one row for each member."""
+    size = left.groupBy("t", "k", "now").agg(F.count(F.lit(1)).alias("_c"))
+    size = size.groupBy("t", "k").agg(F.max_by("now", F.struct("_c", "now")).alias("_main"), F.max("_c").alias("_m"), F.sum("_c").alias("_all"))
+    blocks = lambda n: F.greatest(F.ceil(n / CELL), F.lit(1)).cast("int")
+    rows = left.join(size, ["t", "k"]).withColumn("main", F.col("now") == F.col("_main"))
+    rows = rows.withColumn("_nm", blocks(F.col("_m"))).withColumn("_no", blocks(F.col("_all") - F.col("_m")))
+    own = F.pmod(F.xxhash64("th"), F.when(F.col("main"), F.col("_nm")).otherwise(F.col("_no"))).cast("int")
+    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    mine = F.transform(upto("_no"), lambda x: cell("main", x, F.col("_own")))
+    theirs = F.concat(F.transform(upto("_nm"), lambda x: cell("main", F.col("_own"), x)), F.transform(upto("_no"), lambda x: cell("others", F.least(x, F.col("_own")), F.greatest(x, F.col("_own")))))
+    dealt = rows.withColumn("_own", own).withColumn("_cell", F.explode(F.when(F.col("main"), mine).otherwise(theirs)))
+    return dealt.select("t", "k", "_cell.*", "th", "part", "now", "main", F.col("_own").alias("block"))
+
+
+def similar_in_cells(cells: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between the parts of texts of a cell that have that similarity; pairs are compared where they meet and only
+    until their parts are joined."""
+
+    def found(cell: pa.Table) -> pa.Table:
+        hs, part = arrays(cell.column("h")), cell.column("part").to_numpy()
+        now, main = cell.column("now").to_numpy(), cell.column("main").to_numpy(zero_copy_only=False)
+        among, block = cell.column("kind")[0].as_py() == "others", cell.column("block").to_numpy()
+        alone = cell.column("i")[0].as_py() == cell.column("j")[0].as_py()
+        group = {x: x for x in now.tolist()}
+
+        def root(x: int) -> int:
+            while group[x] != x:
+                x = group[x]
+            return x
+
+        links = []
+        for x in np.flatnonzero(~main).tolist():
+            for y in range(x + 1, len(hs)) if among else np.flatnonzero(main).tolist():
+                p, q = root(int(now[x])), root(int(now[y]))
+                if among and not alone and block[x] == block[y]:
+                    continue  # they meet in a cell of their own block
+                if p != q and alike(hs[x], hs[y], similarity):
+                    group[max(p, q)] = min(p, q)
+                    links.append((int(part[x]), int(part[y])))
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    keys = ["t", "k", "kind", "i", "j"]
+    return cells.join(sets, "th").groupBy(*keys).applyInArrow(found, "a long, b long").distinct()
 
 
 def similar_links(known: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -258,21 +330,21 @@ def similar_links(known: DataFrame, texts: DataFrame, similarity: float) -> Data
     that Jaccard similarity or more on shingles of ``WORDS`` words.
 
     Candidates share a band: at 0.8 a pair shares none with chance (1 - 0.8**4)**24 = 3.2e-6. Each is verified on the
-    whole texts. First every member of a bucket is compared with one, so dense groups become one part; then all pairs
-    that are still in different parts are. No bucket is cut, however large.
+    whole shingle sets, which are made once. First every member of a bucket is compared with one, so dense groups become one
+    part; members that are still in different parts then meet in cells of bounded size. No pair is written before it is verified,
+    and no bucket is cut, however large.
     """
     members = known.select("th", "n", "part", F.posexplode("bands").alias("t", "k"))
     mixed = members.groupBy("t", "k").agg(F.min(F.struct("th", "n", "part")).alias("head"), F.min("part").alias("p"), F.max("part").alias("q")).where("p != q").select("t", "k", "head")
     members = written(members.join(mixed, ["t", "k"]), "bands")
     asked = members.select("th").distinct()
-    texts = written(texts.join(asked, "th", "left_semi").dropDuplicates(["th"]), "band-texts")
-    fits = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9
-    stars = members.where((F.col("head.part") != F.col("part")) & fits(F.col("head.n"), F.col("n"))).select(F.col("th").alias("a"), F.col("head.th").alias("b"), F.col("part").alias("pa"), F.col("head.part").alias("pb")).distinct()
-    first = written(truly_similar(stars, texts, similarity).toDF("a", "b"), "similar")
+    sets = written(shingle_sets(texts.join(asked, "th", "left_semi").dropDuplicates(["th"])), "shingle-sets")
+    fits = F.least("head.n", "n") >= similarity * F.greatest("head.n", "n") - 1e-9
+    stars = members.where((F.col("head.part") != F.col("part")) & fits)
+    stars = stars.select(F.col("th").alias("a"), F.col("head.th").alias("b"), F.col("part").alias("pa"), F.col("head.part").alias("pb")).distinct()
+    first = written(similar_to_heads(stars, sets, similarity), "similar")
     grown = connected_components(first)
-    left = members.join(grown, members.part == grown.node, "left").select("t", "k", "th", "n", "part", F.coalesce("component", "part").alias("now"))
+    left = members.join(grown, members.part == grown.node, "left").select("t", "k", "th", "part", F.coalesce("component", "part").alias("now"))
     mixed = left.groupBy("t", "k").agg(F.min("now").alias("p"), F.max("now").alias("q")).where("p != q").select("t", "k")
     left = written(left.join(mixed, ["t", "k"]), "bands-left")
-    other = left.select("t", "k", F.col("th").alias("b"), F.col("n").alias("m"), F.col("part").alias("pb"), F.col("now").alias("then"))
-    pairs = left.join(other, ["t", "k"]).where((F.col("now") < F.col("then")) & fits(F.col("n"), F.col("m"))).select(F.col("th").alias("a"), "b", F.col("part").alias("pa"), "pb").distinct()
-    return first.union(truly_similar(pairs, texts, similarity).toDF("a", "b"))
+    return first.union(similar_in_cells(bucket_cells(left), sets, similarity))
