@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderspark.functions import text as T
+from tenderspark.sources.files import written
 from tenderspark.functions.fixed import GENERIC_TERMS, VARIANT_GROUPS
 
 
@@ -35,14 +36,15 @@ def keyword_prefilter(df: DataFrame, query: str, cols: list[str], key: str, limi
 
 
 def placed(df: DataFrame, code: str) -> DataFrame:
-    """``df`` with ``place`` 1..n by (length of the code, code), all rows. Rows are numbered inside buckets of one length and
-    leading characters, in which that order is kept; a bucket starts after the counts of those before it, so no task sorts
-    the whole table."""
-    rows = df.withColumns({"_n": F.length(code), "_head": F.substring(code, 1, 3)})
-    before = Window.orderBy("_n", "_head").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy("_n", "_head").agg(F.count(F.lit(1)).alias("_size")).withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    inside = rows.withColumn("_in", F.row_number().over(Window.partitionBy("_n", "_head").orderBy(code)))
-    return inside.join(starts, ["_n", "_head"]).withColumn("place", (F.col("_start") + F.col("_in")).cast("int")).drop("_n", "_head", "_start", "_in")
+    """``df`` with ``place`` 1..n by (length of the code, code), all rows; equal codes in an order of their own. Rows are dealt into
+    ranges of that order of about equal size, whatever the codes are, and numbered inside; a range starts after the counts of
+    those before it, so no task sorts the whole table."""
+    ranged = df.withColumn("_n", F.length(code)).repartitionByRange("_n", code, F.xxhash64(*df.columns))
+    rows = written(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # of the ranges, a row each
+    starts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    inside = rows.withColumn("_in", F.row_number().over(Window.partitionBy("_range").orderBy("_n", code)))
+    return inside.join(F.broadcast(starts), "_range").withColumn("place", (F.col("_start") + F.col("_in")).cast("int")).drop("_n", "_range", "_start", "_in")
 
 
 def derive_catalog(catalog: DataFrame, allow: DataFrame, current: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenderspark.functions import text as T
+from tenderspark.operators.classify import Scorer, batch_score
+from tenderspark.sources.files import written
 
 
 def document_text(pages: DataFrame, document: str, order: list[str], text: str) -> DataFrame:
@@ -118,10 +120,20 @@ def anchor_windows(text: Column, description: Column, number: Column, price: Col
     return F.when(F.size(merged) == 0, F.substring(text, 1, 4 * radius if no_anchor is None else no_anchor)).otherwise(F.array_join(parts, MARK))
 
 
-def match_items_to_table(items: DataFrame, rows: DataFrame, document: str, key: str, item_text: str, row_index: str, row_text: str) -> DataFrame:
+def match_items_to_table(items: DataFrame, rows: DataFrame, document: str, key: str, item_text: str, row_index: str, row_text: str, scorer: Scorer | None = None) -> DataFrame:
     """(document, key, row_index, common): for each item the extracted row with most common words, ties to the first;
-    items without a common word match nothing. Words meet by an equi-join inside the document."""
+    items without a common word match nothing. Words meet by an equi-join inside the document.
+
+    With a ``scorer`` those pairs are candidates only: it gets their ``item_text`` and ``row_text``, the row of the highest score
+    wins, and ``score`` stands in the place of ``common``; pairs that it fails on or gives no score lose."""
     a = items.select(document, key, F.explode(F.array_distinct(T.tokenize_alnum(F.col(item_text)))).alias("w"))
     b = rows.select(document, row_index, F.explode(F.array_distinct(T.tokenize_alnum(F.col(row_text)))).alias("w"))
     n = a.join(b, [document, "w"]).groupBy(document, key, row_index).agg(F.count(F.lit(1)).alias("common"))
-    return n.groupBy(document, key).agg(F.max_by(F.struct(row_index, "common"), F.struct(F.col("common"), -F.col(row_index))).alias("_b")).select(document, key, "_b.*")
+    by = "common"
+    if scorer is not None:
+        pairs = n.join(items.select(document, key, item_text), [document, key]).join(rows.select(document, row_index, row_text), [document, row_index])
+        ids = [document, key, row_index]
+        pairs = written(pairs.select(*ids, item_text, row_text).withColumn("_pair", F.to_json(F.struct(*ids))), "item-rows")
+        judged = batch_score(pairs, "_pair", [item_text, row_text], scorer, "double").where("result is not null")
+        n, by = pairs.join(judged, "_pair").select(*ids, F.col("result").alias("score")), "score"
+    return n.groupBy(document, key).agg(F.max_by(F.struct(row_index, by), F.struct(F.col(by), -F.col(row_index))).alias("_b")).select(document, key, "_b.*")
