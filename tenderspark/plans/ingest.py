@@ -90,10 +90,17 @@ def stale_keys(spark, sf_dir):
 
 SCHEMA = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
 RUNS = 3
-#: Runs in the order of time; rows before, after and without a time are in the first and last of them.
-BY_TIME = F.coalesce(F.greatest(F.least(F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 10), F.lit(RUNS - 1)), F.lit(0)), F.lit(0)).cast("int")
-#: Runs in no order of time, so that later ones bring rows older than a watermark.
-BY_ID = F.pmod("event_id", F.lit(RUNS)).cast("int")
+
+
+def by_time():
+    """Runs in the order of time; rows before, after and without a time are in the first and last of them."""
+    ten_days = F.floor(F.datediff("ts", F.lit("2024-01-01").cast("date")) / 10)
+    return F.coalesce(F.greatest(F.least(ten_days, F.lit(RUNS - 1)), F.lit(0)), F.lit(0)).cast("int")
+
+
+def by_id():
+    """Runs in no order of time, so that later ones bring rows older than a watermark."""
+    return F.pmod("event_id", F.lit(RUNS)).cast("int")
 
 
 def played(spark, rows, run, kind, start) -> None:
@@ -137,7 +144,7 @@ def ingest_stream(spark, sf_dir):
     hits = e.select(text("event_id").alias("control"), F.lit("contract").alias("kind"), text("event_type").alias("term"), text("user_id").alias("source"), F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("updated"), "event_id")
     out = scratch(spark, "collected")
     found = I.Collection(spark, out, 16)
-    played(spark, hits, BY_ID, "json", lambda landing: running(stream_search_hits(spark, landing), f"{out}/_state", "append", found.sink))
+    played(spark, hits, by_id(), "json", lambda landing: running(stream_search_hits(spark, landing), f"{out}/_state", "append", found.sink))
     return found.hits().select("control", "batch")
 
 
@@ -145,7 +152,7 @@ def ingest_stream(spark, sf_dir):
 def stream_first_seen(spark, sf_dir):
     seen = lambda feed: S.stream_seen(feed, "user_id", "event_type", "ts", "event_id").where("part = 'link'").select(F.col("key").alias("user_id"), F.col("term").alias("event_type"))
     keys = ["user_id", "event_type"]
-    return kept(spark, sf_dir, "first-seen", BY_TIME, "user_id long, event_type string", keys, seen, I.replaced(keys)).read()
+    return kept(spark, sf_dir, "first-seen", by_time(), "user_id long, event_type string", keys, seen, I.replaced(keys)).read()
 
 
 @add("stream_documents", "SELECT 'document' AS part, user_id, arg_min(event_type, (ts, event_id)) AS term FROM events GROUP BY user_id UNION ALL SELECT DISTINCT 'link', user_id, event_type FROM events")
@@ -153,21 +160,21 @@ def stream_documents(spark, sf_dir):
     """New documents and links of known ones to new terms, from one stateful operator; without a time bound."""
     seen = lambda feed: S.stream_seen(feed, "user_id", "event_type", "ts", "event_id").select("part", F.col("key").alias("user_id"), "term")
     keys = ["part", "user_id", "term"]
-    return kept(spark, sf_dir, "documents", BY_TIME, "part string, user_id long, term string", keys, seen, I.replaced(keys)).read()
+    return kept(spark, sf_dir, "documents", by_time(), "part string, user_id long, term string", keys, seen, I.replaced(keys)).read()
 
 
 @add("stream_progress", _PROGRESS)
 def stream_progress(spark, sf_dir):
     keys = ["event_type", "user_id"]
     counted = lambda feed: I.progress(feed, keys, F.col("value"))
-    out = kept(spark, sf_dir, "progress", BY_TIME, "event_type string, user_id long, n_rows long, total double", keys, counted, I.replaced(keys), "update").read()
+    out = kept(spark, sf_dir, "progress", by_time(), "event_type string, user_id long, n_rows long, total double", keys, counted, I.replaced(keys), "update").read()
     return out.withColumn("total", r4("total"))
 
 
 @add("stream_watermarks", "SELECT event_type, user_id, max(ts) AS watermark FROM events GROUP BY ALL")
 def stream_watermarks(spark, sf_dir):
     keys = ["event_type", "user_id"]
-    return kept(spark, sf_dir, "marks", BY_ID, "event_type string, user_id long, watermark timestamp", keys, lambda feed: feed, I.marks_merged(keys, "ts")).read()
+    return kept(spark, sf_dir, "marks", by_id(), "event_type string, user_id long, watermark timestamp", keys, lambda feed: feed, I.marks_merged(keys, "ts")).read()
 
 
 @add("stream_late_updates", f"SELECT user_id, arg_min(event_type, (event_id % {RUNS}, -event_id)) AS first_type, arg_max(value, event_id) AS last_value FROM events GROUP BY user_id")
@@ -177,7 +184,7 @@ def stream_late_updates(spark, sf_dir):
     newer = F.col("_new.event_id") > F.col("_old.event_id")
     merge = I.late_merged("user_id", [F.desc("event_id")], ["last_value", "event_id"], newer)
     schema = "user_id long, first_type string, last_value double, event_id long"
-    return kept(spark, sf_dir, "late", BY_ID, schema, ["user_id"], late, merge).read().drop("event_id")
+    return kept(spark, sf_dir, "late", by_id(), schema, ["user_id"], late, merge).read().drop("event_id")
 
 
 _STALE = "last AS (SELECT user_id, max(ts) AS last_at, arg_max(event_type <> 'signup', (ts, event_type <> 'signup')) AS act FROM events GROUP BY user_id)"
@@ -186,7 +193,7 @@ _STALE = "last AS (SELECT user_id, max(ts) AS last_at, arg_max(event_type <> 'si
 @add("stream_stale_keys", f"WITH {_STALE} SELECT user_id, last_at FROM last WHERE act AND last_at + INTERVAL 7200 SECOND < (SELECT max(ts) FROM events)")
 def stream_stale_keys(spark, sf_dir):
     beats = lambda feed: S.stream_heartbeats(feed, "user_id", "ts", F.col("event_type") != "signup", 7200).withColumnRenamed("key", "user_id")
-    out = kept(spark, sf_dir, "heartbeats", BY_TIME, "user_id long, last_at long, stale boolean", ["user_id"], beats, I.replaced(["user_id"]), "update").read()
+    out = kept(spark, sf_dir, "heartbeats", by_time(), "user_id long, last_at long, stale boolean", ["user_id"], beats, I.replaced(["user_id"]), "update").read()
     return out.where("stale").select("user_id", F.timestamp_micros("last_at").alias("last_at"))
 
 
@@ -198,7 +205,7 @@ def stream_pending_revisit(spark, sf_dir):
         visits = feed.where("event_type in ('purchase', 'view', 'error')").withColumn("done", F.col("event_type") == "purchase")
         return S.stream_pending(visits, "user_id", "ts", "done", 5 * 86_400).withColumnRenamed("key", "user_id")
 
-    out = kept(spark, sf_dir, "pending", BY_TIME, "user_id long, tries long, last_seen long, due boolean", ["user_id"], queue, I.replaced(["user_id"]), "update").read()
+    out = kept(spark, sf_dir, "pending", by_time(), "user_id long, tries long, last_seen long, due boolean", ["user_id"], queue, I.replaced(["user_id"]), "update").read()
     return out.where("tries > 0").select("user_id", "tries", F.timestamp_micros("last_seen").alias("last_seen"), "due")
 
 
@@ -215,7 +222,7 @@ def stream_error_state(spark, sf_dir):
     step = F.when(F.col("event_id") % 2 == 0, "collect").otherwise("enrich")
     keyed = lambda feed: feed.select((F.col("user_id") % 3).alias("run"), step.alias("step"), "user_id", "event_id", "ts", "props", (F.col("event_type") == "error").alias("failed"))
     schema = f"run long, step string, user_id long, {I.ERRORS}"
-    state = kept(spark, sf_dir, "errors", BY_TIME, schema, keys, keyed, I.errors_merged(keys, "ts", "event_id", F.col("failed"), "props"))
+    state = kept(spark, sf_dir, "errors", by_time(), schema, keys, keyed, I.errors_merged(keys, "ts", "event_id", F.col("failed"), "props"))
     newest = state.read().agg(F.max("last_at")).first()[0]
     state.delete(F.col("last_at") < F.lit(newest) - F.expr("interval 10 days"))
     return state.read().select(*keys, "attempts", "first_at", "last_error_at", "message", "last_at")
