@@ -224,5 +224,6 @@ def stream_error_state(spark, sf_dir):
     schema = f"run long, step string, user_id long, {I.ERRORS}"
     state = kept(spark, sf_dir, "errors", by_time(), schema, keys, keyed, I.errors_merged(keys, "ts", "event_id", F.col("failed"), "props"))
     newest = state.read().agg(F.max("last_at")).first()[0]
-    state.delete(F.col("last_at") < F.lit(newest) - F.expr("interval 10 days"))
+    if newest is not None:
+        state.delete(F.col("last_at") < F.lit(newest) - F.expr("interval 10 days"))
     return state.read().select(*keys, "attempts", "first_at", "last_error_at", "message", "last_at")

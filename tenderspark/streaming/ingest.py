@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderspark.operators.tables import upsert
+from tenderspark.sources.files import FOUND, identified
 from tenderspark.streaming.tables import BucketTable
 
 
@@ -100,8 +101,12 @@ class Collection:
         self.marks.merge(newest, number, advance)
 
     def hits(self) -> DataFrame:
-        """All collected hits, with the ``batch`` that brought them."""
-        return self.spark.read.option("mergeSchema", False).parquet(f"{self.path}/hits")
+        """All collected hits, with the ``batch`` that brought them; none before the first batch."""
+        empty = identified(self.spark.createDataFrame([], FOUND), ("term", "source")).withColumn("batch", F.lit(0))
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/hits")
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return empty
+        return self.spark.read.schema(empty.schema).parquet(f"{self.path}/hits")
 
 
 def replaced(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenderspark.operators.tables import upsert
+from tenderspark.sources.files import FOUND, identified
 from tenderspark.streaming import ingest as I
 from tenderspark.streaming import state as S
 from tenderspark.streaming.tables import BucketTable
@@ -68,11 +69,14 @@ def test_upsert_changes_where_the_condition_holds(spark):
 
 
 def hits(spark, rows):
-    return spark.createDataFrame(rows, "control string, term string, source string, updated_at timestamp")
+    raw = spark.createDataFrame(rows, "control string, term string, source string, updated_at timestamp")
+    others = [F.lit(None).cast(t).alias(c) for c, t in identified(spark.createDataFrame([], FOUND)).dtypes if c not in raw.columns]
+    return raw.select("*", *others)
 
 
 def test_collection_stops_at_the_watermark_and_repeats_a_batch(spark, tmp_path):
     found = I.Collection(spark, f"file://{tmp_path}/c", 4)
+    assert found.hits().count() == 0
     at = lambda d: DAY + dt.timedelta(days=d)
     found.sink(hits(spark, [("a", "bolt", "s", at(3)), ("b", "bolt", "s", at(1)), ("n", None, "s", at(1))]), 0)
     second = hits(spark, [("c", "bolt", "s", at(3)), ("d", "bolt", "s", at(2)), ("e", "bolt", "t", at(0)), ("f", "bolt", "s", None), ("g", "bolt", "s", at(9)), ("m", None, "s", at(0))])
