@@ -101,12 +101,11 @@ def topk_pairs(spark, sf_dir):
     return found.select("block", "code", "item", r4("score").alias("score"), "place")
 
 
-@add("refilter_topk", f"""WITH {_VEC}, first AS (SELECT block, code, item, floor(round(cosine, 9) * 50 + 1e-7) / 50 AS s FROM cs QUALIFY row_number() OVER (PARTITION BY block, code ORDER BY round(cosine, 9) DESC, item) <= 40)
-SELECT block, code, item, s AS score, CASE WHEN s < 0.1 THEN 'floor' WHEN rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5 THEN 'top_k' END AS cut_by, NOT (s < 0.1 OR rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5) AS kept FROM first""")
+@add("refilter_topk", f"WITH {_VEC} SELECT block, code, item, s AS score, CASE WHEN s < 0.1 THEN 'floor' WHEN rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5 THEN 'top_k' END AS cut_by, NOT (s < 0.1 OR rank() OVER (PARTITION BY block, code ORDER BY s DESC) > 5) AS kept FROM (SELECT block, code, item, floor(cosine * 50 + 1e-7) / 50 AS s FROM cs)")
 def refilter_topk(spark, sf_dir):
-    """A second, narrower cut of a table of scored pairs, here the best 40 of each code, their scores in steps of .02."""
-    pairs = M.best_by_cosine(*vectors(spark, sf_dir), "block", "code", "item", "embedding", 40, -1.0)
-    return M.refilter_top_k(pairs.select("block", "code", "item", (F.floor(F.col("score") * 50 + 1e-7) / 50).alias("score")), ["block", "code"], "score", 5, 0.1)
+    """A second, narrower cut of a table of scored pairs, here all of a block, their scores in steps of .02."""
+    pairs = M.cosine_scores(*vectors(spark, sf_dir), "block", "code", "item", "embedding")
+    return M.refilter_top_k(pairs.select("block", "code", "item", (F.floor(F.col("cosine") * 50 + 1e-7) / 50).alias("score")), ["block", "code"], "score", 5, 0.1)
 
 
 @add("product_size", "SELECT CAST(sum(c * i) AS BIGINT) AS n_pairs, CAST(sum(c * least(i, 15)) AS BIGINT) AS n_top_k FROM (SELECT label, count(*) FILTER (vec_id % 10 = 0) AS c, count(*) FILTER (vec_id % 10 <> 0) AS i FROM embeddings GROUP BY label) WHERE c > 0 AND i > 0")

@@ -1,7 +1,10 @@
 """Queries on tables that the provided ones do not cover: long numbers, many rows of a block, shapes of plans."""
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
+from tenderspark.operators import matching as M
 from tenderspark.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -22,3 +25,10 @@ def same_as_sql(spark, folder, name, *tables):
 def test_documents_with_numbers_of_more_than_six_digits(spark, tmp_path):
     duckdb.sql(f"COPY (SELECT * REPLACE (o_orderkey + 9999000 AS o_orderkey) FROM '{SF}/orders.parquet') TO '{tmp_path}/orders.parquet'")
     same_as_sql(spark, tmp_path, "clean_documents", "orders")
+
+
+def test_the_second_cut_has_every_pair_of_a_block(spark, tmp_path):
+    duckdb.sql(f"COPY (SELECT * REPLACE (0 AS label) FROM '{SF}/embeddings.parquet') TO '{tmp_path}/embeddings.parquet'")
+    codes, items = duckdb.sql(f"SELECT count(*) FILTER (vec_id % 10 = 0), count(*) FILTER (vec_id % 10 <> 0) FROM '{tmp_path}/embeddings.parquet'").fetchall()[0]
+    assert items > 40 and registry.queries()["refilter_topk"](spark, str(tmp_path)).count() == codes * items
+    same_as_sql(spark, tmp_path, "refilter_topk", "embeddings")
