@@ -43,7 +43,7 @@ def minmax_in_block(scores: DataFrame, catalog: DataFrame, items: DataFrame, blo
     low, high = F.when(full, F.col("_lo")).otherwise(F.least("_lo", zero)), F.when(full, F.col("_hi")).otherwise(F.greatest("_hi", zero))
     lim = lim.select(block, low.alias("_lo"), high.alias("_hi"))
     norm = lambda x: F.when(F.col("_hi") > F.col("_lo"), (x - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))).otherwise(zero)
-    return scores.join(lim, block).withColumn("norm", norm(F.col(score))).withColumn("zero", norm(zero)).drop("_lo", "_hi")
+    return scores.join(F.broadcast(lim), block).withColumn("norm", norm(F.col(score))).withColumn("zero", norm(zero)).drop("_lo", "_hi")
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -90,7 +90,7 @@ def candidate_pairs(catalog: DataFrame, items: DataFrame, block: str, code: str,
     vectors = [] if vector is None else [F.col(vector).alias("vector")]
     rows = written(items.select(block, key, F.col(tokens).alias("tokens"), *vectors), "tokens")
     asked = written(tiles.block_terms(catalog, rows, block, code, tokens), "asked")
-    codes = asked.join(tiles.bm25_limits(asked, rows, block, code, key, k1, b), block)
+    codes = asked.join(F.broadcast(tiles.bm25_limits(asked, rows, block, code, key, k1, b)), block)
     if vectors:
         codes = codes.join(catalog.select(block, code, *vectors), [block, code])
     return tiles.best_tiles(codes, rows, block, code, key, k, floor, k1, b, True, bool(vectors)).drop("place")

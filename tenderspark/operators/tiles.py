@@ -23,6 +23,7 @@ from tenderspark.sources.files import written
 from tenderspark.sources.ship import ship
 
 TILE_ITEMS, TILE_CODES = 1024, 4096
+PAIR_CODES, MOST_PARTS = 512, 4000  # codes of a tile of which every pair comes out, and into how many partitions such tiles are dealt
 NEGATIVE_IDF = 0.25
 DIGITS = 9  # scores are compared to so many decimals, as sums differ in their last digits by the order of terms
 
@@ -37,12 +38,13 @@ def block_terms(catalog: DataFrame, items: DataFrame, block: str, code: str, tok
     often the code has them and their idf. A negative idf is replaced by a quarter of the block's mean idf."""
     sized = items.groupBy(block).agg(F.count(F.lit(1)).alias("_docs"), (F.sum(F.greatest(F.size(tokens), F.lit(0))) / F.count(F.lit(1))).alias("avg_len"))
     df = items.select(block, F.explode_outer(F.array_distinct(tokens)).alias("term")).where("term is not null").groupBy(block, "term").agg(F.count(F.lit(1)).alias("_df"))
+    sized = F.broadcast(sized)  # a row per block; joins by the block alone would bring all of it to one task
     raw = df.join(sized, block).withColumn("_idf", F.log(F.col("_docs") - F.col("_df") + 0.5) - F.log(F.col("_df") + 0.5))
     raw = written(raw, "term-weights")
     mean = raw.groupBy(block).agg(F.avg("_idf").alias("_mean"))
     asked = catalog.select(block, code, F.explode_outer(tokens).alias("term")).where("term is not null").groupBy(block, code, "term").agg(F.count(F.lit(1)).alias("n"))
     idf = F.when(F.col("_idf") < 0, NEGATIVE_IDF * F.col("_mean")).otherwise(F.col("_idf"))
-    held = asked.join(raw, [block, "term"]).join(mean, block).groupBy(block, code).agg(F.collect_list(F.struct("term", "n", idf.alias("idf"))).alias("terms"))
+    held = asked.join(raw, [block, "term"]).join(F.broadcast(mean), block).groupBy(block, code).agg(F.collect_list(F.struct("term", "n", idf.alias("idf"))).alias("terms"))
     return catalog.select(block, code).distinct().join(held, [block, code], "left").join(sized.select(block, "avg_len"), block)
 
 
@@ -116,11 +118,27 @@ def tiled(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str,
     they are very many). Blocks without a code or without an item give nothing."""
     ship(catalog.sparkSession)
     out = to_arrow_schema(StructType.fromDDL(schema))
-    grid = dealt(items, block, tile_items).withColumnRenamed("n", "_ni").join(dealt(catalog, block, tile_codes).withColumnRenamed("n", "_nc"), block)
+    left, right = placed(catalog, items, block, code, key, grid_of(catalog, items, block, tile_items, tile_codes))
+    return worked(left, right, block, work, out, schema)
+
+
+def grid_of(catalog: DataFrame, items: DataFrame, block: str, tile_items: int, tile_codes: int) -> DataFrame:
+    """(block, _ni, _nc): the tiles of items and of codes of each block that has both."""
+    return dealt(items, block, tile_items).withColumnRenamed("n", "_ni").join(dealt(catalog, block, tile_codes).withColumnRenamed("n", "_nc"), block)
+
+
+def placed(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, grid: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(items, codes) with ``_it`` and ``_ct``, the tiles that they go to. The grid has a row per block and is broadcast: a
+    shuffle by the block alone would bring all of a block to one task."""
+    grid = F.broadcast(grid)
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     salt = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     left = items.join(grid, block).withColumn("_it", salt(key, "_ni")).withColumn("_ct", spread("_nc")).drop("_ni", "_nc")
     right = catalog.join(grid, block).withColumn("_ct", salt(code, "_nc")).withColumn("_it", spread("_ni")).drop("_ni", "_nc")
+    return left, right
+
+
+def worked(left: DataFrame, right: DataFrame, block: str, work: Callable[[pa.Table, pa.Table], dict], out: pa.Schema, schema: str) -> DataFrame:
 
     def one(a: pa.Table, b: pa.Table) -> pa.Table:
         return pa.table(work(a, b), schema=out) if a.num_rows and b.num_rows else out.empty_table()
@@ -130,6 +148,52 @@ def tiled(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str,
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(one, schema)
 
 
+def spread_tiles(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """``placed`` in tiles of which all pairs come out, dealt into as many partitions as there are tiles. What a tile reads is
+    small and says nothing of what it gives, so the number is named: Spark would join small partitions into few."""
+    grid = written(grid_of(catalog, items, block, TILE_ITEMS, PAIR_CODES), "grid")
+    n = min(grid.agg(F.sum(F.col("_ni").cast("long") * F.col("_nc"))).first()[0] or 1, MOST_PARTS)
+    return tuple(x.repartition(n, block, "_it", "_ct") for x in placed(catalog, items, block, code, key, grid))
+
+
+def product_tiles(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str) -> DataFrame:
+    """(block, code, key): all pairs of a block."""
+    left, right = spread_tiles(catalog.select(block, code), items.select(block, key), block, code, key)
+    return left.join(right, [block, "_it", "_ct"]).select(block, code, key)
+
+
+def cosine_tiles(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str) -> DataFrame:
+    """(block, code, key, cosine) of all pairs of a block, both sides with ``vector``: a matrix product per tile. The cosine is
+    null where a vector is null, holds a null or has no length, or where their sizes differ."""
+    ship(catalog.sparkSession)
+
+    def work(a: pa.Table, c: pa.Table) -> dict:
+        mine, theirs = (by_size(x.column("vector").combine_chunks()) for x in (c, a))
+        found, known = np.zeros((c.num_rows, a.num_rows)), np.zeros((c.num_rows, a.num_rows), bool)
+        for size in mine.keys() & theirs.keys():
+            (i, x), (j, y) = mine[size], theirs[size]
+            found[np.ix_(i, j)], known[np.ix_(i, j)] = x @ y.T, True
+        own, at = np.repeat(np.arange(c.num_rows), a.num_rows), np.tile(np.arange(a.num_rows), c.num_rows)
+        return picked(a, c, block, code, key, own, at) | {"cosine": pa.array(found.ravel(), mask=~known.ravel())}
+
+    schema = f"{typed(catalog, items, block, code, key)}, cosine double"
+    return worked(*spread_tiles(catalog, items, block, code, key), block, work, to_arrow_schema(StructType.fromDDL(schema)), schema)
+
+
+def by_size(lists: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Size -> (rows, their vectors brought to length one), of the vectors that have a length and no null."""
+    size, out = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), {}
+    for n in np.unique(size[size > 0]):
+        rows = np.flatnonzero(size == n)
+        flat = lists.take(pa.array(rows)).flatten()
+        whole = ~pc.is_null(flat).to_numpy(zero_copy_only=False).reshape(len(rows), n).any(axis=1)
+        v = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), n)
+        norm = np.sqrt((v**2).sum(axis=1))
+        good = whole & (norm != 0)
+        out[int(n)] = rows[good], v[good] / norm[good, None]
+    return out
+
+
 def typed(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str) -> str:
     kind = lambda df, c: f"`{c}` {df.schema[c].dataType.simpleString()}"
     return f"{kind(catalog, block)}, {kind(catalog, code)}, {kind(items, key)}"

@@ -32,3 +32,24 @@ def test_the_second_cut_has_every_pair_of_a_block(spark, tmp_path):
     codes, items = duckdb.sql(f"SELECT count(*) FILTER (vec_id % 10 = 0), count(*) FILTER (vec_id % 10 <> 0) FROM '{tmp_path}/embeddings.parquet'").fetchall()[0]
     assert items > 40 and registry.queries()["refilter_topk"](spark, str(tmp_path)).count() == codes * items
     same_as_sql(spark, tmp_path, "refilter_topk", "embeddings")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_row_of_an_item_is_dealt_by_its_block_alone(spark):
+    items = spark.range(300).selectExpr("'b' as block", "id as item", "array('w', concat('w', id % 7)) as tokens")
+    asked = spark.range(5).selectExpr("'b' as block", "id as code", "array('w', 'w1') as tokens")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = M.bm25_scores(asked, items, "block", "code", "item", "tokens")
+        norm = M.minmax_in_block(scores, asked, items, "block", "code", "item", "bm25")
+        best = M.candidate_pairs(asked, items, "block", "code", "item", "tokens", 3, 0.1)
+        for df in (scores, norm, best):
+            assert "SortMergeJoin [block#" not in "\n".join(x for x in plan(df).split("\n") if "item" in x)
+        joins = [x for x in plan(scores).split("\n") if "Join" in x]
+        assert joins and sum("BroadcastHashJoin" in x for x in joins) >= 2
+        assert any("BroadcastHashJoin" in x for x in plan(norm).split("\n")[:8])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
