@@ -59,12 +59,14 @@ def unit(a: Column) -> Column:
 
 
 def cosine_scores(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str, vector: str) -> DataFrame:
-    """(block, code, key, cosine) of all pairs inside a block: vectors are brought to unit length once, then an
-    equi-join on the block takes dot products."""
-    a = catalog.select(block, code, unit(F.col(vector)).alias("_a"))
-    b = items.select(block, key, unit(F.col(vector)).alias("_b"))
-    dot = F.aggregate(F.zip_with("_a", "_b", lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
-    return a.join(b, block).select(block, code, key, dot.alias("cosine"))
+    """(block, code, key, cosine) of all pairs inside a block, tile by tile."""
+    side = lambda df, c: df.select(block, c, F.col(vector).alias("vector"))
+    return tiles.cosine_tiles(side(catalog, code), side(items, key), block, code, key)
+
+
+def candidate_product(catalog: DataFrame, items: DataFrame, block: str, code: str, key: str) -> DataFrame:
+    """(block, code, key) of all pairs inside a block."""
+    return tiles.product_tiles(catalog, items, block, code, key)
 
 
 def top_k(pairs: DataFrame, by: list[str], score: str, key: str, k: int, floor: float) -> DataFrame:
