@@ -91,8 +91,7 @@ def cosine_scores(spark, sf_dir):
 
 @add("candidate_product", f"WITH {_VEC} SELECT block, code, item FROM cs")
 def candidate_product(spark, sf_dir):
-    a, b = vectors(spark, sf_dir)
-    return a.select("block", "code").join(b.select("block", "item"), "block")
+    return M.candidate_product(*vectors(spark, sf_dir), "block", "code", "item")
 
 
 @add("topk_pairs", f"WITH {_VEC} SELECT block, code, item, {sql4('cosine')} AS score, CAST(row_number() OVER (PARTITION BY block, code ORDER BY round(cosine, 9) DESC, item) AS INT) AS place FROM cs WHERE round(cosine, 9) >= 0.05 QUALIFY place <= 10")

@@ -53,3 +53,18 @@ def test_no_row_of_an_item_is_dealt_by_its_block_alone(spark):
         assert any("BroadcastHashJoin" in x for x in plan(norm).split("\n")[:8])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("make", [M.candidate_product, lambda *a: M.cosine_scores(*a, "v")])
+def test_pairs_of_one_block_come_from_many_tasks(spark, make):
+    """And none is missing: of vectors without length, with nulls and of other sizes too."""
+    v = "case id % 50 when 0 then array(0f, 0f) when 1 then null when 2 then array(1f) when 3 then array(1f, null) else array(1f, float(id % 3)) end as {}"
+    items, codes = spark.range(5000).selectExpr("0 as block", "id as item", v.format("v")), spark.range(600).selectExpr("0 as block", "id as code", v.format("v"))
+    out = make(codes, items, "block", "code", "item")
+    assert out.rdd.getNumPartitions() >= 8
+    assert out.count() == out.select("code", "item").distinct().count() == 3_000_000
+    if "cosine" in out.columns:
+        some = codes.where("code < 60").join(items.withColumnRenamed("v", "w"), "block")
+        want = some.select("code", "item", M.cosine(F.col("v"), F.col("w")).alias("want"))
+        off = out.join(want, ["code", "item"]).where("(cosine is null) != (want is null) or abs(cosine - want) > 1e-12")
+        assert out.where("cosine is not null").count() > 2_000_000 and off.count() == 0
