@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,25 +101,45 @@ def anchor_windows(text: Column, description: Column, number: Column, price: Col
     touch are one; together they hold at most ``cap`` characters, the later ones are cut; a mark stands between them.
     Without an anchor it is the first ``no_anchor`` characters (four times ``radius`` if not given)."""
     none = F.array().cast("array<struct<a:int,b:int>>")
-    folded, size = _same_length_fold(text), F.length(text)
-    found = lambda needle: F.coalesce(F.when(F.length(needle) > 0, F.instr(folded, needle)), F.lit(0))
-    by_text = found(F.substring(_same_length_fold(F.trim(description)), 1, 40))
-    by_number = found(F.concat(F.lit("item "), F.trim(number.cast("string"))))
+    kept = F.struct(text.alias("text"), F.length(text).alias("size"), description.alias("description"), T.price_variants(price).alias("variants"))
+    return _once(kept, lambda d: _once(_spans(d, number, radius, price_radius, none), lambda s: _excerpts(d, merged_intervals(s), cap, 4 * radius if no_anchor is None else no_anchor)))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once, however often it is used: Spark repeats an expression wherever it stands in a
+    branch or a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _spans(d: Column, number: Column, radius: int, price_radius: int, none: Column) -> Column:
+    """The intervals around the anchors of a document, not joined yet."""
+    text, size = d["text"], d["size"]
     span = lambda at, r: F.when(at > 0, F.array(F.struct(F.greatest(at - 1 - r, F.lit(0)).cast("int").alias("a"), F.least(at - 1 + r, size).cast("int").alias("b")))).otherwise(none)
-    spans = [span(F.when(by_text > 0, by_text).otherwise(by_number), radius)]
-    variants = T.price_variants(price)
-    for i in (1, 2):
-        v = F.try_element_at(variants, F.lit(i))
-        one = F.coalesce(F.instr(text, v), F.lit(0))
-        rest = one + F.length(v)
-        more = F.when(one > 0, F.instr(F.substring(text, rest, size), v)).otherwise(0)
-        spans += [span(one, price_radius), span(F.when(more > 0, rest - 1 + more).otherwise(0), price_radius)]
-    merged = merged_intervals(F.concat(*spans))
+
+    def anchor(folded: Column) -> Column:
+        found = lambda needle: _once(needle, lambda n: F.coalesce(F.when(F.length(n) > 0, F.instr(folded, n)), F.lit(0)))
+        by_number = found(F.concat(F.lit("item "), F.trim(number.cast("string"))))
+        return _once(found(F.substring(_same_length_fold(F.trim(d["description"])), 1, 40)), lambda by_text: F.when(by_text > 0, by_text).otherwise(by_number))
+
+    def hits(v: Column) -> Column:
+        def second(one: Column) -> Column:
+            rest = one + F.length(v)
+            more = F.when(one > 0, F.instr(F.substring(text, rest, size), v)).otherwise(0)
+            return _once(more, lambda m: F.concat(span(one, price_radius), span(F.when(m > 0, rest - 1 + m).otherwise(0), price_radius)))
+
+        return _once(F.coalesce(F.instr(text, v), F.lit(0)), second)
+
+    by_anchor = _once(_once(_same_length_fold(text), anchor), lambda at: span(at, radius))
+    return F.concat(by_anchor, F.flatten(F.transform(d["variants"], hits)))
+
+
+def _excerpts(d: Column, merged: Column, cap: int, no_anchor: int) -> Column:
+    text = d["text"]
     start = F.struct(F.lit(0).alias("used"), F.array().cast("array<string>").alias("parts"))
     take = lambda acc, s: F.least(s["b"] - s["a"], F.lit(cap) - acc["used"])
     grown = lambda acc, s: F.struct((acc["used"] + take(acc, s)).alias("used"), F.array_append(acc["parts"], F.substring(text, s["a"] + 1, take(acc, s))).alias("parts"))
-    parts = F.aggregate(merged, start, lambda acc, s: F.when(acc["used"] < cap, grown(acc, s)).otherwise(acc))["parts"]
-    return F.when(F.size(merged) == 0, F.substring(text, 1, 4 * radius if no_anchor is None else no_anchor)).otherwise(F.array_join(parts, MARK))
+    joined = lambda m: F.array_join(F.aggregate(m, start, lambda acc, s: F.when(acc["used"] < cap, grown(acc, s)).otherwise(acc))["parts"], MARK)
+    return _once(merged, lambda m: F.when(F.size(m) == 0, F.substring(text, 1, no_anchor)).otherwise(joined(m)))
 
 
 def match_items_to_table(items: DataFrame, rows: DataFrame, document: str, key: str, item_text: str, row_index: str, row_text: str, scorer: Scorer | None = None) -> DataFrame:

@@ -193,7 +193,7 @@ def anchor_windows(spark, sf_dir):
     """Windows of every document around a phrase of its own (for each third only a number, which no text has) and a price
     that stands behind its text."""
     d = table(spark, sf_dir, "documents")
-    phrase = F.regexp_extract("text", r"(\S+ \S+ \S+)\s*$", 1)
+    phrase = F.regexp_extract("text", r"^(?:[\s\S]*\s)?(\S+ \S+ \S+)\s*$", 1)  # looked for from the end, not from every character
     price = F.when(F.col("doc_id") % 2 == 0, 1000 + F.col("doc_id").cast("double"))
     text = F.concat_ws(" ", "text", F.lit("valor"), T.format_money_br(price), F.lit("reais"))
     return d.select("doc_id", D.anchor_windows(text, F.when(F.col("doc_id") % 3 != 0, phrase), F.col("doc_id"), price, 900, 300, 150).alias("window"))
