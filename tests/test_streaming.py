@@ -174,6 +174,20 @@ def test_heartbeats_are_stale_when_their_timer_fires(spark):
     assert h.timers == []  # an inactive key cannot go stale
 
 
+def test_keys_of_a_shard_are_worked_in_one_call_under_one_timer(spark):
+    p, h = S.Heartbeat(5_000_000), Handle()
+    p.init(h)
+    beat = lambda *rows: iter([pd.DataFrame(rows, columns=["key", "at", "active"])])
+    assert rows_of(p.handleInputRows((9,), beat(("a", 2_000_000, True), ("b", 1_000_000, True), ("c", 1_000_000, False), ("b", 500_000, False), (None, 4_000_000, True)), Timers(0))) == [("a", 2_000_000, False), ("b", 1_000_000, False), ("c", 1_000_000, False), (None, 4_000_000, False)]
+    assert h.timers == [6_000]
+    assert rows_of(p.handleExpiredTimer((9,), Timers(6_001), None)) == [("b", 1_000_000, True)]
+    assert h.timers == [7_000]
+    assert rows_of(p.handleInputRows((9,), beat(("c", 8_000_000, True)), Timers(7_001))) == [("a", 2_000_000, True), ("c", 8_000_000, False)]
+    assert h.timers == [9_000]
+    assert rows_of(p.handleInputRows((9,), beat(("b", 8_500_000, False)), Timers(9_001))) == [("b", 8_500_000, False), (None, 4_000_000, True)]
+    assert h.timers == [13_000]  # nothing is told twice, and b is not active any more
+
+
 def test_seen_documents_and_their_links(spark):
     p, h = S.SeenDocuments("string"), Handle()
     p.init(h)
