@@ -15,9 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per (document, number): the first line in a total order wins."""
-    lines = one_per_key(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_ORDER)
+def items(spark: SparkSession, sf_dir: str, by_document: bool = False) -> DataFrame:
+    """One row per (document, number): the first line in a total order wins. ``by_document`` deals the lines by document alone,
+    so that a join on it needs no further shuffle."""
+    lines = table(spark, sf_dir, "lineitem")
+    lines = one_per_key(lines.repartition("l_orderkey") if by_document else lines, ["l_orderkey", "l_linenumber"], LINE_ORDER)
     return lines.select(
         F.concat_ws("::", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("item_key"),
         F.col("l_orderkey").alias("document"), F.col("l_linenumber").alias("number"), F.col("l_partkey").alias("code"), F.col("l_suppkey").alias("supplier"),
@@ -33,10 +35,13 @@ ITEMS = """items AS (
 )"""
 
 
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("description"), F.col("p_brand").alias("unit"), F.col("p_type").alias("category"))
+
+
 def described(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items with their description (part name), unit (brand) and category (part type)."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("code"), F.col("p_name").alias("description"), F.col("p_brand").alias("unit"), F.col("p_type").alias("category"))
-    return items(spark, sf_dir).join(part, "code")
+    return items(spark, sf_dir).join(parts(spark, sf_dir), "code")
 
 
 DESCRIBED = ITEMS + """, described AS (

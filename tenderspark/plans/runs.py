@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tenderspark.operators import runs as R
 from tenderspark.operators.tables import Snapshot, one_per_key
-from tenderspark.plans.demo import DESCRIBED, ITEMS, Plans, described, items, r4, sql4, table
+from tenderspark.plans.demo import DESCRIBED, ITEMS, Plans, described, items, parts, r4, sql4, table
 from tenderspark.sources.files import scratch, written
 
 PLANS = Plans()
@@ -93,12 +93,21 @@ SELECT run_id, CAST(position AS INT) AS position, CAST(code AS VARCHAR) AS "Codi
 
 @add("report_rows", _REPORT)
 def report_rows(spark, sf_dir):
+    """Lines meet their order where they are made unique, buyers join the orders, and texts come last, where the ranks are made:
+    lines are shuffled by document, by supplier unless suppliers are few enough for a broadcast, and by code, with numbers and
+    names alone. Ranks count lines without an order or supplier too, and each line once: what a line meets stays a list until then."""
+    from tenderspark.operators.prices import rank_cheapest
+
     t = lambda n: table(spark, sf_dir, n)
     even, doc = F.col("code") % 2 == 0, F.col("document")
     o = t("orders").select(F.col("o_orderkey").alias("document"), F.col("o_orderdate").alias("signed"), F.col("o_custkey").alias("c_custkey"))
     buyers = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("c_name").alias("buyer"), F.col("n_name").alias("state"))
     s = t("supplier").select(F.col("s_suppkey").alias("supplier"), F.col("s_name").alias("supplier_name"))
-    r = ranked(spark, sf_dir).join(o, "document").join(buyers, "c_custkey").join(s, "supplier")
+    o = o.join(buyers, "c_custkey").groupBy("document").agg(F.collect_list(F.struct("signed", "c_custkey", "buyer", "state")).alias("_orders"))
+    s = s.groupBy("supplier").agg(F.collect_list(F.struct("supplier_name")).alias("_suppliers"))
+    lines = items(spark, sf_dir, by_document=True).drop("item_key", "status").join(o, "document", "left").join(s, "supplier", "left").drop("supplier")
+    keyed = lines.join(parts(spark, sf_dir), "code").withColumns({"run_id": F.year("shipped").cast("long"), "item_key": F.concat_ws("::", doc.cast("string"), F.col("number").cast("string"))})
+    r = rank_cheapest(keyed, ["code", "run_id"], "unit_price", "item_key").select("*", F.inline("_orders")).select("*", F.inline("_suppliers"))
     contract, cents = doc % 2 == 0, lambda c: F.floor(c * 100 + 0.5) / 100
     buyer_id = F.lpad(F.col("c_custkey").cast("string"), 14, "0")
     control = F.concat(buyer_id, F.when(contract, "-2-").otherwise("-1-"), F.lpad(doc.cast("string"), 8, "0"), F.lit("/"), F.year("signed"), F.when(contract, "").otherwise(F.concat(F.lit("-"), doc % 90 + 1)))
@@ -107,7 +116,7 @@ def report_rows(spark, sf_dir):
                     "supplier_name", F.col("shipped").alias("result_date"), F.when(contract, "Contract").otherwise("act").alias("document_kind"), "signed", F.col("shipped").alias("valid_until"))
     catalog = t("part").select(F.col("p_partkey").alias("code"), F.col("p_type").alias("class_name"), F.col("p_brand").alias("name"), F.col("p_name").alias("text"))
     catalog = catalog.select("code", F.when(even, "material").otherwise("service").alias("kind"), "class_name", "name", F.when(even, F.replace("text", F.lit(" "), F.lit(", "))).alias("description"))
-    return R.report_rows(rows, catalog)
+    return R.report_rows(rows, catalog.hint("shuffle_hash"))  # else all rows would be sorted anew
 
 
 _CALLS = "SELECT user_id % 10 AS run, event_type AS step, ts, value AS cost FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'"

@@ -68,3 +68,20 @@ def test_pairs_of_one_block_come_from_many_tasks(spark, make):
         want = some.select("code", "item", M.cosine(F.col("v"), F.col("w")).alias("want"))
         off = out.join(want, ["code", "item"]).where("(cosine is null) != (want is null) or abs(cosine - want) > 1e-12")
         assert out.where("cosine is not null").count() > 2_000_000 and off.count() == 0
+
+
+def test_the_report_moves_no_row_from_the_ranks_on(spark, tmp_path):
+    """And lines whose order, buyer or supplier is missing have a rank but no row, those of one that occurs twice have two rows."""
+    keys = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "nation": "n_nationkey"}
+    for t, key in keys.items():
+        twice = f"UNION ALL FROM '{SF}/{t}.parquet' WHERE {key} % 7 = 3" if t in ("customer", "supplier", "orders") else ""
+        duckdb.sql(f"COPY (FROM '{SF}/{t}.parquet' WHERE ({key}) % 9 <> 4 OR {t in ('nation', 'part')} {twice}) TO '{tmp_path}/{t}.parquet'")
+    duckdb.sql(f"COPY (SELECT * REPLACE (CASE WHEN l_partkey % 10 <> 1 THEN l_orderkey END AS l_orderkey) FROM '{SF}/lineitem.parquet') TO '{tmp_path}/lineitem.parquet'")
+    same_as_sql(spark, tmp_path, "report_rows", "lineitem", *keys)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        steps = plan(registry.queries()["report_rows"](spark, str(tmp_path)))
+        lines = [x for x in steps.split("Window [row_number()")[0].split("\n") if "Exchange" in x]
+        assert "SortMergeJoin" in steps and "Sort [" not in steps.split("Window [row_number()")[0] and not lines and steps.count("Exchange hashpartitioning") <= 11
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
