@@ -188,6 +188,18 @@ def test_keys_of_a_shard_are_worked_in_one_call_under_one_timer(spark):
     assert h.timers == [13_000]  # nothing is told twice, and b is not active any more
 
 
+def test_pending_keys_of_a_shard_fall_due_under_one_timer(spark):
+    p, h = S.PendingQueue(10_000_000), Handle()
+    p.init(h)
+    visit = lambda *rows: iter([pd.DataFrame(rows, columns=["key", "at", "resolved"])])
+    assert rows_of(p.handleInputRows((9,), visit(("a", 1_000_000, False), ("b", 2_000_000, False), ("c", 2_000_000, False), ("c", 3_000_000, True), ("b", 4_000_000, False)), Timers(0))) == [("a", 1, 1_000_000, False), ("b", 2, 4_000_000, False), ("c", 0, None, False)]
+    assert h.timers == [11_000]
+    assert rows_of(p.handleExpiredTimer((9,), Timers(11_001), None)) == [("a", 1, 1_000_000, True)]
+    assert h.timers == [14_000]
+    assert rows_of(p.handleInputRows((9,), visit(("c", 12_000_000, False), ("a", 12_000_000, True)), Timers(14_001))) == [("a", 0, None, False), ("b", 2, 4_000_000, True), ("c", 1, 12_000_000, False)]
+    assert h.timers == [22_000]
+
+
 def test_seen_documents_and_their_links(spark):
     p, h = S.SeenDocuments("string"), Handle()
     p.init(h)
