@@ -210,6 +210,16 @@ def test_seen_documents_and_their_links(spark):
     assert rows_of(p.handleInputRows(("d",), row(("c", 1, 1)), None)) == [("link", "d", "c")]
 
 
+def test_documents_of_a_shard_are_seen_in_one_call(spark):
+    p, h = S.SeenDocuments("string"), Handle()
+    p.init(h)
+    row = lambda *rows: iter([pd.DataFrame(rows, columns=["key", "term", "at", "seq"])])
+    first = [("document", "d", "b"), ("document", "e", None), ("link", "d", "a"), ("link", "d", "b"), ("link", "e", "a")]
+    assert sorted(rows_of(p.handleInputRows((9,), row(("d", "a", 5, 1), ("e", "a", float("nan"), 1), ("d", "b", 4, 2), ("e", None, 9, 2)), None)), key=repr) == first
+    assert sorted(rows_of(p.handleInputRows((9,), row(("e", "a", 1, 1), ("d", "c", 1, 1), ("f", None, 1, 1)), None)), key=repr) == [("document", "f", None), ("link", "d", "c")]
+    assert rows_of(p.handleInputRows((9,), row(("f", None, 1, 1), ("d", "c", 0, 0)), None)) == []
+
+
 @pytest.mark.parametrize("days", [1, 400])
 def test_a_document_is_new_once_however_long_the_feed(spark, tmp_path, days):
     feed = f"{tmp_path}/feed"
