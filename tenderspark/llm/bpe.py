@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderspark.llm.common import as_bytes, bounded_batches
+from tenderspark.llm.common import KEPT, as_bytes, bounded_batches
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
 CHUNK_BITS = 10  # chunks of about 1 KiB
@@ -302,10 +302,11 @@ class ChunkEncoder:
 
 
 _ENCODERS: dict[tuple[str, int], ChunkEncoder] = {}
+KEPT.append(_ENCODERS)
 
 
 def encoder(path: str, bits: int = CHUNK_BITS) -> ChunkEncoder:
-    """The worker's encoder for a vocabulary file, kept between tasks."""
+    """The worker's encoder for a vocabulary file, kept between tasks until another operator's task frees it."""
     if (path, bits) not in _ENCODERS:
         _ENCODERS[path, bits] = ChunkEncoder(path, bits)
     return _ENCODERS[path, bits]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +58,33 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
+#: What operators keep in a Python worker between the tasks of one query.
+KEPT: list[dict] = []
+
+
+def let_go() -> None:
+    """Empties what other operators keep in this worker and gives free memory back to the system."""
+    for kept in KEPT:
+        kept.clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def lean(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``rows`` for tasks that keep nothing: Spark uses a worker again for other queries, and what one leaves there would stay
+    beside the next one's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        try:
+            yield from rows(batches)
+        finally:
+            let_go()
+
+    return run
+
+
 def bounded_sample(df: DataFrame, key: str, limit: int, by: str | None = None, seed: int = 7) -> DataFrame:
     """At most ``limit`` rows (of each value of ``by``), those with the smallest hash of ``key``.
 

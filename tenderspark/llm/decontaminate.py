@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderspark.llm.common import POWERS, as_bytes, bounded_batches, mix, span_hashes, written
+from tenderspark.llm.common import POWERS, as_bytes, bounded_batches, lean, mix, span_hashes, written
 
 WINDOW = 13
 BLOCK_WINDOWS, PIECE_WORDS = 1_000_000, 20_000
@@ -103,7 +103,7 @@ def pieces(benchmark: DataFrame, item_col: str, text_col: str, window: int, size
             cols = list(zip(*out, strict=True)) or [()] * 4
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["item", "piece", "n", "words"])
 
-    return benchmark.select(F.col(item_col).cast("long").alias("item"), as_bytes(text_col)).mapInArrow(rows, "item long, piece int, n long, words binary")
+    return benchmark.select(F.col(item_col).cast("long").alias("item"), as_bytes(text_col)).mapInArrow(lean(rows), "item long, piece int, n long, words binary")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, with_text: bool = False, carry: bool = False) -> DataFrame:
@@ -129,19 +129,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     dealt = [cut.where(F.pmod(F.xxhash64("item", "piece", "words"), F.lit(n)) == i) for i in range(n)]
     gathered = lambda block: spark.sparkContext.broadcast(WindowSet([(r.item, bytes(r.words).split()) for r in block.select("item", "words").collect()], window))
     if n == 1:
-        return given.mapInArrow(_scan(gathered(dealt[0]), with_text), final).withColumn("n_items", F.size("items").cast("long"))
+        return given.mapInArrow(lean(_scan(gathered(dealt[0]), with_text)), final).withColumn("n_items", F.size("items").cast("long"))
     named = lambda df: df.withColumn("_th", F.xxhash64("text"))
     found = None
     for block in dealt:
         shared = gathered(block)
-        part = written(named(given).select("doc_id", "text", "_th").mapInArrow(_hits(shared), "doc_id long, _th long, hits array<struct<at:int,n:int>>, items array<long>"), "hits")
+        part = written(named(given).select("doc_id", "text", "_th").mapInArrow(lean(_hits(shared)), "doc_id long, _th long, hits array<struct<at:int,n:int>>, items array<long>"), "hits")
         shared.destroy()
         found = part if found is None else found.union(part)
     merged = found.groupBy(F.col("doc_id").alias("_id"), "_th").agg(F.array_distinct(F.flatten(F.collect_list("hits"))).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     left, right = named(given), merged.withColumnRenamed("_th", "_th2")
     both = left.join(right, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_th2")), "left")
     out = both.select("doc_id", "text", *(["_row"] if carry else []), "hits", "items")
-    return out.mapInArrow(_scan(None, with_text), final).withColumn("n_items", F.size("items").cast("long"))
+    return out.mapInArrow(lean(_scan(None, with_text)), final).withColumn("n_items", F.size("items").cast("long"))
 
 
 def _hits(windows):

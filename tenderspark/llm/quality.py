@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenderspark.llm.common import as_bytes, bounded_batches, written
+from tenderspark.llm.common import as_bytes, bounded_batches, lean, written
 
 # rule: measure, as numerator and denominator columns of the statistics table
 RULES = {
@@ -76,7 +76,7 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = [F.col(id_col).cast("long").alias("doc_id"), stratum, as_bytes(text_col), *([F.struct("*").alias("_row")] if carry else [])]
     given = docs.select(*cols)
     row = f"_row {given.schema['_row'].dataType.simpleString()}, " if carry else ""
-    return given.mapInArrow(rows, f"doc_id long, stratum string, {row}{STATS}")
+    return given.mapInArrow(lean(rows), f"doc_id long, stratum string, {row}{STATS}")
 
 
 def share(rule: str):

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenderspark.llm.common import as_bytes, bounded_batches, mix, written
+from tenderspark.llm.common import as_bytes, bounded_batches, lean, mix, written
 from tenderspark.llm.components import connected_components
 
 BITS = 64
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
             yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col)).mapInArrow(rows, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col)).mapInArrow(lean(rows), "doc_id long, fp long")
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -153,7 +153,7 @@ def fingerprint_links(nodes: DataFrame, radius: int = 4) -> DataFrame:
         if held and sum(map(len, held)):
             yield flush(np.concatenate(held))
 
-    return rows.repartition("t", "k").sortWithinPartitions("t", "k").mapInArrow(found, "a long, b long").distinct()
+    return rows.repartition("t", "k").sortWithinPartitions("t", "k").mapInArrow(lean(found), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -233,7 +233,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: b
             yield pa.record_batch([b.column(0), b.column(1), pa.array(fps.view(np.int64)), pa.array(list(map(len, sets)), pa.int64()), keys], names=["doc_id", "th", "fp", "n", "bands"])
 
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_text(text_col).alias("th"), as_bytes(text_col))
-    return given.mapInArrow(rows, "doc_id long, th long, fp long, n long, bands array<long>")
+    return given.mapInArrow(lean(rows), "doc_id long, th long, fp long, n long, bands array<long>")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -244,7 +244,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
             sets = [np.unique(shingle_hashes(t.as_py(), WORDS)).view(np.int64) for t in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["th", "h"])
 
-    return texts.mapInArrow(rows, "th long, h array<long>")
+    return texts.mapInArrow(lean(rows), "th long, h array<long>")
 
 
 def alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
@@ -271,7 +271,7 @@ def similar_to_heads(stars: DataFrame, sets: DataFrame, similarity: float) -> Da
             near = [alike(x, y, similarity) for x, y in zip(arrays(b.column(2)), arrays(b.column(3)), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    return both.select("pa", "pb", "ha", "hb").mapInArrow(found, "a long, b long").distinct()
+    return both.select("pa", "pb", "ha", "hb").mapInArrow(lean(found), "a long, b long").distinct()
 
 
 def bucket_cells(left: DataFrame) -> DataFrame:
