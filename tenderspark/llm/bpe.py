@@ -39,6 +39,7 @@ CHUNK_BITS = 10  # chunks of about 1 KiB
 MEMORY_IDS = 2_000_000  # ids that a worker keeps
 WIDEST = 64  # words of each neighbour that a join is tried with
 BATCH_TEXT = 4 << 20
+SAMPLED, LEAST_SEEN, HOT = 64, 8, 1000  # of hot_keys
 WORD_MEMORY, LONG_PIECE = 150_000, 256  # pieces of each of two generations; longer ones are not remembered
 _SAFE = re.compile(rb"(?<=[!-~]) (?=[0-9A-Za-z])")
 _CUT = re.compile(rb"(?<=[!-~])(?= [0-9A-Za-z])")
@@ -312,13 +313,26 @@ def encoder(path: str, bits: int = CHUNK_BITS) -> ChunkEncoder:
     return _ENCODERS[path, bits]
 
 
-def _keyed(bits: int):
-    """Adds the meeting key as the last column."""
+def hot_keys(given: DataFrame, bits: int = CHUNK_BITS) -> dict[int, int]:
+    """The meeting keys of many rows of ``given`` (doc_id, text), and over how many tasks each is dealt so that none has much
+    more than an even share. About one row in ``SAMPLED`` is looked at; what is found decides where texts go, never what they
+    give. A hot key has ``LEAST_SEEN`` of these rows or more; the ``HOT`` largest are dealt."""
+    sample = given.sample(1 / SAMPLED, seed=7)
+    looked = sample.mapInArrow(_keyed(bits, {}), "doc_id long, text binary, _meet long, _shares int")
+    many = looked.groupBy("_meet").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {LEAST_SEEN}").orderBy(F.desc("n"), "_meet").limit(HOT).collect()
+    if not many:
+        return {}
+    tasks, seen = int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")), sample.select("doc_id").count()
+    return {r["_meet"]: n for r in many if (n := -(-r["n"] * tasks // seen)) > 1}
+
+
+def _keyed(bits: int, shares: dict[int, int]):
+    """Adds the meeting key and the number of tasks that it is dealt over as the last columns."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = pa.array([meeting_key(t.as_py() or b"", bits) for t in b.column(1)], pa.int64())
-            yield pa.record_batch([*b.columns, keys], names=[*b.schema.names, "_meet"])
+            keys = [meeting_key(t.as_py() or b"", bits) for t in b.column(1)]
+            yield pa.record_batch([*b.columns, pa.array(keys, pa.int64()), pa.array([shares.get(k, 1) for k in keys], pa.int32())], names=[*b.schema.names, "_meet", "_shares"])
 
     return rows
 
@@ -330,8 +344,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     ``vocabulary`` is the path of a tokenizers file on every executor; one whose tokens reach across spaces between
     words raises an error. Null and empty texts have no tokens. Repeated rows each get a row, a null id is kept. Texts
-    move once, to where texts with the same smallest chunk are; a rebalancing shuffle splits a hot key over several
-    tasks, each of which encodes its chunks once. Texts of any length are encoded whole.
+    move once, to where texts with the same smallest chunk are; a hot key (``hot_keys``) is dealt over several tasks by id, each
+    of which encodes its chunks once. Texts of any length are encoded whole.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -364,5 +378,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), as_bytes(text_col).alias("text"), *([F.struct("*").alias("_row")] if carry else []))
     row = f", _row {given.schema['_row'].dataType.simpleString()}" if carry else ""
     names = "ids_sha256 string, decoded_sha256 string" if digests else "ids string, decoded string"
-    met = given.mapInArrow(_keyed(bits), f"doc_id long, text binary{row}, _meet long").hint("rebalance", "_meet").sortWithinPartitions("_meet")
+    shares = hot_keys(given.select("doc_id", "text"), bits)
+    met = given.mapInArrow(_keyed(bits, shares), f"doc_id long, text binary{row}, _meet long, _shares int")
+    share = F.pmod(F.xxhash64("doc_id", F.spark_partition_id()), F.col("_shares"))
+    met = met.withColumn("_share", share).drop("_shares").repartition("_meet", "_share").drop("_share").sortWithinPartitions("_meet")
     return met.mapInArrow(rows, f"doc_id long, n_tokens long, {names}{row}")
