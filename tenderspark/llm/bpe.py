@@ -317,13 +317,11 @@ def hot_keys(given: DataFrame, bits: int = CHUNK_BITS) -> dict[int, int]:
     """The meeting keys of many rows of ``given`` (doc_id, text), and over how many tasks each is dealt so that none has much
     more than an even share. About one row in ``SAMPLED`` is looked at; what is found decides where texts go, never what they
     give. A hot key has ``LEAST_SEEN`` of these rows or more; the ``HOT`` largest are dealt."""
-    sample = given.sample(1 / SAMPLED, seed=7)
-    looked = sample.mapInArrow(_keyed(bits, {}), "doc_id long, text binary, _meet long, _shares int")
-    many = looked.groupBy("_meet").agg(F.count(F.lit(1)).alias("n")).where(f"n >= {LEAST_SEEN}").orderBy(F.desc("n"), "_meet").limit(HOT).collect()
-    if not many:
-        return {}
-    tasks, seen = int(given.sparkSession.conf.get("spark.sql.shuffle.partitions")), sample.select("doc_id").count()
-    return {r["_meet"]: n for r in many if (n := -(-r["n"] * tasks // seen)) > 1}
+    sample = given.sample(1 / SAMPLED, seed=7).hint("rebalance")  # small: a few tasks look at it
+    looked = sample.mapInArrow(_keyed(bits, {}), "doc_id long, text binary, _meet long, _shares int").rollup("_meet").agg(F.count(F.lit(1)).alias("n"))
+    many = {r["_meet"]: r["n"] for r in looked.where(f"n >= {LEAST_SEEN}").orderBy(F.desc("n"), "_meet").limit(HOT + 1).collect()}
+    seen, tasks = many.pop(None, 0), int(given.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # the row of no key counts all
+    return {key: shares for key, n in many.items() if (shares := -(-n * tasks // seen)) > 1}
 
 
 def _keyed(bits: int, shares: dict[int, int]):
