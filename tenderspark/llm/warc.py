@@ -8,6 +8,8 @@ separator is an empty skippable frame, which readers pass over.
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import re
 import struct
 import uuid
@@ -15,7 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderspark.llm.common import bounded_batches, bounded_sample, shared_folder
@@ -25,25 +27,16 @@ DICT_BYTES, SAMPLE_RECORDS, SAMPLE_BYTES = 64 << 10, 512, 16 << 10
 SLICE = 1 << 16  # bytes of an archive that a reader is given at once
 ARCHIVE_BYTES = 24 << 20
 LEVEL = 3
-_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-
-
-def base32_sha1(payload: Column) -> Column:
-    """SHA-1 in upper-case base32: every five hex digits are four base32 digits."""
-    digits = []
-    for j in range(8):
-        v = F.conv(F.substring(F.sha1(payload), 5 * j + 1, 5), 16, 10).cast("int")
-        digits += [F.substring(F.lit(_B32), F.shiftright(v, s).bitwiseAND(31) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*digits)
 
 
 def planned(pages: DataFrame, id_col: str, url_col: str, payload_col: str, revisit_min_bytes: int, archives: int) -> DataFrame:
-    """The records to write, dealt to ``archives`` partitions: page_id, url, payload, digest, refers_to (null: a
-    response). Payloads move once: which rows are revisits is found from ids and digests alone, and joins the payloads
-    where their archive is."""
+    """The records to write, dealt to ``archives`` partitions: page_id, url, payload, digest (SHA-1 in hex), refers_to
+    (null: a response). Payloads move once: which rows are revisits is found from ids and digests alone, and joins the
+    payloads where their archive is. The digest is a plain ``sha1`` of a payload that is never null, so the joins' null
+    checks fold away; on a longer expression they would hash the payload again for each of its parts."""
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("digest", base32_sha1(F.col("payload")))
+    rows = rows.withColumn("digest", F.sha1("payload"))
     keys = rows.where(F.length("payload") >= revisit_min_bytes).select("page_id", "digest")
     last = keys.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     revisits = keys.join(last, "digest").where("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
@@ -62,6 +55,10 @@ def trained_dictionary(records: DataFrame, size: int = DICT_BYTES, sample: int =
         return b""
 
 
+def base32(sha1: bytes) -> str:
+    return base64.b32encode(sha1).decode()
+
+
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     kind = "response" if refers_to is None else "revisit"
     head = [
@@ -70,7 +67,7 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
         f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Target-URI: {re.sub(r'[\r\n]+', ' ', url or '')}",
-        f"WARC-Payload-Digest: sha1:{digest}",
+        f"WARC-Payload-Digest: sha1:{base32(bytes.fromhex(digest))}",
         f"X-Page-Id: {'' if page_id is None else page_id}",
         f"X-Payload-Bytes: {len(payload)}",
     ]
@@ -138,9 +135,6 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """page_id, url, record_type, refers_to, payload (null for revisits), payload_bytes and payload_digest of every
     record of the archives under ``path``. A response's size and digest are taken from its payload, a revisit's from
     its headers; a response whose payload does not match its digest fails the job."""
-    import base64
-    import hashlib
-
     bounded_batches(spark)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +145,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 for f, body in parsed(data.as_py()):
                     whole = f["WARC-Type"] == "response"
                     digest = f["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if whole and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
+                    if whole and base32(hashlib.sha1(body).digest()) != digest:
                         raise ValueError(f"the payload of page {f['X-Page-Id']} does not match its digest")
                     number = lambda k, f=f: int(f[k]) if f.get(k) else None
                     out.append((number("X-Page-Id"), f["WARC-Target-URI"], f["WARC-Type"], number("X-Refers-To-Page"), body if whole else None, len(body) if whole else number("X-Payload-Bytes"), digest))

@@ -114,6 +114,13 @@ def test_archives(spark, least, size):
     assert warc.read_archives(spark, path + "-none").count() == 0
 
 
+def test_archives_hash_a_payload_once_per_pass(spark):
+    """Three passes over the payloads are planned, each with one SHA-1; the joins' null checks add none."""
+    pages = spark.createDataFrame([(1, "u", "<p>"), (2, "u", None)], "page_id long, url string, html string")
+    plan = warc.planned(pages, "page_id", "url", "html", 0, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha1(") == 3 and plan.count("Join") == 2
+
+
 WORDS = {"en": "the and that with from this have which".split(), "de": "und der die nicht eine werden über schon".split(), "fr": "les des une est dans pour être déjà".split(), "es": "los las una por para está según niño".split()}
 
 
